@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import params as P
-from .operators import basepack, growth, sales
+from .operators import activity, basepack, growth, sales
 from .sources import standins as S
 from .sources.tables import Tables, from_testdata
 
@@ -68,6 +68,35 @@ def _o10(t: Tables) -> DataFrame:
     return basepack.invoice_distribution(t["invoice_detail_activity"], t["outlet_basepack_target_detail"])
 
 
+# ---- activity quarter -------------------------------------------------------
+def _o1(t: Tables, p=ACTIVITY) -> DataFrame:
+    return activity.activity_sku_progress(
+        t["invoice_detail_activity"], t["temp_act_outlet_list"], t["act_sku_eco"], t["activities"],
+        t["temp_act_outlet_list_eco"], p,
+    )
+
+
+def _o2(t: Tables, p=ACTIVITY) -> DataFrame:
+    return activity.activity_monthly_achievement(_o1(t, p))
+
+
+def _o3(t: Tables, p=ACTIVITY) -> DataFrame:
+    return activity.activity_achievement_pivot(_o2(t, p), p)
+
+
+def _o4(t: Tables, p=ACTIVITY) -> DataFrame:
+    return activity.activity_eco_summary(
+        t["temp_act_outlet_list"], t["temp_act_outlet_list_eco"], _o3(t, p), t["activities"], p
+    )
+
+
+def _o5(t: Tables, p=ACTIVITY) -> DataFrame:
+    return activity.activity_incentive_summary(
+        t["temp_act_outlet_list"], t["activities"], t["ref_categories"], t["live_mechanism_list"],
+        t["temp_act_outlet_list_eco"], _o4(t, p), p,
+    )
+
+
 def _registry() -> dict[str, Callable[[Tables], DataFrame]]:
     reg: dict[str, Callable[[Tables], DataFrame]] = {
         "basepack_lines": _o6,
@@ -78,6 +107,12 @@ def _registry() -> dict[str, Callable[[Tables], DataFrame]]:
         "invoice_distribution": _o10,
         "growth_sales_points": _o11,
         "growth_achievement": _o12,
+        "activity_sku_progress": _o1,
+        "activity_sku_progress_outlet_scope": lambda t: _o1(t, ACTIVITY_OUTLET_SCOPE),
+        "activity_monthly_achievement": _o2,
+        "activity_achievement_pivot": _o3,
+        "activity_eco_summary": _o4,
+        "activity_incentive_summary": _o5,
     }
     return reg
 

@@ -51,6 +51,7 @@ KEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "redeem_item": ("redeem_code",),
     "new_point_balance": ("outlet_id",),
     "log_validasi_redeem": ("user_id",),
+    "alamat_pengiriman": ("outlet_id",),
 }
 
 
