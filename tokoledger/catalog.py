@@ -6,9 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import params as P
-from .operators import activity, basepack, growth, sales
+from .operators import activity, basepack, growth, points, report, sales
 from .sources import standins as S
 from .sources.tables import Tables, from_testdata
 
@@ -32,6 +33,7 @@ REPORT = P.ReportParams(year=S.STANDIN_YEAR, as_of=S.STANDIN_AS_OF)
 VIEWS = P.InvoiceViewParams(as_of=S.STANDIN_VIEW_AS_OF)
 VIEWS_MONTH = P.InvoiceViewParams(year=S.STANDIN_YEAR, month=8, as_of=S.STANDIN_VIEW_AS_OF)
 REDEEM = P.RedeemParams(points=POINTS)
+STORED_YEAR = 2030          # outside the ledger years: the stored balance applies
 
 
 # ---- sales, growth, basepack ------------------------------------------------
@@ -97,6 +99,45 @@ def _o5(t: Tables, p=ACTIVITY) -> DataFrame:
     )
 
 
+# ---- points and daily report ------------------------------------------------
+def _ledger(t: Tables, p=POINTS) -> DataFrame:
+    return points.point_ledger(
+        t["invoice_master"], t["point_redeem"], t["point_redeem_detail"], t["point_redeem_detail_cashback"],
+        t["ppob_transaction_master"], t["ewallet_transaction_master"], t["redeem_item"], p,
+    )
+
+
+def balance_pairs(t: Tables) -> DataFrame:
+    """Every (outlet, year) with invoices, plus every redemption request."""
+    inv = t["invoice_master"].select("outlet_id", F.year("invoice_date").alias("year"))
+    req = t["requests"].select("outlet_id", F.col("year").cast("int").alias("year"))
+    return inv.union(req).distinct()
+
+
+def _balance(t: Tables) -> DataFrame:
+    return points.point_balance(balance_pairs(t), _ledger(t), t["new_point_balance"], POINTS)
+
+
+def _balance_stored(t: Tables) -> DataFrame:
+    pairs = t["user_info"].select("outlet_id", F.lit(STORED_YEAR).alias("year")).distinct()
+    return points.point_balance(pairs, _ledger(t), t["new_point_balance"], POINTS)
+
+
+def _o15(t: Tables) -> DataFrame:
+    return points.redeemed_by_outlet(t["point_redeem"], t["user_info"], t["temp_master_data_uli"], REPORT)
+
+
+def _o16a(t: Tables) -> DataFrame:
+    return points.injected_points_by_outlet(t["invoice_master"], REPORT)
+
+
+def _o16(t: Tables) -> DataFrame:
+    return report.daily_outlet_report(
+        t["summary_outlet"], t["temp_master_data_uli"], t["outlet_monthly_mapping"], t["user_info"],
+        t["master_peserta"], _o16a(t), _o15(t), REPORT,
+    )
+
+
 def _registry() -> dict[str, Callable[[Tables], DataFrame]]:
     reg: dict[str, Callable[[Tables], DataFrame]] = {
         "basepack_lines": _o6,
@@ -113,6 +154,23 @@ def _registry() -> dict[str, Callable[[Tables], DataFrame]]:
         "activity_achievement_pivot": _o3,
         "activity_eco_summary": _o4,
         "activity_incentive_summary": _o5,
+        "points_earned": lambda t: points.component_points(_ledger(t), points.EARNED),
+        "points_catalogue": lambda t: points.component_points(_ledger(t), points.CATALOGUE),
+        "points_cashback": lambda t: points.component_points(_ledger(t), points.CASHBACK),
+        "points_ppob": lambda t: points.component_points(_ledger(t), points.PPOB),
+        "points_ovo": lambda t: points.component_points(_ledger(t), points.OVO),
+        "points_ewallet": lambda t: points.component_points(_ledger(t), points.EWALLET),
+        "point_balance": _balance,
+        "point_balance_stored": _balance_stored,
+        "latest_address": lambda t: report.latest_address(t["alamat_pengiriman"]),
+        "redeemed_by_outlet": _o15,
+        "injected_points_by_outlet": _o16a,
+        "daily_outlet_report": _o16,
+        "invoice_lines_view": lambda t: report.invoice_lines_view(t["invoice_detail"], t["master_products"], VIEWS),
+        "invoice_lines_view_month": lambda t: report.invoice_lines_view(
+            t["invoice_detail"], t["master_products"], VIEWS_MONTH),
+        "invoice_headers_view": lambda t: report.invoice_headers_view(t["invoice_master"], VIEWS),
+        "invoice_headers_view_month": lambda t: report.invoice_headers_view(t["invoice_master"], VIEWS_MONTH),
     }
     return reg
 

@@ -57,7 +57,7 @@ def money_text(amount: Column) -> Column:
     The .NET ``#`` pattern prints nothing for zero, so 0 becomes ``'Rp. '``.
     """
     n = numeric(amount)
-    body = F.when(n == 0, F.lit("")).otherwise(F.format_number(n, "#,###"))
+    body = F.when(n == 0, F.lit("")).otherwise(F.call_function("format_number", n, F.lit("#,###")))
     return F.concat(F.lit(texts.MONEY_PREFIX), body)
 
 
