@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import params as P
-from .operators import activity, basepack, growth, points, report, sales
+from .operators import activity, basepack, growth, points, redeem, report, sales
 from .sources import standins as S
 from .sources.tables import Tables, from_testdata
 
@@ -138,6 +138,14 @@ def _o16(t: Tables) -> DataFrame:
     )
 
 
+# ---- redemption batch -------------------------------------------------------
+def _gate(t: Tables) -> DataFrame:
+    return redeem.redemption_gate(
+        t["requests"], _ledger(t), t["new_point_balance"], t["redeem_item"], t["user_info"], t["master_peserta"],
+        t["log_validasi_redeem"], REDEEM,
+    )
+
+
 def _registry() -> dict[str, Callable[[Tables], DataFrame]]:
     reg: dict[str, Callable[[Tables], DataFrame]] = {
         "basepack_lines": _o6,
@@ -171,6 +179,11 @@ def _registry() -> dict[str, Callable[[Tables], DataFrame]]:
             t["invoice_detail"], t["master_products"], VIEWS_MONTH),
         "invoice_headers_view": lambda t: report.invoice_headers_view(t["invoice_master"], VIEWS),
         "invoice_headers_view_month": lambda t: report.invoice_headers_view(t["invoice_master"], VIEWS_MONTH),
+        "redemption_gate": _gate,
+        "redemption_rows": lambda t: redeem.redemption_rows(_gate(t), t["redeem_item"], REDEEM),
+        "redemption_detail_rows": lambda t: redeem.redemption_detail_rows(
+            _gate(t), t["alamat_pengiriman"], t["user_info"]),
+        "redemption_notifications": lambda t: redeem.redemption_notifications(_gate(t), t["redeem_item"]),
     }
     return reg
 
