@@ -146,7 +146,8 @@ def _gate(t: Tables) -> DataFrame:
     )
 
 
-def _registry() -> dict[str, Callable[[Tables], DataFrame]]:
+def builders() -> dict[str, Callable[[Tables], DataFrame]]:
+    """Query name -> function of a :class:`Tables` (stand-ins or materialised)."""
     reg: dict[str, Callable[[Tables], DataFrame]] = {
         "basepack_lines": _o6,
         "basepack_sales_points": _o7,
@@ -190,6 +191,6 @@ def _registry() -> dict[str, Callable[[Tables], DataFrame]]:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {}
-    for name, build in _registry().items():
+    for name, build in builders().items():
         out[name] = (lambda b: (lambda spark, sf_dir: b(standin_tables(spark, sf_dir))))(build)
     return out

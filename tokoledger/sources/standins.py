@@ -134,8 +134,8 @@ FROM {so_outlets}
 
 _table("temp_act_outlet_list_eco", """
 SELECT activity_id, outlet_id AS Outlet_id, 'Q3' AS quarter, '1999' AS year,
-       CAST(2 + (sk + 1) % 5 AS INT) AS target_1, CAST(2 + (sk + 2) % 5 AS INT) AS target_2,
-       CAST(2 + (sk + 3) % 5 AS INT) AS target_3, CAST(sk % 3 AS DECIMAL(18,2)) AS vrr
+       CAST(1 + (sk + 1) % 3 AS INT) AS target_1, CAST(1 + (sk + 2) % 3 AS INT) AS target_2,
+       CAST(1 + (sk + 3) % 3 AS INT) AS target_3, CAST(sk % 3 AS DECIMAL(18,2)) AS vrr
 FROM {so_outlets}
 UNION ALL
 SELECT activity_id, outlet_id, 'Q2', '1999', CAST(1 AS INT), CAST(1 AS INT), CAST(1 AS INT),
@@ -143,12 +143,12 @@ SELECT activity_id, outlet_id, 'Q2', '1999', CAST(1 AS INT), CAST(1 AS INT), CAS
 FROM {so_outlets} WHERE sk % 6 = 0
 UNION ALL
 SELECT activity_id, outlet_id, 'Q3', '1999',
-       CAST(2 + (sk + 1) % 5 AS INT), CAST(2 + (sk + 2) % 5 AS INT), CAST(2 + (sk + 3) % 5 AS INT),
+       CAST(1 + (sk + 1) % 3 AS INT), CAST(1 + (sk + 2) % 3 AS INT), CAST(1 + (sk + 3) % 3 AS INT),
        CAST(sk % 3 AS DECIMAL(18,2))
 FROM {so_outlets} WHERE sk % 8 = 0
 UNION ALL
 SELECT activity_id, outlet_id, 'Q3', '1999',
-       CAST(2 + (sk + 1) % 5 AS INT), CAST(2 + (sk + 2) % 5 AS INT), CAST(2 + (sk + 3) % 5 AS INT),
+       CAST(1 + (sk + 1) % 3 AS INT), CAST(1 + (sk + 2) % 3 AS INT), CAST(1 + (sk + 3) % 3 AS INT),
        CAST(9 AS DECIMAL(18,2))
 FROM {so_outlets} WHERE sk % 12 = 5
 """)
