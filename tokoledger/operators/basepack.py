@@ -62,10 +62,22 @@ def basepack_detail(
         F.sum(F.coalesce(F.col("quantity"), F.lit(0))).alias("y_qty"),
         F.sum(numeric(F.col("total"))).alias("y_value"),
     )
+    # inner range join with the sales side streamed (AQE can split a hot
+    # outlet), totals per target period, then back onto every target row
+    periods = x.select("outlet_id", "basepack_title", "periode_start", "periode_end").distinct()
+    per_period = sales.join(
+        periods,
+        (periods.outlet_id == sales.y_outlet_id) & (periods.basepack_title == sales.y_basepack)
+        & (periods.periode_start <= sales.y_invoice_date) & (periods.periode_end >= sales.y_invoice_date),
+        "inner",
+    ).groupBy(
+        F.col("outlet_id").alias("p_outlet_id"), F.col("basepack_title").alias("p_basepack"),
+        F.col("periode_start").alias("p_start"), F.col("periode_end").alias("p_end"),
+    ).agg(F.sum("y_qty").alias("y_qty"), F.sum("y_value").alias("y_value"))
     j = x.join(
-        sales,
-        (x.outlet_id == sales.y_outlet_id) & (x.basepack_title == sales.y_basepack)
-        & (x.periode_start <= sales.y_invoice_date) & (x.periode_end >= sales.y_invoice_date),
+        per_period,
+        (x.outlet_id == per_period.p_outlet_id) & (x.basepack_title == per_period.p_basepack)
+        & (x.periode_start == per_period.p_start) & (x.periode_end == per_period.p_end),
         "left",
     )
     mult = F.col("x_n") * F.coalesce(F.col("d_n"), F.lit(1))

@@ -82,14 +82,25 @@ def growth_sales_points(target_growth: DataFrame, invoices: DataFrame, p: SalesP
     # implied by date(invoice) >= periode_start >= from_date: prunes the scan
     sales = sales_by_outlet_time(invoices.filter(F.col("invoice_date") >= ts_lit(p.from_date)))
     day = F.to_date(sales.s_invoice_date)
-    joined = targets.join(
-        sales,
+    # inner join with the (large, possibly skewed) sales side streamed, so AQE
+    # can split a hot outlet; targets without sales come back through the
+    # left join of the per-target totals (same result as the reference's
+    # LEFT JOIN + GROUP BY)
+    matched = sales.join(
+        targets,
         (targets.Outlet_id == sales.s_outlet_id) & _in_period(targets.periode_start, targets.periode_end, day),
+        "inner",
+    ).groupBy(
+        F.col("activity_id").alias("m_activity_id"), F.col("Outlet_id").alias("m_outlet_id"),
+        F.col("Cluster").alias("m_cluster"),
+    ).agg(F.sum(numeric(F.col("s_amount"))).alias("pencapaian"))
+    keys = targets.select("activity_id", "Outlet_id", "Cluster").distinct()
+    out = keys.join(
+        matched,
+        (keys.activity_id.eqNullSafe(matched.m_activity_id)) & (keys.Outlet_id.eqNullSafe(matched.m_outlet_id))
+        & (keys.Cluster.eqNullSafe(matched.m_cluster)),
         "left",
     )
-    out = joined.groupBy("activity_id", "Outlet_id", "Cluster").agg(
-        F.sum(numeric(F.col("s_amount"))).alias("pencapaian")
-    )
     factor = F.lit(per_point(p.growth_rate, p.point_value))
     points = (F.col("pencapaian") * factor).cast(NUMERIC)
     return out.select(

@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot outlet's partition even when that costs an extra shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     # invoice timestamps are zone-less (T-SQL datetime)
     "spark.sql.timestampType": "TIMESTAMP_NTZ",

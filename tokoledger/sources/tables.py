@@ -18,6 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import standins
 
@@ -62,6 +63,16 @@ def trim_keys(name: str, df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.rtrim(F.col(c)) for c in keys})
 
 
+def zone_less(df: DataFrame) -> DataFrame:
+    """Timestamps as T-SQL ``datetime`` (no zone): a ``TIMESTAMP '...'``
+    literal is zoned when the session's default timestamp type is, so zoned
+    columns are turned back into wall-clock values."""
+    zoned = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    if not zoned:
+        return df
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
+
+
 class Tables:
     """Lazy, memoised name -> DataFrame mapping."""
 
@@ -117,7 +128,7 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Tables:
                 base[name] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
             return base[name]
         deps = {d: (load(d) if d in standins.BASE_TABLES else tables[d]) for d in standins.dependencies(name)}
-        return spark.sql(standins.sql_text(name), **deps)
+        return zone_less(spark.sql(standins.sql_text(name), **deps))
 
     tables = Tables(load)
     return tables
