@@ -48,10 +48,10 @@ def activity_sku_progress(
     outlets = _counted(outlet_list, [F.col("activity_id").alias("b_activity_id"),
                                      F.col("Outlet_id").alias("b_outlet_id")], "b_n")
     skus = bounded_broadcast(_counted(sku_targets, [F.col("activity_id").alias("c_activity_id"), "sku_code",
-                                                    "ispcs"], "c_n"))
+                                                    "ispcs"], "c_n"), source=sku_targets)
     acts = bounded_broadcast(_counted(
         _program_activities(activities, p),
-        [F.col("activity_id").alias("d_activity_id"), "periode_start", "periode_end"], "d_n"))
+        [F.col("activity_id").alias("d_activity_id"), "periode_start", "periode_end"], "d_n"), source=activities)
     eco_rows = eco.filter((F.col("quarter") == F.lit(p.quarter)) & (F.col("year") == F.lit(p.year)))
     eco_keys = [F.col("activity_id").alias("e_activity_id")]
     if p.eco_scope == "outlet":
@@ -67,7 +67,7 @@ def activity_sku_progress(
     if p.eco_scope == "outlet":
         j = j.join(eco_n, (j.b_activity_id == eco_n.e_activity_id) & (j.outlet_id == eco_n.e_outlet_id), "inner")
     else:
-        j = j.join(bounded_broadcast(eco_n), j.b_activity_id == eco_n.e_activity_id, "inner")
+        j = j.join(bounded_broadcast(eco_n, source=eco), j.b_activity_id == eco_n.e_activity_id, "inner")
     mult = F.col("b_n") * F.col("c_n") * F.col("d_n") * F.col("e_n")
     g = j.groupBy(
         F.col("b_activity_id").alias("activity_id"), "outlet_id", "sku_code",
@@ -133,7 +133,7 @@ def activity_eco_summary(
         [F.col("activity_id").alias("le_activity_id"), F.col("Outlet_id").alias("le_outlet_id"), "quarter",
          "year", "target_1", "target_2", "target_3"], "le_n")
     ac = bounded_broadcast(_counted(_program_activities(activities, p, with_status=False),
-                                    [F.col("activity_id").alias("ac_activity_id")], "ac_n"))
+                                    [F.col("activity_id").alias("ac_activity_id")], "ac_n"), source=activities)
     ia = _counted(pivot, [F.col("activity_id").alias("ia_activity_id"), F.col("outlet_id").alias("ia_outlet_id"),
                           F.col("quarter").alias("ia_quarter"), F.col("achievement_1").alias("ia_1"),
                           F.col("achievement_2").alias("ia_2"), F.col("achievement_3").alias("ia_3")], "ia_n")
@@ -177,7 +177,8 @@ def activity_incentive_summary(
     """
     a = outlet_list.select("activity_id", "Region", "Area", "Dist_Code", "Dist_Name", "Outlet_id", "Outlet_Name",
                            "Target_Toko", "VRR", "Simulasi_Point", "VRR_Addt").distinct()
-    cats = bounded_broadcast(categories.select(F.col("category_id").alias("bb_category_id"), "category_name"))
+    cats = bounded_broadcast(categories.select(F.col("category_id").alias("bb_category_id"), "category_name"),
+                             source=categories)
     acts = _program_activities(activities, p).select("activity_id", "category_id")
     b = acts.join(cats, acts.category_id == cats.bb_category_id, "left").select(
         F.col("activity_id").alias("b_activity_id"), "category_name").distinct()

@@ -29,7 +29,8 @@ def _regular_counts(activities_regular: DataFrame, prefix: str) -> DataFrame:
             F.col("activity_id").alias(f"{prefix}activity_id"),
             F.col("status_id").alias(f"{prefix}status_id"),
             F.col("status_approval").alias(f"{prefix}status_approval"),
-        ).agg(F.count(F.lit(1)).alias(f"{prefix}n"))
+        ).agg(F.count(F.lit(1)).alias(f"{prefix}n")),
+        source=activities_regular,
     )
 
 

@@ -37,7 +37,8 @@ def growth_achievement(
         "pencapaian", "point_temp",
     )
     regular = bounded_broadcast(activities_regular.select(
-        F.col("activity_id").alias("r_activity_id"), "status_id", "status_approval").distinct())
+        F.col("activity_id").alias("r_activity_id"), "status_id", "status_approval").distinct(),
+        source=activities_regular)
     inm = invoices_of_kind(
         invoices, p.injection_sales_id, "inm_",
         ["invoice_date", "upload_date", "expected_invoice_addt_reward"], max_invoice_no=True,

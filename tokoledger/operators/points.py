@@ -65,7 +65,7 @@ def point_ledger(
     redeemed = point_redeem.filter(_years_filter(F.col("point_year"), p.ledger_years)).select(
         F.col("redeem_no").alias("x_redeem_no"), "gift_code", "point_redeem", "point_year", "status_delivery"
     )
-    gifts = bounded_broadcast(items.select(F.col("redeem_code"), F.col("type_code")))
+    gifts = bounded_broadcast(items.select(F.col("redeem_code"), F.col("type_code")), source=items)
     j = redeemed.join(channels, redeemed.x_redeem_no == channels.redeem_no, "inner")
     j = j.join(gifts, j.gift_code == gifts.redeem_code, "left")
     is_ovo = F.coalesce(F.col("type_code"), F.lit("00")).isin(*p.ovo_type_codes)

@@ -55,7 +55,7 @@ def redemption_gate(
         F.count(F.lit(1)).alias("n_users"), F.max("user_id").alias("user_id"))
     extra = participants.groupBy(F.col("KODE_OUTLET").alias("m_outlet")).agg(F.count(F.lit(1)).alias("n_part"))
     gifts = bounded_broadcast(items.groupBy(F.col("redeem_code").alias("i_code")).agg(
-        F.count(F.lit(1)).alias("n_items"), F.max("point").alias("point")))
+        F.count(F.lit(1)).alias("n_items"), F.max("point").alias("point")), source=items)
 
     pairs = req.select("outlet_id", "year").distinct()
     bal = point_balance(pairs, ledger, stored_balance, p.points).select(
@@ -67,7 +67,8 @@ def redemption_gate(
     # request side is broadcast when bounded, so the log is filtered and
     # max-aggregated map-side without shuffling it by user
     cand = bounded_broadcast(j.filter(F.col("user_id").isNotNull()).select(
-        F.col("redeemno").alias("c_redeemno"), F.col("user_id").alias("c_user"), F.col("request_ts").alias("c_ts")))
+        F.col("redeemno").alias("c_redeemno"), F.col("user_id").alias("c_user"), F.col("request_ts").alias("c_ts")),
+        source=requests)
     logs = redeem_log.select(F.col("user_id").alias("l_user"), "created_date")
     last = cand.join(logs, (cand.c_user == logs.l_user) & (logs.created_date <= cand.c_ts), "inner").groupBy(
         "c_redeemno", "c_user", "c_ts").agg(F.max("created_date").alias("last_log"))
@@ -109,7 +110,7 @@ def redemption_gate(
 
 def _accepted_with_item(gate: DataFrame, items: DataFrame, cols: list[str]) -> DataFrame:
     ok = gate.filter(F.col("accepted"))
-    gifts = bounded_broadcast(items.select(F.col("redeem_code").alias("i_code"), *cols))
+    gifts = bounded_broadcast(items.select(F.col("redeem_code").alias("i_code"), *cols), source=items)
     return ok.join(gifts, ok.giftcode == gifts.i_code, "left")
 
 

@@ -103,7 +103,7 @@ def invoice_lines_view(invoice_detail: DataFrame, products: DataFrame,
                        p: InvoiceViewParams = InvoiceViewParams()) -> DataFrame:
     """Formatted invoice lines; filters are optional (``None`` = all)."""
     lines = _view_filters(invoice_detail, p, with_invoice=True)
-    prod = bounded_broadcast(products.select(F.col("sku_code"), F.col("product_description")))
+    prod = bounded_broadcast(products.select(F.col("sku_code"), F.col("product_description")), source=products)
     j = lines.join(prod, lines.item_code == prod.sku_code, "left")
     return j.select(
         F.rtrim(F.col("outlet_id")).alias("outlet_id"),

@@ -25,7 +25,7 @@ def _in_period(start: Column, end: Column, when: Column) -> Column:
 
 def basepack_lines(invoice_lines: DataFrame, products_basepack: DataFrame, p: SalesParams = SalesParams()) -> DataFrame:
     """Invoice lines with their basepack, from ``p.from_date`` on."""
-    products = bounded_broadcast(products_basepack.select("sku_code", "basepack"))
+    products = bounded_broadcast(products_basepack.select("sku_code", "basepack"), source=products_basepack)
     lines = invoice_lines.filter(F.col("invoice_date") >= ts_lit(p.from_date))
     return lines.join(products, lines.item_code == products.sku_code, "inner").select(
         "outlet_id",

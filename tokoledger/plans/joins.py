@@ -1,29 +1,53 @@
 """Join-strategy helpers.
 
 Dimension sides (activities, gift catalogue, SKU targets ...) are broadcast only
-after their size is proven: a bounded ``limit(n + 1).count()`` on the side
-itself. Above the bound the side is left to the planner (sort-merge join, with
-AQE free to convert it at runtime from measured shuffle sizes).
+after their size is proven: a bounded ``limit(n + 1).count()``. Above the
+bound the side is left to the planner (sort-merge join, with AQE free to
+convert it at runtime from measured shuffle sizes).
+
+A side derived from one table by filters, projections, aggregation or
+DISTINCT never has more rows than that table, so the bound can be proven on
+the table itself (``source=``): one cheap count per table and session instead
+of one job per derived side.
 """
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_ROWS_KEY = "tokoledger.broadcast.maxRows"
 DEFAULT_MAX_ROWS = 200_000
 
+_PROVEN: "weakref.WeakKeyDictionary[DataFrame, tuple[int, bool]]" = weakref.WeakKeyDictionary()
+
 
 def broadcast_limit(df: DataFrame) -> int:
     value = df.sparkSession.conf.get(MAX_ROWS_KEY, None)
     return int(value) if value else DEFAULT_MAX_ROWS
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
+def _within(df: DataFrame, bound: int) -> bool:
+    try:
+        cached = _PROVEN.get(df)
+    except TypeError:          # not weak-referenceable: just count
+        cached = None
+    if cached is not None and cached[0] == bound:
+        return cached[1]
+    ok = df.limit(bound + 1).count() <= bound
+    try:
+        _PROVEN[df] = (bound, ok)
+    except TypeError:
+        pass
+    return ok
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None, source: DataFrame | None = None) -> DataFrame:
+    """``broadcast(df)`` when ``df`` (or ``source``, a table it is derived from
+    without joins) has at most ``max_rows`` rows, else ``df`` unchanged."""
     bound = broadcast_limit(df) if max_rows is None else max_rows
     if bound <= 0:
         return df
-    rows = df.limit(bound + 1).count()
-    return F.broadcast(df) if rows <= bound else df
+    return F.broadcast(df) if _within(df if source is None else source, bound) else df
