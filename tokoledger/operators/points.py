@@ -105,13 +105,17 @@ def point_balance(pairs: DataFrame, ledger: DataFrame, stored: DataFrame, p: Poi
     balance whatever the year (T20); nothing found: 0. A stored balance held
     twice for one outlet (the reference raises) counts once, the larger.
     """
+    in_ledger = _years_filter(F.col("year"), p.ledger_years)
+    req = pairs.select("outlet_id", F.col("year").cast("int").alias("year"))
+    # only the requested (outlet, year) ledger rows reach the aggregation shuffle
+    wanted = bounded_broadcast(req.filter(in_ledger).distinct(), source=pairs)
     signed = F.when(F.col("component") == EARNED, F.col("points")).otherwise(-F.col("points"))
-    totals = ledger.groupBy(F.col("outlet_id").alias("l_outlet_id"), F.col("year").alias("l_year")).agg(
+    totals = ledger.join(wanted, ["outlet_id", "year"], "left_semi").groupBy(
+        F.col("outlet_id").alias("l_outlet_id"), F.col("year").alias("l_year")).agg(
         F.sum(signed).alias("ledger_total"))
-    kept = stored.groupBy(F.col("outlet_id").alias("s_outlet_id")).agg(F.max("remain_point").alias("stored_total"))
+    kept = stored.join(req.select("outlet_id").distinct(), "outlet_id", "left_semi").groupBy(
+        F.col("outlet_id").alias("s_outlet_id")).agg(F.max("remain_point").alias("stored_total"))
 
-    in_ledger = _years_filter(F.col("year"), p.ledger_years)
-    req = pairs.select("outlet_id", F.col("year").cast("int").alias("year"))
     a = req.filter(in_ledger)
     a = a.join(totals, (a.outlet_id == totals.l_outlet_id) & (a.year == totals.l_year), "left").select(
         "outlet_id", "year", F.col("ledger_total").alias("total"))
