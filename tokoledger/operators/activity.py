@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import NUMERIC, flag, numeric
 from ..params import ActivityParams, per_point
 from ..plans.joins import bounded_broadcast
+from .sales import period_window, within_window
 
 MONEY = "decimal(18,2)"
 
@@ -60,10 +61,9 @@ def activity_sku_progress(
         raise ValueError(f"eco_scope must be 'activity' or 'outlet', not {p.eco_scope!r}")
     eco_n = _counted(eco_rows, eco_keys, "e_n")
 
-    # the programme's days (a few hundred rows) cut the lines to the activity
-    # periods before the outlet shuffle; the exact timestamp test follows below
-    days = acts.select(F.explode(F.sequence("periode_start", "periode_end")).alias("day")).distinct()
-    lines = lines.join(bounded_broadcast(days), F.to_date(lines.invoice_date) == days.day, "left_semi")
+    # the programme's overall period cuts the line scan (Parquet row-group
+    # pruning) before the outlet shuffle; the exact per-activity test follows
+    lines = within_window(lines, period_window(_program_activities(activities, p)))
     j = lines.join(outlets, lines.outlet_id == outlets.b_outlet_id, "inner")
     j = j.join(skus, (j.item_code == skus.sku_code) & (j.b_activity_id == skus.c_activity_id), "inner")
     j = j.join(acts, (j.b_activity_id == acts.d_activity_id)

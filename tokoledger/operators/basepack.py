@@ -16,6 +16,7 @@ from ..functions.exprs import NUMERIC, clamp_at_zero, numeric
 from ..params import SalesParams
 from ..plans.joins import bounded_broadcast
 from .injection import INJECTION_OUTPUT, injection_columns, invoices_of_kind
+from .sales import period_window, within_window
 
 
 def _outlet_regions(outlet_master: DataFrame) -> DataFrame:
@@ -48,6 +49,7 @@ def basepack_detail(
     x = target_detail.filter(
         (F.col("status") == "Y") & (F.col("status_id") != "3") & (F.col("periode_start") >= F.lit(p.detail_from))
     )
+    lines = within_window(lines, period_window(x))     # row-group pruning on the line scan
     x = x.groupBy("activity_id", "outlet_id", "basepack_title", "target", "periode_start", "periode_end",
                   "dist_code").agg(F.count(F.lit(1)).alias("x_n"))
     regions = _outlet_regions(outlet_master)
@@ -208,6 +210,7 @@ def invoice_distribution(lines: DataFrame, target_detail: DataFrame) -> DataFram
         F.col("activity_id").alias("au_activity_id"), F.col("outlet_id").alias("au_outlet_id"),
         F.col("periode_start").alias("au_start"), F.col("periode_end").alias("au_end"),
     ).distinct()
+    lines = within_window(lines, period_window(target_detail))
     j = lines.join(
         periods,
         (lines.outlet_id == periods.au_outlet_id)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import NUMERIC, POINTS4, ts_lit, year_range
 from ..params import PointParams, ReportParams
-from ..plans.joins import bounded_broadcast
+from ..plans.joins import bounded_broadcast, is_bounded
 
 EARNED, CATALOGUE, CASHBACK, PPOB, OVO, EWALLET = "earned", "catalogue", "cashback", "ppob", "ovo", "ewallet"
 COMPONENTS = (EARNED, CATALOGUE, CASHBACK, PPOB, OVO, EWALLET)
@@ -98,23 +98,27 @@ def component_points(ledger: DataFrame, component: str) -> DataFrame:
     )
 
 
-def point_balance(pairs: DataFrame, ledger: DataFrame, stored: DataFrame, p: PointParams = PointParams()) -> DataFrame:
+def point_balance(pairs: DataFrame, ledger: DataFrame, stored: DataFrame, p: PointParams = PointParams(),
+                  pairs_source: DataFrame | None = None) -> DataFrame:
     """Balance per requested ``(outlet_id, year)``.
 
     Ledger years: earned minus the five spends; other years: the stored
     balance whatever the year (T20); nothing found: 0. A stored balance held
     twice for one outlet (the reference raises) counts once, the larger.
+
+    ``pairs_source`` is a table the pairs come from row by row (e.g. a batch
+    of requests). When it is small enough to broadcast, the ledger is cut to
+    the requested pairs map-side, before its aggregation shuffle.
     """
     in_ledger = _years_filter(F.col("year"), p.ledger_years)
     req = pairs.select("outlet_id", F.col("year").cast("int").alias("year"))
-    # only the requested (outlet, year) ledger rows reach the aggregation shuffle
-    wanted = bounded_broadcast(req.filter(in_ledger).distinct(), source=pairs)
     signed = F.when(F.col("component") == EARNED, F.col("points")).otherwise(-F.col("points"))
-    totals = ledger.join(wanted, ["outlet_id", "year"], "left_semi").groupBy(
-        F.col("outlet_id").alias("l_outlet_id"), F.col("year").alias("l_year")).agg(
+    if pairs_source is not None and is_bounded(pairs, source=pairs_source):
+        wanted = F.broadcast(req.filter(in_ledger).distinct())
+        ledger = ledger.join(wanted, ["outlet_id", "year"], "left_semi")
+    totals = ledger.groupBy(F.col("outlet_id").alias("l_outlet_id"), F.col("year").alias("l_year")).agg(
         F.sum(signed).alias("ledger_total"))
-    kept = stored.join(req.select("outlet_id").distinct(), "outlet_id", "left_semi").groupBy(
-        F.col("outlet_id").alias("s_outlet_id")).agg(F.max("remain_point").alias("stored_total"))
+    kept = stored.groupBy(F.col("outlet_id").alias("s_outlet_id")).agg(F.max("remain_point").alias("stored_total"))
 
     a = req.filter(in_ledger)
     a = a.join(totals, (a.outlet_id == totals.l_outlet_id) & (a.year == totals.l_year), "left").select(

@@ -58,7 +58,7 @@ def redemption_gate(
         F.count(F.lit(1)).alias("n_items"), F.max("point").alias("point")), source=items)
 
     pairs = req.select("outlet_id", "year").distinct()
-    bal = point_balance(pairs, ledger, stored_balance, p.points).select(
+    bal = point_balance(pairs, ledger, stored_balance, p.points, pairs_source=requests).select(
         F.col("outlet_id").alias("b_outlet"), F.col("year").alias("b_year"), "total_point")
 
     j = req.join(people, req.outlet_id == people.u_outlet, "left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,26 @@ def _in_period(start: Column, end: Column, when: Column) -> Column:
     return (start <= when) & (end >= when)
 
 
+def period_window(periods: DataFrame, start: str = "periode_start", end: str = "periode_end"):
+    """Earliest start and latest end over a (small) table of target periods:
+    one aggregate row, used as literal bounds so the invoice scans prune
+    Parquet row groups outside every period. ``None`` when there are no
+    periods."""
+    row = periods.agg(F.min(start).alias("lo"), F.max(end).alias("hi")).first()
+    if row is None or row["lo"] is None or row["hi"] is None:
+        return None
+    return row["lo"], row["hi"]
+
+
+def within_window(df: DataFrame, window, column: str = "invoice_date") -> DataFrame:
+    """Keep rows whose timestamp falls on a day inside ``window`` (a superset
+    of every exact period test applied later); no window keeps nothing."""
+    if window is None:
+        return df.limit(0)
+    lo, hi = window
+    return df.filter((F.col(column) >= ts_lit(lo)) & (F.col(column) < ts_lit(hi + dt.timedelta(days=1))))
+
+
 def basepack_lines(invoice_lines: DataFrame, products_basepack: DataFrame, p: SalesParams = SalesParams()) -> DataFrame:
     """Invoice lines with their basepack, from ``p.from_date`` on."""
     products = bounded_broadcast(products_basepack.select("sku_code", "basepack"), source=products_basepack)

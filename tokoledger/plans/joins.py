@@ -44,6 +44,12 @@ def _within(df: DataFrame, bound: int) -> bool:
     return ok
 
 
+def is_bounded(df: DataFrame, max_rows: int | None = None, source: DataFrame | None = None) -> bool:
+    """Whether ``df`` (or ``source``) provably has at most the broadcast bound of rows."""
+    bound = broadcast_limit(df) if max_rows is None else max_rows
+    return bound > 0 and _within(df if source is None else source, bound)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None, source: DataFrame | None = None) -> DataFrame:
     """``broadcast(df)`` when ``df`` (or ``source``, a table it is derived from
     without joins) has at most ``max_rows`` rows, else ``df`` unchanged."""

@@ -128,7 +128,8 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Tables:
                 base[name] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
             return base[name]
         deps = {d: (load(d) if d in standins.BASE_TABLES else tables[d]) for d in standins.dependencies(name)}
-        return zone_less(spark.sql(standins.sql_text(name), **deps))
+        # kept once per session: every registered query reads the same stand-ins
+        return zone_less(spark.sql(standins.sql_text(name), **deps)).persist()
 
     tables = Tables(load)
     return tables
