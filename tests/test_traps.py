@@ -330,3 +330,47 @@ def test_no_python_udf_in_library():
     text = "\n".join(p.read_text() for p in src.rglob("*.py"))
     assert "@udf" not in text and "F.udf(" not in text and ".rdd" not in text and "localCheckpoint" not in text
     assert F is not None
+
+
+# --- T2 / T10 / T21 / T23 -------------------------------------------------------------
+def test_pivot_collapses_years_by_max(spark):
+    monthly = spark.createDataFrame([("A1", "Q3", "T1", 4, 2024, 7), ("A1", "Q3", "T1", 2, 2025, 7),
+                                     ("A1", "Q3", "T1", 1, 2025, 9)],
+                                    "activity_id string, quarter string, outlet_id string, Achievement bigint, "
+                                    "invoice_year int, invoice_month int")
+    (r,) = activity.activity_achievement_pivot(monthly, P.ActivityParams()).collect()
+    assert (r.achievement_1, r.achievement_2, r.achievement_3, r.invoice_year) == (4, 0, 1, 2025)     # T2
+
+
+def test_injected_points_use_non_header_invoices_only(spark):
+    rows = [inv("I1", "T1", TS(2025, 2, 1), "1", addt="10.4", itype="P"),
+            inv("I2", "T1", TS(2025, 3, 1), "1", addt="5", itype="I"),        # header invoice: not counted
+            inv("I3", "T1", TS(2025, 4, 1), "1", addt="7", itype=None),       # NULL type: dropped (T10)
+            inv("I4", "T1", TS(2024, 4, 1), "1", addt="9", itype="P")]        # other year
+    got = points.injected_points_by_outlet(spark.createDataFrame(rows, INVOICES), P.ReportParams()).collect()
+    assert [(r.outlet_id, r.total_point) for r in got] == [("T1", D(10))]
+
+
+def test_distribution_dedups_raw_values_before_rounding(spark):
+    lines = spark.createDataFrame([
+        ("T1", "I1", "S1", D("10.40"), 1, D("10.40"), TS(2025, 7, 2)),
+        ("T1", "I1", "S1", D("10.40"), 1, D("10.40"), TS(2025, 7, 2)),     # exact duplicate: one row
+        ("T1", "I1", "S1", D("10.20"), 1, D("10.20"), TS(2025, 7, 2)),     # rounds to the same 10: kept (T21)
+        ("T1", "I2", "S1", D("5.00"), 1, D("5.00"), TS(2025, 10, 2)),      # outside the period
+    ], LINES)
+    detail = spark.createDataFrame([("A1", "T1", "D1", "BP1", "Y", "1", 5, *Q3), ("A1", "T1", "D1", "BP2", "Y", "1", 5, *Q3)],
+                                   "activity_id string, outlet_id string, dist_code string, basepack_title string, "
+                                   "status string, status_id string, target int, periode_start date, periode_end date")
+    got = sorted((r.invoice_no, r.Harga, r.Total) for r in basepack.invoice_distribution(lines, detail).collect())
+    assert got == [("I1", D(10), D(10)), ("I1", D(10), D(10))]
+
+
+def test_growth_total_spans_periods_of_one_target(spark):
+    invoices = spark.createDataFrame([inv("I1", "T1", TS(2025, 7, 3), "1000000"),
+                                      inv("I2", "T1", TS(2025, 11, 3), "2000000")], INVOICES)
+    targets = spark.createDataFrame([
+        ("A1", "T1", "n1", "D1", "1", "t", D(1), D(1), D(9), *Q3),
+        ("A1", "T1", "n1", "D1", "1", "t", D(1), D(1), D(9), DT(2025, 10, 1), DT(2025, 12, 31)),
+    ], GROWTH)
+    (r,) = sales.growth_sales_points(targets, invoices, SP).collect()
+    assert (r.pencapaian, r.point_temp) == (D(3000000), D(4))          # T23: one total for both periods
