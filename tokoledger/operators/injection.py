@@ -32,6 +32,14 @@ def invoices_of_kind(invoices: DataFrame, sales_id: str, prefix: str, attrs: lis
     return rows.groupBy(*keys).agg(*aggs)
 
 
+def injection_feedback_rows(invoices: DataFrame, injection_sales_id: str, feedback_sales_id: str) -> DataFrame:
+    """The (few) injection and feedback invoices with the columns H2 uses: one
+    narrow slice that several consumers can share instead of rescanning."""
+    return invoices.filter(F.col("sales_id").isin(injection_sales_id, feedback_sales_id)).select(
+        "sales_id", "outlet_id", "document_ID", "invoice_no", "invoice_date", "upload_date",
+        "expected_invoice_addt_reward", "payment_amount")
+
+
 def injection_columns(point_value: int, inj_no: str = "inm_invoice_no", fb_no: str = "fb_invoice_no") -> list:
     """The 13 injection/feedback output columns over prefixed ``inm_`` / ``fb_`` columns."""
     inj = numeric(F.col("inm_expected_invoice_addt_reward"))

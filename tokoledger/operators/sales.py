@@ -21,6 +21,11 @@ def sales_by_outlet_time(invoices: DataFrame) -> DataFrame:
     )
 
 
+def sales_in_period(invoices: DataFrame, p: SalesParams = SalesParams()) -> DataFrame:
+    """H1 over the invoices from ``p.from_date`` on; O7 and O11 can share it."""
+    return sales_by_outlet_time(invoices.filter(F.col("invoice_date") >= ts_lit(p.from_date)))
+
+
 def _in_period(start: Column, end: Column, when: Column) -> Column:
     return (start <= when) & (end >= when)
 
@@ -61,14 +66,16 @@ def basepack_lines(invoice_lines: DataFrame, products_basepack: DataFrame, p: Sa
     )
 
 
-def basepack_sales_points(target_master: DataFrame, invoices: DataFrame, p: SalesParams = SalesParams()) -> DataFrame:
+def basepack_sales_points(target_master: DataFrame, invoices: DataFrame, p: SalesParams = SalesParams(),
+                          period_sales: DataFrame | None = None) -> DataFrame:
     """Sales of each basepack target in its period and the raw points.
 
     Raw datetimes are compared with the period dates (T12); points are
     ``FLOOR(CAST(total * rate / 4000 AS decimal(18,4)))`` (T13).
+    ``period_sales`` is :func:`sales_in_period` when already computed.
     """
     # the WHERE on the sales side is on a grouping column: pushed into the scan
-    sales = sales_by_outlet_time(invoices.filter(F.col("invoice_date") >= ts_lit(p.from_date)))
+    sales = sales_in_period(invoices, p) if period_sales is None else period_sales
     targets = target_master.select("activity_id", "outlet_id", "cluster", "periode_start", "periode_end")
     joined = targets.join(
         sales,
@@ -91,7 +98,8 @@ def basepack_sales_points(target_master: DataFrame, invoices: DataFrame, p: Sale
     )
 
 
-def growth_sales_points(target_growth: DataFrame, invoices: DataFrame, p: SalesParams = SalesParams()) -> DataFrame:
+def growth_sales_points(target_growth: DataFrame, invoices: DataFrame, p: SalesParams = SalesParams(),
+                        period_sales: DataFrame | None = None) -> DataFrame:
     """Sales per growth target (LEFT: targets without sales stay) and points.
 
     Invoice timestamps are cut to dates before the period test (T12); points are
@@ -102,7 +110,7 @@ def growth_sales_points(target_growth: DataFrame, invoices: DataFrame, p: SalesP
         "activity_id", "Outlet_id", "Cluster", "periode_start", "periode_end"
     )
     # implied by date(invoice) >= periode_start >= from_date: prunes the scan
-    sales = sales_by_outlet_time(invoices.filter(F.col("invoice_date") >= ts_lit(p.from_date)))
+    sales = sales_in_period(invoices, p) if period_sales is None else period_sales
     day = F.to_date(sales.s_invoice_date)
     # inner join with the (large, possibly skewed) sales side streamed, so AQE
     # can split a hot outlet; targets without sales come back through the
