@@ -80,3 +80,18 @@ def test_redemption_stream(spark, tables):
     gates = sink.read(batches.GATE_TABLE)
     assert gates.select("round_id").distinct().count() >= 1
     assert sink.read("point_redeem").count() == gates.filter("accepted").count()
+
+
+def test_command_line_runs_a_batch(spark, tables):
+    from tokoledger.__main__ import main
+    from tokoledger.sources.tables import materialize
+
+    root = tempfile.mkdtemp(prefix="tl-cli-")
+    materialize(tables, f"{root}/tables", names=["target_growth", "invoice_master", "activities_regular",
+                                                 "invoice_detail_activity", "master_products_basepack_new",
+                                                 "outlet_basepack_target_detail", "temp_master_data_uli",
+                                                 "outlet_basepack_target_master"])
+    assert main(["growth-basepack", "--tables", f"{root}/tables", "--sink", f"{root}/out",
+                 "--from-date", "1999-01-01", "--detail-from", "1999-01-01"]) == 0
+    out = ParquetSink(spark, f"{root}/out")
+    assert out.read(batches.BASEPACK_SUMMARY_TABLE).count() == catalog.builders()["basepack_summary"](tables).count()

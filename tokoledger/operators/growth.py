@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import texts
-from ..functions.exprs import NUMERIC, flag, numeric, ts_lit
+from ..functions.exprs import flag, numeric, ts_lit
 from ..params import SalesParams
 from ..plans.joins import bounded_broadcast
 from .injection import INJECTION_OUTPUT, injection_columns, invoices_of_kind

@@ -116,3 +116,11 @@ class CatalogSink(Sink):
 
     def exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(self.table(name))
+
+
+def default_sink(spark: SparkSession, name: str = "tokoledger") -> ParquetSink:
+    """A Parquet sink in the shared folder the cluster names in
+    ``spark.checkpoint.dir`` (a local scratch folder only when it is unset)."""
+    from ..session import checkpoint_dir
+
+    return ParquetSink(spark, f"{checkpoint_dir(spark).rstrip('/')}/{name}")
