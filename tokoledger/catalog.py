@@ -100,13 +100,17 @@ def _o5(t: Tables, p=ACTIVITY) -> DataFrame:
 
 
 # ---- points and daily report ------------------------------------------------
-def _ledger(t: Tables, p=POINTS) -> DataFrame:
+def _ledger(t: Tables, p=POINTS, components=points.COMPONENTS) -> DataFrame:
     return points.point_ledger(
         t["invoice_master"], t["point_redeem"], t["point_redeem_detail"], t["point_redeem_detail_cashback"],
-        t["ppob_transaction_master"], t["ewallet_transaction_master"], t["redeem_item"], p,
+        t["ppob_transaction_master"], t["ewallet_transaction_master"], t["redeem_item"], p, components,
     )
 
 
+def _component(t: Tables, component: str) -> DataFrame:
+    return points.component_points(_ledger(t, POINTS, (component,)), component)
+
+
 def balance_pairs(t: Tables) -> DataFrame:
     """Every (outlet, year) with invoices, plus every redemption request."""
     inv = t["invoice_master"].select("outlet_id", F.year("invoice_date").alias("year"))
@@ -163,12 +167,12 @@ def builders() -> dict[str, Callable[[Tables], DataFrame]]:
         "activity_achievement_pivot": _o3,
         "activity_eco_summary": _o4,
         "activity_incentive_summary": _o5,
-        "points_earned": lambda t: points.component_points(_ledger(t), points.EARNED),
-        "points_catalogue": lambda t: points.component_points(_ledger(t), points.CATALOGUE),
-        "points_cashback": lambda t: points.component_points(_ledger(t), points.CASHBACK),
-        "points_ppob": lambda t: points.component_points(_ledger(t), points.PPOB),
-        "points_ovo": lambda t: points.component_points(_ledger(t), points.OVO),
-        "points_ewallet": lambda t: points.component_points(_ledger(t), points.EWALLET),
+        "points_earned": lambda t: _component(t, points.EARNED),
+        "points_catalogue": lambda t: _component(t, points.CATALOGUE),
+        "points_cashback": lambda t: _component(t, points.CASHBACK),
+        "points_ppob": lambda t: _component(t, points.PPOB),
+        "points_ovo": lambda t: _component(t, points.OVO),
+        "points_ewallet": lambda t: _component(t, points.EWALLET),
         "point_balance": _balance,
         "point_balance_stored": _balance_stored,
         "latest_address": lambda t: report.latest_address(t["alamat_pengiriman"]),

@@ -36,12 +36,14 @@ def point_ledger(
     ewallet: DataFrame,
     items: DataFrame,
     p: PointParams = PointParams(),
+    components: tuple[str, ...] = COMPONENTS,
 ) -> DataFrame:
     """Ledger rows ``(outlet_id, year, component, points)``; spends are positive
     here and subtracted in the balance.
 
-    The four channel tables are stacked and joined to ``point_redeem`` once
-    (one shuffle on redeem_no) instead of one join per channel.
+    The channel tables are stacked and joined to ``point_redeem`` once (one
+    shuffle on redeem_no) instead of one join per channel. ``components``
+    limits the ledger to some channels (their tables are then not read).
     """
     lo, hi = min(p.ledger_years), max(p.ledger_years)
     earned = invoices.filter(
@@ -54,15 +56,20 @@ def point_ledger(
         (F.coalesce(F.col("expected_invoice_reward"), F.lit(0))
          + F.coalesce(F.col("expected_invoice_addt_reward"), F.lit(0))
          + F.coalesce(F.col("expected_invoice_npd_reward"), F.lit(0))).cast(POINTS4).alias("points"),
-    ).filter(_years_filter(F.col("year"), p.ledger_years))
-
-    channels = (
-        redeem_detail.select("redeem_no", "outlet_id", F.lit(_DETAIL).alias("channel"))
-        .unionByName(cashback.select("redeem_no", "outlet_id", F.lit(CASHBACK).alias("channel")))
-        .unionByName(ppob.select("redeem_no", "outlet_id", F.lit(PPOB).alias("channel")))
-        .unionByName(ewallet.select("redeem_no", "outlet_id", F.lit(EWALLET).alias("channel")))
-    )
-    redeemed = point_redeem.filter(_years_filter(F.col("point_year"), p.ledger_years)).select(
+    ).filter(F.col("year").isin(*p.ledger_years))
+    if components == (EARNED,):
+        return earned
+
+    stacked = []
+    if CATALOGUE in components or OVO in components:
+        stacked.append(redeem_detail.select("redeem_no", "outlet_id", F.lit(_DETAIL).alias("channel")))
+    for name, table in ((CASHBACK, cashback), (PPOB, ppob), (EWALLET, ewallet)):
+        if name in components:
+            stacked.append(table.select("redeem_no", "outlet_id", F.lit(name).alias("channel")))
+    channels = stacked[0]
+    for more in stacked[1:]:
+        channels = channels.unionByName(more)
+    redeemed = point_redeem.filter(F.col("point_year").isin(*p.ledger_years)).select(
         F.col("redeem_no").alias("x_redeem_no"), "gift_code", "point_redeem", "point_year", "status_delivery"
     )
     gifts = bounded_broadcast(items.select(F.col("redeem_code"), F.col("type_code")), source=items)
@@ -80,8 +87,8 @@ def point_ledger(
         F.col("point_year").alias("year"),
         component.alias("component"),
         F.coalesce(F.col("point_redeem"), F.lit(0)).cast(POINTS4).alias("points"),
-    ).filter(F.col("component").isNotNull())
-    return earned.unionByName(spent)
+    ).filter(F.col("component").isin(*components))
+    return earned.unionByName(spent) if EARNED in components else spent
 
 
 def point_components(ledger: DataFrame) -> DataFrame:
