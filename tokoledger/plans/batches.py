@@ -47,15 +47,17 @@ def run_growth_basepack(t: Tables, sink: Sink, p: SalesParams = SalesParams()) -
     try:
         growth_points = sales.growth_sales_points(t["target_growth"], invoices, p, period_sales)
         grw = sink.overwrite(GROWTH_TABLE, growth.growth_achievement(
-            t["target_growth"], growth_points, t["activities_regular"], kinds, p))
+            t["target_growth"], growth_points, t["activities_regular"], kinds, p), ["outlet_code"])
         lines = sales.basepack_lines(t["invoice_detail_activity"], t["master_products_basepack_new"], p)
         detail = sink.overwrite(BASEPACK_DETAIL_TABLE, basepack.basepack_detail(
-            t["outlet_basepack_target_detail"], lines, t["temp_master_data_uli"], t["activities_regular"], p))
+            t["outlet_basepack_target_detail"], lines, t["temp_master_data_uli"], t["activities_regular"], p),
+            ["KODE TOKO"])
         pts = sales.basepack_sales_points(t["outlet_basepack_target_master"], invoices, p, period_sales)
         summary = sink.overwrite(BASEPACK_SUMMARY_TABLE, basepack.basepack_summary(
-            t["outlet_basepack_target_master"], detail, pts, t["activities_regular"], kinds, grw, p))
+            t["outlet_basepack_target_master"], detail, pts, t["activities_regular"], kinds, grw, p),
+            ["KODE TOKO"])
         dist = sink.overwrite(DISTRIBUTION_TABLE, basepack.invoice_distribution(
-            t["invoice_detail_activity"], t["outlet_basepack_target_detail"]))
+            t["invoice_detail_activity"], t["outlet_basepack_target_detail"]), ["outlet_id", "invoice_no"])
     finally:
         period_sales.unpersist()
         kinds.unpersist()
@@ -67,14 +69,14 @@ def run_activity_quarter(t: Tables, sink: Sink, p: ActivityParams = ActivityPara
     detail_name, ach_name, sum_name, inc_name = ACTIVITY_TABLES
     progress = sink.overwrite(detail_name, activity.activity_sku_progress(
         t["invoice_detail_activity"], t["temp_act_outlet_list"], t["act_sku_eco"], t["activities"],
-        t["temp_act_outlet_list_eco"], p))
+        t["temp_act_outlet_list_eco"], p), ["outlet_id"])      # the reference orders it by outlet
     pivot = sink.overwrite(ach_name, activity.activity_achievement_pivot(
-        activity.activity_monthly_achievement(progress), p))
+        activity.activity_monthly_achievement(progress), p), ["outlet_id"])
     eco = sink.overwrite(sum_name, activity.activity_eco_summary(
-        t["temp_act_outlet_list"], t["temp_act_outlet_list_eco"], pivot, t["activities"], p))
+        t["temp_act_outlet_list"], t["temp_act_outlet_list_eco"], pivot, t["activities"], p), ["outlet_id"])
     incentive = sink.overwrite(inc_name, activity.activity_incentive_summary(
         t["temp_act_outlet_list"], t["activities"], t["ref_categories"], t["live_mechanism_list"],
-        t["temp_act_outlet_list_eco"], eco, p))
+        t["temp_act_outlet_list_eco"], eco, p), ["Outlet_id"])
     return dict(zip(ACTIVITY_TABLES, (progress, pivot, eco, incentive)))
 
 

@@ -15,11 +15,19 @@ from pyspark.errors import AnalysisException
 ROUND = "round_id"
 
 
+def _sorted(df: DataFrame, sort_by: list[str] | None) -> DataFrame:
+    """Rows sorted inside each output file (no shuffle): Parquet row groups
+    then hold narrow key ranges, so lookups by that key skip most of them."""
+    if not sort_by:
+        return df
+    return df.sortWithinPartitions(*[F.col(f"`{c}`") for c in sort_by])
+
+
 class Sink:
     def __init__(self, spark: SparkSession):
         self.spark = spark
 
-    def overwrite(self, name: str, df: DataFrame) -> DataFrame:
+    def overwrite(self, name: str, df: DataFrame, sort_by: list[str] | None = None) -> DataFrame:
         raise NotImplementedError
 
     def append(self, name: str, df: DataFrame) -> None:
@@ -59,8 +67,8 @@ class ParquetSink(Sink):
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def overwrite(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+    def overwrite(self, name: str, df: DataFrame, sort_by: list[str] | None = None) -> DataFrame:
+        _sorted(df, sort_by).write.mode("overwrite").parquet(self.path(name))
         return self.read(name)
 
     def append(self, name: str, df: DataFrame) -> None:
@@ -92,8 +100,8 @@ class CatalogSink(Sink):
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"
 
-    def overwrite(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").saveAsTable(self.table(name))
+    def overwrite(self, name: str, df: DataFrame, sort_by: list[str] | None = None) -> DataFrame:
+        _sorted(df, sort_by).write.mode("overwrite").saveAsTable(self.table(name))
         return self.read(name)
 
     def append(self, name: str, df: DataFrame) -> None:

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..params import RedeemParams
 from ..plans.batches import pending_requests, run_redemption_round
 from ..sources.sinks import Sink
+from ..session import checkpoint_dir
 from ..sources.tables import Tables
 
 REQUEST_SCHEMA = ("outlet_id string, giftcode string, qty int, year int, redeemno string, "
@@ -39,16 +40,18 @@ def start_redemption_stream(
     tables: Tables,
     sink: Sink,
     source_dir: str,
-    checkpoint_location: str,
+    checkpoint_location: str | None = None,
     p: RedeemParams = RedeemParams(),
     files_per_trigger: int | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
     """Start the stream over Parquet request files in ``source_dir``.
 
-    ``checkpoint_location`` must be on shared storage (the cluster's
-    ``spark.checkpoint.dir`` or a folder below it).
+    ``checkpoint_location`` must be on shared storage; by default it is a
+    folder below the session's ``spark.checkpoint.dir``.
     """
+    if checkpoint_location is None:
+        checkpoint_location = f"{checkpoint_dir(spark).rstrip('/')}/tokoledger-redeem-stream"
     reader = spark.readStream.schema(REQUEST_SCHEMA)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
