@@ -154,20 +154,23 @@ def basepack_summary(
     j = a.join(dd, (a.activity_id == dd.dd_activity_id) & (a.outlet_id == dd.dd_outlet_id), "left")
     j = j.join(ee, (j.activity_id == ee.ee_activity_id) & (j.outlet_id == ee.ee_outlet_id), "left")
     j = j.join(ff, j.activity_id == ff.ff_activity_id, "left")
-    j = j.join(inm, (j.outlet_id == inm.inm_outlet_id) & (j.activity_id == inm.inm_document_ID), "left")
-    j = j.join(fb, (j.outlet_id == fb.fb_outlet_id) & (j.activity_id == fb.fb_document_ID), "left")
     j = j.join(grw, (j.periode_start == grw.grw_start) & (j.periode_end == grw.grw_end)
                & (j.outlet_id == grw.grw_outlet), "left")
     mult = F.col("a_n")
-    for n in ("ee_n", "ff_n", "inm_n", "fb_n", "grw_n"):
+    for n in ("ee_n", "ff_n", "grw_n"):
         mult = mult * F.coalesce(F.col(n), F.lit(1))
-    g = j.groupBy(
+    # the SUM over the reference's groups, first on the target side (small) ...
+    core = j.groupBy(
         "activity_id", "outlet_id", "total_basepack", "target", "ee_total", "ee_points", "periode_start",
         "status_id", "dd_REGION", "dd_AREA", "dd_KODE_DISTI", "ff_status_id", "ff_status_approval",
-        "inm_invoice_no", "inm_upload_date", "inm_invoice_date", "inm_expected_invoice_addt_reward",
-        "fb_payment_amount", "fb_expected_invoice_addt_reward", "fb_invoice_no", "point_min", "point_max",
-        "grw_status",
-    ).agg(F.sum(F.col("dd_sum") * mult).alias("achieved"))
+        "point_min", "point_max", "grw_status",
+    ).agg(F.sum(F.col("dd_sum") * mult).alias("core_sum"))
+    # ... then each distinct injection / feedback attribute row multiplies it by
+    # its row count: every output row is produced once, no output-sized shuffle
+    g = core.join(inm, (core.outlet_id == inm.inm_outlet_id) & (core.activity_id == inm.inm_document_ID), "left")
+    g = g.join(fb, (g.outlet_id == fb.fb_outlet_id) & (g.activity_id == fb.fb_document_ID), "left")
+    g = g.withColumn("achieved", F.col("core_sum") * F.coalesce(F.col("inm_n"), F.lit(1))
+                     * F.coalesce(F.col("fb_n"), F.lit(1)))
 
     achieved = F.col("achieved")
     target = F.col("target")

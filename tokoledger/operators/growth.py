@@ -11,11 +11,10 @@ from ..params import SalesParams
 from ..plans.joins import bounded_broadcast
 from .injection import INJECTION_OUTPUT, injection_columns, invoices_of_kind
 
-GROUP_KEYS = [
+CORE_KEYS = [
     "activity_id", "Dist_Code", "Outlet_id", "outlet_name", "Bar_Title_Target", "Target_toko", "pencapaian",
-    "POINT_didapat", "POINT_max", "point_temp", "Cluster", "periode_start", "periode_end",
-    "inm_invoice_date", "inm_upload_date", "inm_expected_invoice_addt_reward",
-    "fb_expected_invoice_addt_reward", "fb_payment_amount", "fb_invoice_no", "status_id", "status_approval",
+    "POINT_didapat", "POINT_max", "point_temp", "Cluster", "periode_start", "periode_end", "status_id",
+    "status_approval",
 ]
 
 
@@ -50,10 +49,15 @@ def growth_achievement(
 
     j = tc.join(pts, (tc.activity_id == pts.g_activity_id) & (tc.Outlet_id == pts.g_Outlet_id), "left")
     j = j.join(regular, j.activity_id == regular.r_activity_id, "left")
+    # The GROUP BY of the reference is a DISTINCT over the target-side keys
+    # times the distinct injection / feedback attributes. Both invoice sides
+    # are already distinct on their attributes (MAX(invoice_no) taken), so the
+    # DISTINCT runs on the small target side and the joins below produce each
+    # output row once: no shuffle over the expanded output.
+    core = j.select(*CORE_KEYS, "g_activity_id").distinct()
     # the reference matches the invoices' document on O11's activity (NULL without sales)
-    j = j.join(inm, (j.Outlet_id == inm.inm_outlet_id) & (j.g_activity_id == inm.inm_document_ID), "left")
-    j = j.join(fb, (j.Outlet_id == fb.fb_outlet_id) & (j.g_activity_id == fb.fb_document_ID), "left")
-    g = j.groupBy(*GROUP_KEYS).agg(F.max("inm_invoice_no").alias("inm_invoice_no"))
+    g = core.join(inm, (core.Outlet_id == inm.inm_outlet_id) & (core.g_activity_id == inm.inm_document_ID), "left")
+    g = g.join(fb, (g.Outlet_id == fb.fb_outlet_id) & (g.g_activity_id == fb.fb_document_ID), "left")
 
     target_n = numeric(F.col("Target_toko"))
     capai_n = numeric(F.coalesce(F.col("pencapaian"), F.lit(0)))
