@@ -95,3 +95,24 @@ def test_command_line_runs_a_batch(spark, tables):
                  "--from-date", "1999-01-01", "--detail-from", "1999-01-01"]) == 0
     out = ParquetSink(spark, f"{root}/out")
     assert out.read(batches.BASEPACK_SUMMARY_TABLE).count() == catalog.builders()["basepack_summary"](tables).count()
+
+
+def test_catalog_sink_and_source(spark):
+    from pyspark.sql import functions as F
+
+    from tokoledger.sources.sinks import CatalogSink
+    from tokoledger.sources.tables import from_catalog
+
+    root = tempfile.mkdtemp(prefix="tl-catalog-")
+    db = "tl_" + root.rsplit("-", 1)[-1].lower()
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/db'")
+    sink = CatalogSink(spark, db)
+    rows = spark.createDataFrame([("T1 ", "G1"), ("T2", "G2")], "outlet_id string, redeem_code string")
+    assert sink.overwrite("new_point_balance", rows.withColumn("remain_point", F.lit(1))).count() == 2
+    for _ in range(2):                                    # the same round twice: no duplicates
+        sink.write_round("notifications", rows, 0)
+    sink.write_round("notifications", rows.limit(1), 1)
+    assert sink.read("notifications").count() == 3
+    assert sink.read_rounds("notifications", before=1).count() == 2
+    t = from_catalog(spark, db)
+    assert sorted(r.outlet_id for r in t["new_point_balance"].collect()) == ["T1", "T2"]   # keys trimmed
