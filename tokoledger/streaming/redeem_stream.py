@@ -24,13 +24,15 @@ REQUEST_SCHEMA = ("outlet_id string, giftcode string, qty int, year int, redeemn
                   "request_ts timestamp_ntz")
 
 
-def redemption_round_writer(tables: Tables, sink: Sink, p: RedeemParams = RedeemParams()):
-    """``foreachBatch`` function: one redemption round per micro-batch."""
+def redemption_round_writer(tables: Tables, sink: Sink, p: RedeemParams = RedeemParams(), first_round: int = 0):
+    """``foreachBatch`` function: micro-batch ``n`` is redemption round
+    ``first_round + n``."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        round_id = first_round + batch_id
         requests = pending_requests(sink, batch.select(*[c.split()[0] for c in REQUEST_SCHEMA.split(", ")]),
-                                    batch_id)
-        run_redemption_round(tables, sink, requests, round_id=batch_id, p=p)
+                                    round_id)
+        run_redemption_round(tables, sink, requests, round_id=round_id, p=p)
 
     return process
 
@@ -44,11 +46,15 @@ def start_redemption_stream(
     p: RedeemParams = RedeemParams(),
     files_per_trigger: int | None = None,
     available_now: bool = False,
+    first_round: int = 0,
 ) -> StreamingQuery:
     """Start the stream over Parquet request files in ``source_dir``.
 
     ``checkpoint_location`` must be on shared storage; by default it is a
-    folder below the session's ``spark.checkpoint.dir``.
+    folder below the session's ``spark.checkpoint.dir``. Micro-batch ids
+    restart at 0 with a new checkpoint: a new stream writing into a sink that
+    already holds rounds must start after them (``first_round``), or it would
+    replace them.
     """
     if checkpoint_location is None:
         checkpoint_location = f"{checkpoint_dir(spark).rstrip('/')}/tokoledger-redeem-stream"
@@ -56,7 +62,7 @@ def start_redemption_stream(
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     writer = (reader.parquet(source_dir).writeStream
-              .foreachBatch(redemption_round_writer(tables, sink, p))
+              .foreachBatch(redemption_round_writer(tables, sink, p, first_round))
               .option("checkpointLocation", checkpoint_location))
     if available_now:
         writer = writer.trigger(availableNow=True)
