@@ -374,3 +374,29 @@ def test_growth_total_spans_periods_of_one_target(spark):
     ], GROWTH)
     (r,) = sales.growth_sales_points(targets, invoices, SP).collect()
     assert (r.pencapaian, r.point_temp) == (D(3000000), D(4))          # T23: one total for both periods
+
+
+def test_day_grain_keeps_the_period_boundaries_exact(spark):
+    lines = spark.createDataFrame([
+        ("T1", "I1", "S1", D(1), 1, D("1.00"), TS(2025, 7, 1, 10, 0)),      # first day, 10:00: inside
+        ("T1", "I2", "S1", D(1), 2, D("2.00"), TS(2025, 9, 30, 0, 0)),      # last day at midnight: inside
+        ("T1", "I3", "S1", D(1), 4, D("4.00"), TS(2025, 9, 30, 10, 0)),     # last day, 10:00: outside (T12)
+        ("T1", "I4", "S1", D(1), 8, D("8.00"), TS(2025, 6, 30, 23, 0)),     # day before: outside
+    ], LINES)
+    outlets = spark.createDataFrame([("A1", "T1", "n", "R", "A", "D", "DN", D(100), D(10), D(1), D(0))], OUTLETS)
+    skus = spark.createDataFrame([("A1", "S1", 99)], "activity_id string, sku_code string, ispcs int")
+    acts = spark.createDataFrame([("A1", "C1", "2", "14", *Q3)], ACTS)
+    eco = spark.createDataFrame([("A1", "T1", "Q3", "2025", 1, 1, 1, D(0))], ECO)
+    got = {(r.invoice_month, r.total_qty) for r in
+           activity.activity_sku_progress(lines, outlets, skus, acts, eco, P.ActivityParams()).collect()}
+    assert got == {(7, 1), (9, 2)}
+    bp_lines = lines.select("outlet_id", "invoice_no", F.lit(2025).alias("invoice_year"), F.lit(7).alias("invoice_month"),
+                            "invoice_date", F.lit("BP1").alias("basepack"), "quantity", "total")
+    detail = spark.createDataFrame([("A1", "T1", "D1", "BP1", "Y", "1", 5, *Q3)],
+                                   "activity_id string, outlet_id string, dist_code string, basepack_title string, "
+                                   "status string, status_id string, target int, periode_start date, periode_end date")
+    master = spark.createDataFrame([], "REGION string, AREA string, KODE_TOKO string, KODE_DIS string")
+    regular = spark.createDataFrame([], REGULAR)
+    (row,) = basepack.basepack_detail(detail, bp_lines, master, regular,
+                                      P.SalesParams(detail_from=DT(2025, 1, 1))).collect()
+    assert (row.QUANTITY, row.VALUE, row.SISA_TARGET) == (3, D(3), 2)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import NUMERIC, flag, numeric
 from ..params import ActivityParams, per_point
 from ..plans.joins import bounded_broadcast
-from .sales import period_window, within_window
+from .sales import date_periods, day_grain, in_date_period, period_window, within_window
 
 MONEY = "decimal(18,2)"
 
@@ -64,10 +64,22 @@ def activity_sku_progress(
     # the programme's overall period cuts the line scan (Parquet row-group
     # pruning) before the outlet shuffle; the exact per-activity test follows
     lines = within_window(lines, period_window(_program_activities(activities, p)))
+    if date_periods(activities):
+        # DATE periods: lines summed per outlet, item and day (midnight apart)
+        # before the shuffle -- exact, the sums are linear
+        day, at_midnight = day_grain(F.col("invoice_date"))
+        lines = lines.groupBy("outlet_id", "item_code", day.alias("l_day"), at_midnight.alias("l_midnight")).agg(
+            F.sum("quantity").alias("quantity"), F.sum("total").alias("total"))
+        when = F.col("l_day")
+    else:
+        when = F.col("invoice_date")
     j = lines.join(outlets, lines.outlet_id == outlets.b_outlet_id, "inner")
     j = j.join(skus, (j.item_code == skus.sku_code) & (j.b_activity_id == skus.c_activity_id), "inner")
-    j = j.join(acts, (j.b_activity_id == acts.d_activity_id)
-               & (j.invoice_date >= acts.periode_start) & (j.invoice_date <= acts.periode_end), "inner")
+    if "l_day" in j.columns:
+        in_period = in_date_period(acts.periode_start, acts.periode_end, j.l_day, j.l_midnight)
+    else:
+        in_period = (j.invoice_date >= acts.periode_start) & (j.invoice_date <= acts.periode_end)
+    j = j.join(acts, (j.b_activity_id == acts.d_activity_id) & in_period, "inner")
     if p.eco_scope == "outlet":
         j = j.join(eco_n, (j.b_activity_id == eco_n.e_activity_id) & (j.outlet_id == eco_n.e_outlet_id), "inner")
     else:
@@ -75,7 +87,7 @@ def activity_sku_progress(
     mult = F.col("b_n") * F.col("c_n") * F.col("d_n") * F.col("e_n")
     g = j.groupBy(
         F.col("b_activity_id").alias("activity_id"), "outlet_id", "sku_code",
-        F.year("invoice_date").alias("invoice_year"), F.month("invoice_date").alias("invoice_month"), "ispcs",
+        F.year(when).alias("invoice_year"), F.month(when).alias("invoice_month"), "ispcs",
     ).agg(
         F.sum(F.col("quantity") * mult).alias("total_qty"),
         F.sum(F.col("total") * mult).alias("total_value"),

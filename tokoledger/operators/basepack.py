@@ -16,7 +16,7 @@ from ..functions.exprs import NUMERIC, clamp_at_zero, numeric
 from ..params import SalesParams
 from ..plans.joins import bounded_broadcast
 from .injection import INJECTION_OUTPUT, injection_columns, invoices_of_kind
-from .sales import period_window, within_window
+from .sales import date_periods, day_grain, in_date_period, period_window, within_window
 
 
 def _outlet_regions(outlet_master: DataFrame) -> DataFrame:
@@ -57,10 +57,16 @@ def basepack_detail(
     x = x.join(regions, x.outlet_id == regions.c_outlet_id, "left")
     x = x.join(regular, x.activity_id == regular.d_activity_id, "left")
 
-    # lines reduced to one row per outlet, basepack and timestamp before the range join
+    # lines reduced to one row per outlet, basepack and timestamp -- or, for
+    # DATE periods, per day with midnight apart (exact) -- before the range join
+    dated = date_periods(target_detail)
+    if dated:
+        day, at_midnight = day_grain(F.col("invoice_date"))
+        grain = [day.alias("y_day"), at_midnight.alias("y_midnight")]
+    else:
+        grain = [F.col("invoice_date").alias("y_invoice_date")]
     sales = lines.groupBy(
-        F.col("outlet_id").alias("y_outlet_id"), F.col("basepack").alias("y_basepack"),
-        F.col("invoice_date").alias("y_invoice_date"),
+        F.col("outlet_id").alias("y_outlet_id"), F.col("basepack").alias("y_basepack"), *grain,
     ).agg(
         F.sum(F.coalesce(F.col("quantity"), F.lit(0))).alias("y_qty"),
         F.sum(numeric(F.col("total"))).alias("y_value"),
@@ -68,10 +74,13 @@ def basepack_detail(
     # inner range join with the sales side streamed (AQE can split a hot
     # outlet), totals per target period, then back onto every target row
     periods = x.select("outlet_id", "basepack_title", "periode_start", "periode_end").distinct()
+    if dated:
+        in_period = in_date_period(periods.periode_start, periods.periode_end, sales.y_day, sales.y_midnight)
+    else:
+        in_period = (periods.periode_start <= sales.y_invoice_date) & (periods.periode_end >= sales.y_invoice_date)
     per_period = sales.join(
         periods,
-        (periods.outlet_id == sales.y_outlet_id) & (periods.basepack_title == sales.y_basepack)
-        & (periods.periode_start <= sales.y_invoice_date) & (periods.periode_end >= sales.y_invoice_date),
+        (periods.outlet_id == sales.y_outlet_id) & (periods.basepack_title == sales.y_basepack) & in_period,
         "inner",
     ).groupBy(
         F.col("outlet_id").alias("p_outlet_id"), F.col("basepack_title").alias("p_basepack"),

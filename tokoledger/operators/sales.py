@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import NUMERIC, numeric, ts_lit
 from ..params import SalesParams, per_point
@@ -30,6 +31,24 @@ def _in_period(start: Column, end: Column, when: Column) -> Column:
     return (start <= when) & (end >= when)
 
 
+def date_periods(periods: DataFrame, start: str = "periode_start", end: str = "periode_end") -> bool:
+    """Whether the period bounds are DATE columns (read from the schema)."""
+    return all(isinstance(periods.schema[c].dataType, T.DateType) for c in (start, end))
+
+
+def day_grain(ts: Column) -> tuple[Column, Column]:
+    """``(day, at_midnight)`` of a timestamp. Against DATE bounds (compared at
+    midnight) they decide ``start <= ts <= end`` exactly, see :func:`in_date_period`,
+    so invoice lines can be summed per day before any shuffle."""
+    day = F.to_date(ts)
+    return day, ts == day.cast("timestamp_ntz")
+
+
+def in_date_period(start: Column, end: Column, day: Column, at_midnight: Column) -> Column:
+    """``start <= ts AND end >= ts`` for DATE bounds, from :func:`day_grain`."""
+    return (start <= day) & ((end > day) | ((end == day) & at_midnight))
+
+
 def period_window(periods: DataFrame, start: str = "periode_start", end: str = "periode_end"):
     """Earliest start and latest end over a (small) table of target periods:
     one aggregate row, used as literal bounds so the invoice scans prune
