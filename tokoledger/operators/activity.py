@@ -64,21 +64,21 @@ def activity_sku_progress(
     # the programme's overall period cuts the line scan (Parquet row-group
     # pruning) before the outlet shuffle; the exact per-activity test follows
     lines = within_window(lines, period_window(_program_activities(activities, p)))
-    if date_periods(activities):
+    dated = date_periods(activities)
+    if dated:
         # DATE periods: lines summed per outlet, item and day (midnight apart)
         # before the shuffle -- exact, the sums are linear
         day, at_midnight = day_grain(F.col("invoice_date"))
         lines = lines.groupBy("outlet_id", "item_code", day.alias("l_day"), at_midnight.alias("l_midnight")).agg(
             F.sum("quantity").alias("quantity"), F.sum("total").alias("total"))
-        when = F.col("l_day")
-    else:
-        when = F.col("invoice_date")
     j = lines.join(outlets, lines.outlet_id == outlets.b_outlet_id, "inner")
     j = j.join(skus, (j.item_code == skus.sku_code) & (j.b_activity_id == skus.c_activity_id), "inner")
-    if "l_day" in j.columns:
+    if dated:
         in_period = in_date_period(acts.periode_start, acts.periode_end, j.l_day, j.l_midnight)
+        when = F.col("l_day")
     else:
         in_period = (j.invoice_date >= acts.periode_start) & (j.invoice_date <= acts.periode_end)
+        when = F.col("invoice_date")
     j = j.join(acts, (j.b_activity_id == acts.d_activity_id) & in_period, "inner")
     if p.eco_scope == "outlet":
         j = j.join(eco_n, (j.b_activity_id == eco_n.e_activity_id) & (j.outlet_id == eco_n.e_outlet_id), "inner")
