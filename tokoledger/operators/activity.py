@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import NUMERIC, flag, numeric
 from ..params import ActivityParams, per_point
 from ..plans.joins import bounded_broadcast
-from .sales import date_periods, day_grain, in_date_period, period_window, within_window
+from .sales import period_window, within_window
 
 MONEY = "decimal(18,2)"
 
@@ -64,22 +64,14 @@ def activity_sku_progress(
     # the programme's overall period cuts the line scan (Parquet row-group
     # pruning) before the outlet shuffle; the exact per-activity test follows
     lines = within_window(lines, period_window(_program_activities(activities, p)))
-    dated = date_periods(activities)
-    if dated:
-        # DATE periods: lines summed per outlet, item and day (midnight apart)
-        # before the shuffle -- exact, the sums are linear
-        day, at_midnight = day_grain(F.col("invoice_date"))
-        lines = lines.groupBy("outlet_id", "item_code", day.alias("l_day"), at_midnight.alias("l_midnight")).agg(
-            F.sum("quantity").alias("quantity"), F.sum("total").alias("total"))
+    # No separate pre-aggregation of the lines: it would be a shuffle of its
+    # own (lines rarely repeat an item per outlet and day), while the
+    # aggregation below combines map-side after the single outlet shuffle.
     j = lines.join(outlets, lines.outlet_id == outlets.b_outlet_id, "inner")
     j = j.join(skus, (j.item_code == skus.sku_code) & (j.b_activity_id == skus.c_activity_id), "inner")
-    if dated:
-        in_period = in_date_period(acts.periode_start, acts.periode_end, j.l_day, j.l_midnight)
-        when = F.col("l_day")
-    else:
-        in_period = (j.invoice_date >= acts.periode_start) & (j.invoice_date <= acts.periode_end)
-        when = F.col("invoice_date")
-    j = j.join(acts, (j.b_activity_id == acts.d_activity_id) & in_period, "inner")
+    j = j.join(acts, (j.b_activity_id == acts.d_activity_id)
+               & (j.invoice_date >= acts.periode_start) & (j.invoice_date <= acts.periode_end), "inner")
+    when = F.col("invoice_date")
     if p.eco_scope == "outlet":
         j = j.join(eco_n, (j.b_activity_id == eco_n.e_activity_id) & (j.outlet_id == eco_n.e_outlet_id), "inner")
     else:
