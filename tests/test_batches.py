@@ -116,3 +116,28 @@ def test_catalog_sink_and_source(spark):
     assert sink.read_rounds("notifications", before=1).count() == 2
     t = from_catalog(spark, db)
     assert sorted(r.outlet_id for r in t["new_point_balance"].collect()) == ["T1", "T2"]   # keys trimmed
+
+
+def test_padded_keys_match_after_load(spark):
+    import datetime as dt
+    from decimal import Decimal as D
+
+    from tokoledger import params as P
+    from tokoledger.operators import sales
+    from tokoledger.sources.tables import from_parquet
+
+    root = tempfile.mkdtemp(prefix="tl-pad-")
+    spark.createDataFrame(
+        [("I1", "T1  ", dt.datetime(2025, 7, 3), D("2000000"))],
+        "invoice_no string, outlet_id string, invoice_date timestamp_ntz, invoice_amount decimal(18,2)",
+    ).write.parquet(f"{root}/invoice_master")
+    spark.createDataFrame(
+        [("A1", "T1", "1", dt.date(2025, 7, 1), dt.date(2025, 9, 30))],
+        "activity_id string, Outlet_id string, Cluster string, periode_start date, periode_end date",
+    ).write.parquet(f"{root}/target_growth")
+    trimmed = from_parquet(spark, root)
+    (r,) = sales.growth_sales_points(trimmed["target_growth"], trimmed["invoice_master"], P.SalesParams()).collect()
+    assert (r.pencapaian, r.point_temp) == (D(2000000), D(3))        # 'T1  ' = 'T1' as in T-SQL
+    raw = from_parquet(spark, root, trim=False)
+    (r,) = sales.growth_sales_points(raw["target_growth"], raw["invoice_master"], P.SalesParams()).collect()
+    assert r.pencapaian is None
