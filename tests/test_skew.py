@@ -73,3 +73,27 @@ def test_hot_outlet_is_split_and_results_stay(spark, skew_conf):
     hot = [r for r in got_g if r[1] == "HOT"][0]
     assert hot[3] == sum(D(1000 + i) for i in range(0, 6000, 2)
                          if dt.datetime(2025, 7, 1) + dt.timedelta(minutes=37 * i) < dt.datetime(2025, 10, 1))
+
+
+def test_hot_outlet_in_the_activity_lines_join(spark, skew_conf):
+    from tokoledger.operators import activity
+
+    rows = [("HOT" if i % 2 == 0 else f"T{i % 50}", f"I{i}", f"S{i % 4}", D(1), 1 + i % 3, D(10 + i % 7),
+             dt.datetime(2025, 7, 1) + dt.timedelta(minutes=20 * i)) for i in range(6000)]
+    lines = spark.createDataFrame(rows, "outlet_id string, invoice_no string, item_code string, price decimal(18,2), "
+                                        "quantity int, total decimal(18,2), invoice_date timestamp_ntz")
+    outlets = spark.createDataFrame([("A1", o) for o in ["HOT"] + [f"T{k}" for k in range(50)]],
+                                    "activity_id string, Outlet_id string")
+    skus = spark.createDataFrame([("A1", f"S{k}", 50) for k in range(4)], "activity_id string, sku_code string, ispcs int")
+    acts = spark.createDataFrame([("A1", "C1", "2", "14", dt.date(2025, 7, 1), dt.date(2025, 9, 30))],
+                                 "activity_id string, category_id string, mechanism_id string, "
+                                 "status_activities string, periode_start date, periode_end date")
+    eco = spark.createDataFrame([("A1", "HOT", "Q3", "2025")], "activity_id string, Outlet_id string, quarter string, "
+                                                              "year string")
+    df = activity.activity_sku_progress(lines, outlets, skus, acts, eco, P.ActivityParams())
+    got = sorted(tuple(r) for r in df.collect())
+    text = plan_text(df)
+    assert "skew=true" in text or "isSkewJoin=true" in text
+    hot = sum(r[5] for r in got if r[2] == "HOT")
+    assert hot == sum(1 + i % 3 for i in range(0, 6000, 2)
+                      if dt.datetime(2025, 7, 1) + dt.timedelta(minutes=20 * i) <= dt.datetime(2025, 9, 30))

@@ -22,6 +22,7 @@ from ..sources.tables import Tables
 
 REQUEST_SCHEMA = ("outlet_id string, giftcode string, qty int, year int, redeemno string, "
                   "request_ts timestamp_ntz")
+REQUEST_COLUMNS = ("outlet_id", "giftcode", "qty", "year", "redeemno", "request_ts")
 
 
 def redemption_round_writer(tables: Tables, sink: Sink, p: RedeemParams = RedeemParams(), first_round: int = 0):
@@ -30,8 +31,7 @@ def redemption_round_writer(tables: Tables, sink: Sink, p: RedeemParams = Redeem
 
     def process(batch: DataFrame, batch_id: int) -> None:
         round_id = first_round + batch_id
-        requests = pending_requests(sink, batch.select(*[c.split()[0] for c in REQUEST_SCHEMA.split(", ")]),
-                                    round_id)
+        requests = pending_requests(sink, batch.select(*REQUEST_COLUMNS), round_id)
         run_redemption_round(tables, sink, requests, round_id=round_id, p=p)
 
     return process
