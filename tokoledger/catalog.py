@@ -13,11 +13,12 @@ from .operators import activity, basepack, growth, points, redeem, report, sales
 from .sources import standins as S
 from .sources.tables import Tables, from_testdata
 
-_CACHE: dict[tuple[int, str], Tables] = {}
+_CACHE: dict[tuple[str, str], Tables] = {}
 
 
 def standin_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    key = (id(spark), sf_dir)
+    """Stand-ins of ``sf_dir``, built once per application (they are persisted)."""
+    key = (spark.conf.get("spark.app.id", None) or str(id(spark)), sf_dir.rstrip("/"))
     if key not in _CACHE:
         _CACHE[key] = from_testdata(spark, sf_dir)
     return _CACHE[key]
