@@ -4,7 +4,7 @@
 1. prepare -- the stand-in loyalty tables are derived from the test data and
    written once as Parquet (what a deployment reads instead of the stand-ins);
 2. run -- each query is executed to a ``noop`` sink over those Parquet tables,
-   twice; the faster run counts (the first also warms the JVM).
+   three times; the fastest run counts (the first also warms the JVM).
 
 Prints ONE JSON line on stdout.
 """
@@ -27,7 +27,7 @@ from tokoledger.sources.tables import from_parquet, from_testdata, materialize
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    passes = int(os.environ.get("BENCH_PASSES", "2"))
+    passes = int(os.environ.get("BENCH_PASSES", "3"))
     wanted = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = local_session(cores=cpus, shuffle_partitions=max(2 * cpus, 8), app="tokoledger-bench")
 
