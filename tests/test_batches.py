@@ -82,19 +82,26 @@ def test_redemption_stream(spark, tables):
     assert sink.read("point_redeem").count() == gates.filter("accepted").count()
 
 
-def test_command_line_runs_a_batch(spark, tables):
+def test_command_line_runs_the_jobs(spark, tables):
     from tokoledger.__main__ import main
     from tokoledger.sources.tables import materialize
 
     root = tempfile.mkdtemp(prefix="tl-cli-")
-    materialize(tables, f"{root}/tables", names=["target_growth", "invoice_master", "activities_regular",
-                                                 "invoice_detail_activity", "master_products_basepack_new",
-                                                 "outlet_basepack_target_detail", "temp_master_data_uli",
-                                                 "outlet_basepack_target_master"])
-    assert main(["growth-basepack", "--tables", f"{root}/tables", "--sink", f"{root}/out",
-                 "--from-date", "1999-01-01", "--detail-from", "1999-01-01"]) == 0
+    materialize(tables, f"{root}/tables")
+    tables["requests"].write.parquet(f"{root}/requests")
+    common = ["--tables", f"{root}/tables", "--sink", f"{root}/out"]
+    assert main(["growth-basepack", *common, "--from-date", "1999-01-01", "--detail-from", "1999-01-01"]) == 0
+    assert main(["activity-quarter", *common, "--quarter", "Q3", "--year", "1999"]) == 0
+    assert main(["daily-report", *common, "--year", "1999"]) == 0
+    assert main(["redeem", *common, "--requests", f"{root}/requests"]) == 0
     out = ParquetSink(spark, f"{root}/out")
-    assert out.read(batches.BASEPACK_SUMMARY_TABLE).count() == catalog.builders()["basepack_summary"](tables).count()
+    qs = catalog.builders()
+    assert out.read(batches.BASEPACK_SUMMARY_TABLE).count() == qs["basepack_summary"](tables).count()
+    assert out.read("activity_summary_achievement").count() == qs["activity_incentive_summary"](tables).count()
+    assert out.read("daily_report").count() == qs["daily_outlet_report"](tables).count()
+    gates = out.read(batches.GATE_TABLE)
+    assert gates.filter("round_id = 0").count() == tables["requests"].count()
+    assert out.read("point_redeem").count() == gates.filter("accepted").count()
 
 
 def test_catalog_sink_and_source(spark):
