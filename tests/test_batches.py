@@ -93,7 +93,7 @@ def test_command_line_runs_the_jobs(spark, tables):
     assert main(["growth-basepack", *common, "--from-date", "1999-01-01", "--detail-from", "1999-01-01"]) == 0
     assert main(["activity-quarter", *common, "--quarter", "Q3", "--year", "1999"]) == 0
     assert main(["daily-report", *common, "--year", "1999"]) == 0
-    assert main(["redeem", *common, "--requests", f"{root}/requests"]) == 0
+    assert main(["redeem", *common, "--requests", f"{root}/requests", "--ledger-years", "1995-2001"]) == 0
     out = ParquetSink(spark, f"{root}/out")
     qs = catalog.builders()
     assert out.read(batches.BASEPACK_SUMMARY_TABLE).count() == qs["basepack_summary"](tables).count()
@@ -101,6 +101,8 @@ def test_command_line_runs_the_jobs(spark, tables):
     assert out.read("daily_report").count() == qs["daily_outlet_report"](tables).count()
     gates = out.read(batches.GATE_TABLE)
     assert gates.filter("round_id = 0").count() == tables["requests"].count()
+    first = gates.filter("round_id = 0").drop("round_id")
+    _same(first, qs["redemption_gate"](tables))                       # same decisions as the registered query
     assert out.read("point_redeem").count() == gates.filter("accepted").count()
 
 

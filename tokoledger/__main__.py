@@ -3,7 +3,8 @@
     python -m tokoledger growth-basepack  --tables /data/loyalty --sink /shared/out
     python -m tokoledger activity-quarter --tables /data/loyalty --sink /shared/out --quarter Q3 --year 2025
     python -m tokoledger daily-report     --tables /data/loyalty --sink /shared/out --year 2025
-    python -m tokoledger redeem           --tables /data/loyalty --sink /shared/out --requests /data/requests
+    python -m tokoledger redeem           --tables /data/loyalty --sink /shared/out --requests /data/requests \
+                                          [--ledger-years 2018-2025] [--round N]
 
 ``--tables`` is a folder with one Parquet dataset per reference table, or
 ``catalog:<database>``. ``--sink`` defaults to a folder under the session's
@@ -41,6 +42,9 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--year", default=P.PROGRAM_YEAR)
     ap.add_argument("--requests", help="Parquet folder of redemption requests")
     ap.add_argument("--round", type=int, default=0, help="first round id of a redemption batch")
+    ap.add_argument("--ledger-years", default=f"{min(P.LEDGER_YEARS)}-{max(P.LEDGER_YEARS)}",
+                    help="years whose balance comes from the ledger, e.g. 2018-2025")
+    ap.add_argument("--cooldown-minutes", type=int, default=P.COOLDOWN_MINUTES)
     args = ap.parse_args(argv)
 
     spark = configure(SparkSession.builder.appName(f"tokoledger-{args.job}").getOrCreate())
@@ -58,7 +62,10 @@ def main(argv: list[str] | None = None) -> int:
         if not args.requests:
             ap.error("redeem needs --requests")
         requests = spark.read.parquet(args.requests)
-        batches.run_redemption_batch(tables, sink, requests, first_round=args.round)
+        lo, _, hi = args.ledger_years.partition("-")
+        years = tuple(range(int(lo), int(hi or lo) + 1))
+        rp = P.RedeemParams(cooldown_minutes=args.cooldown_minutes, points=P.PointParams(ledger_years=years))
+        batches.run_redemption_batch(tables, sink, requests, first_round=args.round, p=rp)
     return 0
 
 
