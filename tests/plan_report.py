@@ -22,6 +22,26 @@ from tokoledger.sources.tables import from_parquet, from_testdata, materialize
 BIG = ("invoice_master", "invoice_detail_activity", "invoice_detail", "point_redeem", "log_validasi_redeem")
 
 
+SCALE_NOTES = """
+## At 100 TB
+
+Large: invoice lines (`invoice_detail*`), invoices (`invoice_master`), redemptions and their channel tables,
+the redemption log. Per outlet (millions of rows): target tables, outlet lists, masters, users. Small
+(broadcast after a proven row bound): activities, categories, SKU targets, products, gift catalogue.
+
+| operators | what is shuffled | hot outlet (a third of all rows) |
+|---|---|---|
+| O1-O5 activity | lines cut to the programme's period window at the scan, one shuffle by outlet for the outlet-list join, partial aggregation after it; O2-O5 work on aggregates | inner join, lines on the streamed side: AQE splits the hot partition (`test_skew.py`) |
+| O6-O8, O10 basepack lines | lines cut to the target window; O8 sums per (outlet, basepack, day) before the range join; O10's DISTINCT is the reference's own dedupe of the lines | inner range joins with the sales side streamed, totals left-joined back |
+| O7, O11 period sales | invoices summed per (outlet, timestamp), the reference's rounding grain, then an inner equi + range join | split by AQE (`test_skew.py`) |
+| O9, O12 summaries | only target-sized data: injection / feedback invoices reduced to distinct attributes with counts; GROUP BY / SUM on the target side; no shuffle over the expanded output | per-outlet rows are few |
+| O13 balance | one ledger (union of channels), one join of redemptions with the stacked channel tables on redeem_no (unique key), one aggregation per (outlet, year); cut to the requested pairs by a broadcast semi-join when the request batch is bounded | aggregation combines map-side |
+| O14-O16 report | aggregates per user / outlet before the joins; address = `max(struct)` aggregate, not a window | map-side combine |
+| O17-O18 views | no shuffle (broadcast product names) | - |
+| O19-O22 redemption | small request side; the log is filtered against the broadcast requests and max-aggregated map-side | requests of one outlet: one per round (sequential semantics of the reference) |
+"""
+
+
 def summarise(df) -> dict:
     df.write.format("noop").mode("overwrite").save()          # final adaptive plan
     text = plan_text(df, "formatted")
@@ -60,6 +80,7 @@ def main(argv) -> None:
           f"tables of `{sf_dir}` written as Parquet, `local[*]`, 16 shuffle partitions. Generated by "
           f"`tests/plan_report.py`. Shuffles = non-broadcast exchanges; scans list the pushed filters of the "
           f"large tables.\n")
+    print(SCALE_NOTES)
     print("| query | shuffles | broadcasts | joins | large-table scans (pushed filters) | unscalable operators |")
     print("|---|---|---|---|---|---|")
     for name, build in catalog.builders().items():
