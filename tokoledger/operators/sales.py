@@ -130,14 +130,15 @@ def growth_sales_points(target_growth: DataFrame, invoices: DataFrame, p: SalesP
     )
     # implied by date(invoice) >= periode_start >= from_date: prunes the scan
     sales = sales_in_period(invoices, p) if period_sales is None else period_sales
-    day = F.to_date(sales.s_invoice_date)
     # inner join with the (large, possibly skewed) sales side streamed, so AQE
     # can split a hot outlet; targets without sales come back through the
     # left join of the per-target totals (same result as the reference's
     # LEFT JOIN + GROUP BY)
+    # date(ts) between start and end  <=>  start <= ts < end + 1 day (raw timestamps, same as O7's side)
     matched = sales.join(
         targets,
-        (targets.Outlet_id == sales.s_outlet_id) & _in_period(targets.periode_start, targets.periode_end, day),
+        (targets.Outlet_id == sales.s_outlet_id) & (targets.periode_start <= sales.s_invoice_date)
+        & (F.date_add(targets.periode_end, 1) > sales.s_invoice_date),
         "inner",
     ).groupBy(
         F.col("activity_id").alias("m_activity_id"), F.col("Outlet_id").alias("m_outlet_id"),
