@@ -400,3 +400,20 @@ def test_day_grain_keeps_the_period_boundaries_exact(spark):
     (row,) = basepack.basepack_detail(detail, bp_lines, master, regular,
                                       P.SalesParams(detail_from=DT(2025, 1, 1))).collect()
     assert (row.QUANTITY, row.VALUE, row.SISA_TARGET) == (3, D(3), 2)
+
+
+def test_summary_duplicate_injection_rows_multiply_the_sum(spark):
+    det = [("A1", "R", "A", "D", "T1", "BP1", 10, 10, D(0), 1, 0, 2025, 7, "1", "OK"),
+           ("A1", "R", "A", "D", "T1", "BP2", 10, 0, D(0), 1, 10, 2025, 7, "1", "OK")]
+    master, detail, pts, regular, _, grw = _summary_inputs(spark, det, [("A1", "1", "OK")])
+    dup = inv("J1", "T1", TS(2025, 7, 4), "1", sales_id="0", doc="A1", addt="3")
+    invoices = spark.createDataFrame([dup, dup,                                   # the same row twice
+                                      inv("J2", "T1", TS(2025, 7, 5), "1", sales_id="0", doc="A1", addt="4"),
+                                      inv("K1", "T1", TS(2025, 7, 6), "9", sales_id="1", doc="A1", addt="1")],
+                                     INVOICES)
+    rows = {r["Injection Code"]: r for r in
+            basepack.basepack_summary(master, detail, pts, regular, invoices, grw, SP).collect()}
+    assert sorted(rows) == ["J1", "J2"]
+    assert rows["J1"].PENCAPAIAN == 4 and rows["J2"].PENCAPAIAN == 2          # 2 detail rows x 2 (J1) / x 1 (J2)
+    assert rows["J1"]["Feedback Injection Code"] == "K1" and rows["J1"]["Final Point"] == D(4)
+    assert rows["J1"].Aktual_Point == D(1500) and rows["J1"].SISA_TARGET == 0
