@@ -417,3 +417,36 @@ def test_summary_duplicate_injection_rows_multiply_the_sum(spark):
     assert rows["J1"].PENCAPAIAN == 4 and rows["J2"].PENCAPAIAN == 2          # 2 detail rows x 2 (J1) / x 1 (J2)
     assert rows["J1"]["Feedback Injection Code"] == "K1" and rows["J1"]["Final Point"] == D(4)
     assert rows["J1"].Aktual_Point == D(1500) and rows["J1"].SISA_TARGET == 0
+
+
+def test_duplicate_rows_on_every_counted_side_double_the_sums(spark):
+    # O1: outlet list, SKU targets and activities each listed twice -> x8
+    lines = spark.createDataFrame([("T1", "I1", "S1", D(1), 5, D("100.00"), TS(2025, 7, 3))], LINES)
+    outlet_row = ("A1", "T1", "n", "R", "A", "D", "DN", D(100), D(10), D("1.2"), D("0.5"))
+    outlets = spark.createDataFrame([outlet_row, outlet_row], OUTLETS)
+    skus = spark.createDataFrame([("A1", "S1", 100)] * 2, "activity_id string, sku_code string, ispcs int")
+    acts = spark.createDataFrame([("A1", "C1", "2", "14", *Q3)] * 2, ACTS)
+    eco = spark.createDataFrame([("A1", "T1", "Q3", "2025", 1, 1, 1, D(0))], ECO)
+    (r,) = activity.activity_sku_progress(lines, outlets, skus, acts, eco, P.ActivityParams()).collect()
+    assert (r.total_qty, r.total_value) == (40, D(800))
+
+    # The same target detail row twice -> quantity x2
+    bp_lines = spark.createDataFrame([("T1", "I1", 2025, 7, TS(2025, 7, 3), "BP1", 3, D("7.00"))],
+                                     "outlet_id string, invoice_no string, invoice_year int, invoice_month int, "
+                                     "invoice_date timestamp_ntz, basepack string, quantity int, total decimal(18,2)")
+    drow = ("A1", "T1", "D1", "BP1", "Y", "1", 5, *Q3)
+    detail = spark.createDataFrame([drow, drow], "activity_id string, outlet_id string, dist_code string, "
+                                                 "basepack_title string, status string, status_id string, "
+                                                 "target int, periode_start date, periode_end date")
+    master = spark.createDataFrame([], "REGION string, AREA string, KODE_TOKO string, KODE_DIS string")
+    regular = spark.createDataFrame([], REGULAR)
+    (row,) = basepack.basepack_detail(detail, bp_lines, master, regular,
+                                      P.SalesParams(detail_from=DT(2025, 1, 1))).collect()
+    assert (row.QUANTITY, row.VALUE, row.PENCAPAIAN, row.SISA_TARGET) == (6, D(14), 1, 0)
+
+    # The same master row twice -> achievement x2
+    det = [("A1", "R", "A", "D", "T1", "BP1", 10, 10, D(0), 1, 0, 2025, 7, "1", "OK")]
+    m, d, pts, reg, invs, grw = _summary_inputs(spark, det, [("A1", "1", "OK")])
+    m2 = m.unionByName(m)
+    (row,) = basepack.basepack_summary(m2, d, pts, reg, invs, grw, SP).collect()
+    assert (row.PENCAPAIAN, row.SISA_TARGET, row.Aktual_Point) == (2, 0, D(1500))
