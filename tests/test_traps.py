@@ -450,3 +450,21 @@ def test_duplicate_rows_on_every_counted_side_double_the_sums(spark):
     m2 = m.unionByName(m)
     (row,) = basepack.basepack_summary(m2, d, pts, reg, invs, grw, SP).collect()
     assert (row.PENCAPAIAN, row.SISA_TARGET, row.Aktual_Point) == (2, 0, D(1500))
+
+
+def test_duplicate_list_and_user_rows_multiply(spark):
+    outlet_row = ("A1", "T1", "n", "R", "A", "D", "DN", D(100), D(10), D("1.2"), D("0.5"))
+    outlets = spark.createDataFrame([outlet_row, outlet_row], OUTLETS)
+    acts = spark.createDataFrame([("A1", "C1", "2", "14", *Q3)] * 2, ACTS)
+    eco = spark.createDataFrame([("A1", "T1", "Q3", "2025", 0, 0, 0, D(0))], ECO)
+    pivot = spark.createDataFrame([], "activity_id string, quarter string, outlet_id string, achievement_1 bigint, "
+                                      "achievement_2 bigint, achievement_3 bigint, invoice_year int")
+    (r,) = activity.activity_eco_summary(outlets, eco, pivot, acts, P.ActivityParams()).collect()
+    assert r.Remark_ECO == 12                      # 3 remarks x 2 outlet rows x 2 activity rows
+
+    redeems = spark.createDataFrame([("R1", TS(2025, 3, 1), "u1", "G1", D(10), None, "DIPROSES", 2025)], REDEEMS)
+    users = spark.createDataFrame([("u1", "T1"), ("u1", "T1")], "user_id string, outlet_id string")
+    master = spark.createDataFrame([], "REGION string, AREA string, KODE_TOKO string, KODE_DIS string, "
+                                       "Remark_freeze string")
+    got = points.redeemed_by_outlet(redeems, users, master, P.ReportParams()).collect()
+    assert [(g.outlet_id, g.total_redeem) for g in got] == [("T1", D(20))]
