@@ -37,12 +37,15 @@ def redemption_gate(
     participants: DataFrame,
     redeem_log: DataFrame,
     p: RedeemParams = RedeemParams(),
+    balances: DataFrame | None = None,
 ) -> DataFrame:
     """One row per request with the two checks and the decision.
 
     ``ledger`` is :func:`points.point_ledger`; the balance is rounded to whole
     points before the check (T15) and compared with ONE unit of the gift
     unless ``p.check == "total"`` (T14); a gift without a price passes (T16).
+    ``balances`` (outlet_id, year, total_point), when given, replaces the
+    balance computed from ``ledger`` and ``stored_balance``.
     """
     req = requests.select("outlet_id", "giftcode", "qty", F.col("year").cast("int").alias("year"), "redeemno",
                           "request_ts")
@@ -57,9 +60,10 @@ def redemption_gate(
     gifts = bounded_broadcast(items.groupBy(F.col("redeem_code").alias("i_code")).agg(
         F.count(F.lit(1)).alias("n_items"), F.max("point").alias("point")), source=items)
 
-    pairs = req.select("outlet_id", "year").distinct()
-    bal = point_balance(pairs, ledger, stored_balance, p.points, pairs_source=requests).select(
-        F.col("outlet_id").alias("b_outlet"), F.col("year").alias("b_year"), "total_point")
+    if balances is None:
+        pairs = req.select("outlet_id", "year").distinct()
+        balances = point_balance(pairs, ledger, stored_balance, p.points, pairs_source=requests)
+    bal = balances.select(F.col("outlet_id").alias("b_outlet"), F.col("year").alias("b_year"), "total_point")
 
     j = req.join(people, req.outlet_id == people.u_outlet, "left")
 

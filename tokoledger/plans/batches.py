@@ -101,28 +101,21 @@ def pending_requests(sink: Sink, new_requests: DataFrame, round_id: int) -> Data
     return prev.unionByName(new_requests)
 
 
-def run_redemption_round(t: Tables, sink: Sink, requests: DataFrame, round_id: int = 0,
-                         p: RedeemParams = RedeemParams()) -> DataFrame:
-    """Validate a batch of requests against the current tables, store the rows
-    of the accepted ones (point_redeem, point_redeem_detail, notifications)
-    and return the stored gate.
-
-    Rows of earlier rounds count in this round's balance; each round writes
-    its own ``round_id`` partition, so re-running a round after a failure
-    gives the same rows instead of duplicates. Requests of an outlet that
-    already had one in this round come back ``deferred`` and are stored as
-    ``redeem_deferred`` for round ``round_id + 1``.
-    """
+def _round_ledger(t: Tables, sink: Sink, round_id: int, p: RedeemParams) -> DataFrame:
     redeemed = _with_earlier_rounds(t, sink, "point_redeem",
                                     ["redeem_no", "gift_code", "point_redeem", "point_year", "status_delivery"],
                                     round_id)
     detail = _with_earlier_rounds(t, sink, "point_redeem_detail", ["redeem_no", "outlet_id"], round_id)
-    ledger = points.point_ledger(t["invoice_master"], redeemed, detail, t["point_redeem_detail_cashback"],
-                                 t["ppob_transaction_master"], t["ewallet_transaction_master"], t["redeem_item"],
-                                 p.points)
+    return points.point_ledger(t["invoice_master"], redeemed, detail, t["point_redeem_detail_cashback"],
+                               t["ppob_transaction_master"], t["ewallet_transaction_master"], t["redeem_item"],
+                               p.points)
+
+
+def _write_round(t: Tables, sink: Sink, requests: DataFrame, round_id: int, p: RedeemParams,
+                 ledger: DataFrame | None, balances: DataFrame | None) -> DataFrame:
     gate = sink.write_round(GATE_TABLE, redeem.redemption_gate(
         requests, ledger, t["new_point_balance"], t["redeem_item"], t["user_info"], t["master_peserta"],
-        t["log_validasi_redeem"], p), round_id)
+        t["log_validasi_redeem"], p, balances), round_id)
     sink.write_round("point_redeem", redeem.redemption_rows(gate, t["redeem_item"], p), round_id)
     sink.write_round("point_redeem_detail",
                      redeem.redemption_detail_rows(gate, t["alamat_pengiriman"], t["user_info"]), round_id)
@@ -132,17 +125,57 @@ def run_redemption_round(t: Tables, sink: Sink, requests: DataFrame, round_id: i
     return gate
 
 
+def run_redemption_round(t: Tables, sink: Sink, requests: DataFrame, round_id: int = 0,
+                         p: RedeemParams = RedeemParams()) -> DataFrame:
+    """Validate a batch of requests against the current tables, store the rows
+    of the accepted ones (point_redeem, point_redeem_detail, notifications)
+    and return the stored gate.
+
+    Rows of earlier rounds count in this round's balance; each round writes
+    its own ``round_id`` partition, so re-running a round after a failure
+    gives the same rows instead of duplicates. Requests of an outlet that
+    already had one in this round come back ``deferred`` and are stored as
+    ``redeem_deferred`` for round ``round_id + 1``.
+    """
+    return _write_round(t, sink, requests, round_id, p, _round_ledger(t, sink, round_id, p), None)
+
+
+BASE_BALANCE_TABLE = "redeem_batch_balance"
+
+
 def run_redemption_batch(t: Tables, sink: Sink, requests: DataFrame, first_round: int = 0,
                          p: RedeemParams = RedeemParams()) -> int:
     """Rounds until no request is deferred; returns the next free round id.
 
     The number of rounds is the largest number of requests one outlet has in
-    the batch -- each depends on the balance its predecessor left.
+    the batch -- each depends on the balance its predecessor left. The ledger
+    balance of every requested (outlet, year) is computed once per batch and
+    stored; a round subtracts the points this batch has already accepted
+    (they always count: the gift exists and the row is 'DIPROSES'), so later
+    rounds only touch the deferred requests.
     """
+    pairs = requests.select("outlet_id", F.col("year").cast("int").alias("year")).distinct()
+    base = sink.overwrite(BASE_BALANCE_TABLE, points.point_balance(
+        pairs, _round_ledger(t, sink, first_round, p), t["new_point_balance"], p.points, pairs_source=requests))
     round_id = first_round
     pending = requests
     while True:
-        gate = run_redemption_round(t, sink, pending, round_id, p)
+        balances = base
+        if round_id > first_round:
+            gates = sink.read(GATE_TABLE).filter((F.col("round_id") >= first_round) & (F.col("round_id") < round_id))
+            spent = (
+                gates.filter(F.col("accepted"))
+                .join(sink.read("point_redeem").filter((F.col("round_id") >= first_round)
+                                                       & (F.col("round_id") < round_id))
+                      .select("redeem_no", "point_redeem"), F.col("redeemno") == F.col("redeem_no"), "inner")
+                .filter(F.col("year").isin(*p.points.ledger_years))
+                .groupBy(F.col("outlet_id").alias("d_outlet"), F.col("year").alias("d_year"))
+                .agg(F.sum(F.coalesce(F.col("point_redeem"), F.lit(0))).alias("spent"))
+            )
+            balances = base.join(spent, (base.outlet_id == spent.d_outlet) & (base.year == spent.d_year), "left").select(
+                "outlet_id", "year",
+                (F.col("total_point") - F.coalesce(F.col("spent"), F.lit(0))).cast("decimal(18,4)").alias("total_point"))
+        gate = _write_round(t, sink, pending, round_id, p, None, balances)
         round_id += 1
         if gate.filter(F.col("reject_reason") == "deferred").limit(1).count() == 0:
             return round_id
