@@ -1,8 +1,8 @@
 """The reference's entry points as batch runs.
 
 * :func:`run_growth_basepack` -- growth achievement, then basepack detail,
-  summary and drill-down (``achievement_growth_sp`` + ``create_outlet_basepack_target``)
-* :func:`run_activity_quarter` -- O1-O5 (``activity_inv_detail`` + ``activity_inv_summary``)
+  summary and drill-down (the growth procedure, then the basepack procedure)
+* :func:`run_activity_quarter` -- O1-O5 (the activity detail and summary procedures)
 * :func:`daily_report` -- the daily outlet report (returned, not stored)
 * :func:`run_redemption_round` -- one round of redemption requests
 
