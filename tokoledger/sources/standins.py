@@ -84,6 +84,11 @@ FROM {so_lines}
 GROUP BY invoice_no, orderkey
 """)
 
+_table("invoice_master", _SQL["invoice_master"] + """
+UNION ALL
+SELECT * FROM (""" + _SQL["invoice_master"] + """) dup WHERE dup.sales_id = '0' AND dup.invoice_no LIKE '%00-%'
+""")
+
 _table("master_products_basepack_new", """
 SELECT DISTINCT 'S' || CAST(p_partkey % 20 AS STRING) AS sku_code,
        'BP' || CAST(p_partkey % 20 % 6 AS STRING) AS basepack
@@ -104,6 +109,8 @@ SELECT 'ACT' || CAST(r_regionkey AS STRING) AS activity_id,
        DATE '1999-07-01' AS periode_start,
        DATE '1999-09-30' AS periode_end
 FROM {region}
+UNION ALL
+SELECT 'ACT1', 'C1', '2', '14', DATE '1999-07-01', DATE '1999-09-30' FROM {region} WHERE r_regionkey = 1
 """)
 
 _table("activities_regular", """
@@ -130,6 +137,12 @@ SELECT activity_id, outlet_id AS Outlet_id, outlet_name AS Outlet_Name, region A
        CAST(CAST(sk % 7 AS DECIMAL(18,2)) * 0.75 + 1 AS DECIMAL(18,2)) AS VRR,
        CAST(CAST(sk % 4 AS DECIMAL(18,2)) * 0.5 AS DECIMAL(18,2)) AS VRR_Addt
 FROM {so_outlets}
+UNION ALL
+SELECT activity_id, outlet_id, outlet_name, region, area, dist_code, dist_name,
+       CAST((200 + sk % 5 * 100) * 1000000 AS DECIMAL(18,2)), CAST(100 + sk % 4 * 50 AS DECIMAL(18,2)),
+       CAST(CAST(sk % 7 AS DECIMAL(18,2)) * 0.75 + 1 AS DECIMAL(18,2)),
+       CAST(CAST(sk % 4 AS DECIMAL(18,2)) * 0.5 AS DECIMAL(18,2))
+FROM {so_outlets} WHERE sk % 21 = 2
 """)
 
 _table("temp_act_outlet_list_eco", """
@@ -158,6 +171,8 @@ SELECT DISTINCT 'ACT' || CAST(p_partkey % 5 AS STRING) AS activity_id,
        'S' || CAST(p_partkey % 20 AS STRING) AS sku_code,
        CAST(CASE WHEN p_partkey % 2 = 0 THEN 20 ELSE 600 END AS INT) AS ispcs
 FROM {part}
+UNION ALL
+SELECT 'ACT3', 'S3', CAST(600 AS INT) FROM {region} WHERE r_regionkey = 0
 """)
 
 _table("live_mechanism_list", """
@@ -171,6 +186,10 @@ SELECT activity_id, outlet_id, cluster, CAST(sk % 3 AS STRING) AS status_id,
        CAST(300 AS DECIMAL(18,0)) AS point_min, CAST(1500 AS DECIMAL(18,0)) AS point_max,
        DATE '1999-07-01' AS periode_start, DATE '1999-09-30' AS periode_end
 FROM {so_outlets}
+UNION ALL
+SELECT activity_id, outlet_id, cluster, CAST(sk % 3 AS STRING), CAST(6 AS INT), CAST(2 + sk % 4 AS INT),
+       CAST(300 AS DECIMAL(18,0)), CAST(1500 AS DECIMAL(18,0)), DATE '1999-07-01', DATE '1999-09-30'
+FROM {so_outlets} WHERE sk % 19 = 4
 """)
 
 _table("outlet_basepack_target_detail", """
@@ -183,6 +202,10 @@ FROM (SELECT DISTINCT o.activity_id, o.outlet_id, o.dist_code, o.sk, b.basepack
       FROM {so_lines} l
       JOIN {master_products_basepack_new} b ON l.item_code = b.sku_code
       JOIN {so_outlets} o ON l.outlet_id = o.outlet_id) d
+UNION ALL
+SELECT o.activity_id, o.outlet_id, o.dist_code, 'BP2', 'Y', '1', CAST(60 + o.sk % 3 * 40 AS INT),
+       DATE '1999-07-01', DATE '1999-09-30'
+FROM {so_outlets} o WHERE o.sk % 23 = 6
 """)
 
 _table("target_growth", """
