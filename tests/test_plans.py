@@ -52,3 +52,20 @@ def test_year_filter_is_a_range_on_the_scan(parquet_tables):
     (scan,) = _scan_of(df, "invoice_master")
     assert "GreaterThanOrEqual(invoice_date" in scan["PushedFilters"]
     assert "LessThan(invoice_date" in scan["PushedFilters"]
+
+
+@pytest.mark.parametrize("name", ["growth_achievement", "basepack_summary"])
+def test_summaries_have_no_aggregation_over_the_expanded_output(parquet_tables, name):
+    """Between the result and the last (injection / feedback) join there is no
+    aggregate or exchange: the GROUP BY ran on the target side already."""
+    from tokoledger.plans.checks import plan_text
+
+    df = BUILDERS[name](parquet_tables)
+    df.write.format("noop").mode("overwrite").save()
+    tree = plan_text(df, "formatted").split("\n\n")[0].splitlines()
+    top = []
+    for line in tree[1:]:
+        top.append(line)
+        if "Join" in line:
+            break
+    assert not any("HashAggregate" in l or "Exchange" in l for l in top), top
