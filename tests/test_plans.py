@@ -69,3 +69,11 @@ def test_summaries_have_no_aggregation_over_the_expanded_output(parquet_tables,
         if "Join" in line:
             break
     assert not any("HashAggregate" in l or "Exchange" in l for l in top), top
+
+
+@pytest.mark.parametrize("name", ["activity_sku_progress", "basepack_detail", "invoice_distribution"])
+def test_line_scans_carry_the_period_window(parquet_tables, name):
+    df = BUILDERS[name](parquet_tables)
+    (scan,) = _scan_of(df, "invoice_detail_activity")
+    assert "GreaterThanOrEqual(invoice_date" in scan["PushedFilters"]
+    assert "LessThan(invoice_date" in scan["PushedFilters"]
