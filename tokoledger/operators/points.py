@@ -123,6 +123,8 @@ def point_balance(pairs: DataFrame, ledger: DataFrame, stored: DataFrame, p: Poi
     if pairs_source is not None and is_bounded(pairs, source=pairs_source):
         wanted = F.broadcast(req.filter(in_ledger).distinct())
         ledger = ledger.join(wanted, ["outlet_id", "year"], "left_semi")
+        stored = stored.join(F.broadcast(req.filter(~in_ledger).select("outlet_id").distinct()), "outlet_id",
+                             "left_semi")
     totals = ledger.groupBy(F.col("outlet_id").alias("l_outlet_id"), F.col("year").alias("l_year")).agg(
         F.sum(signed).alias("ledger_total"))
     kept = stored.groupBy(F.col("outlet_id").alias("s_outlet_id")).agg(F.max("remain_point").alias("stored_total"))
