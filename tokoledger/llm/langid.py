@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokoledger.llm.common import id_bucket, in_arrow
+from tokoledger.llm.pretokens import slices
 
 UNDETERMINED = "und"
 WINDOW = 128            # bytes
@@ -220,26 +221,35 @@ def fit(docs: DataFrame, holdout: int = 2, parts: int = 4, sample: int = SAMPLE,
     return train(texts, labels, languages, steps) if any(texts) else None
 
 
+def has_letter(text: str | None) -> bool:
+    return text is not None and any(map(str.isalpha, text))
+
+
+def judge(net: Network | None, texts: list[str | None]) -> list[tuple[str, float]]:
+    """Language and score of whole texts, in slices of bounded size."""
+    out: list[tuple[str, float]] = []
+    for part in slices(texts, lambda t: len(t or "")):
+        letter = [has_letter(t) for t in part]
+        if net is None:
+            out += [(UNDETERMINED, 0.0)] * len(part)
+            continue
+        p = document_probabilities(net, [t.encode() if ok else b"" for t, ok in zip(part, letter, strict=True)])
+        best = p.argmax(axis=1)
+        out += [
+            (net.languages[k], float(min(1.0, p[i, k]))) if ok else (UNDETERMINED, 0.0)
+            for i, (k, ok) in enumerate(zip(best, letter, strict=True))
+        ]
+    return out
+
+
 def _predict(net: Network | None):
     def run(batches):
-        from tokoledger.llm.pretokens import slices
-
         for batch in batches:
-            rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
-            for part in slices(rows, lambda r: len(r[1] or "")):
-                letter = [t is not None and any(map(str.isalpha, t)) for _, t in part]
-                texts = [t.encode() if ok else b"" for (_, t), ok in zip(part, letter, strict=True)]
-                found, score = [UNDETERMINED] * len(part), [0.0] * len(part)
-                if net is not None:
-                    p = document_probabilities(net, texts)
-                    best = p.argmax(axis=1)
-                    for i, ok in enumerate(letter):
-                        if ok:
-                            found[i], score[i] = net.languages[best[i]], float(min(1.0, p[i, best[i]]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i for i, _ in part], pa.int64()), pa.array(found), pa.array(score, pa.float64())],
-                    ["doc_id", "lang_pred", "score"],
-                )
+            found = judge(net, batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())],
+                ["doc_id", "lang_pred", "score"],
+            )
 
     return run
 

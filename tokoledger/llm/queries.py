@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tokoledger.llm import bpe, packing, simhash
+from tokoledger.llm import bpe, langid, packing, simhash
+from tokoledger.llm import toxicity as toxic
 from tokoledger.llm.common import table
 
 
@@ -15,18 +16,26 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dedup(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), holdout=0, parts=5)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.bpe_round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(table(spark, sf_dir, "documents"), holdout=2, parts=4)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer, public_tokenizers.PATTERN, capacity=1024, end_id=0)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op7_bpe, op9_packing)}
+    return {f.__name__: f for f in (op1_simhash, op5_toxicity, op7_bpe, op8_language_id, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
