@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tokoledger.llm import bpe, langid, packing, simhash
+from tokoledger.llm import bpe, langid, license_digest, packing, pivots, segments, simhash, token_count, url_reputation
 from tokoledger.llm import toxicity as toxic
 from tokoledger.llm.common import table
 
@@ -16,10 +16,26 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dedup(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_reputation.url_reputation(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digest.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), holdout=0, parts=5)
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments.segment_top_k(table(spark, sf_dir, "embeddings"), queries="vec_id % 50 = 0", k=5, scale=256)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.bpe_round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -34,9 +50,33 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer, public_tokenizers.PATTERN, capacity=1024, end_id=0)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op5_toxicity, op7_bpe, op8_language_id, op9_packing)}
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.embedding_near_dedup(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    every = (
+        op1_simhash, op2_url_filter, op3_license_scan, op4_token_counts, op5_toxicity,
+        op6_exact_top_k, op7_bpe, op8_language_id, op9_packing, op10_embedding_dedup,
+    )
+    return {f.__name__: f for f in every}
+
+
+TOP_K_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Only what SQL can express; tests/llm holds the others against plain Python."""
+    return {
+        "op2_url_filter": url_reputation.oracle(),
+        "op3_license_scan": license_digest.oracle(),
+        "op6_exact_top_k": TOP_K_SQL,
+    }
