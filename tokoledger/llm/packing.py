@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import heapq
 import math
+import sys
 import zlib
+from array import array
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -59,6 +61,12 @@ def windows_of(sizes: list[int], capacity: int) -> list[tuple[int, tuple[int, ..
         windows += 1
 
 
+def _little(ids: array) -> array:
+    if sys.byteorder == "big":
+        ids.byteswap()
+    return ids
+
+
 _of_worker: dict[tuple, CachedEncoder] = {}
 
 
@@ -71,7 +79,7 @@ def _encoder(path: str, pattern: str) -> CachedEncoder:
             out = []
             for at in range(0, len(words), 50_000):
                 for x in tokenizer.encode_batch_fast(words[at:at + 50_000], add_special_tokens=False):
-                    out.append(b"".join(i.to_bytes(4, "little") for i in x.ids))
+                    out.append(_little(array("I", x.ids)).tobytes())
             return out
 
         _of_worker[path, pattern] = CachedEncoder(pattern, encode_words)

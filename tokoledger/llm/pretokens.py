@@ -45,38 +45,35 @@ class CachedEncoder:
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
-    def _keep(self, cache: dict, new: dict) -> None:
-        room = self.kept - len(cache)
-        if room >= len(new):
-            cache.update(new)
-        else:
-            cache.update(list(new.items())[:max(0, room)])
+    def _split(self, chunk: str) -> list[str]:
+        """Pre-tokens of a chunk with its space; letters, with one mark behind them or not, need no pattern."""
+        if chunk.isalpha():
+            return [" " + chunk]
+        if chunk[-1] in ".," and chunk[:-1].isalpha():
+            return [" " + chunk[:-1], chunk[-1]]
+        return self.find(" " + chunk)
+
+    def _trim(self, cache: dict, new: dict) -> None:
+        """Forget what came last where the cache is full."""
+        if len(cache) > self.kept:
+            for key in new:
+                del cache[key]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [chunks(t) for t in texts]
-        missing = list(set().union(*(c[1:] for c in split)) - self.chunks.keys()) if split else []
-        found = [self.find(" " + c) for c in missing]
         first = [self.find(c[0]) for c in split]
-        new = list(set().union(*found, *first) - self.words.keys())
-        words = dict(zip(new, self.encode_words(new), strict=True)) if new else {}
-        lookup = self.words
-        if words:
-            lookup = self.words | words if len(self.words) < len(words) else _Two(words, self.words)
-        join, get = b"".join, lookup.__getitem__
-        fresh = {c: join(map(get, ws)) for c, ws in zip(missing, found, strict=True)}
-        of_chunk = _Two(fresh, self.chunks).__getitem__ if fresh else self.chunks.__getitem__
-        out = [join(map(get, f)) + join(map(of_chunk, c[1:])) for f, c in zip(first, split, strict=True)]
-        self._keep(self.words, words)
-        self._keep(self.chunks, fresh)
+        for c in split:
+            del c[0]
+        missing = list(set().union(*split).difference(self.chunks))
+        found = list(map(self._split, missing))
+        new = list(set().union(*found, *first).difference(self.words))
+        words = dict(zip(new, self.encode_words(new), strict=True))
+        self.words.update(words)
+        join, word = b"".join, self.words.__getitem__
+        fresh = {c: word(ws[0]) if len(ws) == 1 else join(map(word, ws)) for c, ws in zip(missing, found, strict=True)}
+        self.chunks.update(fresh)
+        chunk = self.chunks.__getitem__
+        out = [join(map(word, f)) + join(map(chunk, c)) for f, c in zip(first, split, strict=True)]
+        self._trim(self.words, words)
+        self._trim(self.chunks, fresh)
         return out
-
-
-class _Two(dict):
-    """A dict that looks in a second one for what it lacks."""
-
-    def __init__(self, first: dict, second: dict):
-        super().__init__(first)
-        self.second = second
-
-    def __missing__(self, key):
-        return self.second[key]
