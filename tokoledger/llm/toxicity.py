@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokoledger.llm.common import id_bucket, in_arrow
+from tokoledger.llm.common import id_bucket, in_arrow, stored
 
 SAMPLE = {1: 2500, 0: 5000}   # labelled documents of each class that are indexed, about
 NEIGHBOURS = 15
@@ -86,29 +86,26 @@ class Index:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * vote + self.offset))))
 
 
-def select_terms(examples: list[Counter], toxic: np.ndarray) -> list[str]:
-    """Terms that go with toxic examples: chi-square significant, and not by size
-    alone. Copies of an example within a class count once."""
-    distinct = {(frozenset(words.items()), int(y)): words for words, y in zip(examples, toxic, strict=True)}
-    n, n1 = len(distinct), sum(y for _, y in distinct)
-    df1: Counter = Counter()
-    df: Counter = Counter()
-    for (_, y), words in distinct.items():
-        df.update(words.keys())
-        if y:
-            df1.update(words.keys())
-    found = []
-    for word, d in df.items():
-        a = df1[word]
-        scale = d * (n - d) * n1 * (n - n1)
-        phi2 = (a * n - d * n1) ** 2 / scale if scale else 0.0
-        if a * n > d * n1 and phi2 >= MIN_PHI2 and n * phi2 >= MIN_CHI2:
-            found.append(word)
-    return sorted(found)
-
-
-def build(ids: list[int], examples: list[Counter], toxic: list[int], weight: list[float]) -> Index:
-    y, terms = np.array(toxic, dtype=float), select_terms(examples, np.array(toxic))
+def select_terms(examples: DataFrame) -> list[str]:
+    """Terms of ``examples(toxic, terms, counts)`` that go with toxic ones: chi-square
+    significant, and not by size alone. Copies of an example within a class count once."""
+    distinct = examples.withColumn("content", F.xxhash64("terms", "counts")).dropDuplicates(["toxic", "content"])
+    n, n1 = distinct.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not 0 < n1 < n:
+        return []
+    d, a = F.col("d").cast("double"), F.col("a").cast("double")
+    phi2 = (a * n - d * n1) ** 2 / (d * (n - d) * (float(n1) * (n - n1)))
+    found = (
+        distinct.select("toxic", F.explode("terms").alias("term")).groupBy("term")
+        .agg(F.count(F.lit(1)).alias("d"), F.sum("toxic").alias("a")).where(d < n)
+        .where((a * n > d * n1) & (phi2 >= MIN_PHI2) & (phi2 * n >= MIN_CHI2)).select("term")
+    )
+    return sorted(r.term for r in found.collect())
+
+
+def build(terms: list[str], ids: list[int], examples: list[dict], toxic: list[int], weight: list[float]) -> Index:
+    """The index over examples: of each, the counts of its terms."""
+    y = np.array(toxic, dtype=float)
     number = {w: i for i, w in enumerate(terms)}
     counts = [{number[w]: c for w, c in x.items() if w in number} for x in examples]
     # examples with the same leading terms share blocks, which makes the blocks' bounds tight
@@ -166,6 +163,21 @@ def _term_rows(batches):
         )
 
 
+def _only(terms: list[str]):
+    """Leaves the selected terms of each example."""
+    def run(batches):
+        chosen = set(terms)
+        for batch in batches:
+            kept = [[(t, c) for t, c in zip(ts, cs, strict=True) if t in chosen] for ts, cs in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([[t for t, _ in k] for k in kept], pa.list_(pa.string())),
+                 pa.array([[c for _, c in k] for k in kept], pa.list_(pa.int32()))],
+                ["doc_id", "toxic", "terms", "counts"],
+            )
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, holdout: int = 0, parts: int = 5, sample: dict[int, int] | None = None) -> Index | None:
     """The index over a sample of the labelled documents whose id bucket is not
     ``holdout``: about ``sample[class]`` of each class, drawn by a hash of the id.
@@ -183,14 +195,16 @@ def fit(docs: DataFrame, labels: DataFrame, holdout: int = 0, parts: int = 5, sa
     limit = F.when(F.col("toxic") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0)) * (1 << 20)
     drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit("drawn")), F.lit(1 << 20)) < limit).limit(2 * sum(sample.values()))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("text is not null")
-    rows = in_arrow(
+    examples = stored(in_arrow(
         texts.join(F.broadcast(drawn), "doc_id").select("doc_id", "toxic", "text"),  # bounded by the sample
         _term_rows, "doc_id long, toxic int, terms array<string>, counts array<int>",
-    ).dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    ).dropDuplicates(["doc_id"]))
+    terms = select_terms(examples)
+    rows = in_arrow(examples, _only(terms), "doc_id long, toxic int, terms array<string>, counts array<int>").orderBy("doc_id").collect()
     if not rows:
         return None
     return build(
-        [r.doc_id for r in rows], [Counter(dict(zip(r.terms, r.counts, strict=True))) for r in rows],
+        terms, [r.doc_id for r in rows], [dict(zip(r.terms, r.counts, strict=True)) for r in rows],
         [r.toxic for r in rows], [1 / share[r.toxic] for r in rows],
     )
 
