@@ -11,12 +11,13 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tokoledger.llm import langid, packing, simhash
 from tokoledger.llm import toxicity as toxic
 from tokoledger.llm.common import in_arrow, table
+from tokoledger.llm.pretokens import runs
 from tokoledger.session import checkpoint_dir
 
 LEAST_LANGUAGE_SCORE = 0.25   # of the best language; a text that no language fits goes
@@ -28,9 +29,7 @@ def _filtered(docs: DataFrame, keep) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
+        for batch in (part for whole in batches for part in runs(whole, at)):
             yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
 
     return in_arrow(docs, run, docs.schema)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokoledger.llm.common import in_arrow
-from tokoledger.llm.pretokens import CachedEncoder, slices
+from tokoledger.llm.pretokens import CachedEncoder, runs, slices
 
 SHORT = 64                # bytes of a word up to which one recursion runs to the fixpoint
 SHORT_BATCH = 400_000     # bytes of short words in one query
@@ -187,20 +187,18 @@ def _texts(batch, column: int) -> list[str]:
 def _round_trip(path: str, pattern: str):
     def run(batches):
         coder = bpe(path, pattern)
-        for batch in batches:
-            rows = list(zip(batch.column(0).to_pylist(), _texts(batch, 1), strict=True))
-            for part in slices(rows, lambda r: len(r[1])):
-                ids = coder.encode([t for _, t in part])
-                decoded = [hashlib.sha256(x).hexdigest() for x in coder.decode(ids)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([i for i, _ in part], pa.int64()),
-                        pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
-                        pa.array(decoded),
-                    ],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+        for part in (part for batch in batches for part in runs(batch, 1)):
+            ids = coder.encode(_texts(part, 1))
+            decoded = [hashlib.sha256(x).hexdigest() for x in coder.decode(ids)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0),
+                    pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                    pa.array(decoded, pa.string()),
+                ],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
     return run
 
@@ -208,13 +206,9 @@ def _round_trip(path: str, pattern: str):
 def _encode(path: str, pattern: str):
     def run(batches):
         coder = bpe(path, pattern)
-        for batch in batches:
-            rows = list(zip(batch.column(0).to_pylist(), _texts(batch, 1), strict=True))
-            for part in slices(rows, lambda r: len(r[1])):
-                ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in coder.encode([t for _, t in part])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i for i, _ in part], pa.int64()), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"]
-                )
+        for part in (part for batch in batches for part in runs(batch, 1)):
+            ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in coder.encode(_texts(part, 1))]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return run
 

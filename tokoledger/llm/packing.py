@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tokoledger.llm.common import in_arrow
-from tokoledger.llm.pretokens import CachedEncoder, slices
+from tokoledger.llm.pretokens import CachedEncoder, runs
 
 WINDOWS = 128     # windows that one differencing run fills
 SLACK = 16        # tokens a window that are left free, so that near-equal windows stay within capacity
@@ -120,27 +120,26 @@ def _pack(path: str, pattern: str, capacity: int, end_id: int):
                 [pa.array(c, t) for c, t in zip(zip(*rows), COLUMNS.values(), strict=True)], list(COLUMNS)
             )
 
-        for batch in batches:
-            rows = [(i, t or "") for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-            for part in slices(rows, lambda r: len(r[1])):
-                for (doc_id, _), ids in zip(part, encode([t for _, t in part]), strict=True):
-                    ids += end
-                    total, start = len(ids) // 4, 0
-                    while total - start >= capacity:
-                        crc = zlib.crc32(ids[4 * start:4 * (start + capacity)])
-                        out.append((doc_id, start, capacity, crc, total, sequence, 0))
-                        sequence += 1
-                        start += capacity
-                    while start < total:
-                        length = min(piece_most, total - start, aim - held)
-                        waiting.append((doc_id, start, length, zlib.crc32(ids[4 * start:4 * (start + length)]), total))
-                        start += length
-                        held += length
-                        if held == aim:
-                            flush()
-                if out:
-                    yield batch_of(out)
-                    out = []
+        for part in (part for batch in batches for part in runs(batch, 1)):
+            encoded = encode([t or "" for t in part.column(1).to_pylist()])
+            for doc_id, ids in zip(part.column(0).to_pylist(), encoded, strict=True):
+                ids += end
+                total, start = len(ids) // 4, 0
+                while total - start >= capacity:
+                    crc = zlib.crc32(ids[4 * start:4 * (start + capacity)])
+                    out.append((doc_id, start, capacity, crc, total, sequence, 0))
+                    sequence += 1
+                    start += capacity
+                while start < total:
+                    length = min(piece_most, total - start, aim - held)
+                    waiting.append((doc_id, start, length, zlib.crc32(ids[4 * start:4 * (start + length)]), total))
+                    start += length
+                    held += length
+                    if held == aim:
+                        flush()
+            if out:
+                yield batch_of(out)
+                out = []
         flush()
         if out:
             yield batch_of(out)

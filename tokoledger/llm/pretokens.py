@@ -11,10 +11,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pyarrow.compute as pc
 import regex
 
-KEPT = 300_000                      # entries of each cache that a worker keeps between batches
-SLICE = 4_000_000                   # characters of text that are encoded together
+KEPT = 150_000                      # entries of each cache that a worker keeps between batches
+SLICE = 2_000_000                   # characters of text that are encoded together
 _INNER = re.compile(r" (?=\S)")     # re's \S is no wider than the pattern's, so this never cuts inside a pre-token
 _SPACE_BEFORE_SPACE = re.compile(r" (?!\S)")
 
@@ -37,6 +39,19 @@ def slices(rows: Iterable, size: Callable, most: int = SLICE) -> Iterator[list]:
         yield part
 
 
+def runs(batch, column: int, most: int = SLICE) -> Iterator:
+    """Consecutive parts of an Arrow batch with about ``most`` bytes of text each, one row
+    at least; only a part at a time becomes Python strings."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(lengths)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 class CachedEncoder:
     """``encode_words``: pre-tokens -> their ids as little-endian unsigned 32-bit bytes."""
 
