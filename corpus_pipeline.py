@@ -67,7 +67,7 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the kept documents in sequences of at most 1024 tokens."""
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack(docs, tokenizer, public_tokenizers.PATTERN, capacity=1024, end_id=0)
+    return packing.pack(docs, tokenizer, public_tokenizers.PATTERN, capacity=1024, end_id=0, remembered=100_000)
 
 
 STAGES = [

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tokoledger.llm.common import in_arrow
-from tokoledger.llm.pretokens import CachedEncoder, runs
+from tokoledger.llm.pretokens import KEPT, CachedEncoder, runs
 
 WINDOWS = 128     # windows that one differencing run fills
 SLACK = 16        # tokens a window that are left free, so that near-equal windows stay within capacity
@@ -70,8 +70,9 @@ def _little(ids: array) -> array:
 _of_worker: dict[tuple, CachedEncoder] = {}
 
 
-def _encoder(path: str, pattern: str) -> CachedEncoder:
-    if (path, pattern) not in _of_worker:
+def _encoder(path: str, pattern: str, remembered: int) -> CachedEncoder:
+    key = path, pattern, remembered
+    if key not in _of_worker:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
@@ -82,8 +83,8 @@ def _encoder(path: str, pattern: str) -> CachedEncoder:
                     out.append(_little(array("I", x.ids)).tobytes())
             return out
 
-        _of_worker[path, pattern] = CachedEncoder(pattern, encode_words)
-    return _of_worker[path, pattern]
+        _of_worker[key] = CachedEncoder(pattern, encode_words, remembered)
+    return _of_worker[key]
 
 
 COLUMNS = {
@@ -92,12 +93,12 @@ COLUMNS = {
 }
 
 
-def _pack(path: str, pattern: str, capacity: int, end_id: int):
+def _pack(path: str, pattern: str, capacity: int, end_id: int, remembered: int):
     def run(batches):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        encode, end = _encoder(path, pattern), end_id.to_bytes(4, "little")
+        encode, end = _encoder(path, pattern, remembered), end_id.to_bytes(4, "little")
         piece_most = max(1, capacity // 4)
         aim = WINDOWS * (capacity - min(SLACK, capacity // 64))
         sequence = TaskContext.get().partitionId() << 32
@@ -147,7 +148,7 @@ def _pack(path: str, pattern: str, capacity: int, end_id: int):
     return run
 
 
-def pack(docs: DataFrame, path: str, pattern: str, capacity: int = 1024, end_id: int = 0) -> DataFrame:
+def pack(docs: DataFrame, path: str, pattern: str, capacity: int = 1024, end_id: int = 0, remembered: int = KEPT) -> DataFrame:
     """One row per piece of a document: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset. A document's tokens are those of its whole text and
     ``end_id``; a null or empty text has the end id alone. Each token lies in
@@ -156,9 +157,10 @@ def pack(docs: DataFrame, path: str, pattern: str, capacity: int = 1024, end_id:
     Rows without a doc_id and repeated rows are packed like any other (the
     repeated row's pieces come again). An empty table has no pieces. Strings of
     special tokens in a text are ordinary text. Further columns are not read.
+    ``remembered`` words are kept by each worker to save time; it changes no row.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return in_arrow(
-        rows, _pack(path, pattern, capacity, end_id),
+        rows, _pack(path, pattern, capacity, end_id, remembered),
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
     )

@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow.compute as pc
 import regex
 
-KEPT = 300_000                      # words that a worker remembers; of chunks, which cost less to find again, a fifth
-SLICE = 2_000_000                   # characters of text that are encoded together
+KEPT = 300_000                      # words, and as many chunks, that a worker remembers
+SLICE = 4_000_000                   # characters of text that are encoded together
 _INNER = re.compile(r" (?=\S)")     # re's \S is no wider than the pattern's, so this never cuts inside a pre-token
 _SPACE_BEFORE_SPACE = re.compile(r" (?!\S)")
 
@@ -90,5 +90,5 @@ class CachedEncoder:
         chunk = self.chunks.__getitem__
         out = [join(map(word, f)) + join(map(chunk, c)) for f, c in zip(first, split, strict=True)]
         self._trim(self.words, words, self.kept)
-        self._trim(self.chunks, fresh, self.kept // 5)
+        self._trim(self.chunks, fresh, self.kept)
         return out
