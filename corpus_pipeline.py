@@ -22,6 +22,8 @@ from tokoledger.session import checkpoint_dir
 
 LEAST_LANGUAGE_SCORE = 0.25   # of the best language; a text that no language fits goes
 
+TOGETHER = 2_000_000          # bytes of text that a worker holds as Python strings
+
 
 def _filtered(docs: DataFrame, keep) -> DataFrame:
     """``docs`` without the rows that ``keep`` (texts -> booleans) rejects; all columns
@@ -29,7 +31,7 @@ def _filtered(docs: DataFrame, keep) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches):
-        for batch in (part for whole in batches for part in runs(whole, at)):
+        for batch in (part for whole in batches for part in runs(whole, at, TOGETHER)):
             yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
 
     return in_arrow(docs, run, docs.schema)
@@ -67,7 +69,7 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the kept documents in sequences of at most 1024 tokens."""
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack(docs, tokenizer, public_tokenizers.PATTERN, capacity=1024, end_id=0, remembered=100_000)
+    return packing.pack(docs, tokenizer, public_tokenizers.PATTERN, capacity=1024, end_id=0, remembered=100_000, together=TOGETHER)
 
 
 STAGES = [

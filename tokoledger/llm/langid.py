@@ -244,7 +244,7 @@ def judge(net: Network | None, texts: list[str | None]) -> list[tuple[str, float
 
 def _predict(net: Network | None):
     def run(batches):
-        for batch in (part for whole in batches for part in runs(whole, 1)):
+        for batch in (part for whole in batches for part in runs(whole, 1, 2_000_000)):
             found = judge(net, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())],

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tokoledger.llm.common import in_arrow
-from tokoledger.llm.pretokens import KEPT, CachedEncoder, runs
+from tokoledger.llm.pretokens import KEPT, SLICE, CachedEncoder, runs
 
 WINDOWS = 128     # windows that one differencing run fills
 SLACK = 16        # tokens a window that are left free, so that near-equal windows stay within capacity
@@ -93,7 +93,7 @@ COLUMNS = {
 }
 
 
-def _pack(path: str, pattern: str, capacity: int, end_id: int, remembered: int):
+def _pack(path: str, pattern: str, capacity: int, end_id: int, remembered: int, together: int):
     def run(batches):
         import os
 
@@ -121,7 +121,7 @@ def _pack(path: str, pattern: str, capacity: int, end_id: int, remembered: int):
                 [pa.array(c, t) for c, t in zip(zip(*rows), COLUMNS.values(), strict=True)], list(COLUMNS)
             )
 
-        for part in (part for batch in batches for part in runs(batch, 1)):
+        for part in (part for batch in batches for part in runs(batch, 1, together)):
             encoded = encode([t or "" for t in part.column(1).to_pylist()])
             for doc_id, ids in zip(part.column(0).to_pylist(), encoded, strict=True):
                 ids += end
@@ -148,7 +148,7 @@ def _pack(path: str, pattern: str, capacity: int, end_id: int, remembered: int):
     return run
 
 
-def pack(docs: DataFrame, path: str, pattern: str, capacity: int = 1024, end_id: int = 0, remembered: int = KEPT) -> DataFrame:
+def pack(docs: DataFrame, path: str, pattern: str, capacity: int = 1024, end_id: int = 0, remembered: int = KEPT, together: int = SLICE) -> DataFrame:
     """One row per piece of a document: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset. A document's tokens are those of its whole text and
     ``end_id``; a null or empty text has the end id alone. Each token lies in
@@ -157,10 +157,11 @@ def pack(docs: DataFrame, path: str, pattern: str, capacity: int = 1024, end_id:
     Rows without a doc_id and repeated rows are packed like any other (the
     repeated row's pieces come again). An empty table has no pieces. Strings of
     special tokens in a text are ordinary text. Further columns are not read.
-    ``remembered`` words are kept by each worker to save time; it changes no row.
+    ``remembered`` words are kept by each worker to save time, and ``together`` bytes
+    of text are encoded at once; neither changes a row.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return in_arrow(
-        rows, _pack(path, pattern, capacity, end_id, remembered),
+        rows, _pack(path, pattern, capacity, end_id, remembered, together),
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
     )
