@@ -26,3 +26,23 @@ def test_standin_same_in_both_engines(spark, small_sf, duck, name):
     distinct_spark = df.agg(*[F.countDistinct(F.col(f"`{c}`")) for c in df.columns]).first()
     assert df.count() == n_duck
     assert tuple(distinct_spark) == tuple(distinct_duck)
+
+
+def test_every_event_is_a_redemption_of_one_channel(spark, small_sf):
+    from tokoledger.sources.tables import from_testdata
+
+    tables = from_testdata(spark, small_sf)
+    events = spark.read.parquet(f"{small_sf}/events.parquet").count()
+    assert tables["point_redeem"].count() == events
+    channels = ("point_redeem_detail", "point_redeem_detail_cashback", "ppob_transaction_master", "ewallet_transaction_master")
+    assert sum(tables[c].select("redeem_no").distinct().count() for c in channels) == events
+    assert tables["redeem_item"].count() == spark.read.parquet(f"{small_sf}/part.parquet").count()
+
+
+def test_an_open_period_end_has_no_upper_bound(spark):
+    import datetime as dt
+
+    from tokoledger.operators.sales import within_window
+
+    rows = spark.sql("SELECT timestamp_ntz'2024-05-01 10:00:00' AS invoice_date UNION ALL SELECT timestamp_ntz'1990-01-01 00:00:00'")
+    assert within_window(rows, (dt.date(2000, 1, 1), dt.date.max)).count() == 1

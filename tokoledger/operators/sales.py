@@ -66,7 +66,10 @@ def within_window(df: DataFrame, window, column: str = "invoice_date") -> DataFr
     if window is None:
         return df.limit(0)
     lo, hi = window
-    return df.filter((F.col(column) >= ts_lit(lo)) & (F.col(column) < ts_lit(hi + dt.timedelta(days=1))))
+    kept = df.filter(F.col(column) >= ts_lit(lo))
+    if hi == dt.date.max:  # an open end: there is no day after it
+        return kept
+    return kept.filter(F.col(column) < ts_lit(hi + dt.timedelta(days=1)))
 
 
 def basepack_lines(invoice_lines: DataFrame, products_basepack: DataFrame, p: SalesParams = SalesParams()) -> DataFrame:

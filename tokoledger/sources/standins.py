@@ -282,17 +282,25 @@ FROM {so_outlets} WHERE sk % 19 <> 0
 """)
 
 # redemptions = events; channel event_id % 4: 0 catalogue/OVO, 1 cashback, 2 PPOB, 3 e-wallet
+# every event belongs to an outlet: users beyond the outlets are dealt over all of them
+_table("so_events", """
+SELECT event_id, ts, value,
+       CASE WHEN user_id IN (SELECT s_suppkey FROM {supplier}) THEN user_id
+            ELSE (SELECT MIN(s_suppkey) FROM {supplier}) + user_id % (SELECT COUNT(*) FROM {supplier}) END AS user_id
+FROM {events}
+""")
+
 _table("point_redeem", """
 SELECT 'RD' || CAST(event_id AS STRING) AS redeem_no, ts AS redeem_date,
        CAST(user_id AS STRING) AS user_id,
-       'G' || CAST(event_id % 45 AS STRING) AS gift_code,
+       CASE WHEN event_id % 45 >= 40 THEN 'X' ELSE 'G' END || CAST(event_id % 45 AS STRING) AS gift_code,
        CAST(FLOOR(value) AS DECIMAL(18,4)) AS point_redeem,
        CAST(CAST(FLOOR(value) AS DECIMAL(18,4)) * 4000 AS DECIMAL(22,4)) AS amount,
        CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 3 = 0 THEN 'Failed'
             ELSE 'DIPROSES' END AS status_delivery,
        CAST(1995 + event_id % 7 AS INT) AS point_year,
        event_id
-FROM {events}
+FROM {so_events}
 """)
 
 _table("point_redeem_detail", """
@@ -331,7 +339,7 @@ SELECT 'G' || CAST(p_partkey AS STRING) AS redeem_code,
        CASE WHEN p_partkey = 39 THEN NULL
             WHEN p_partkey % 7 = 6 THEN CAST(100000 AS DECIMAL(18,4))
             ELSE CAST(50 + p_partkey * 25 AS DECIMAL(18,4)) END AS point
-FROM {part} WHERE p_partkey < 40
+FROM {part}
 """)
 
 _table("new_point_balance", """
@@ -339,9 +347,9 @@ SELECT outlet_id, CAST(acctbal AS DECIMAL(18,4)) AS remain_point FROM {so_outlet
 """)
 
 _table("log_validasi_redeem", """
-SELECT CAST(user_id AS STRING) AS user_id, 'G' || CAST(event_id % 45 AS STRING) AS redeem_code,
+SELECT CAST(user_id AS STRING) AS user_id, CASE WHEN event_id % 45 >= 40 THEN 'X' ELSE 'G' END || CAST(event_id % 45 AS STRING) AS redeem_code,
        ts AS created_date
-FROM {events}
+FROM {so_events}
 """)
 
 # redemption requests: one per outlet (some unknown outlets), a second one for some
@@ -354,7 +362,7 @@ SELECT CASE WHEN o.sk % 25 = 3 THEN 'X' || o.outlet_id ELSE o.outlet_id END AS o
        CASE WHEN o.sk % 4 = 0 AND e.last_ts IS NOT NULL THEN e.last_ts + INTERVAL '1' MINUTE
             ELSE TIMESTAMP '2024-02-01 09:00:00' END AS request_ts
 FROM {so_outlets} o
-LEFT JOIN (SELECT user_id, MAX(ts) AS last_ts FROM {events} GROUP BY user_id) e ON o.sk = e.user_id
+LEFT JOIN (SELECT user_id, MAX(ts) AS last_ts FROM {so_events} GROUP BY user_id) e ON o.sk = e.user_id
 UNION ALL
 SELECT o.outlet_id, 'G' || CAST((o.sk + 7) % 40 AS STRING), CAST(1 AS INT),
        CAST(1995 + o.sk % 7 AS INT), 'RQ' || CAST(o.sk AS STRING) || '-2',

@@ -40,16 +40,16 @@ KEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "outlet_basepack_target_detail": ("activity_id", "outlet_id", "basepack_title", "status", "status_id"),
     "target_growth": ("activity_id", "Outlet_id", "Cluster"),
     "temp_master_data_uli": ("KODE_TOKO", "KODE_DIS"),
-    "summary_outlet": ("KODE_OUTLET",),
+    "summary_outlet": ("KODE_OUTLET", "AREA"),
     "outlet_monthly_mapping": ("outlet_code",),
     "master_peserta": ("KODE_OUTLET",),
-    "user_info": ("user_id",),
-    "point_redeem": ("redeem_no", "user_id", "gift_code"),
+    "user_info": ("user_id", "outlet_id"),
+    "point_redeem": ("redeem_no", "user_id", "gift_code", "status_delivery"),
     "point_redeem_detail": ("redeem_no", "outlet_id"),
     "point_redeem_detail_cashback": ("redeem_no", "outlet_id"),
     "ppob_transaction_master": ("redeem_no", "outlet_id"),
     "ewallet_transaction_master": ("redeem_no", "outlet_id"),
-    "redeem_item": ("redeem_code",),
+    "redeem_item": ("redeem_code", "type_code", "vendor_code"),
     "new_point_balance": ("outlet_id",),
     "log_validasi_redeem": ("user_id",),
     "alamat_pengiriman": ("outlet_id",),
