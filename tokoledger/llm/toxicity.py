@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokoledger.llm.common import id_bucket, in_arrow, stored
+from tokoledger.llm.pretokens import runs
 
 SAMPLE = {1: 2500, 0: 5000}   # labelled documents of each class that are indexed, about
 NEIGHBOURS = 15
@@ -154,7 +155,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float
 
 
 def _term_rows(batches):
-    for batch in batches:
+    for batch in (part for whole in batches for part in runs(whole, 2, 2_000_000)):
         found = [terms_of(t) for t in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array([list(c) for c in found], pa.list_(pa.string())),
