@@ -66,6 +66,21 @@ def test_redemption_rounds_are_idempotent_and_chain(spark, tables):
     assert sink.read("notifications").count() == gates.filter("accepted").count()
 
 
+def test_a_second_batch_keeps_the_first_and_an_empty_rewrite_clears_its_round(spark, tables):
+    sink = ParquetSink(spark, tempfile.mkdtemp(prefix="tl-insert-"))
+    requests = tables["requests"].unionByName(tables["requests"])     # each delivered twice
+    end = batches.run_redemption_batch(tables, sink, requests, p=catalog.REDEEM)
+    first = table_rows(sink.read("point_redeem").toArrow())[1]
+    stored = sink.read("point_redeem")
+    assert stored.count() == stored.select("redeem_no").distinct().count() > 0
+    later = tables["requests"].withColumn("redeemno", F.concat("redeemno", F.lit("-n")))
+    batches.run_redemption_batch(tables, sink, later, p=catalog.REDEEM)
+    assert table_rows(sink.read("point_redeem").filter(F.col("round_id") < end).toArrow())[1] == first
+    old = sink.read("notifications").filter("round_id = 0").drop("round_id")
+    sink.write_round("notifications", spark.createDataFrame([], old.schema), 0)
+    assert sink.read("notifications").filter("round_id = 0").count() == 0
+
+
 def test_redemption_stream(spark, tables):
     root = tempfile.mkdtemp(prefix="tl-stream-")
     src = f"{root}/requests"
@@ -79,6 +94,9 @@ def test_redemption_stream(spark, tables):
     assert q.exception() is None
     gates = sink.read(batches.GATE_TABLE)
     assert gates.select("round_id").distinct().count() >= 1
+    left = gates.filter("reject_reason = 'deferred'").select("redeemno").join(
+        gates.filter("reject_reason IS NULL OR reject_reason <> 'deferred'"), "redeemno", "left_anti")
+    assert left.count() == 0                                          # the last micro-batch decides all
     assert sink.read("point_redeem").count() == gates.filter("accepted").count()
 
 

@@ -48,11 +48,11 @@ def redemption_gate(
     balance computed from ``ledger`` and ``stored_balance``.
     """
     req = requests.select("outlet_id", "giftcode", "qty", F.col("year").cast("int").alias("year"), "redeemno",
-                          "request_ts")
+                          "request_ts").distinct()      # a request delivered twice counts once
 
     # earliest request per outlet (an aggregate, so a busy outlet combines map-side)
     first = req.groupBy(F.col("outlet_id").alias("f_outlet")).agg(
-        F.min(F.struct("request_ts", "redeemno")).alias("f_first"))
+        F.min(F.struct("request_ts", "redeemno", "giftcode", "qty", "year")).alias("f_first"))
 
     people = users.groupBy(F.col("outlet_id").alias("u_outlet")).agg(
         F.count(F.lit(1)).alias("n_users"), F.max("user_id").alias("user_id"))
@@ -90,7 +90,7 @@ def redemption_gate(
     cek_poin = F.when(remaining < 0, F.lit(1)).otherwise(F.lit(0))
     cutoff = F.col("request_ts") - F.make_dt_interval(mins=F.lit(p.cooldown_minutes))
     cek_status = F.when(F.col("last_log") >= cutoff, F.lit(1)).otherwise(F.lit(0))
-    is_first = F.struct("request_ts", "redeemno") == F.col("f_first")
+    is_first = F.struct("request_ts", "redeemno", "giftcode", "qty", "year") == F.col("f_first")
     info_rows = F.col("n_users") * F.greatest(F.coalesce(F.col("n_part"), F.lit(0)), F.lit(1))
     reason = (
         F.when(~is_first, F.lit("deferred"))

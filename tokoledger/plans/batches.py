@@ -125,7 +125,7 @@ def _write_round(t: Tables, sink: Sink, requests: DataFrame, round_id: int, p: R
     return gate
 
 
-def run_redemption_round(t: Tables, sink: Sink, requests: DataFrame, round_id: int = 0,
+def run_redemption_round(t: Tables, sink: Sink, requests: DataFrame, round_id: int | None = None,
                          p: RedeemParams = RedeemParams()) -> DataFrame:
     """Validate a batch of requests against the current tables, store the rows
     of the accepted ones (point_redeem, point_redeem_detail, notifications)
@@ -135,15 +135,18 @@ def run_redemption_round(t: Tables, sink: Sink, requests: DataFrame, round_id: i
     its own ``round_id`` partition, so re-running a round after a failure
     gives the same rows instead of duplicates. Requests of an outlet that
     already had one in this round come back ``deferred`` and are stored as
-    ``redeem_deferred`` for round ``round_id + 1``.
+    ``redeem_deferred`` for round ``round_id + 1``. Without a ``round_id`` the
+    round comes after all stored ones; only a retry names the id it repeats.
     """
+    if round_id is None:
+        round_id = sink.next_round(GATE_TABLE)
     return _write_round(t, sink, requests, round_id, p, _round_ledger(t, sink, round_id, p), None)
 
 
 BASE_BALANCE_TABLE = "redeem_batch_balance"
 
 
-def run_redemption_batch(t: Tables, sink: Sink, requests: DataFrame, first_round: int = 0,
+def run_redemption_batch(t: Tables, sink: Sink, requests: DataFrame, first_round: int | None = None,
                          p: RedeemParams = RedeemParams()) -> int:
     """Rounds until no request is deferred; returns the next free round id.
 
@@ -152,8 +155,12 @@ def run_redemption_batch(t: Tables, sink: Sink, requests: DataFrame, first_round
     balance of every requested (outlet, year) is computed once per batch and
     stored; a round subtracts the points this batch has already accepted
     (they always count: the gift exists and the row is 'DIPROSES'), so later
-    rounds only touch the deferred requests.
+    rounds only touch the deferred requests. Without a ``first_round`` the
+    batch comes after all stored rounds, so rows of earlier batches stay; only
+    a retry of the same batch names the round it started with.
     """
+    if first_round is None:
+        first_round = sink.next_round(GATE_TABLE)
     pairs = requests.select("outlet_id", F.col("year").cast("int").alias("year")).distinct()
     base = sink.overwrite(BASE_BALANCE_TABLE, points.point_balance(
         pairs, _round_ledger(t, sink, first_round, p), t["new_point_balance"], p.points, pairs_source=requests))

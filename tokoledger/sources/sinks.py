@@ -44,7 +44,7 @@ class Sink:
         them as stored. Re-running a round after a failure rewrites its own
         partition only, so retries never duplicate rows."""
         stamped = df.withColumn(ROUND, F.lit(int(round_id)).cast("long"))
-        self._overwrite_partition(name, stamped)
+        self._replace_round(name, stamped, int(round_id))
         return self.read(name, stamped.schema).filter(F.col(ROUND) == int(round_id)).drop(ROUND)
 
     def read_rounds(self, name: str, before: int) -> DataFrame | None:
@@ -53,7 +53,14 @@ class Sink:
             return None
         return self.read(name).filter(F.col(ROUND) < int(before)).drop(ROUND)
 
-    def _overwrite_partition(self, name: str, df: DataFrame) -> None:
+    def next_round(self, name: str) -> int:
+        """The first round id that ``name`` does not hold yet."""
+        if not self.exists(name):
+            return 0
+        last = self.read(name).agg(F.max(ROUND)).first()[0]
+        return 0 if last is None else int(last) + 1
+
+    def _replace_round(self, name: str, df: DataFrame, round_id: int) -> None:
         raise NotImplementedError
 
 
@@ -78,9 +85,9 @@ class ParquetSink(Sink):
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(self.path(name))
 
-    def _overwrite_partition(self, name: str, df: DataFrame) -> None:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(ROUND)
-         .parquet(self.path(name)))
+    def _replace_round(self, name: str, df: DataFrame, round_id: int) -> None:
+        # the round's own folder, so that a rewrite without rows clears it as well
+        df.drop(ROUND).write.mode("overwrite").parquet(f"{self.path(name)}/{ROUND}={round_id}")
 
     def exists(self, name: str) -> bool:
         try:
@@ -110,17 +117,12 @@ class CatalogSink(Sink):
     def read(self, name: str, schema=None) -> DataFrame:
         return self.spark.table(self.table(name))
 
-    def _overwrite_partition(self, name: str, df: DataFrame) -> None:
+    def _replace_round(self, name: str, df: DataFrame, round_id: int) -> None:
         if not self.exists(name):
             df.write.partitionBy(ROUND).saveAsTable(self.table(name))
             return
-        key = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(key)
-        self.spark.conf.set(key, "dynamic")
-        try:
-            df.select(*self.read(name).columns).write.insertInto(self.table(name), overwrite=True)
-        finally:
-            self.spark.conf.set(key, before)
+        self.spark.sql(f"ALTER TABLE {self.table(name)} DROP IF EXISTS PARTITION ({ROUND} = {round_id})")
+        df.select(*self.read(name).columns).write.insertInto(self.table(name))
 
     def exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(self.table(name))

@@ -79,6 +79,7 @@ class Tables:
     def __init__(self, loader: Callable[[str], DataFrame]):
         self._loader = loader
         self._frames: dict[str, DataFrame] = {}
+        self._given: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -89,6 +90,14 @@ class Tables:
         """Same source with some tables replaced (e.g. hand-made test rows)."""
         out = Tables(self._loader)
         out._frames = {**self._frames, **frames}
+        out._given = {**self._given, **frames}
+        return out
+
+    def reloaded(self) -> "Tables":
+        """Same source with every table opened anew, so that rows stored since count."""
+        out = Tables(self._loader)
+        out._given = dict(self._given)
+        out._frames = dict(self._given)
         return out
 
 
@@ -98,6 +107,7 @@ def from_frames(**frames: DataFrame) -> Tables:
 
     out = Tables(missing)
     out._frames = dict(frames)
+    out._given = dict(frames)
     return out
 
 

@@ -2,11 +2,11 @@
 
 The reference handles one request per procedure call, each seeing the
 balance left by the calls before it. As Structured Streaming: requests arrive
-as files (or any streaming source); every micro-batch is one redemption round
-(``plans.batches.run_redemption_round``) with the micro-batch id as round id.
-A round takes at most one request per outlet; the others are deferred into
-the next micro-batch, whose balance includes the rows this one stored. A
-micro-batch that is re-run after a failure rewrites only its own round.
+as files (or any streaming source); every micro-batch is one redemption batch
+(``plans.batches.run_redemption_batch``) over tables opened anew, and decides
+all its requests. Its round ids start at a multiple of ``ROUNDS`` that the
+micro-batch id gives, so a micro-batch that is re-run after a failure rewrites
+only its own rounds.
 """
 
 from __future__ import annotations
@@ -15,24 +15,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..params import RedeemParams
-from ..plans.batches import pending_requests, run_redemption_round
+from ..plans.batches import run_redemption_batch
 from ..sources.sinks import Sink
 from ..session import checkpoint_dir
 from ..sources.tables import Tables
 
 REQUEST_SCHEMA = ("outlet_id string, giftcode string, qty int, year int, redeemno string, "
                   "request_ts timestamp_ntz")
+ROUNDS = 1 << 32     # round ids of a micro-batch
 REQUEST_COLUMNS = ("outlet_id", "giftcode", "qty", "year", "redeemno", "request_ts")
 
 
 def redemption_round_writer(tables: Tables, sink: Sink, p: RedeemParams = RedeemParams(), first_round: int = 0):
-    """``foreachBatch`` function: micro-batch ``n`` is redemption round
-    ``first_round + n``."""
+    """``foreachBatch`` function: the rounds of micro-batch ``n`` start at
+    ``first_round + n * ROUNDS``."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        round_id = first_round + batch_id
-        requests = pending_requests(sink, batch.select(*REQUEST_COLUMNS), round_id)
-        run_redemption_round(tables, sink, requests, round_id=round_id, p=p)
+        run_redemption_batch(tables.reloaded(), sink, batch.select(*REQUEST_COLUMNS), first_round + batch_id * ROUNDS, p)
 
     return process
 
