@@ -1,7 +1,7 @@
 #!/usr/bin/env python
 """Bench: every registered query at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-1. prepare -- the stand-in loyalty tables are derived from the test data and
+1. prepare -- the stand-in tables are derived from the test data and
    written once as Parquet (what a deployment reads instead of the stand-ins);
 2. run -- each query is executed to a ``noop`` sink over those Parquet tables,
    three times; the fastest run counts (the first also warms the JVM).

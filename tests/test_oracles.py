@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_compare import compare, duck_connection
+from tokoledger.catalog import builders
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = {name: q for name, q in entry.queries().items() if name in builders()}
+ORACLES = {name: q for name, q in entry.oracle_sql().items() if name in builders()}
 
 
 @pytest.fixture(scope="module")

@@ -16,7 +16,7 @@ def duck(small_sf):
     return duck_connection(small_sf)
 
 
-@pytest.mark.parametrize("name", standins.LOYALTY_TABLES)
+@pytest.mark.parametrize("name", standins.STANDIN_TABLES)
 def test_standin_same_in_both_engines(spark, small_sf, duck, name):
     df = catalog.standin_tables(spark, small_sf)[name]
     cte = standins.cte_prefix([name])

@@ -1,4 +1,4 @@
-"""tokoledger -- retail loyalty-programme analytics on Spark.
+"""tokoledger -- retail rewards-programme analytics on Spark.
 
 Operators (``tokoledger.operators``) are functions of DataFrames plus a
 parameter object (``tokoledger.params``):

@@ -1,9 +1,9 @@
 """Command line: the reference's procedures as batch jobs.
 
-    python -m tokoledger growth-basepack  --tables /data/loyalty --sink /shared/out
-    python -m tokoledger activity-quarter --tables /data/loyalty --sink /shared/out --quarter Q3 --year 2025
-    python -m tokoledger daily-report     --tables /data/loyalty --sink /shared/out --year 2025
-    python -m tokoledger redeem           --tables /data/loyalty --sink /shared/out --requests /data/requests \
+    python -m tokoledger growth-basepack  --tables /data/tables --sink /shared/out
+    python -m tokoledger activity-quarter --tables /data/tables --sink /shared/out --quarter Q3 --year 2025
+    python -m tokoledger daily-report     --tables /data/tables --sink /shared/out --year 2025
+    python -m tokoledger redeem           --tables /data/tables --sink /shared/out --requests /data/requests \
                                           [--ledger-years 2018-2025] [--round N]
 
 ``--tables`` is a folder with one Parquet dataset per reference table, or

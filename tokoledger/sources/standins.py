@@ -1,4 +1,4 @@
-"""Stand-in loyalty tables derived from the driver's TPC-H-style test data.
+"""Stand-in rewards tables derived from the driver's TPC-H-style test data.
 
 Each table is one SQL text over the test tables (``{name}`` marks a table
 reference). The same text runs in Spark (``spark.sql`` with DataFrame
@@ -13,6 +13,8 @@ import datetime as dt
 import re
 from collections.abc import Iterable
 
+from ..functions import texts
+
 BASE_TABLES = ("region", "nation", "supplier", "part", "orders", "lineitem", "events")
 
 _SQL: dict[str, str] = {}
@@ -304,14 +306,14 @@ FROM {so_events}
 """)
 
 _table("point_redeem_detail", """
-SELECT p.redeem_no, o.outlet_id, 'loyalty' AS redeem_type
+SELECT p.redeem_no, o.outlet_id, '<type>' AS redeem_type
 FROM {point_redeem} p JOIN {so_outlets} o ON p.user_id = CAST(o.sk AS STRING)
 WHERE p.event_id % 4 = 0
 UNION ALL
-SELECT p.redeem_no, o.outlet_id, 'loyalty'
+SELECT p.redeem_no, o.outlet_id, '<type>'
 FROM {point_redeem} p JOIN {so_outlets} o ON p.user_id = CAST(o.sk AS STRING)
 WHERE p.event_id % 4 = 0 AND p.event_id % 29 = 0
-""")
+""".replace("<type>", texts.REDEEM_TYPE))
 
 _table("point_redeem_detail_cashback", """
 SELECT p.redeem_no, o.outlet_id
@@ -371,7 +373,7 @@ FROM {so_outlets} o WHERE o.sk % 10 = 7
 """)
 
 # tables a user of the library supplies (everything but the so_* helpers)
-LOYALTY_TABLES = tuple(n for n in _SQL if not n.startswith("so_"))
+STANDIN_TABLES = tuple(n for n in _SQL if not n.startswith("so_"))
 
 # ---------------------------------------------------------------------------
 # parameters that fit the stand-in dates (orders span 1995-2001, events 2024-01)

@@ -1,4 +1,4 @@
-"""Loyalty table sources.
+"""Table sources.
 
 ``Tables`` maps a reference table name (``invoice_master``, ``point_redeem`` ...)
 to a DataFrame. Three sources:
@@ -156,8 +156,8 @@ SORT_ON_WRITE = {
 }
 
 
-def materialize(tables: Tables, root: str, names=standins.LOYALTY_TABLES, sort: bool = False) -> None:
-    """Write every loyalty table once as Parquet under ``root``.
+def materialize(tables: Tables, root: str, names=standins.STANDIN_TABLES, sort: bool = False) -> None:
+    """Write every table once as Parquet under ``root``.
 
     ``sort=True`` orders the fact tables inside each file (``SORT_ON_WRITE``):
     worth it when files hold many row groups (large data); at a few MB per
