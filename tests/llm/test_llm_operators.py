@@ -144,6 +144,20 @@ def test_license_digests(spark, awkward, empty):
     assert license_digest.license_scan(awkward).count() == len(AWKWARD) and license_digest.license_scan(empty).count() == 0
 
 
+def test_whole_license_texts_and_titles(spark):
+    from pathlib import Path
+
+    whole = {p.stem: p.read_text() for p in (Path(license_digest.__file__).parent / "licenses").glob("*.txt")}
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"} <= whole.keys()
+    texts = list(whole.items()) + [(k, whole[k][:whole[k].index("END OF TERMS")]) for k in ("Apache-2.0", "GPL-3.0")]
+    texts += [
+        (k, f"{title}\n\nCopyright (c) 2020 A\n\n{license_digest.KNOWN[k][0]}")
+        for k, title in (("ISC", "ISC License"), ("BSD-2-Clause", "BSD 2-Clause License"), ("BSD-3-Clause", "BSD 3-Clause License"), ("Zlib", "zlib License"), ("Unlicense", "The Unlicense"))
+    ]
+    rows = license_digest.license_scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.license_id for r in rows} == {i: k for i, (k, _) in enumerate(texts)}
+
+
 def test_token_counts_equal_the_unigram_tokenizer(awkward, empty, docs):
     vocabulary = token_count.load_vocabulary(PIECES)
     plain = Tokenizer(models.Unigram(vocabulary, unk_id=0, byte_fallback=True))

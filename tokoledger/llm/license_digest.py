@@ -8,6 +8,9 @@ expression makes the form on both sides. DataFrame operations only.
 
 from __future__ import annotations
 
+import re
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,16 +71,67 @@ in a product, an acknowledgment in the product documentation would be appreciate
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 
 3. This notice may not be removed or altered from any source distribution."""
+FOLDER = "licenses"   # beside this file: whole texts, one file a licence, named by its id
+# fixed values: usual title lines above a text
+TITLES = {
+    "MIT": ("MIT", "MIT License", "The MIT License", "MIT License (MIT)", "The MIT License (MIT)", "Expat License", "MIT/Expat License"),
+    "0BSD": ("0BSD", "BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "BSD 0-Clause License", "Zero-Clause BSD (0BSD)"),
+    "ISC": ("ISC", "ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC License (ISCL)"),
+    "BSD-2-Clause": (
+        "BSD-2-Clause", "BSD 2-Clause License", "The BSD 2-Clause License", "BSD-2-Clause License", "The 2-Clause BSD License", "2-Clause BSD License",
+        'BSD 2-Clause "Simplified" License', 'The BSD 2-Clause "Simplified" License', "Simplified BSD License", "The Simplified BSD License",
+        "FreeBSD License", "BSD License", "The BSD License",
+    ),
+    "BSD-3-Clause": (
+        "BSD-3-Clause", "BSD 3-Clause License", "The BSD 3-Clause License", "BSD-3-Clause License", "The 3-Clause BSD License", "3-Clause BSD License",
+        'BSD 3-Clause "New" or "Revised" License', 'The BSD 3-Clause "New" or "Revised" License', "New BSD License", "The New BSD License", "Modified BSD License",
+        "Revised BSD License", "BSD License", "The BSD License",
+    ),
+    "Zlib": ("zlib", "zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License", "zlib License (Zlib)"),
+    "BSL-1.0": ("Boost Software License 1.0", "BSL-1.0"),
+    "Unlicense": ("Unlicense", "The Unlicense", "Unlicense License"),
+}
+
+
+def _numberless(text: str) -> str:
+    """The same conditions as a bulleted list."""
+    return re.sub(r"(?m)^[ \t]*[1-3]\. ", "* ", text)
+
+
+def _whole(license_id: str) -> tuple[str, ...]:
+    """The file's text as it is and in its usual cuts: without the appendix that tells how to
+    apply the licence, and of CC0 without the line above its title."""
+    text = (files(__package__) / FOLDER / f"{license_id}.txt").read_text(encoding="utf-8")
+    out = [text]
+    end = re.search(r"END OF TERMS AND CONDITIONS", text)
+    if end:
+        out += [text[:end.end()], text[:end.start()]]
+    if license_id == "CC0-1.0":
+        out.append(text[text.index("CC0 1.0 Universal"):])
+    return tuple(out)
+
+
+def _titled(license_id: str, *bodies: str) -> tuple[str, ...]:
+    return (*bodies, *(f"{title}\n\n{body}" for title in TITLES.get(license_id, ()) for body in bodies))
+
+
+_BSD_2, _BSD_3, _BSD_REGENTS = _BSD_START + _BSD_END, _BSD_START + _BSD_THIRD + _BSD_END, _whole("BSD-3-Clause")[0]
+_ISC = f"{_ISC_GRANT}, provided that the above copyright notice and this permission notice appear in all copies.\n\n{_ISC_END}"
 KNOWN = {
-    "MIT": (_MIT, "MIT License\n\n" + _MIT, "The MIT License\n\n" + _MIT, "Released under the MIT License."),
-    "0BSD": (f"{_ISC_GRANT}.\n\n{_ISC_END}",),
-    "ISC": (f"{_ISC_GRANT}, provided that the above copyright notice and this permission notice appear in all copies.\n\n{_ISC_END}",),
-    "BSD-2-Clause": (_BSD_START + _BSD_END,),
-    "BSD-3-Clause": (_BSD_START + _BSD_THIRD + _BSD_END,),
-    "Zlib": (_ZLIB,),
-    "Apache-2.0": ("Licensed under the Apache License, Version 2.0.",),
-    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.",),
+    "MIT": (*_titled("MIT", _MIT), "Released under the MIT License."),
+    "0BSD": _titled("0BSD", f"{_ISC_GRANT}.\n\n{_ISC_END}"),
+    "ISC": _titled("ISC", _ISC, _ISC.replace("and/or distribute", "and distribute")),
+    "BSD-2-Clause": _titled("BSD-2-Clause", _BSD_2, _numberless(_BSD_2)),
+    "BSD-3-Clause": _titled("BSD-3-Clause", _BSD_3, _numberless(_BSD_3), _BSD_REGENTS, _numberless(_BSD_REGENTS)),
+    "Zlib": _titled("Zlib", _ZLIB, _numberless(_ZLIB)),
+    "Apache-2.0": (*_whole("Apache-2.0"), "Licensed under the Apache License, Version 2.0."),
+    "GPL-3.0": (*_whole("GPL-3.0"), "This work is licensed under the GNU General Public License, version 3."),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.",),
+    "BSL-1.0": _titled("BSL-1.0", *_whole("BSL-1.0")),
+    "Unlicense": _titled("Unlicense", *_whole("Unlicense")),
+} | {
+    k: _whole(k)
+    for k in ("GPL-1.0", "GPL-2.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "GFDL-1.2", "GFDL-1.3", "MPL-1.1", "MPL-2.0", "CC0-1.0", "Artistic-1.0-Perl")
 }
 
 
@@ -96,7 +150,8 @@ def digest(text: Column) -> Column:
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
     """``(digest, license_id)``, one row a digest (of licences with the same canonical form the smaller id)."""
     rows = spark.createDataFrame([(k, t) for k, texts in known.items() for t in texts], "license_id string, text string")
-    return rows.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license_id").alias("license_id"))
+    found = rows.select(digest(F.col("text")), "license_id").orderBy(F.desc("license_id")).collect()  # a few hundred; the texts stay out of the plan
+    return spark.createDataFrame(list(dict(map(tuple, found)).items()), "digest string, license_id string")
 
 
 def license_scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
