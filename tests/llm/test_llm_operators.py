@@ -158,6 +158,34 @@ def test_whole_license_texts_and_titles(spark):
     assert {r.doc_id: r.license_id for r in rows} == {i: k for i, (k, _) in enumerate(texts)}
 
 
+def test_licenses_wrapped_at_any_width(spark, tmp_path):
+    import textwrap
+
+    import duckdb
+
+    def wrapped(text, width, mark=""):
+        parts = re.split(r"\n[ \t]*\n", text)
+        return f"\n{mark.rstrip()}\n".join(textwrap.fill(p, width, initial_indent=mark, subsequent_indent=mark, break_long_words=False) for p in parts)
+
+    notices = ["Copyright (c) 2020 A", "Copyright 2020-2024 A <a@b.org>\nCopyright © 2021 B", "(c) 2019 C\n(c) D", "Copyright The A Authors"]
+    cases = []
+    for k, texts in license_digest.KNOWN.items():
+        for text in texts[:3]:
+            cases += [(k, wrapped(text, width)) for width in (36, 50, 65, 72, 79, 100)]
+            cases += [(k, f"{mark}{mark.join(n.splitlines(True))}\n{mark}\n{wrapped(text, 72, mark)}") for mark, n in zip(("# ", "// ", " * ", "; "), notices)]
+    isc = license_digest.KNOWN["ISC"][0]
+    cut = isc.replace("the above copyright notice", "the above\ncopyright notice").replace("COPYRIGHT", "\nCOPYRIGHT")
+    cases += [("ISC", "Copyright 2020 A\n\n" + cut), (None, "Copyright 2020 A\n\n" + cut.replace("copyright notice and", "")), ("MIT", "Copyright (c) <year> <holder>\r\n\r\n" + license_digest.KNOWN["MIT"][0])]
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id long, text string")
+    rows = license_digest.license_scan(frame).collect()
+    got = {r.doc_id: r.license_id for r in rows}
+    assert not [(i, k, got[i], t[:200]) for i, (k, t) in enumerate(cases) if got[i] != k]
+    frame.write.parquet(f"{tmp_path}/documents")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    assert sorted(db.execute(license_digest.oracle()).fetchall()) == sorted((r.doc_id, r.digest, r.license_id) for r in rows)
+
+
 def test_token_counts_equal_the_unigram_tokenizer(awkward, empty, docs):
     vocabulary = token_count.load_vocabulary(PIECES)
     plain = Tokenizer(models.Unigram(vocabulary, unk_id=0, byte_fallback=True))

@@ -1,8 +1,8 @@
 """License scan: canonical digests of whole texts, looked up among known licences.
 
 A text and each known licence are brought to one canonical form: lower case,
-without copyright lines, equivalent spellings made equal, everything but letters
-and digits to single spaces. The SHA-256 of that form is joined by hash. One
+without copyright notices, everything but letters and digits to single spaces,
+equivalent spellings made equal. The SHA-256 of that form is joined by hash. One
 expression makes the form on both sides. DataFrame operations only.
 """
 
@@ -14,14 +14,27 @@ from importlib.resources import files
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# fixed values: spellings that licence texts use for the same thing
+# fixed values: spellings that licence texts use for the same thing, words with single spaces
 EQUIVALENT = (
-    ("licence", "license"), ("sub-license", "sublicense"), ("sub license", "sublicense"), ("non-commercial", "noncommercial"),
-    ("copyright owner", "copyright holder"), ("organisation", "organization"), ("favour", "favor"), ("per cent", "percent"),
-    ("acknowledgement", "acknowledgment"), ("whilst", "while"), ("http://", "https://"),
+    ("licence", "license"), ("sub license", "sublicense"), ("non commercial", "noncommercial"), ("copyright owner", "copyright holder"),
+    ("organisation", "organization"), ("favour", "favor"), ("per cent", "percent"), ("acknowledgement", "acknowledgment"), ("whilst", "while"), ("http ", "https "),
 )
-COPYRIGHT_LINE = r"\n[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*"
 NOT_WORD = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
+# notices that are part of licence texts, wherever a line is wrapped (a blank stands for anything between two words)
+OWN_NOTICES = "|".join((
+    "copyright (?:(?:c|©) )?(?:[0-9]{4} ){1,20}free software foundation inc", "copyright (?:(?:c|©) )?the regents of the university of california",
+    "copyright (?:(?:c|©) )?yyyy name of copyright owner", "copyright (?:(?:c|©) )?(?:year|19yy|19xx) (?:your name|name of author)",
+    "copyright (?:c|©) all rights reserved", "all rights reserved",
+    "51 franklin st(?:reet)? fifth floor boston ma 02110 1301(?: usa)?", "59 temple place suite 330 boston ma 02111 1307(?: usa)?",
+    "https? (?:www )?fsf org",
+)).replace(" ", NOT_WORD)
+# a notice line: after comment marks, copyright with (c), the sign, a year or a placeholder, or as the first word of a
+# paragraph; and the lines right below it that go on with the next holder
+_MARKS = r"[ \t\r/*#;%!<>|-]*"
+COPYRIGHT_LINE = (
+    rf"\n{_MARKS}(?:copyright[ \t:]*(?:\(c\)|©|&copy;|[0-9]{{4}}|[\[<{{(](?:year|yyyy))|©|\(c\)[ \t]*[0-9]{{4}}|\n{_MARKS}copyright[ \t:]+[^ \t\r\n])"
+    rf"[^\n]*(?:\n{_MARKS}(?:copyright[ \t:]|\(c\)|©)[^\n]*){{0,99}}"
+)
 
 # fixed values: texts of licences and of the usual notices
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
@@ -137,10 +150,11 @@ KNOWN = {
 
 def canonical(text: Column) -> Column:
     """The canonical form; null for null."""
-    form = F.regexp_replace(F.concat(F.lit("\n"), F.lower(text)), COPYRIGHT_LINE, "")
+    form = F.regexp_replace(F.concat(F.lit("\n\n"), F.lower(text)), OWN_NOTICES, " ")
+    form = F.trim(F.regexp_replace(F.regexp_replace(form, COPYRIGHT_LINE, ""), NOT_WORD, " "))
     for spelling, same in EQUIVALENT:
         form = F.replace(form, F.lit(spelling), F.lit(same))
-    return F.trim(F.regexp_replace(form, NOT_WORD, " "))
+    return form
 
 
 def digest(text: Column) -> Column:
@@ -171,10 +185,11 @@ def license_scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
 def oracle(known=KNOWN) -> str:
     """DuckDB SQL for the same rows."""
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
-    form = f"regexp_replace(chr(10) || lower(text), {quoted(COPYRIGHT_LINE)}, '', 'g')"
+    form = f"regexp_replace(chr(10) || chr(10) || lower(text), {quoted(OWN_NOTICES)}, ' ', 'g')"
+    form = f"trim(regexp_replace(regexp_replace({form}, {quoted(COPYRIGHT_LINE)}, '', 'g'), {quoted(NOT_WORD)}, ' ', 'g'))"
     for spelling, same in EQUIVALENT:
         form = f"replace({form}, {quoted(spelling)}, {quoted(same)})"
-    sha = f"sha256(trim(regexp_replace({form}, {quoted(NOT_WORD)}, ' ', 'g')))"
+    sha = f"sha256({form})"
     values = ", ".join(f"({quoted(k)}, {quoted(t)})" for k, texts in known.items() for t in texts)
     return f"""
 WITH known AS (SELECT {sha} AS digest, min(id) AS license_id FROM (VALUES {values}) AS t(id, text) GROUP BY 1),
