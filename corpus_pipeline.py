@@ -20,8 +20,6 @@ from tokoledger.llm.common import in_arrow, table
 from tokoledger.llm.pretokens import runs
 from tokoledger.session import checkpoint_dir
 
-LEAST_LANGUAGE_SCORE = 0.25   # of the best language; a text that no language fits goes
-
 TOGETHER = 2_000_000          # bytes of text that a worker holds as Python strings
 
 
@@ -38,14 +36,18 @@ def _filtered(docs: DataFrame, keep) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or that no learned language fits, go. If there is
-    nothing to learn from, only the former do."""
-    net = langid.fit(docs)
+    """Documents without a letter, or whose letters are not usual in the language that the
+    network gives them, go. If there is nothing to learn from, only the former do."""
+    languages, texts, labels = langid.draw(docs)
+    net = langid.train(texts, labels, languages) if any(texts) else None
+    usual = langid.usual(net, texts, labels) if net else None
+    number = {lang: k for k, lang in enumerate(languages)}
 
     def keep(texts):
         if net is None:
             return [langid.has_letter(t) for t in texts]
-        return [lang != langid.UNDETERMINED and score >= LEAST_LANGUAGE_SCORE for lang, score in langid.judge(net, texts)]
+        found = langid.judge(net, texts)
+        return [lang in number and langid.has_letter(t) and usual.fits(number[lang], t.encode()) for t, (lang, _) in zip(texts, found, strict=True)]
 
     return _filtered(docs, keep)
 

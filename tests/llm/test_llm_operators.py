@@ -374,3 +374,53 @@ def test_pipeline_stages_compose(spark, small_sf, tmp_path):
             assert kept == {r.doc_id for r in roots.collect()}
         docs = after
     assert {r.doc_id for r in docs.select("doc_id").distinct().collect()} == kept <= texts.keys()
+
+
+def test_language_stage_rejects_texts_of_no_language(spark, docs, small_sf):
+    from collections import Counter
+
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    rng = random.Random(6)
+    odd = [*("".join(rng.choices("abcdefghijklmnopqrstuvwxyz    ", k=n)) for n in (60, 200, 3000)), "数据处理与语言" * 9, "Быстрая лиса прыгает " * 5, "zxqj vwkz qqxz " * 9, "12 34", None]
+    for table in (docs, docs.where("lang = 'en'"), docs.where("lang in ('en', 'fr')")):
+        planted = spark.createDataFrame([(900_000 + i, t) for i, t in enumerate(odd)], "doc_id long, text string")
+        mixed = table.unionByName(planted.withColumn("lang", F.lit(None).cast("string")), allowMissingColumns=True)
+        kept = {r.doc_id for r in corpus_pipeline.language_stage(spark, mixed, small_sf).collect()}
+        rows = {r.doc_id: r.text for r in mixed.collect()}
+        assert not [i for i in kept if i >= 900_000]
+        assert len(kept) >= 0.99 * table.count()
+
+        # plain: pairs of letters counted in dictionaries
+        languages, texts, labels = langid.draw(mixed)
+        net = langid.train(texts, labels, languages)
+        usual = langid.usual(net, texts, labels)
+
+        def letter(b):
+            c = chr(b).lower()
+            return ord(c) - 96 if "a" <= c <= "z" else b - 101 if b >= 128 else 0
+
+        def plain_pairs(text):
+            c = [0] + [letter(b) for b in text]
+            return [(x, y) for x, y in zip(c, c[1:]) if y]
+
+        judged = {i: langid.judge(net, [t])[0][0] for i, t in rows.items()}
+        own = langid.document_probabilities(net, texts).argmax(axis=1)
+        models = {}
+        for k, lang in enumerate(languages):
+            mine = [plain_pairs(t) for t, y, p in zip(texts, labels, own) if y == k == p and plain_pairs(t)]
+            count = Counter(p for m in mine[::2] for p in m)
+            total = Counter()
+            for (x, _), n in count.items():
+                total[x] += n
+            models[lang] = lambda p, count=count, total=total: -math.log2((count[p] + 0.01) / (total[p[0]] + 155 * 0.01))
+        want = set()
+        for i, t in rows.items():
+            pairs = plain_pairs((t or "").encode())
+            if judged[i] in languages and pairs:
+                k = languages.index(judged[i])
+                mean = sum(map(models[judged[i]], pairs)) / len(pairs)
+                if mean <= usual.limit[k] + 3 * usual.spread[k] / math.sqrt(len(pairs)):
+                    want.add(i)
+        assert kept == want

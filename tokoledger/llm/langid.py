@@ -10,6 +10,7 @@ than a short one.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -200,10 +201,10 @@ def document_probabilities(net: Network, texts: list[bytes]) -> np.ndarray:
     return total / np.maximum(n, 1)[:, None]
 
 
-def fit(docs: DataFrame, holdout: int = 2, parts: int = 4, sample: int = SAMPLE, steps: int = STEPS) -> Network | None:
-    """Train on documents with a language whose id bucket is not ``holdout``: about
-    ``sample`` of each language, drawn by a hash of the id, and ``SAMPLE_CHARS``
-    characters of each at a random place. None if there is no such document."""
+def draw(docs: DataFrame, holdout: int = 2, parts: int = 4, sample: int = SAMPLE) -> tuple[list[str], list[bytes], list[int]]:
+    """Languages, texts and their languages' numbers, of documents with a language whose id
+    bucket is not ``holdout``: about ``sample`` of each language, drawn by a hash of the id,
+    and ``SAMPLE_CHARS`` characters of each at a random place."""
     usable = docs.where(
         F.col("lang").isNotNull() & (id_bucket(F.col("doc_id"), parts) != holdout) & F.col("text").isNotNull()
     ).select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
@@ -217,10 +218,76 @@ def fit(docs: DataFrame, holdout: int = 2, parts: int = 4, sample: int = SAMPLE,
         .groupBy("doc_id", "lang").agg(F.min("part").alias("part")).orderBy("doc_id", "lang")
         .limit(2 * sample * len(languages)).collect()
     ) if languages else []
-    texts, labels = [r.part.encode() for r in rows], [languages.index(r.lang) for r in rows]
+    number = {k: i for i, k in enumerate(languages)}
+    return languages, [r.part.encode() for r in rows], [number[r.lang] for r in rows]
+
+
+def fit(docs: DataFrame, holdout: int = 2, parts: int = 4, sample: int = SAMPLE, steps: int = STEPS) -> Network | None:
+    """Train on a sample of the labelled documents (see ``draw``). None if there is no such document."""
+    languages, texts, labels = draw(docs, holdout, parts, sample)
     return train(texts, labels, languages, steps) if any(texts) else None
 
 
+# classes of bytes: 0 for what is no letter, the letters a to z without their case, each byte beyond ASCII
+_CLASS = np.zeros(256, np.int16)
+_CLASS[65:91] = _CLASS[97:123] = np.arange(1, 27)
+_CLASS[128:] = np.arange(27, 155)
+_CLASSES = 155
+_PAIRS_OF = 1 << 18     # bytes whose pairs are held at once
+
+
+def _pairs(text: bytes, before: bytes = b" ") -> np.ndarray:
+    """Number of each letter of the text together with the byte before it."""
+    c = _CLASS[np.frombuffer(before + text, np.uint8)]
+    return (c[:-1] * _CLASSES + c[1:])[c[1:] > 0]
+
+
+@dataclass
+class Usual:
+    """How well a text fits one language, whatever the others are: the surprisal (bits) of a
+    letter after the byte before it, and the largest mean of a text that fits."""
+
+    bits: np.ndarray    # languages x pairs
+    limit: np.ndarray   # of a long text's mean
+    spread: np.ndarray  # of one letter's bits, which a short text's mean may be off by
+
+    def fits(self, language: int, text: bytes) -> bool:
+        total, n = 0.0, 0
+        for lo in range(0, len(text), _PAIRS_OF):
+            at = _pairs(text[lo:lo + _PAIRS_OF], text[lo - 1:lo] or b" ")
+            total, n = total + float(self.bits[language][at].sum(dtype=np.float64)), n + len(at)
+        return not n or bool(total / n <= self.limit[language] + 3 * self.spread[language] / math.sqrt(n))
+
+
+def usual(net: Network, texts: list[bytes], labels: list[int]) -> Usual:
+    """Learned from every other text of a language and calibrated on the rest. The limit lies
+    halfway between their median and the language's letters at random, and six deviations
+    (of the median) above the median at least. Texts that the network gives another
+    language do not count, unless there are no others."""
+    own = document_probabilities(net, texts).argmax(axis=1) == np.array(labels)
+    n = len(net.languages)
+    bits, limit, spread = np.zeros((n, _CLASSES * _CLASSES), np.float32), np.full(n, np.inf), np.zeros(n)
+    of: list[list] = [[] for _ in range(n)]
+    for t, label, ok in zip(texts, labels, own, strict=True):
+        if len(found := _pairs(t)):
+            of[label].append((ok, found))
+    for k, found in enumerate(of):
+        mine = [m for ok, m in found if ok] or [m for _, m in found]
+        if not mine:
+            continue
+        count = np.bincount(np.concatenate(mine[::2]), minlength=_CLASSES * _CLASSES).reshape(_CLASSES, _CLASSES)
+        table = -np.log2((count + 0.01) / (count + 0.01).sum(axis=1, keepdims=True))
+        bits[k] = table.reshape(-1)
+        rest = mine[1::2] or mine
+        mean = np.array([bits[k][m].mean() for m in rest])
+        middle = np.median(mean)
+        letters = np.nonzero(count.sum(axis=0) >= 0.001 * count.sum())[0]
+        chance = table[np.ix_(letters, letters)].mean()
+        limit[k] = middle + max((chance - middle) / 2, 6 * 1.4826 * float(np.median(np.abs(mean - middle))))
+        spread[k] = bits[k][np.concatenate(rest)].std()
+    return Usual(bits, limit, spread)
+
+
 def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
