@@ -226,6 +226,36 @@ def test_toxicity_neighbours_are_exact_and_found(spark, awkward, empty):
     assert {(r.score, r.predicted) for r in none} == {(0.0, 0)} and toxicity.toxicity(empty, labels).count() == 0
 
 
+def test_toxicity_of_rare_words_over_whole_texts(spark):
+    rng = random.Random(8)
+    common, rows = [f"w{i}" for i in range(30)], []
+    for i in range(900):  # 100 rare toxic words, each in few texts: none is a telling term
+        toxic = i % 3 == 0
+        pair = [f"vile{i // 3 % 50}", f"scum{i // 3 % 50}"] * 3 if toxic else [f"calm{i}"]
+        rows.append((i, " ".join(rng.choices(common, k=20) + pair), int(toxic)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    index = toxicity.fit(docs, labels)
+    assert not index.terms and len(index.whole.ids) == len([i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5])
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, labels, index=index).collect()}
+    texts = {i: toxicity.terms_of(t) for i, t, _ in rows}
+    ids = sorted(index.whole.ids)
+    df = {w: sum(w in texts[i] for i in ids) for w in {w for t in texts.values() for w in t}}
+
+    def plain(i):
+        v = {w: (1 + math.log(c)) * (math.log((1 + len(ids)) / (1 + df[w])) + 1) for w, c in texts[i].items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    vectors = {i: plain(i) for i in texts}
+    for i, _, y in rows[::20]:
+        cosine = {j: sum(x * vectors[j].get(w, 0) for w, x in vectors[i].items()) for j in ids}
+        have = [cosine[j] for j in got[i].evidence]
+        assert np.allclose(have, sorted(cosine.values(), reverse=True)[:toxicity.EVIDENCE])
+    held = [(got[i].predicted, y) for i, _, y in rows if got[i].held_out]
+    assert sum(p == y for p, y in held) >= 0.98 * len(held)
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     x = np.round(rng.normal(size=(400, 9)), 2)

@@ -1,11 +1,12 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-A bounded sample of labelled documents is the index: terms that tell the
-classes apart, TF-IDF weights, and for each term a posting list cut into blocks
-of examples with the block's largest weight. A document's terms give every
-block an upper bound of its best cosine; blocks are read from the highest bound
-down, until the k-th best cosine found is no less than the next bound, so the
-neighbours are exact. Votes are weighted by distance and calibrated on the
+A bounded sample of labelled documents is the index: TF-IDF weights of all
+their words, and for each word a posting list cut into blocks of examples with
+the block's largest weight. A document's words give every block an upper bound
+of its best cosine; blocks are read from the highest bound down, until the k-th
+best cosine found is no less than the next bound, so the neighbours are exact.
+The index is made twice: over all words, and over the terms that tell the
+classes apart, which the other words of a text cannot outweigh; the more toxic finding counts. Votes are weighted by distance and calibrated on the
 examples themselves, each one left out of its own vote.
 """
 
@@ -13,8 +14,10 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from hashlib import blake2b
 from itertools import chain
 
 import numpy as np
@@ -27,10 +30,11 @@ from tokoledger.llm.pretokens import runs
 
 SAMPLE = {1: 2500, 0: 5000}   # labelled documents of each class that are indexed, about
 NEIGHBOURS = 15
-BLOCK = 64                    # examples of a posting block
+BLOCK = 512                   # examples of a posting block
 MIN_CHI2, MIN_PHI2 = 30.0, 0.01
 EVIDENCE = 5
-KEPT = 200_000                # words and term vectors that a worker remembers
+KEPT = 200_000                # words that a worker remembers
+KEPT_TEXTS = 20_000           # texts whose result a worker remembers
 
 _WORD = re.compile(r"\w+")
 
@@ -43,37 +47,49 @@ def terms_of(text: str | None) -> Counter:
 class Index:
     terms: dict[str, int]
     idf: np.ndarray
+    unseen: float                         # IDF of a word that no example has
     ids: list[int]                        # doc_id of each example
     toxic: np.ndarray
     weight: np.ndarray                    # documents that an example stands for
-    posts: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # per term: examples, weights
-    starts: np.ndarray | None = None      # per term and block: first posting
-    block_max: np.ndarray | None = None   # per term and block: largest weight
+    at: np.ndarray | None = None          # postings of all words, by word and example: examples
+    value: np.ndarray | None = None       # their weights
+    starts: np.ndarray | None = None      # per word and block: first posting
+    block_max: np.ndarray | None = None   # per word and block: largest weight
     empty_score: float = 0.0              # of a text without any of the terms
     slope: float = 0.0
     offset: float = 0.0
+    whole: Index | None = None            # the same examples over all their words
 
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    @property
+    def posts(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Postings of the terms: examples, weights."""
+        ends = [(self.starts[i, 0], self.starts[i, -1]) for i in range(len(self.terms))]
+        return [(self.at[lo:hi], self.value[lo:hi]) for lo, hi in ends]
+
+    def vector(self, counts: dict[int, int], others=()) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of unit length; ``others``: counts of words that no example has."""
         t = np.array(sorted(counts), dtype=np.int64)
-        w = np.array([1 + math.log(counts[i]) for i in t]) * self.idf[t]
-        return t, w / np.sqrt((w * w).sum())
+        w = (1 + np.log(np.array([counts[i] for i in t], dtype=float))) * self.idf[t]
+        rest = sum((1 + math.log(c)) ** 2 for c in others) * self.unseen ** 2
+        return t, w / np.sqrt((w * w).sum() + rest)
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of highest cosine above zero (all, if fewer), ties to the
         smaller example; ``without``: an example that takes no part."""
         bounds = w @ self.block_max[t]
+        starts = self.starts[t]
         best_i, best_s = np.zeros(0, np.int64), np.zeros(0)
         for b in np.argsort(-bounds, kind="stable"):
             if bounds[b] <= 0 or len(best_s) == k and bounds[b] < best_s[-1] - 1e-12:
                 break
-            scores = np.zeros(BLOCK)
-            for term, x in zip(t, w, strict=True):
-                at, value = self.posts[term]
-                lo, hi = self.starts[term, b], self.starts[term, b + 1]
-                scores[at[lo:hi] - b * BLOCK] += x * value[lo:hi]
-            here = np.nonzero(scores > 0)[0]
-            here = here[here + b * BLOCK != without]
-            best_i, best_s = np.concatenate([best_i, here + b * BLOCK]), np.concatenate([best_s, np.round(scores[here], 12)])
+            lo = starts[:, b]
+            n = starts[:, b + 1] - lo
+            post = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            scores = np.round(np.bincount(self.at[post] - b * BLOCK, np.repeat(w, n) * self.value[post], BLOCK), 12)
+            if 0 <= without - b * BLOCK < BLOCK:
+                scores[without - b * BLOCK] = 0
+            here = np.nonzero((scores > 0) & (scores >= (best_s[-1] if len(best_s) == k else 0)))[0]
+            best_i, best_s = np.concatenate([best_i, here + b * BLOCK]), np.concatenate([best_s, scores[here]])
             order = np.lexsort((best_i, -best_s))[:k]
             best_i, best_s = best_i[order], best_s[order]
         return best_i, best_s
@@ -104,35 +120,43 @@ def select_terms(examples: DataFrame) -> list[str]:
     return sorted(r.term for r in found.collect())
 
 
-def build(terms: list[str], ids: list[int], examples: list[dict], toxic: list[int], weight: list[float]) -> Index:
-    """The index over examples: of each, the counts of its terms."""
+def build(terms: list[str] | None, ids: list[int], examples: list[tuple[list[str], list[int]]], toxic: list[int], weight: list[float]) -> Index:
+    """The index over examples: of each, its words and their counts. ``terms``: the words that count, all if None."""
     y = np.array(toxic, dtype=float)
-    number = {w: i for i, w in enumerate(terms)}
-    counts = [{number[w]: c for w, c in x.items() if w in number} for x in examples]
-    # examples with the same leading terms share blocks, which makes the blocks' bounds tight
-    order = sorted((i for i, c in enumerate(counts) if c), key=lambda i: (sorted(counts[i], key=lambda t: -counts[i][t]), ids[i]))
-    empty = [i for i, c in enumerate(counts) if not c]
-    df = np.zeros(len(terms))
-    for c in counts:
-        df[list(c)] += 1
-    idx = Index(number, np.log((1 + len(examples)) / (1 + df)) + 1, [ids[i] for i in order], y[order], np.array(weight)[order])
+    if terms is not None:
+        chosen = set(terms)
+        found = [[(w, c) for w, c in zip(ws, cs, strict=True) if w in chosen] for ws, cs in examples]
+        examples = [([w for w, _ in f], [c for _, c in f]) for f in found]
+    words = {w: i for i, w in enumerate(terms or ())}
+    # examples that share their most frequent words share blocks, which makes the blocks' bounds tight
+    leading = [[w for _, w in sorted(zip([-c for c in cs], ws, strict=True))[:3]] for ws, cs in examples]
+    order = sorted((i for i, (ws, _) in enumerate(examples) if ws), key=lambda i: (leading[i], ids[i]))
+    empty = [i for i, (ws, _) in enumerate(examples) if not ws]
+    numbers = [np.array([words.setdefault(w, len(words)) for w in examples[i][0]], dtype=np.int64) for i in order]
+    counts = [np.array(examples[i][1], dtype=float) for i in order]
+    none = np.zeros(0)
+    word, count = np.concatenate([none.astype(np.int64), *numbers]), np.concatenate([none, *counts])
+    example = np.repeat(np.arange(len(order)), [len(x) for x in numbers])
+    df = np.bincount(word, minlength=len(words))
+    n = 1 + len(examples)
+    idx = Index(words, np.log(n / (1 + df)) + 1, math.log(n) + 1, [ids[i] for i in order], y[order], np.array(weight)[order])
+    value = (1 + np.log(count)) * idx.idf[word]
+    value /= np.sqrt(np.bincount(example, value * value, len(order)))[example]
+    by_word = np.argsort(word, kind="stable")
+    idx.at, idx.value = example[by_word].astype(np.int32), value[by_word]
     blocks = -(-len(order) // BLOCK)
-    rows: list[list] = [[] for _ in terms]
-    vectors = [idx.vector(counts[i]) for i in order]
-    for e, (t, w) in enumerate(vectors):
-        for term, x in zip(t, w, strict=True):
-            rows[term].append((e, x))
-    idx.posts = [(np.array([e for e, _ in r], dtype=np.int64), np.array([x for _, x in r])) for r in rows]
-    idx.starts = np.array([np.searchsorted(at, np.arange(blocks + 1) * BLOCK) for at, _ in idx.posts]).reshape(len(terms), blocks + 1)
-    idx.block_max = np.zeros((len(terms), blocks))
-    for i, (at, value) in enumerate(idx.posts):
-        np.maximum.at(idx.block_max[i], at // BLOCK, value)
+    cell = word[by_word] * blocks + idx.at // BLOCK
+    ends = np.concatenate([[0], np.cumsum(np.bincount(cell, minlength=len(words) * blocks))]).astype(np.int32)
+    idx.starts = ends[np.arange(len(words))[:, None] * blocks + np.arange(blocks + 1)]
+    idx.block_max = np.zeros((len(words), blocks))
+    np.maximum.at(idx.block_max.reshape(-1), cell, idx.value)
     w = np.array(weight)
     total = w[empty].sum()
     idx.empty_score = float((w[empty] * y[empty]).sum() / total) if total else 0.0
     votes, known, share = [0.0, 1.0], [0.0, 1.0], [1.0, 1.0]
-    for e, (t, x) in enumerate(vectors):
-        near, cosine = idx.nearest(t, x, without=e)
+    end = np.cumsum([len(x) for x in numbers])
+    for e, t in enumerate(numbers):
+        near, cosine = idx.nearest(t, value[end[e] - len(t):end[e]], without=e)
         if len(near):
             votes.append(idx.vote(near, cosine)), known.append(idx.toxic[e]), share.append(idx.weight[e])
     idx.slope, idx.offset = _logistic(np.array(votes), np.array(known), np.array(share))
@@ -164,21 +188,6 @@ def _term_rows(batches):
         )
 
 
-def _only(terms: list[str]):
-    """Leaves the selected terms of each example."""
-    def run(batches):
-        chosen = set(terms)
-        for batch in batches:
-            kept = [[(t, c) for t, c in zip(ts, cs, strict=True) if t in chosen] for ts, cs in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([[t for t, _ in k] for k in kept], pa.list_(pa.string())),
-                 pa.array([[c for _, c in k] for k in kept], pa.list_(pa.int32()))],
-                ["doc_id", "toxic", "terms", "counts"],
-            )
-
-    return run
-
-
 def fit(docs: DataFrame, labels: DataFrame, holdout: int = 0, parts: int = 5, sample: dict[int, int] | None = None) -> Index | None:
     """The index over a sample of the labelled documents whose id bucket is not
     ``holdout``: about ``sample[class]`` of each class, drawn by a hash of the id.
@@ -201,56 +210,68 @@ def fit(docs: DataFrame, labels: DataFrame, holdout: int = 0, parts: int = 5, sa
         _term_rows, "doc_id long, toxic int, terms array<string>, counts array<int>",
     ).dropDuplicates(["doc_id"]))
     terms = select_terms(examples)
-    rows = in_arrow(examples, _only(terms), "doc_id long, toxic int, terms array<string>, counts array<int>").orderBy("doc_id").collect()
+    # two strings an example instead of arrays: short rows for the driver
+    rows = examples.select(
+        "doc_id", "toxic", F.concat_ws(" ", "terms").alias("words"), F.concat_ws(" ", F.col("counts").cast("array<string>")).alias("counts")
+    ).orderBy("doc_id").collect()
     if not rows:
         return None
-    return build(
-        terms, [r.doc_id for r in rows], [dict(zip(r.terms, r.counts, strict=True)) for r in rows],
+    sampled = (
+        [r.doc_id for r in rows], [(list(map(sys.intern, r.words.split(" "))) if r.words else [], list(map(int, r.counts.split()))) for r in rows],
         [r.toxic for r in rows], [1 / share[r.toxic] for r in rows],
     )
+    index = build(terms, *sampled)
+    index.whole = build(None, *sampled)
+    return index
 
 
 class _Numbers(dict):
-    """Raw word -> numbers of its index terms; remembers a bounded number of words."""
+    """Raw word -> numbers of its index words, the word itself if no example has it;
+    remembers a bounded number of words."""
 
-    def __init__(self, terms: dict[str, int]):
+    def __init__(self, words: dict[str, int]):
         super().__init__()
-        self.terms = terms
+        self.words = words
 
-    def __missing__(self, raw: str) -> tuple[int, ...]:
-        found = tuple(self.terms[w] for w in _WORD.findall(raw) if w in self.terms)
+    def __missing__(self, raw: str) -> tuple:
+        found = tuple(self.words.get(w, w) for w in _WORD.findall(raw))
         if len(self) < KEPT:
             self[raw] = found
         return found
 
 
 class Scorer:
-    """Text -> (score, evidence, matched terms); remembers a bounded number of term vectors."""
+    """Text -> (score, evidence, matched terms); remembers the results of a bounded number of texts."""
 
     def __init__(self, index: Index | None):
         self.index, self.seen = index, {}
         self.names = sorted(index.terms, key=index.terms.get) if index else []
-        self.numbers = _Numbers(index.terms) if index else None
+        self.numbers = _Numbers(index.whole.terms) if index else None
+        self.telling = {index.whole.terms[w]: i for w, i in index.terms.items()} if index else {}
 
     def __call__(self, text: str | None) -> tuple[float, list[int], list[str]]:
         if self.index is None:
             return 0.0, [], []
-        counts = Counter(chain.from_iterable(map(self.numbers.__getitem__, (text or "").lower().split())))
-        if not counts:
-            return self.index.empty_score, [], []
-        key = tuple(sorted(counts.items()))
+        key = blake2b((text or "").encode("utf-8", "surrogatepass"), digest_size=16).digest()
         found = self.seen.get(key)
         if found is None:
-            near, cosine = self.index.nearest(*self.index.vector(counts))
-            found = (
-                self.index.calibrated(self.index.vote(near, cosine)),
-                [self.index.ids[i] for i in near[:EVIDENCE]],
-                [self.names[i] for i, _ in key],
-            )
-            if len(self.seen) < KEPT:
+            found = self._judge(text or "")
+            if len(self.seen) < KEPT_TEXTS:
                 self.seen[key] = found
         return found
 
+    def _judge(self, text: str) -> tuple[float, list[int], list[str]]:
+        every = Counter(chain.from_iterable(map(self.numbers.__getitem__, text.lower().split())))
+        whole, telling = self.index.whole, {self.telling[t]: c for t, c in every.items() if t in self.telling}
+        known = {t: c for t, c in every.items() if type(t) is int}
+        score, evidence = whole.empty_score, []
+        for index, counts, others in ((whole, known, [c for t, c in every.items() if type(t) is str]), (self.index, telling, ())):
+            if counts:
+                near, cosine = index.nearest(*index.vector(counts, others))
+                if len(near) and (found := index.calibrated(index.vote(near, cosine))) >= score or not evidence:
+                    score, evidence = found, [index.ids[i] for i in near[:EVIDENCE]]
+        return score, evidence, [self.names[i] for i in sorted(telling)]
+
 
 def _score(index: Index | None):
     def run(batches):
@@ -277,8 +298,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, holdout: int = 0, parts: int =
     predicted (1 if the score is at least 0.5), evidence (doc_id of the nearest
     examples) and matched_terms.
 
-    A null or empty text, like any other without a term of the index, has the share
-    of toxic among such examples. Without usable labels every score is 0. A null
+    A null or empty text, like any other without a word of the index, has the share
+    of toxic among examples without a word. Without usable labels every score is 0. A null
     doc_id is not held out. Repeated rows stay repeated. Columns beside doc_id and
     text are not read, nor those of ``labels`` beside doc_id and toxic.
     """
