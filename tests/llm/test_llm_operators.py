@@ -332,6 +332,22 @@ def test_language_id(docs, awkward, empty):
     assert np.allclose(parts.sum(axis=1), [1, 1, 0], atol=1e-4)
 
 
+def test_every_language_is_learned(spark):
+    from pyspark.sql import functions as F
+
+    many = spark.range(2400).select(F.col("id").alias("doc_id"), F.format_string("l%03d", F.col("id") % 300).alias("lang"), F.lit("some words").alias("text"))
+    languages, texts, labels = langid.draw(many)
+    assert len(languages) == 300 and set(labels) == set(range(300))
+    seen = set()
+    gradients = langid._gradients
+    langid._gradients = lambda net, x, y: seen.update(y.tolist()) or gradients(net, x, y)
+    try:
+        langid.train(texts, labels, languages, steps=1)
+    finally:
+        langid._gradients = gradients
+    assert seen == set(range(300))
+
+
 def test_packing(docs, awkward, empty):
     plain = Tokenizer.from_file(JSON)
     plain.encode_special_tokens = True

@@ -27,7 +27,6 @@ BLOCK = 2048            # windows that are stepped together
 WIDTH = 8               # states a direction
 SAMPLE = 1000           # labelled documents a language that training draws from
 SAMPLE_CHARS = 1000     # characters that training takes from each of them, at a random place
-MOST = 200              # languages that are learned: those with the most documents
 STEPS, BATCH, LENGTH, RATE = 160, 256, 32, 0.03
 
 
@@ -74,10 +73,12 @@ def train(texts: list[bytes], labels: list[int], languages: list[str], steps: in
     by_language = [[t for t, k in zip(texts, labels, strict=True) if k == i and t] for i in range(len(languages))]
     present = [i for i, ts in enumerate(by_language) if ts]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.params()]
+    steps *= max(1, -(-len(present) // BATCH))  # every language has its turns
     for step in range(1, steps + 1):
         x, y = np.full((LENGTH, BATCH), 32, np.uint8), np.empty(BATCH, np.int64)
+        first = (step - 1) * BATCH if len(present) > BATCH else 0
         for b in range(BATCH):
-            y[b] = present[b % len(present)]
+            y[b] = present[(first + b) % len(present)]
             text = by_language[y[b]][rng.integers(len(by_language[y[b]]))]
             at = rng.integers(max(1, len(text) - LENGTH + 1))
             part = np.frombuffer(text[at:at + LENGTH], np.uint8)
@@ -208,7 +209,7 @@ def draw(docs: DataFrame, holdout: int = 2, parts: int = 4, sample: int = SAMPLE
     usable = docs.where(
         F.col("lang").isNotNull() & (id_bucket(F.col("doc_id"), parts) != holdout) & F.col("text").isNotNull()
     ).select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
-    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST).collect()}
+    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(counts)
     share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, sample / counts[k]))]) if languages else F.lit(None)
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("drawn")), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)
