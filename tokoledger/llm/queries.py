@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tokoledger.llm import bpe, langid, license_digest, packing, pivots, segments, simhash, token_count, url_reputation
+from tokoledger.llm import bpe, divergence, fill_in_middle, langid, license_digest, packing, pivots, segments, simhash, token_count, url_reputation
+from tokoledger.llm import quality as lines
 from tokoledger.llm import toxicity as toxic
 from tokoledger.llm.common import table
 
@@ -54,10 +56,27 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.embedding_near_dedup(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digests come from the operator's output and from the text restored from it."""
+    cut = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"), seed=1, percent=90, spm_percent=20)
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(back).alias("restored_sha256"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), holdout=1, parts=3)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"), least=3, most=200)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_simhash, op2_url_filter, op3_license_scan, op4_token_counts, op5_toxicity,
         op6_exact_top_k, op7_bpe, op8_language_id, op9_packing, op10_embedding_dedup,
+        op11_fill_in_middle, op12_quality, op13_source_divergence,
     )
     return {f.__name__: f for f in every}
 
@@ -79,4 +98,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_url_filter": url_reputation.oracle(),
         "op3_license_scan": license_digest.oracle(),
         "op6_exact_top_k": TOP_K_SQL,
+        "op11_fill_in_middle": fill_in_middle.ORACLE,
+        "op13_source_divergence": divergence.ORACLE,
     }
