@@ -308,11 +308,16 @@ def test_divergence_equals_plain_python(spoken):
 
 def test_divergence_in_many_shards_waves_and_blocks(spoken, monkeypatch):
     rows, df = spoken
-    for name, value in (("SHARD", 16), ("CELLS", 64), ("BLOCK", 20), ("HELD", 50)):
+    for name, value in (("SHARD", 16), ("CELLS", 64), ("BLOCK", 20), ("HELD", 50), ("TOGETHER", 9), ("REMEMBERED", 30)):
         monkeypatch.setattr(divergence, name, value)
     assert divergence_rows(df, wave_bytes=1000, most=7) == plain_divergence(rows, most=7)
 
 
+def test_terms_in_pieces():
+    text = "Ab cd, éF gh" * 50
+    assert [t for part in divergence.terms(text, 7) for t in part] == [t.encode() for t in TERM.findall(text.lower())]
+
+
 def test_divergence_awkward(awkward, empty):
     assert divergence_rows(awkward) == plain_divergence([r[1:] for r in AWKWARD])
     assert divergence_rows(empty) == []

@@ -29,12 +29,15 @@ from pyspark.sql import functions as F
 from tokoledger.llm.common import in_arrow, ship, stored
 from tokoledger.llm.perfect_hash import PerfectHash, hashes
 from tokoledger.llm.pretokens import runs
+from tokoledger.plans.joins import bounded_broadcast
 
 SHARD = 1 << 14              # terms in a shard, about
 WAVE = 32 << 20              # bytes of perfect hashes that are broadcast together
-CELLS = 1 << 22              # dense counters that a task holds
-BLOCK = 1 << 21              # counts (sources x slots) that are compared together
-HELD = 200_000               # document frequencies that a task holds
+CELLS = 1 << 24              # dense counters that a task holds
+BLOCK = 1 << 19              # counts (sources x slots) that are compared together
+HELD = 400_000               # document frequencies that a task holds
+TOGETHER = 1_000_000         # occurrences that are looked up together
+REMEMBERED = 400_000         # terms whose slots a task remembers
 HELD_BYTES = 64 << 20        # and bytes of the documents' distinct terms behind them
 SCALE = 1_000_000_000
 
@@ -43,8 +46,14 @@ _UPPER = range(ord("A"), ord("Z") + 1)
 _TERM_BYTES = bytes(c + 32 if c in _UPPER else c if c >= 128 or ord("a") <= c <= ord("z") else 32 for c in range(256))
 
 
-def terms(text: str) -> list[bytes]:
-    return text.encode().translate(_TERM_BYTES).split()
+def terms(text: str, size: int = 1 << 20):
+    """The terms of a text, in lists of about ``size`` bytes of text."""
+    data, at = text.encode().translate(_TERM_BYTES), 0
+    while at < len(data):
+        end = data.find(b" ", at + size) if len(data) > at + size else -1
+        end = len(data) if end < 0 else end
+        yield data[at:end].split()
+        at = end
 
 
 def _rows(batch, size: int = 2_000_000):
@@ -54,26 +63,25 @@ def _rows(batch, size: int = 2_000_000):
 
 
 def _document_frequencies(batches):
-    held: Counter = Counter()
+    held: dict[str, Counter] = {}
     size = 0
 
     def out():
-        keys, n = list(held), list(held.values())
+        for lang, found in held.items():
+            columns = [pa.repeat(pa.scalar(lang, pa.string()), len(found)), pa.array(list(found), pa.binary()).cast(pa.string()), pa.array(list(found.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "term", "n_docs"])
         held.clear()
-        columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1].decode() for k in keys], pa.string()), pa.array(n, pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "term", "n_docs"])
 
     for batch in batches:
         for rows in _rows(batch):
             for text, lang, _ in rows:
-                found = set(terms(text))
-                held.update([(lang, t) for t in found])
+                found = set().union(*terms(text))
+                held.setdefault(lang, Counter()).update(found)
                 size += sum(map(len, found))
-                if len(held) > HELD or size > HELD_BYTES:
-                    yield out()
+                if size > HELD_BYTES or sum(map(len, held.values())) > HELD:
+                    yield from out()
                     size = 0
-    if held:
-        yield out()
+    yield from out()
 
 
 def _build(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -86,64 +94,80 @@ def _build(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 class _Recount:
-    """Dense counters of a task for the shards of one wave."""
+    """Dense counters of a task for the shards of one wave: one array for each (language, source),
+    with the slots of the language's shards behind each other."""
 
-    def __init__(self, wave: list[tuple[str, int, int, bytes]]):
+    def __init__(self, wave: list[tuple[str, int, bytes]], parts: int):
+        self.parts = parts
         self.shards: dict[str, dict[int, PerfectHash]] = {}
-        self.parts: dict[str, int] = {}
-        for lang, shard, parts, blob in wave:
+        for lang, shard, blob in wave:
             self.shards.setdefault(lang, {})[shard] = PerfectHash.loads(blob)
-            self.parts[lang] = parts
-        self.dense: dict[tuple[str, str, int], np.ndarray] = {}
-        self.cells = 0
-
-    def add(self, lang: str, source: str, counts: Counter) -> None:
-        mine = self.shards.get(lang)
-        if not mine or not counts:
-            return
-        keys, n = list(counts), np.fromiter(counts.values(), np.int64)
-        h = hashes(keys)
-        shard = np.mod(h.view(np.int64), self.parts[lang])
+        self.begin = {lang: np.concatenate(([0], np.cumsum([len(made) for made in mine.values()]))) for lang, mine in self.shards.items()}
+        self.known: dict[str, dict[bytes, int]] = {lang: {} for lang in self.shards}
+        self.dense: dict[tuple[str, str], np.ndarray] = {}
+
+    def _look_up(self, lang: str, keys: list[bytes]) -> np.ndarray:
+        """Places of terms in the language's arrays, -1 for terms that are not kept or not in this wave."""
+        place, h = np.full(len(keys), -1, np.int64), hashes(keys)
+        shard = np.mod(h.view(np.int64), self.parts)
         order = np.argsort(shard, kind="stable")
-        ends = np.flatnonzero(np.diff(shard[order], append=-1)) + 1
-        for lo, hi in zip(np.concatenate(([0], ends[:-1])), ends, strict=True):
+        bounds = np.searchsorted(shard[order], [[s, s + 1] for s in self.shards[lang]])
+        for begin, made, (lo, hi) in zip(self.begin[lang], self.shards[lang].values(), bounds, strict=False):
             at = order[lo:hi]
-            made = mine.get(int(shard[at[0]]))
-            if made is None:
-                continue
             slot = made.slots([keys[i] for i in at], h[at])
-            key = (lang, source, int(shard[at[0]]))
-            if key not in self.dense:
-                self.dense[key] = np.zeros(len(made), np.int64)
-                self.cells += len(made)
-            found = slot >= 0
-            self.dense[key][slot[found]] += n[at][found]
+            place[at] = np.where(slot >= 0, begin + slot, -1)
+        return place
+
+    def add(self, found: dict[tuple[str, str], list[bytes]]) -> None:
+        """``found``: term occurrences of groups."""
+        for lang, known in self.known.items():
+            groups = [(source, words) for (other, source), words in found.items() if other == lang]
+            missing = list(set().union(*(words for _, words in groups)).difference(known))
+            known.update(zip(missing, self._look_up(lang, missing).tolist(), strict=True))
+            for source, words in groups:
+                place = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+                if (lang, source) not in self.dense:
+                    self.dense[lang, source] = np.zeros(self.begin[lang][-1], np.int64)
+                np.add.at(self.dense[lang, source], place[place >= 0], 1)
+            if len(known) > REMEMBERED:
+                for word in missing:
+                    del known[word]
+
+    def full(self) -> bool:
+        return sum(map(len, self.dense.values())) > CELLS
 
     def out(self):
-        for (lang, source, shard), counts in self.dense.items():
-            slot = np.flatnonzero(counts)
-            columns = [pa.array([x] * len(slot), kind) for x, kind in ((lang, pa.string()), (source, pa.string()), (shard, pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(slot, pa.int64()), pa.array(counts[slot], pa.int64())], ["lang", "source", "shard", "slot", "n"])
+        for (lang, source), counts in self.dense.items():
+            begin, shards = self.begin[lang], np.array(list(self.shards[lang]), np.int64)
+            place = np.flatnonzero(counts)
+            which = np.searchsorted(begin, place, side="right") - 1
+            names = [pa.repeat(pa.scalar(x, pa.string()), len(place)) for x in (lang, source)]
+            numbers = [pa.array(x, pa.int64()) for x in (shards[which], place - begin[which], counts[place])]
+            yield pa.RecordBatch.from_arrays([*names, *numbers], ["lang", "source", "shard", "slot", "n"])
         self.dense.clear()
-        self.cells = 0
 
 
-def _recount(docs: DataFrame, wave: list) -> DataFrame:
+def _recount(docs: DataFrame, wave: list, parts: int) -> DataFrame:
     """Occurrences of the wave's terms per (lang, source, shard, slot)."""
     sent = docs.sparkSession.sparkContext.broadcast(wave)
 
     def run(batches):
         count = None
         for batch in batches:
-            count = count or _Recount(sent.value)
+            count = count or _Recount(sent.value, parts)
             for rows in _rows(batch):
-                groups: dict[tuple[str, str], Counter] = {}
+                found: dict[tuple[str, str], list[bytes]] = {}
+                held = 0
                 for text, lang, source in rows:
-                    groups.setdefault((lang, source), Counter()).update(terms(text))
-                for (lang, source), found in groups.items():
-                    count.add(lang, source, found)
-                    if count.cells > CELLS:
-                        yield from count.out()
+                    for words in terms(text):
+                        found.setdefault((lang, source), []).extend(words)
+                        held += len(words)
+                        if held > TOGETHER:
+                            count.add(found)
+                            found, held = {}, 0
+                count.add(found)
+                if count.full():
+                    yield from count.out()
         if count:
             yield from count.out()
 
@@ -198,22 +222,21 @@ def _compare(most: int):
     return run
 
 
-def kept_terms(docs: DataFrame, least: int) -> DataFrame:
-    """(lang, shard, parts, slot, term) of the terms in at least ``least`` documents, and one row per shard
-    with its perfect hash (slot -1); stored."""
+def kept_terms(docs: DataFrame, least: int) -> tuple[DataFrame, int]:
+    """(lang, shard, slot, term) of the terms in at least ``least`` documents, and one row per shard with its
+    perfect hash (slot -1), stored; and the number of parts that every language's terms are dealt into."""
     frequent = in_arrow(docs, _document_frequencies, "lang string, term string, n_docs long")
     frequent = stored(frequent.groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs")).where(F.col("n_docs") >= least).select("lang", "term"))
-    parts = frequent.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / SHARD).cast("long").alias("parts"), F.count(F.lit(1)).alias("v"))
-    dealt = frequent.join(parts, "lang").withColumn("shard", F.pmod(F.xxhash64("term"), F.col("parts")))
-    built = dealt.groupBy("lang", "shard").applyInPandas(_build, "lang string, shard long, slot long, term string, hash binary")
-    return stored(built.join(parts, "lang"))
+    parts = max(1, -(-frequent.count() // SHARD))
+    dealt = frequent.withColumn("shard", F.pmod(F.xxhash64("term"), F.lit(parts)))
+    return stored(dealt.groupBy("lang", "shard").applyInPandas(_build, "lang string, shard long, slot long, term string, hash binary")), parts
 
 
 def _waves(built: DataFrame, most: int):
-    """Lists of (lang, shard, parts, hash) of about ``most`` bytes; the driver holds one at a time."""
+    """Lists of (lang, shard, hash) of about ``most`` bytes; the driver holds one at a time."""
     wave, held = [], 0
-    for row in built.where("slot = -1").select("lang", "shard", "parts", "hash").toLocalIterator():
-        wave.append((row.lang, row.shard, row.parts, bytes(row.hash)))
+    for row in built.where("slot = -1").select("lang", "shard", "hash").toLocalIterator():
+        wave.append((row.lang, row.shard, bytes(row.hash)))
         held += len(row.hash)
         if held >= most:
             yield wave
@@ -222,11 +245,11 @@ def _waves(built: DataFrame, most: int):
         yield wave
 
 
-def recount(docs: DataFrame, built: DataFrame, wave_bytes: int = WAVE) -> DataFrame:
+def recount(docs: DataFrame, built: DataFrame, parts: int, wave_bytes: int = WAVE) -> DataFrame:
     """(lang, source, shard, slot, n) over all waves; each wave is one pass over the documents, stored."""
     found = None
     for wave in _waves(built, wave_bytes):
-        part = stored(_recount(docs, wave))
+        part = stored(_recount(docs, wave, parts))
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = docs.sparkSession.createDataFrame([], "lang string, source string, shard long, slot long, n long")
@@ -239,18 +262,19 @@ def source_divergence(documents: DataFrame, least: int = 3, most: int = 200, wav
     ship(documents.sparkSession)
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")]
     docs = documents.select(*text)
-    built = kept_terms(docs, least)
-    counts = recount(docs, built, wave_bytes)
-    size = built.where("slot = -1").select("lang", "v").distinct()
+    built, parts = kept_terms(docs, least)
+    counts = recount(docs, built, parts, wave_bytes)
+    size = built.where("slot >= 0").groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
     total = counts.groupBy("lang", "source").agg(F.sum("n").alias("n"))
     groups = docs.select("lang", "source").distinct().join(total, ["lang", "source"], "left").join(size, "lang", "left")
     groups = stored(groups.select("lang", "source", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("v", F.lit(0)).alias("v")))
 
-    width = groups.groupBy("lang").agg(F.greatest(F.floor(F.lit(BLOCK) / F.count(F.lit(1))), F.lit(1)).alias("width"))
-    block = (F.col("slot") / F.col("width")).cast("long").alias("block")
-    blocks = built.where("slot >= 0").join(width, "lang").select("lang", "shard", block).distinct()
-    left = counts.join(width, "lang").select("lang", "shard", block, "source", "slot", "n")
-    right = blocks.join(groups, "lang")
+    most_sources = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("s")).agg(F.max("s")).first()[0] or 1
+    width = max(1, BLOCK // most_sources)
+    block = F.floor(F.col("slot") / width).alias("block")
+    blocks = built.where("slot >= 0").select("lang", "shard", block).distinct()
+    left = counts.select("lang", "shard", block, "source", "slot", "n")
+    right = blocks.join(bounded_broadcast(groups), "lang")
     keys = ["lang", "shard", "block"]
     found = stored(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         _compare(most), "lang string, shard long, source string, other string, slot long, value long"))
