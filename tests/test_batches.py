@@ -1,5 +1,5 @@
-"""Batch runners write the reference's tables; redemption rounds are
-idempotent and chain through the deferred requests; the stream runs rounds."""
+"""Batch runners write the reference's tables; a redemption batch is one round,
+visible as a whole or not at all; the stream runs rounds."""
 
 from __future__ import annotations
 
@@ -45,59 +45,71 @@ def test_daily_report(spark, tables):
     _same(batches.daily_report(tables, catalog.REPORT), catalog.builders()["daily_outlet_report"](tables))
 
 
-def test_redemption_rounds_are_idempotent_and_chain(spark, tables):
+def test_a_redemption_batch_is_one_round_and_can_be_repeated(spark, tables):
     sink = ParquetSink(spark, tempfile.mkdtemp(prefix="tl-redeem-"))
-    requests = tables["requests"]
-    g1 = batches.run_redemption_round(tables, sink, requests, 0, catalog.REDEEM)
+    g1 = batches.run_redemption_batch(tables, sink, tables["requests"], 0, catalog.REDEEM)
     _same(g1, catalog.builders()["redemption_gate"](tables))
-    first_rows = table_rows(g1.toArrow())[1]       # the stored round is rewritten below: read it now
-    first = sink.read("point_redeem").count()
-    g2 = batches.run_redemption_round(tables, sink, requests, 0, catalog.REDEEM)   # retry of round 0
-    assert sink.read("point_redeem").count() == first
-    assert table_rows(g2.toArrow())[1] == first_rows
-    assert g2.filter("accepted").count() == first
-    next_round = batches.run_redemption_batch(tables, sink, requests, 0, catalog.REDEEM)
-    assert next_round >= 1
-    gates = sink.read(batches.GATE_TABLE)
-    deferred = gates.filter(F.col("reject_reason") == "deferred")
-    later = gates.filter(F.col("round_id") > 0)
-    assert later.count() == deferred.count()           # every deferred request got its own later round
-    assert sink.read("point_redeem").count() == gates.filter("accepted").count()
-    assert sink.read("notifications").count() == gates.filter("accepted").count()
-
-
-def test_a_second_batch_keeps_the_first_and_an_empty_rewrite_clears_its_round(spark, tables):
-    sink = ParquetSink(spark, tempfile.mkdtemp(prefix="tl-insert-"))
-    requests = tables["requests"].unionByName(tables["requests"])     # each delivered twice
-    end = batches.run_redemption_batch(tables, sink, requests, p=catalog.REDEEM)
-    first = table_rows(sink.read("point_redeem").toArrow())[1]
-    stored = sink.read("point_redeem")
-    assert stored.count() == stored.select("redeem_no").distinct().count() > 0
-    later = tables["requests"].withColumn("redeemno", F.concat("redeemno", F.lit("-n")))
-    batches.run_redemption_batch(tables, sink, later, p=catalog.REDEEM)
-    assert table_rows(sink.read("point_redeem").filter(F.col("round_id") < end).toArrow())[1] == first
-    old = sink.read("notifications").filter("round_id = 0").drop("round_id")
-    sink.write_round("notifications", spark.createDataFrame([], old.schema), 0)
-    assert sink.read("notifications").filter("round_id = 0").count() == 0
+    first = table_rows(sink.rounds("point_redeem").toArrow())[1]
+    g2 = batches.run_redemption_batch(tables, sink, tables["requests"], 0, catalog.REDEEM)   # retry of round 0
+    _same(g1, g2)
+    assert table_rows(sink.rounds("point_redeem").toArrow())[1] == first and len(first) == g1.filter("accepted").count() > 0
+    assert sink.rounds("notifications").count() == sink.rounds("point_redeem_detail").count() == len(first)
+    assert sink.next_round() == 1
+
+
+def test_a_failure_between_two_writes_leaves_nothing(spark, tables, monkeypatch):
+    sink = ParquetSink(spark, tempfile.mkdtemp(prefix="tl-atomic-"))
+    whole = batches.redeem.redemption_notifications
+
+    def fails(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(batches.redeem, "redemption_notifications", fails)
+    for _ in range(2):
+        with pytest.raises(RuntimeError):
+            batches.run_redemption_batch(tables, sink, tables["requests"], p=catalog.REDEEM)
+        assert sink.rounds("point_redeem") is None and sink.next_round() == 0
+    monkeypatch.setattr(batches.redeem, "redemption_notifications", whole)
+    gate = batches.run_redemption_batch(tables, sink, tables["requests"], p=catalog.REDEEM)
+    _same(gate, catalog.builders()["redemption_gate"](tables))          # nothing of the lost attempts counts
+    kept = table_rows(sink.rounds("point_redeem").toArrow())[1]
+    monkeypatch.setattr(batches.redeem, "redemption_notifications", fails)
+    with pytest.raises(RuntimeError):                                   # a lost repetition keeps the round as it was
+        batches.run_redemption_batch(tables, sink, tables["requests"].limit(1), 0, catalog.REDEEM)
+    assert table_rows(sink.rounds("point_redeem").toArrow())[1] == kept
+
+
+def test_a_request_delivered_again_in_a_later_batch_spends_nothing(spark, tables):
+    sink = ParquetSink(spark, tempfile.mkdtemp(prefix="tl-again-"))
+    requests = tables["requests"]
+    once = batches.run_redemption_batch(tables, sink, requests.unionByName(requests), p=catalog.REDEEM)
+    assert once.count() == requests.distinct().count()
+    spent = sink.rounds("point_redeem").count()
+    again = requests.limit(20).withColumn("redeemno", F.concat("redeemno", F.lit("  ")))      # padded: the same number
+    new = requests.limit(5).withColumn("redeemno", F.concat("redeemno", F.lit("-n")))
+    gate = batches.run_redemption_batch(tables, sink, again.unionByName(new), p=catalog.REDEEM)
+    reasons = {r.redeemno: r.reject_reason for r in gate.collect()}
+    assert sum(v == "duplicate_request" for v in reasons.values()) == again.select("redeemno").distinct().count()
+    assert not any(v == "duplicate_request" for k, v in reasons.items() if k.endswith("-n"))
+    assert sink.rounds("point_redeem").count() == spent + gate.filter("accepted").count()
+    assert sink.rounds("point_redeem", before=1).count() == spent
 
 
 def test_redemption_stream(spark, tables):
     root = tempfile.mkdtemp(prefix="tl-stream-")
     src = f"{root}/requests"
     reqs = tables["requests"]
-    reqs.filter(F.col("redeemno").endswith("-2")).write.parquet(f"{src}/b")     # second requests first
-    reqs.filter(~F.col("redeemno").endswith("-2")).write.parquet(f"{src}/a")
+    late = F.col("redeemno").endswith("-2")
+    reqs.filter(late).write.parquet(f"{src}/b")
+    reqs.filter(~late).write.parquet(f"{src}/a")
     sink = ParquetSink(spark, f"{root}/sink")
     q = start_redemption_stream(spark, tables, sink, f"{src}/*", f"{root}/checkpoint", catalog.REDEEM,
-                                files_per_trigger=1, available_now=True)
-    q.awaitTermination(300)
+                                files_per_trigger=100, available_now=True)
+    q.awaitTermination(600)
     assert q.exception() is None
-    gates = sink.read(batches.GATE_TABLE)
-    assert gates.select("round_id").distinct().count() >= 1
-    left = gates.filter("reject_reason = 'deferred'").select("redeemno").join(
-        gates.filter("reject_reason IS NULL OR reject_reason <> 'deferred'"), "redeemno", "left_anti")
-    assert left.count() == 0                                          # the last micro-batch decides all
-    assert sink.read("point_redeem").count() == gates.filter("accepted").count()
+    gates = sink.rounds(batches.GATE_TABLE)
+    assert gates.count() == reqs.distinct().count()                    # each request decided once
+    assert sink.rounds("point_redeem").count() == gates.filter("accepted").count() > 0
 
 
 def test_command_line_runs_the_jobs(spark, tables):
@@ -117,11 +129,9 @@ def test_command_line_runs_the_jobs(spark, tables):
     assert out.read(batches.BASEPACK_SUMMARY_TABLE).count() == qs["basepack_summary"](tables).count()
     assert out.read("activity_summary_achievement").count() == qs["activity_incentive_summary"](tables).count()
     assert out.read("daily_report").count() == qs["daily_outlet_report"](tables).count()
-    gates = out.read(batches.GATE_TABLE)
-    assert gates.filter("round_id = 0").count() == tables["requests"].count()
-    first = gates.filter("round_id = 0").drop("round_id")
-    _same(first, qs["redemption_gate"](tables))                       # same decisions as the registered query
-    assert out.read("point_redeem").count() == gates.filter("accepted").count()
+    gates = out.rounds(batches.GATE_TABLE)
+    _same(gates.drop("round_id"), qs["redemption_gate"](tables))       # same decisions as the registered query
+    assert out.rounds("point_redeem").count() == gates.filter("accepted").count()
 
 
 def test_catalog_sink_and_source(spark):
@@ -137,10 +147,15 @@ def test_catalog_sink_and_source(spark):
     rows = spark.createDataFrame([("T1 ", "G1"), ("T2", "G2")], "outlet_id string, redeem_code string")
     assert sink.overwrite("new_point_balance", rows.withColumn("remain_point", F.lit(1))).count() == 2
     for _ in range(2):                                    # the same round twice: no duplicates
-        sink.write_round("notifications", rows, 0)
-    sink.write_round("notifications", rows.limit(1), 1)
-    assert sink.read("notifications").count() == 3
-    assert sink.read_rounds("notifications", before=1).count() == 2
+        with sink.round(0) as one:
+            assert one.write("notifications", rows).count() == 2
+    with sink.round(1) as one:
+        one.write("notifications", rows.limit(1))
+    assert sink.rounds("notifications").count() == 3 and sink.next_round() == 2
+    assert sink.rounds("notifications", before=1).count() == 2
+    with sink.round(1) as one:                            # a repetition without rows clears its round
+        one.write("notifications", rows.limit(0))
+    assert sink.rounds("notifications").count() == 2
     t = from_catalog(spark, db)
     assert sorted(r.outlet_id for r in t["new_point_balance"].collect()) == ["T1", "T2"]   # keys trimmed
 
@@ -168,20 +183,3 @@ def test_padded_keys_match_after_load(spark):
     raw = from_parquet(spark, root, trim=False)
     (r,) = sales.growth_sales_points(raw["target_growth"], raw["invoice_master"], P.SalesParams()).collect()
     assert r.pencapaian is None
-
-
-def test_batch_with_one_balance_per_batch_equals_round_by_round(spark, tables):
-    requests = tables["requests"]
-    a = ParquetSink(spark, tempfile.mkdtemp(prefix="tl-inc-"))
-    end = batches.run_redemption_batch(tables, a, requests, 0, catalog.REDEEM)
-    b = ParquetSink(spark, tempfile.mkdtemp(prefix="tl-full-"))
-    pending, r = requests, 0
-    while True:                                  # every round recomputes the whole ledger
-        gate = batches.run_redemption_round(tables, b, pending, r, catalog.REDEEM)
-        r += 1
-        if gate.filter("reject_reason = 'deferred'").count() == 0:
-            break
-        pending = batches.pending_requests(b, requests.limit(0), r)
-    assert end == r
-    _same(a.read(batches.GATE_TABLE), b.read(batches.GATE_TABLE))
-    _same(a.read("point_redeem"), b.read("point_redeem"))

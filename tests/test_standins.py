@@ -36,7 +36,8 @@ def test_every_event_is_a_redemption_of_one_channel(spark, small_sf):
     assert tables["point_redeem"].count() == events
     channels = ("point_redeem_detail", "point_redeem_detail_cashback", "ppob_transaction_master", "ewallet_transaction_master")
     assert sum(tables[c].select("redeem_no").distinct().count() for c in channels) == events
-    assert tables["redeem_item"].count() == spark.read.parquet(f"{small_sf}/part.parquet").count()
+    codes = tables["redeem_item"].select("redeem_code")            # some gifts have two rows
+    assert codes.count() > codes.distinct().count() == spark.read.parquet(f"{small_sf}/part.parquet").count()
 
 
 def test_an_open_period_end_has_no_upper_bound(spark):

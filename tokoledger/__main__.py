@@ -41,9 +41,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--quarter", default=P.QUARTER)
     ap.add_argument("--year", default=P.PROGRAM_YEAR)
     ap.add_argument("--requests", help="Parquet folder of redemption requests")
-    ap.add_argument("--round", type=int, help="first round id, only to repeat a failed redemption batch")
+    ap.add_argument("--round", type=int, help="round id, only to repeat a failed redemption batch")
     ap.add_argument("--ledger-years", default=f"{min(P.LEDGER_YEARS)}-{max(P.LEDGER_YEARS)}",
                     help="years whose balance comes from the ledger, e.g. 2018-2025")
+    ap.add_argument("--redeem-type", help="redeem_type of the detail rows (default: NULL)")
     ap.add_argument("--cooldown-minutes", type=int, default=P.COOLDOWN_MINUTES)
     args = ap.parse_args(argv)
 
@@ -64,10 +65,10 @@ def main(argv: list[str] | None = None) -> int:
         requests = spark.read.parquet(args.requests)
         lo, _, hi = args.ledger_years.partition("-")
         years = tuple(range(int(lo), int(hi or lo) + 1))
-        rp = P.RedeemParams(cooldown_minutes=args.cooldown_minutes, points=P.PointParams(ledger_years=years))
-        first = sink.next_round(batches.GATE_TABLE) if args.round is None else args.round
-        print(f"redemption batch: rounds from {first} (--round {first} repeats it)")
-        batches.run_redemption_batch(tables, sink, requests, first_round=first, p=rp)
+        rp = P.RedeemParams(cooldown_minutes=args.cooldown_minutes, redeem_type=args.redeem_type, points=P.PointParams(ledger_years=years))
+        round_id = sink.next_round() if args.round is None else args.round
+        print(f"redemption batch: round {round_id} (--round {round_id} repeats it)")
+        batches.run_redemption_batch(tables, sink, requests, round_id, rp)
     return 0
 
 

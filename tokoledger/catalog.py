@@ -33,7 +33,7 @@ POINTS = P.PointParams(ledger_years=S.STANDIN_LEDGER_YEARS)
 REPORT = P.ReportParams(year=S.STANDIN_YEAR, as_of=S.STANDIN_AS_OF)
 VIEWS = P.InvoiceViewParams(as_of=S.STANDIN_VIEW_AS_OF)
 VIEWS_MONTH = P.InvoiceViewParams(year=S.STANDIN_YEAR, month=8, as_of=S.STANDIN_VIEW_AS_OF)
-REDEEM = P.RedeemParams(points=POINTS)
+REDEEM = P.RedeemParams(points=POINTS, redeem_type=S.STANDIN_REDEEM_TYPE)
 STORED_YEAR = 2030          # outside the ledger years: the stored balance applies
 
 
@@ -188,7 +188,7 @@ def builders() -> dict[str, Callable[[Tables], DataFrame]]:
         "redemption_gate": _gate,
         "redemption_rows": lambda t: redeem.redemption_rows(_gate(t), t["redeem_item"], REDEEM),
         "redemption_detail_rows": lambda t: redeem.redemption_detail_rows(
-            _gate(t), t["alamat_pengiriman"], t["user_info"]),
+            _gate(t), t["alamat_pengiriman"], t["user_info"], REDEEM),
         "redemption_notifications": lambda t: redeem.redemption_notifications(_gate(t), t["redeem_item"]),
     }
     return reg

@@ -35,7 +35,6 @@ AREA_PREFIX = "ASM "
 
 # Fixed values -- redemption rows and notifications.
 DELIVERY_IN_PROCESS = "DIPROSES"
-REDEEM_TYPE = "loyalty"
 NOTIFICATION_PREFIX = "Redeem "
 # type_code compared as a number: 08 and 04 (a second 04 branch, 'Kendaraan',
 # can never be reached in the reference).

@@ -72,22 +72,22 @@ def point_ledger(
     redeemed = point_redeem.filter(F.col("point_year").isin(*p.ledger_years)).select(
         F.col("redeem_no").alias("x_redeem_no"), "gift_code", "point_redeem", "point_year", "status_delivery"
     )
-    gifts = bounded_broadcast(items.select(F.col("redeem_code"), F.col("type_code")), source=items)
     j = redeemed.join(channels, redeemed.x_redeem_no == channels.redeem_no, "inner")
-    j = j.join(gifts, j.gift_code == gifts.redeem_code, "left")
-    is_ovo = F.coalesce(F.col("type_code"), F.lit("00")).isin(*p.ovo_type_codes)
-    component = (
-        F.when(F.col("channel") != _DETAIL, F.col("channel"))
-        .when(F.col("redeem_code").isNull(), F.lit(None))           # detail needs a catalogue item (T19)
-        .when(~is_ovo, F.lit(CATALOGUE))
-        .when(F.col("status_delivery") != F.lit(p.failed_status), F.lit(OVO))   # NULL status drops (T18)
-    )
-    spent = j.select(
-        "outlet_id",
-        F.col("point_year").alias("year"),
-        component.alias("component"),
-        F.coalesce(F.col("point_redeem"), F.lit(0)).cast(POINTS4).alias("points"),
-    ).filter(F.col("component").isin(*components))
+    # cashback, PPOB and e-wallet never look at the catalogue; a detail counts once for each catalogue row of its
+    # gift and not at all without one (T19), so the catalogue is reduced to counts per code and the join emits no copies
+    counted = [F.struct(F.col("channel").alias("component"), F.when(F.col("channel") != _DETAIL, 1).otherwise(0).alias("n"))]
+    if CATALOGUE in components or OVO in components:
+        is_ovo = F.coalesce(F.col("type_code"), F.lit("00")).isin(*p.ovo_type_codes).cast("int")
+        gifts = bounded_broadcast(items.groupBy("redeem_code").agg(
+            F.sum(is_ovo).cast("int").alias("n_ovo"), F.sum(1 - is_ovo).cast("int").alias("n_catalogue")), source=items)
+        j = j.join(gifts, (j.gift_code == gifts.redeem_code) & (j.channel == _DETAIL), "left")
+        delivered = F.col("status_delivery") != F.lit(p.failed_status)          # NULL status drops (T18)
+        counted.append(F.struct(F.lit(CATALOGUE).alias("component"), F.coalesce("n_catalogue", F.lit(0)).alias("n")))
+        counted.append(F.struct(F.lit(OVO).alias("component"), F.when(delivered, F.coalesce("n_ovo", F.lit(0))).otherwise(0).alias("n")))
+    spent = j.select("outlet_id", F.col("point_year").alias("year"), "point_redeem", F.explode(F.array(*counted)).alias("c")).filter(
+        (F.col("c.n") > 0) & F.col("c.component").isin(*components)).select(
+        "outlet_id", "year", F.col("c.component").alias("component"),
+        (F.coalesce(F.col("point_redeem"), F.lit(0)) * F.col("c.n")).cast(POINTS4).alias("points"))
     return earned.unionByName(spent) if EARNED in components else spent
 
 
@@ -127,6 +127,14 @@ def point_balance(pairs: DataFrame, ledger: DataFrame, stored: DataFrame, p: Poi
                              "left_semi")
     totals = ledger.groupBy(F.col("outlet_id").alias("l_outlet_id"), F.col("year").alias("l_year")).agg(
         F.sum(signed).alias("ledger_total"))
+    return stored_or_ledger(req, totals, stored, p)
+
+
+def stored_or_ledger(pairs: DataFrame, totals: DataFrame, stored: DataFrame, p: PointParams = PointParams()) -> DataFrame:
+    """The balance of each pair: of a ledger year from ``totals`` (l_outlet_id, l_year, ledger_total), of another
+    from ``stored``."""
+    req = pairs.select("outlet_id", F.col("year").cast("int").alias("year"))
+    in_ledger = _years_filter(F.col("year"), p.ledger_years)
     kept = stored.groupBy(F.col("outlet_id").alias("s_outlet_id")).agg(F.max("remain_point").alias("stored_total"))
 
     a = req.filter(in_ledger)

@@ -2,57 +2,92 @@
 request writes -- point_redeem (O20), point_redeem_detail (O21) and
 notifications (O22).
 
-The reference validates one request per call and its insert changes the next
-call's balance. A batch therefore takes at most one request per outlet (the
-earliest; the others come back ``deferred`` for the next batch, whose balance
-already includes this batch's appended rows). ``request_ts`` replaces
-GETDATE(). Where the reference would raise (several users for the outlet,
-several catalogue rows for the gift) the request is rejected with a reason.
+The reference validates one request per call, and its insert changes the next
+call's balance. A batch decides all its requests in one pass, in the order of
+(request_ts, redeemno, giftcode, qty) within each outlet and year, each against
+the balance that the accepted ones before it leave (:mod:`decide`).
+``request_ts`` replaces GETDATE(). Where the reference would raise (several
+users for the outlet, several catalogue rows for the gift) the request is
+rejected with a reason. A redeemno names one request: delivered again, or used
+for another request, it is a ``duplicate_request`` and spends nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import texts
 from ..functions.exprs import POINTS4, numeric
 from ..params import RedeemParams
 from ..plans.joins import bounded_broadcast
+from .decide import balances_before
 from .points import point_balance
 from .report import latest_address
 
-GATE_COLUMNS = ["outlet_id", "giftcode", "qty", "year", "redeemno", "request_ts", "user_id", "total_point",
-                "berapa", "cek_poin", "cek_status", "accepted", "reject_reason"]
 DELIVERY_ADDRESS = ["nama_penerima", "nama_jalan", "no_rumah", "kelurahan", "kecamatan", "provinsi", "kota",
                     "kode_pos"]
 
 
+REQUEST = ["outlet_id", "giftcode", "qty", "year", "redeemno", "request_ts"]
+
+
+def clean_requests(requests: DataFrame) -> DataFrame:
+    """The requests with blank-padded keys trimmed (``=`` ignores trailing blanks), identical deliveries once."""
+    keys = [F.rtrim(F.col(c)).alias(c) for c in ("outlet_id", "giftcode")]
+    return requests.select(*keys, "qty", F.col("year").cast("int").alias("year"), F.rtrim(F.col("redeemno")).alias("redeemno"),
+                           "request_ts").distinct()
+
+
+def _in_cooldown(calls: DataFrame, redeem_log: DataFrame, minutes: int, source: DataFrame) -> DataFrame:
+    """(user, moment) of calls with a log row in the ``minutes`` before them.
+
+    The newest log row up to the call is that young exactly if any is, so the join looks at the
+    days that the interval touches, with (user, day) as its key, instead of all log rows of the user.
+    """
+    since = F.col("request_ts") - F.make_dt_interval(mins=F.lit(minutes))
+    days = F.array_distinct(F.array(F.to_date(since), F.to_date("request_ts")))
+    asked = calls.filter(F.col("user_id").isNotNull()).select(
+        F.col("user_id").alias("c_user"), F.col("request_ts").alias("c_ts"), since.alias("c_since"),
+        F.explode(days).alias("c_day")).distinct()
+    logs = redeem_log.select(F.col("user_id").alias("l_user"), "created_date")
+    asked = bounded_broadcast(asked, source=source)
+    hit = asked.join(logs, (asked.c_user == logs.l_user) & (asked.c_day == F.to_date(logs.created_date))
+                     & (logs.created_date >= asked.c_since) & (logs.created_date <= asked.c_ts), "inner")
+    return hit.select("c_user", "c_ts").distinct()
+
+
 def redemption_gate(
     requests: DataFrame,
-    ledger: DataFrame,
-    stored_balance: DataFrame,
+    ledger: DataFrame | None,
+    stored_balance: DataFrame | None,
     items: DataFrame,
     users: DataFrame,
     participants: DataFrame,
     redeem_log: DataFrame,
     p: RedeemParams = RedeemParams(),
     balances: DataFrame | None = None,
+    decided: DataFrame | None = None,
 ) -> DataFrame:
     """One row per request with the two checks and the decision.
 
     ``ledger`` is :func:`points.point_ledger`; the balance is rounded to whole
     points before the check (T15) and compared with ONE unit of the gift
     unless ``p.check == "total"`` (T14); a gift without a price passes (T16).
-    ``balances`` (outlet_id, year, total_point), when given, replaces the
-    balance computed from ``ledger`` and ``stored_balance``.
+    An accepted request takes qty units off the balance that the next one of
+    the outlet and year meets; balances of years outside the ledger are stored
+    ones and stay (T20). ``balances`` (outlet_id, year, total_point), when given,
+    replaces the balance computed from ``ledger`` and ``stored_balance``.
+    ``decided`` (redeemno): requests of earlier batches.
     """
-    req = requests.select("outlet_id", "giftcode", "qty", F.col("year").cast("int").alias("year"), "redeemno",
-                          "request_ts").distinct()      # a request delivered twice counts once
-
-    # earliest request per outlet (an aggregate, so a busy outlet combines map-side)
-    first = req.groupBy(F.col("outlet_id").alias("f_outlet")).agg(
-        F.min(F.struct("request_ts", "redeemno", "giftcode", "qty", "year")).alias("f_first"))
+    req = clean_requests(requests)
+    same = Window.partitionBy("redeemno", F.when(F.col("redeemno").isNull(), F.xxhash64(*REQUEST))).orderBy(
+        "request_ts", "outlet_id", "giftcode", "qty", "year")
+    req = req.withColumn("again", F.row_number().over(same) > 1)
+    if decided is not None:
+        old = bounded_broadcast(decided.select(F.col("redeemno").alias("o_redeemno"), F.lit(True).alias("was")).distinct())
+        req = req.join(old, req.redeemno == old.o_redeemno, "left").withColumn(
+            "again", F.col("again") | F.coalesce("was", F.lit(False))).drop("o_redeemno", "was")
 
     people = users.groupBy(F.col("outlet_id").alias("u_outlet")).agg(
         F.count(F.lit(1)).alias("n_users"), F.max("user_id").alias("user_id"))
@@ -61,52 +96,44 @@ def redemption_gate(
         F.count(F.lit(1)).alias("n_items"), F.max("point").alias("point")), source=items)
 
     if balances is None:
-        pairs = req.select("outlet_id", "year").distinct()
-        balances = point_balance(pairs, ledger, stored_balance, p.points, pairs_source=requests)
+        balances = point_balance(req.select("outlet_id", "year").distinct(), ledger, stored_balance, p.points,
+                                 pairs_source=requests)
     bal = balances.select(F.col("outlet_id").alias("b_outlet"), F.col("year").alias("b_year"), "total_point")
 
     j = req.join(people, req.outlet_id == people.u_outlet, "left")
-
-    # newest log row of the outlet's user up to the request time: the (small)
-    # request side is broadcast when bounded, so the log is filtered and
-    # max-aggregated map-side without shuffling it by user
-    cand = bounded_broadcast(j.filter(F.col("user_id").isNotNull()).select(
-        F.col("redeemno").alias("c_redeemno"), F.col("user_id").alias("c_user"), F.col("request_ts").alias("c_ts")),
-        source=requests)
-    logs = redeem_log.select(F.col("user_id").alias("l_user"), "created_date")
-    last = cand.join(logs, (cand.c_user == logs.l_user) & (logs.created_date <= cand.c_ts), "inner").groupBy(
-        "c_redeemno", "c_user", "c_ts").agg(F.max("created_date").alias("last_log"))
-
-    j = j.join(first, j.outlet_id == first.f_outlet, "left")
+    recent = _in_cooldown(j, redeem_log, p.cooldown_minutes, requests)
     j = j.join(extra, j.outlet_id == extra.m_outlet, "left")
     j = j.join(gifts, j.giftcode == gifts.i_code, "left")
     j = j.join(bal, (j.outlet_id == bal.b_outlet) & (j.year == bal.b_year), "left")
-    j = j.join(last, (j.redeemno == last.c_redeemno) & (j.user_id == last.c_user)
-               & (j.request_ts == last.c_ts), "left")
+    j = j.join(recent, (j.user_id == recent.c_user) & (j.request_ts == recent.c_ts), "left")
 
-    balance_n = numeric(F.coalesce(F.col("total_point"), F.lit(0)))
-    charge = F.col("point") * F.col("qty") if p.check == "total" else F.col("point")
-    remaining = balance_n - charge
-    cek_poin = F.when(remaining < 0, F.lit(1)).otherwise(F.lit(0))
-    cutoff = F.col("request_ts") - F.make_dt_interval(mins=F.lit(p.cooldown_minutes))
-    cek_status = F.when(F.col("last_log") >= cutoff, F.lit(1)).otherwise(F.lit(0))
-    is_first = F.struct("request_ts", "redeemno", "giftcode", "qty", "year") == F.col("f_first")
+    cek_status = F.when(F.col("c_ts").isNotNull(), F.lit(1)).otherwise(F.lit(0))
     info_rows = F.col("n_users") * F.greatest(F.coalesce(F.col("n_part"), F.lit(0)), F.lit(1))
-    reason = (
-        F.when(~is_first, F.lit("deferred"))
+    barred = (
+        F.when(F.col("again"), F.lit("duplicate_request"))
         .when(F.col("n_users").isNull(), F.lit("unknown_outlet"))
         .when(info_rows > 1, F.lit("ambiguous_user"))
         .when(F.col("n_items").isNull(), F.lit("unknown_gift"))
         .when(F.col("n_items") > 1, F.lit("ambiguous_gift"))
         .when(cek_status == 1, F.lit("cooldown"))
-        .when(cek_poin == 1, F.lit("insufficient_points"))
     )
-    return j.select(
-        "outlet_id", "giftcode", "qty", "year", "redeemno", "request_ts", "user_id",
+    charge = F.col("point") * F.col("qty") if p.check == "total" else F.col("point")
+    counts = F.coalesce(F.col("year").isin(*p.points.ledger_years), F.lit(False))
+    calls = balances_before(j.select(
+        *REQUEST, "user_id", F.coalesce("total_point", F.lit(0)).alias("balance"), charge.cast("decimal(28,4)").alias("charge"),
+        F.when(counts, F.coalesce((F.col("qty") * F.col("point")).cast(POINTS4), F.lit(0))).otherwise(F.lit(0)).cast(POINTS4).alias("effect"),
+        cek_status.alias("cek_status"), barred.alias("barred"), barred.isNull().alias("eligible")), source=requests)
+
+    balance_n = numeric(F.col("balance_before"))
+    remaining = balance_n - F.col("charge")
+    cek_poin = F.when(remaining < 0, F.lit(1)).otherwise(F.lit(0))
+    reason = F.coalesce("barred", F.when(cek_poin == 1, F.lit("insufficient_points")))
+    return calls.select(
+        *REQUEST, "user_id",
         balance_n.alias("total_point"),
         remaining.cast("decimal(20,4)").alias("berapa"),
         cek_poin.alias("cek_poin"),
-        cek_status.alias("cek_status"),
+        "cek_status",
         reason.isNull().alias("accepted"),
         reason.alias("reject_reason"),
     )
@@ -146,7 +173,8 @@ def redemption_rows(gate: DataFrame, items: DataFrame, p: RedeemParams = RedeemP
     )
 
 
-def redemption_detail_rows(gate: DataFrame, addresses: DataFrame, users: DataFrame) -> DataFrame:
+def redemption_detail_rows(gate: DataFrame, addresses: DataFrame, users: DataFrame,
+                           p: RedeemParams = RedeemParams()) -> DataFrame:
     """The point_redeem_detail rows; a missing address leaves NULLs."""
     ok = gate.filter(F.col("accepted")).select("redeemno", "outlet_id")
     addr = latest_address(addresses, DELIVERY_ADDRESS, trim_key=True).select(
@@ -157,7 +185,7 @@ def redemption_detail_rows(gate: DataFrame, addresses: DataFrame, users: DataFra
     return j.select(
         F.col("redeemno").alias("redeem_no"),
         "outlet_id",
-        F.lit(texts.REDEEM_TYPE).alias("redeem_type"),
+        F.lit(p.redeem_type).cast("string").alias("redeem_type"),
         *DELIVERY_ADDRESS,
         "no_telp",
         none_s.alias("foto_ktp"),

@@ -106,4 +106,8 @@ class RedeemParams:
     point_value: int = POINT_VALUE_RP
     # The reference checks the balance against ONE unit of the gift
     check: str = "unit"
+    # redeem_type of the detail rows; NULL unless the caller names one
+    redeem_type: str | None = None
+    # days before a batch's earliest request in which the request log is searched for its redeemnos
+    lookback_days: int = 7
     points: PointParams = field(default_factory=PointParams)

@@ -4,7 +4,7 @@
   summary and drill-down (the growth procedure, then the basepack procedure)
 * :func:`run_activity_quarter` -- O1-O5 (the activity detail and summary procedures)
 * :func:`daily_report` -- the daily outlet report (returned, not stored)
-* :func:`run_redemption_round` -- one round of redemption requests
+* :func:`run_redemption_batch` -- a batch of redemption requests, decided in one pass
 
 Each table the reference persists is written to the sink and read back, which
 also cuts the lineage: later steps scan the stored rows instead of re-running
@@ -13,6 +13,9 @@ the joins that produced them (a lost executor re-reads stored files).
 
 from __future__ import annotations
 
+import datetime as dt
+from typing import TYPE_CHECKING
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +23,10 @@ from ..operators import activity, basepack, growth, injection, points, redeem, r
 from ..params import ActivityParams, RedeemParams, ReportParams, SalesParams
 from ..sources.sinks import Sink
 from ..sources.tables import Tables
+from .joins import bounded_broadcast
+
+if TYPE_CHECKING:
+    from .balances import BalanceStore
 
 # output table names of the reference
 GROWTH_TABLE = "achievement_growth_new"
@@ -30,7 +37,7 @@ ACTIVITY_TABLES = ("activity_detail_inv", "activity_detail_inv_achievement", "ac
                    "activity_summary_achievement")
 REDEEM_TABLES = ("point_redeem", "point_redeem_detail", "notifications")
 GATE_TABLE = "redeem_gate"
-DEFERRED_TABLE = "redeem_deferred"
+REQUEST_LOG = "redeem_request_log"
 
 
 def run_growth_basepack(t: Tables, sink: Sink, p: SalesParams = SalesParams()) -> dict[str, DataFrame]:
@@ -89,19 +96,12 @@ def daily_report(t: Tables, p: ReportParams = ReportParams()) -> DataFrame:
 
 def _with_earlier_rounds(t: Tables, sink: Sink, name: str, cols: list[str], round_id: int) -> DataFrame:
     base = t[name].select(*cols)
-    earlier = sink.read_rounds(name, before=round_id)
+    earlier = sink.rounds(name, before=round_id)
     return base if earlier is None else base.unionByName(earlier.select(*cols))
 
 
-def pending_requests(sink: Sink, new_requests: DataFrame, round_id: int) -> DataFrame:
-    """New requests plus the ones the previous round deferred."""
-    if round_id <= 0 or not sink.exists(DEFERRED_TABLE):
-        return new_requests
-    prev = sink.read(DEFERRED_TABLE).filter(F.col("round_id") == round_id - 1).select(*new_requests.columns)
-    return prev.unionByName(new_requests)
-
-
-def _round_ledger(t: Tables, sink: Sink, round_id: int, p: RedeemParams) -> DataFrame:
+def round_ledger(t: Tables, sink: Sink, round_id: int, p: RedeemParams = RedeemParams()) -> DataFrame:
+    """The ledger of the tables and of the committed rounds before ``round_id``."""
     redeemed = _with_earlier_rounds(t, sink, "point_redeem",
                                     ["redeem_no", "gift_code", "point_redeem", "point_year", "status_delivery"],
                                     round_id)
@@ -111,79 +111,47 @@ def _round_ledger(t: Tables, sink: Sink, round_id: int, p: RedeemParams) -> Data
                                p.points)
 
 
-def _write_round(t: Tables, sink: Sink, requests: DataFrame, round_id: int, p: RedeemParams,
-                 ledger: DataFrame | None, balances: DataFrame | None) -> DataFrame:
-    gate = sink.write_round(GATE_TABLE, redeem.redemption_gate(
-        requests, ledger, t["new_point_balance"], t["redeem_item"], t["user_info"], t["master_peserta"],
-        t["log_validasi_redeem"], p, balances), round_id)
-    sink.write_round("point_redeem", redeem.redemption_rows(gate, t["redeem_item"], p), round_id)
-    sink.write_round("point_redeem_detail",
-                     redeem.redemption_detail_rows(gate, t["alamat_pengiriman"], t["user_info"]), round_id)
-    sink.write_round("notifications", redeem.redemption_notifications(gate, t["redeem_item"]), round_id)
-    deferred = gate.filter(F.col("reject_reason") == "deferred").select(*requests.columns)
-    sink.write_round(DEFERRED_TABLE, deferred, round_id)
-    return gate
-
-
-def run_redemption_round(t: Tables, sink: Sink, requests: DataFrame, round_id: int | None = None,
-                         p: RedeemParams = RedeemParams()) -> DataFrame:
-    """Validate a batch of requests against the current tables, store the rows
-    of the accepted ones (point_redeem, point_redeem_detail, notifications)
-    and return the stored gate.
-
-    Rows of earlier rounds count in this round's balance; each round writes
-    its own ``round_id`` partition, so re-running a round after a failure
-    gives the same rows instead of duplicates. Requests of an outlet that
-    already had one in this round come back ``deferred`` and are stored as
-    ``redeem_deferred`` for round ``round_id + 1``. Without a ``round_id`` the
-    round comes after all stored ones; only a retry names the id it repeats.
+def decided_before(sink: Sink, requests: DataFrame, round_id: int, p: RedeemParams = RedeemParams()) -> DataFrame | None:
+    """redeemno of the requests that earlier rounds decided, looked up in the request log from ``p.lookback_days``
+    before the earliest request on; the log is stored by day, so older files are not read."""
+    log = sink.rounds(REQUEST_LOG, before=round_id)
+    if log is None:
+        return None
+    first = requests.agg(F.min(F.to_date("request_ts"))).first()[0]
+    if first is not None:
+        log = log.filter(F.col("request_day") >= F.lit(first - dt.timedelta(days=p.lookback_days)))
+    asked = requests.select(F.rtrim(F.col("redeemno")).alias("redeemno")).distinct()
+    return log.join(bounded_broadcast(asked, source=requests), "redeemno", "left_semi").select("redeemno")
+
+
+def run_redemption_batch(t: Tables, sink: Sink, requests: DataFrame, round_id: int | None = None,
+                         p: RedeemParams = RedeemParams(), balances: "BalanceStore | None" = None) -> DataFrame:
+    """Decide all requests of a batch in one pass, in the order of their calls, store the rows of the accepted ones
+    (point_redeem, point_redeem_detail, notifications) and return the stored gate.
+
+    The batch is one round: its tables become visible together or not at all, so a failure between two writes leaves
+    no part of it. Rows of earlier rounds count in its balances. Without a ``round_id`` it comes after all
+    stored rounds; only a retry names the id it repeats. Requests that an earlier round decided spend nothing.
+    ``balances``: a maintained :class:`~tokoledger.plans.balances.BalanceStore` to take the
+    opening balances from instead of the whole ledger.
     """
     if round_id is None:
-        round_id = sink.next_round(GATE_TABLE)
-    return _write_round(t, sink, requests, round_id, p, _round_ledger(t, sink, round_id, p), None)
-
-
-BASE_BALANCE_TABLE = "redeem_batch_balance"
-
-
-def run_redemption_batch(t: Tables, sink: Sink, requests: DataFrame, first_round: int | None = None,
-                         p: RedeemParams = RedeemParams()) -> int:
-    """Rounds until no request is deferred; returns the next free round id.
-
-    The number of rounds is the largest number of requests one outlet has in
-    the batch -- each depends on the balance its predecessor left. The ledger
-    balance of every requested (outlet, year) is computed once per batch and
-    stored; a round subtracts the points this batch has already accepted
-    (they always count: the gift exists and the row is 'DIPROSES'), so later
-    rounds only touch the deferred requests. Without a ``first_round`` the
-    batch comes after all stored rounds, so rows of earlier batches stay; only
-    a retry of the same batch names the round it started with.
-    """
-    if first_round is None:
-        first_round = sink.next_round(GATE_TABLE)
-    pairs = requests.select("outlet_id", F.col("year").cast("int").alias("year")).distinct()
-    base = sink.overwrite(BASE_BALANCE_TABLE, points.point_balance(
-        pairs, _round_ledger(t, sink, first_round, p), t["new_point_balance"], p.points, pairs_source=requests))
-    round_id = first_round
-    pending = requests
-    while True:
-        balances = base
-        if round_id > first_round:
-            gates = sink.read(GATE_TABLE).filter((F.col("round_id") >= first_round) & (F.col("round_id") < round_id))
-            spent = (
-                gates.filter(F.col("accepted"))
-                .join(sink.read("point_redeem").filter((F.col("round_id") >= first_round)
-                                                       & (F.col("round_id") < round_id))
-                      .select("redeem_no", "point_redeem"), F.col("redeemno") == F.col("redeem_no"), "inner")
-                .filter(F.col("year").isin(*p.points.ledger_years))
-                .groupBy(F.col("outlet_id").alias("d_outlet"), F.col("year").alias("d_year"))
-                .agg(F.sum(F.coalesce(F.col("point_redeem"), F.lit(0))).alias("spent"))
-            )
-            balances = base.join(spent, (base.outlet_id == spent.d_outlet) & (base.year == spent.d_year), "left").select(
-                "outlet_id", "year",
-                (F.col("total_point") - F.coalesce(F.col("spent"), F.lit(0))).cast("decimal(18,4)").alias("total_point"))
-        gate = _write_round(t, sink, pending, round_id, p, None, balances)
-        round_id += 1
-        if gate.filter(F.col("reject_reason") == "deferred").limit(1).count() == 0:
-            return round_id
-        pending = pending_requests(sink, requests.limit(0), round_id)
+        round_id = sink.next_round()
+    opening = None
+    if balances is not None:
+        cleaned = redeem.clean_requests(requests)
+        balances.absorb_rounds(before=round_id)
+        opening = balances.balances(cleaned.select("outlet_id", "year").distinct(), t["new_point_balance"], before=round_id,
+                                    pairs_source=requests)
+    ledger = round_ledger(t, sink, round_id, p) if balances is None else None
+    with sink.round(round_id) as one:
+        gate = one.write(GATE_TABLE, redeem.redemption_gate(
+            requests, ledger, t["new_point_balance"], t["redeem_item"], t["user_info"], t["master_peserta"],
+            t["log_validasi_redeem"], p, opening, decided_before(sink, requests, round_id, p)))
+        one.write("point_redeem", redeem.redemption_rows(gate, t["redeem_item"], p))
+        one.write("point_redeem_detail", redeem.redemption_detail_rows(gate, t["alamat_pengiriman"], t["user_info"], p))
+        one.write("notifications", redeem.redemption_notifications(gate, t["redeem_item"]))
+        logged = gate.filter(F.col("redeemno").isNotNull()
+                             & F.coalesce(F.col("reject_reason") != "duplicate_request", F.lit(True)))
+        one.write(REQUEST_LOG, logged.select("redeemno", F.to_date("request_ts").alias("request_day")).sortWithinPartitions("request_day"))
+    return gate

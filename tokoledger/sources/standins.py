@@ -13,10 +13,11 @@ import datetime as dt
 import re
 from collections.abc import Iterable
 
-from ..functions import texts
 
 BASE_TABLES = ("region", "nation", "supplier", "part", "orders", "lineitem", "events")
 
+STANDIN_REDEEM_TYPE = "gift"
+
 _SQL: dict[str, str] = {}
 
 
@@ -313,7 +314,7 @@ UNION ALL
 SELECT p.redeem_no, o.outlet_id, '<type>'
 FROM {point_redeem} p JOIN {so_outlets} o ON p.user_id = CAST(o.sk AS STRING)
 WHERE p.event_id % 4 = 0 AND p.event_id % 29 = 0
-""".replace("<type>", texts.REDEEM_TYPE))
+""".replace("<type>", STANDIN_REDEEM_TYPE))
 
 _table("point_redeem_detail_cashback", """
 SELECT p.redeem_no, o.outlet_id
@@ -342,6 +343,9 @@ SELECT 'G' || CAST(p_partkey AS STRING) AS redeem_code,
             WHEN p_partkey % 7 = 6 THEN CAST(100000 AS DECIMAL(18,4))
             ELSE CAST(50 + p_partkey * 25 AS DECIMAL(18,4)) END AS point
 FROM {part}
+UNION ALL
+SELECT 'G' || CAST(p_partkey AS STRING), '01', 'V01', p_name, CAST(50 + p_partkey * 25 AS DECIMAL(18,4))
+FROM {part} WHERE p_partkey % 37 = 13
 """)
 
 _table("new_point_balance", """
@@ -370,6 +374,18 @@ SELECT o.outlet_id, 'G' || CAST((o.sk + 7) % 40 AS STRING), CAST(1 AS INT),
        CAST(1995 + o.sk % 7 AS INT), 'RQ' || CAST(o.sk AS STRING) || '-2',
        TIMESTAMP '2024-02-01 09:05:00'
 FROM {so_outlets} o WHERE o.sk % 10 = 7
+UNION ALL
+SELECT o.outlet_id, 'G' || CAST(1 + (o.sk * 5 + n.n * 3) % 12 AS STRING), CAST(1 + (o.sk + n.n) % 3 AS INT),
+       CAST(1995 + o.sk % 7 AS INT), 'RM' || CAST(o.sk AS STRING) || '-' || CAST(n.n AS STRING),
+       TIMESTAMP '2024-02-01 09:30:00' + CAST(FLOOR(n.n / 2) AS INT) * INTERVAL '25' MINUTE
+FROM {so_outlets} o JOIN (SELECT r_regionkey + 5 * k AS n FROM {region}, (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2) z) n
+  ON n.n < 4 + o.sk % 11
+WHERE o.sk % 3 = 1
+UNION ALL
+SELECT o.outlet_id, 'G' || CAST(1 + (o.sk * 5) % 12 AS STRING), CAST(1 + o.sk % 3 AS INT),
+       CAST(1995 + o.sk % 7 AS INT), 'RM' || CAST(o.sk AS STRING) || CASE WHEN o.sk % 2 = 0 THEN '-0' ELSE '-1' END,
+       TIMESTAMP '2024-02-01 09:30:00'
+FROM {so_outlets} o WHERE o.sk % 12 IN (4, 7)
 """)
 
 # tables a user of the library supplies (everything but the so_* helpers)

@@ -4,9 +4,9 @@ The reference handles one request per procedure call, each seeing the
 balance left by the calls before it. As Structured Streaming: requests arrive
 as files (or any streaming source); every micro-batch is one redemption batch
 (``plans.batches.run_redemption_batch``) over tables opened anew, and decides
-all its requests. Its round ids start at a multiple of ``ROUNDS`` that the
-micro-batch id gives, so a micro-batch that is re-run after a failure rewrites
-only its own rounds.
+all its requests. Micro-batch ``n`` is round ``first_round + n``, so a micro-batch that
+is run again after a failure replaces its own round. With a maintained balance store it
+reads the changes since the last micro-batch instead of the ledger.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..params import RedeemParams
+from ..plans.balances import BalanceStore
 from ..plans.batches import run_redemption_batch
 from ..sources.sinks import Sink
 from ..session import checkpoint_dir
@@ -22,16 +23,17 @@ from ..sources.tables import Tables
 
 REQUEST_SCHEMA = ("outlet_id string, giftcode string, qty int, year int, redeemno string, "
                   "request_ts timestamp_ntz")
-ROUNDS = 1 << 32     # round ids of a micro-batch
 REQUEST_COLUMNS = ("outlet_id", "giftcode", "qty", "year", "redeemno", "request_ts")
 
 
-def redemption_round_writer(tables: Tables, sink: Sink, p: RedeemParams = RedeemParams(), first_round: int = 0):
-    """``foreachBatch`` function: the rounds of micro-batch ``n`` start at
-    ``first_round + n * ROUNDS``."""
+def redemption_round_writer(tables: Tables, sink: Sink, p: RedeemParams = RedeemParams(), first_round: int = 0,
+                            balances: BalanceStore | None = None):
+    """``foreachBatch`` function: micro-batch ``n`` is round ``first_round + n``."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        run_redemption_batch(tables.reloaded(), sink, batch.select(*REQUEST_COLUMNS), first_round + batch_id * ROUNDS, p)
+        if balances is not None:
+            balances.refresh()
+        run_redemption_batch(tables.reloaded(), sink, batch.select(*REQUEST_COLUMNS), first_round + batch_id, p, balances)
 
     return process
 
@@ -46,6 +48,7 @@ def start_redemption_stream(
     files_per_trigger: int | None = None,
     available_now: bool = False,
     first_round: int = 0,
+    balances: BalanceStore | None = None,
 ) -> StreamingQuery:
     """Start the stream over Parquet request files in ``source_dir``.
 
@@ -61,7 +64,7 @@ def start_redemption_stream(
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     writer = (reader.parquet(source_dir).writeStream
-              .foreachBatch(redemption_round_writer(tables, sink, p, first_round))
+              .foreachBatch(redemption_round_writer(tables, sink, p, first_round, balances))
               .option("checkpointLocation", checkpoint_location))
     if available_now:
         writer = writer.trigger(availableNow=True)
