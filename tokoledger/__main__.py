@@ -3,6 +3,8 @@
     python -m tokoledger growth-basepack  --tables /data/tables --sink /shared/out
     python -m tokoledger activity-quarter --tables /data/tables --sink /shared/out --quarter Q3 --year 2025
     python -m tokoledger daily-report     --tables /data/tables --sink /shared/out --year 2025
+    python -m tokoledger invoice-lines    --tables /data/tables --sink /shared/out --year 2025 --month 7 --outlet T1 --invoice I1
+    python -m tokoledger invoice-headers  --tables /data/tables --sink /shared/out --year 2025 --month 7 --outlet T1
     python -m tokoledger redeem           --tables /data/tables --sink /shared/out --requests /data/requests \
                                           [--ledger-years 2018-2025] [--round N]
 
@@ -22,19 +24,17 @@ from . import params as P
 from .plans import batches
 from .session import configure
 from .sources.sinks import ParquetSink, default_sink
-from .sources.tables import from_catalog, from_parquet
-
-
-def _tables(spark: SparkSession, spec: str):
-    if spec.startswith("catalog:"):
-        return from_catalog(spark, spec.split(":", 1)[1])
-    return from_parquet(spark, spec)
+from .sources.tables import BALANCE, from_spec
 
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="tokoledger")
-    ap.add_argument("job", choices=["growth-basepack", "activity-quarter", "daily-report", "redeem"])
+    ap.add_argument("job", choices=["growth-basepack", "activity-quarter", "daily-report", "invoice-lines", "invoice-headers", "redeem"])
     ap.add_argument("--tables", required=True)
+    ap.add_argument("--balance-tables", help="redeem: second database with gifts, users and ledger (default: --tables)")
+    ap.add_argument("--outlet", help="invoice-lines, invoice-headers: outlet")
+    ap.add_argument("--invoice", help="invoice-lines: invoice number")
+    ap.add_argument("--month", type=int, help="invoice-lines, invoice-headers: month of --year")
     ap.add_argument("--sink")
     ap.add_argument("--from-date", type=dt.date.fromisoformat, default=P.SALES_FROM)
     ap.add_argument("--detail-from", type=dt.date.fromisoformat, default=P.BASEPACK_DETAIL_FROM)
@@ -49,7 +49,9 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
 
     spark = configure(SparkSession.builder.appName(f"tokoledger-{args.job}").getOrCreate())
-    tables = _tables(spark, args.tables)
+    tables = from_spec(spark, args.tables)
+    if args.balance_tables:
+        tables = tables.with_source(BALANCE, from_spec(spark, args.balance_tables))
     sink = ParquetSink(spark, args.sink) if args.sink else default_sink(spark)
     now = dt.datetime.now().replace(microsecond=0)
     if args.job == "growth-basepack":
@@ -59,6 +61,10 @@ def main(argv: list[str] | None = None) -> int:
         batches.run_activity_quarter(tables, sink, P.ActivityParams(quarter=args.quarter, year=str(args.year)))
     elif args.job == "daily-report":
         sink.overwrite("daily_report", batches.daily_report(tables, P.ReportParams(year=int(args.year), as_of=now)))
+    elif args.job in ("invoice-lines", "invoice-headers"):
+        look = P.InvoiceViewParams(year=int(args.year), month=args.month, outlet_id=args.outlet, invoice_no=args.invoice, as_of=now)
+        view = batches.invoice_lines if args.job == "invoice-lines" else batches.invoice_headers
+        sink.overwrite(args.job.replace("-", "_"), view(tables, look))
     else:
         if not args.requests:
             ap.error("redeem needs --requests")

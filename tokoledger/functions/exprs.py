@@ -24,10 +24,6 @@ def numeric(c: Column) -> Column:
     return c.cast(NUMERIC)
 
 
-def dec_lit(value) -> Column:
-    return F.lit(Decimal(str(value)))
-
-
 def ts_lit(value: dt.datetime | dt.date | str) -> Column:
     """A zone-less timestamp literal (T-SQL ``datetime``)."""
     if isinstance(value, dt.datetime):
@@ -37,10 +33,6 @@ def ts_lit(value: dt.datetime | dt.date | str) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 
 
-def date_lit(value: dt.date | str) -> Column:
-    return F.lit(str(value)).cast("date")
-
-
 def clamp_at_zero(diff: Column) -> Column:
     """``CASE WHEN d <= 0 THEN 0 ELSE d END`` (NULL stays NULL)."""
     return F.when(diff <= 0, F.lit(0)).otherwise(diff)
@@ -86,6 +78,12 @@ def year_range(c: Column, year: int) -> Column:
     return (c >= ts_lit(dt.datetime(year, 1, 1))) & (c < ts_lit(dt.datetime(year + 1, 1, 1)))
 
 
-def or_default(c: Column, default) -> Column:
-    """``ISNULL(c, default)``."""
-    return F.coalesce(c, F.lit(default))
+def month_range(c: Column, year: int, month: int) -> Column:
+    """``YEAR(c) = year AND MONTH(c) = month`` as one range."""
+    after = dt.datetime(year + month // 12, month % 12 + 1, 1)
+    return (c >= ts_lit(dt.datetime(year, month, 1))) & (c < ts_lit(after))
+
+
+def now_or(as_of: dt.datetime | None) -> Column:
+    """The given moment, or that of the query."""
+    return F.current_timestamp().cast("timestamp_ntz") if as_of is None else ts_lit(as_of)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import texts
-from ..functions.exprs import flag, numeric, ts_lit
+from ..functions.exprs import flag, numeric, now_or
 from ..params import SalesParams
 from ..plans.joins import bounded_broadcast
 from .injection import INJECTION_OUTPUT, injection_columns, invoices_of_kind
@@ -106,7 +106,7 @@ def growth_achievement(
         "status_id",
         "status_approval",
         flag(F.col("pencapaian") >= F.col("Target_toko")).alias("status_achievment"),
-        ts_lit(p.as_of).alias("update_date"),
+        now_or(p.as_of).alias("update_date"),
     )
 
 

@@ -68,6 +68,7 @@ def redemption_gate(
     p: RedeemParams = RedeemParams(),
     balances: DataFrame | None = None,
     decided: DataFrame | None = None,
+    stored_items: DataFrame | None = None,
 ) -> DataFrame:
     """One row per request with the two checks and the decision.
 
@@ -78,7 +79,8 @@ def redemption_gate(
     the outlet and year meets; balances of years outside the ledger are stored
     ones and stay (T20). ``balances`` (outlet_id, year, total_point), when given,
     replaces the balance computed from ``ledger`` and ``stored_balance``.
-    ``decided`` (redeemno): requests of earlier batches.
+    ``decided`` (redeemno): requests of earlier batches. ``stored_items``: the catalogue whose
+    price an accepted request stores, where it is not the one it is checked against (T24).
     """
     req = clean_requests(requests)
     same = Window.partitionBy("redeemno", F.when(F.col("redeemno").isNull(), F.xxhash64(*REQUEST))).orderBy(
@@ -95,6 +97,12 @@ def redemption_gate(
     gifts = bounded_broadcast(items.groupBy(F.col("redeem_code").alias("i_code")).agg(
         F.count(F.lit(1)).alias("n_items"), F.max("point").alias("point")), source=items)
 
+    price = F.col("point")
+    if stored_items is not None:
+        prices = bounded_broadcast(stored_items.groupBy(F.col("redeem_code").alias("s_code")).agg(
+            F.max("point").alias("s_point")), source=stored_items)
+        price = F.col("s_point")
+
     if balances is None:
         balances = point_balance(req.select("outlet_id", "year").distinct(), ledger, stored_balance, p.points,
                                  pairs_source=requests)
@@ -104,6 +112,8 @@ def redemption_gate(
     recent = _in_cooldown(j, redeem_log, p.cooldown_minutes, requests)
     j = j.join(extra, j.outlet_id == extra.m_outlet, "left")
     j = j.join(gifts, j.giftcode == gifts.i_code, "left")
+    if stored_items is not None:
+        j = j.join(prices, j.giftcode == prices.s_code, "left")
     j = j.join(bal, (j.outlet_id == bal.b_outlet) & (j.year == bal.b_year), "left")
     j = j.join(recent, (j.user_id == recent.c_user) & (j.request_ts == recent.c_ts), "left")
 
@@ -121,7 +131,7 @@ def redemption_gate(
     counts = F.coalesce(F.col("year").isin(*p.points.ledger_years), F.lit(False))
     calls = balances_before(j.select(
         *REQUEST, "user_id", F.coalesce("total_point", F.lit(0)).alias("balance"), charge.cast("decimal(28,4)").alias("charge"),
-        F.when(counts, F.coalesce((F.col("qty") * F.col("point")).cast(POINTS4), F.lit(0))).otherwise(F.lit(0)).cast(POINTS4).alias("effect"),
+        F.when(counts, F.coalesce((F.col("qty") * price).cast(POINTS4), F.lit(0))).otherwise(F.lit(0)).cast(POINTS4).alias("effect"),
         cek_status.alias("cek_status"), barred.alias("barred"), barred.isNull().alias("eligible")), source=requests)
 
     balance_n = numeric(F.col("balance_before"))

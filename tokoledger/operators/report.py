@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import texts
-from ..functions.exprs import NUMERIC, id_date, id_long_date, money_text, numeric, ts_lit, year_range
+from ..functions.exprs import NUMERIC, id_date, id_long_date, money_text, numeric, now_or, month_range, year_range
 from ..params import InvoiceViewParams, ReportParams
 from ..plans.joins import bounded_broadcast
 
@@ -83,19 +83,21 @@ def daily_outlet_report(
         F.col("dt_code_latest").alias("MAPPING_DT_CODE"),
         F.col("Remark_freeze").alias("Remark_Freeze"),
         F.lit(str(p.year)).alias("YEAR"),
-        ts_lit(p.as_of).alias("update_date"),
+        now_or(p.as_of).alias("update_date"),
     )
 
 
 def _view_filters(df: DataFrame, p: InvoiceViewParams, with_invoice: bool) -> DataFrame:
-    if p.year is not None:
+    if p.year is not None and p.month is not None:
+        df = df.filter(month_range(F.col("invoice_date"), int(p.year), int(p.month)))
+    elif p.year is not None:
         df = df.filter(year_range(F.col("invoice_date"), int(p.year)))
-    if p.month is not None:
+    elif p.month is not None:
         df = df.filter(F.month("invoice_date") == F.lit(int(p.month)))
     if p.outlet_id is not None:
-        df = df.filter(F.col("outlet_id") == F.lit(p.outlet_id))
+        df = df.filter(F.rtrim(F.col("outlet_id")) == F.lit(p.outlet_id.rstrip(" ")))
     if with_invoice and p.invoice_no is not None:
-        df = df.filter(F.col("invoice_no") == F.lit(p.invoice_no))
+        df = df.filter(F.rtrim(F.col("invoice_no")) == F.lit(p.invoice_no.rstrip(" ")))
     return df
 
 
@@ -126,7 +128,7 @@ def invoice_headers_view(invoices: DataFrame, p: InvoiceViewParams = InvoiceView
     ``p.as_of`` day."""
     rows = _view_filters(invoices.filter(F.col("invoice_type") == F.lit(p.header_invoice_type)), p,
                          with_invoice=False)
-    today = F.to_date(F.col("invoice_date")) == F.to_date(ts_lit(p.as_of))
+    today = F.to_date(F.col("invoice_date")) == F.to_date(now_or(p.as_of))
     return rows.select(
         F.rtrim(F.col("outlet_id")).alias("outlet_id"),
         F.when(today, F.concat(F.lit(texts.TODAY_PREFIX), id_date(F.col("invoice_date"))))

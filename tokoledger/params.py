@@ -69,7 +69,7 @@ class SalesParams:
     cluster_names: tuple[tuple[str, str], ...] = CLUSTER_NAMES
     injection_sales_id: str = INJECTION_SALES_ID
     feedback_sales_id: str = FEEDBACK_SALES_ID
-    as_of: dt.datetime = dt.datetime(2025, 10, 7, 10, 0, 0)
+    as_of: dt.datetime | None = None      # GETDATE(): the time of the query, if not given
 
 
 @dataclass(frozen=True)
@@ -86,7 +86,7 @@ class ReportParams:
     excluded_outlet_pattern: str = EXCLUDED_OUTLET_PATTERN
     excluded_outlet_prefixes: tuple[str, ...] = EXCLUDED_OUTLET_PREFIXES
     header_invoice_type: str = HEADER_INVOICE_TYPE
-    as_of: dt.datetime = dt.datetime(2025, 10, 7, 10, 0, 0)
+    as_of: dt.datetime | None = None      # GETDATE(): the time of the query, if not given
 
 
 @dataclass(frozen=True)
@@ -97,7 +97,7 @@ class InvoiceViewParams:
     outlet_id: str | None = None
     invoice_no: str | None = None
     header_invoice_type: str = HEADER_INVOICE_TYPE
-    as_of: dt.datetime = dt.datetime(2025, 10, 7, 10, 0, 0)
+    as_of: dt.datetime | None = None      # GETDATE(): the time of the query, if not given
 
 
 @dataclass(frozen=True)

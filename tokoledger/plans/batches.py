@@ -3,6 +3,7 @@
 * :func:`run_growth_basepack` -- growth achievement, then basepack detail,
   summary and drill-down (the growth procedure, then the basepack procedure)
 * :func:`run_activity_quarter` -- O1-O5 (the activity detail and summary procedures)
+* :func:`invoice_lines`, :func:`invoice_headers` -- the two invoice lookups (returned)
 * :func:`daily_report` -- the daily outlet report (returned, not stored)
 * :func:`run_redemption_batch` -- a batch of redemption requests, decided in one pass
 
@@ -20,9 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import activity, basepack, growth, injection, points, redeem, report, sales
-from ..params import ActivityParams, RedeemParams, ReportParams, SalesParams
+from ..params import ActivityParams, InvoiceViewParams, RedeemParams, ReportParams, SalesParams
 from ..sources.sinks import Sink
-from ..sources.tables import Tables
+from ..sources.tables import BALANCE, Tables
 from .joins import bounded_broadcast
 
 if TYPE_CHECKING:
@@ -50,7 +51,8 @@ def run_growth_basepack(t: Tables, sink: Sink, p: SalesParams = SalesParams()) -
     """
     invoices = t["invoice_master"]
     period_sales = sales.sales_in_period(invoices, p).persist()
-    kinds = injection.injection_feedback_rows(invoices, p.injection_sales_id, p.feedback_sales_id).persist()
+    few = t.matching("invoice_master", sales_id=(p.injection_sales_id, p.feedback_sales_id))
+    kinds = injection.injection_feedback_rows(few, p.injection_sales_id, p.feedback_sales_id).persist()
     try:
         growth_points = sales.growth_sales_points(t["target_growth"], invoices, p, period_sales)
         grw = sink.overwrite(GROWTH_TABLE, growth.growth_achievement(
@@ -101,7 +103,8 @@ def _with_earlier_rounds(t: Tables, sink: Sink, name: str, cols: list[str], roun
 
 
 def round_ledger(t: Tables, sink: Sink, round_id: int, p: RedeemParams = RedeemParams()) -> DataFrame:
-    """The ledger of the tables and of the committed rounds before ``round_id``."""
+    """The ledger of the balance database's tables and of the committed rounds before ``round_id``."""
+    t = t.source(BALANCE)
     redeemed = _with_earlier_rounds(t, sink, "point_redeem",
                                     ["redeem_no", "gift_code", "point_redeem", "point_year", "status_delivery"],
                                     round_id)
@@ -137,21 +140,34 @@ def run_redemption_batch(t: Tables, sink: Sink, requests: DataFrame, round_id: i
     """
     if round_id is None:
         round_id = sink.next_round()
-    opening = None
-    if balances is not None:
-        cleaned = redeem.clean_requests(requests)
+    b = t.source(BALANCE)
+    opening = ledger = None
+    if balances is None:
+        ledger = round_ledger(t, sink, round_id, p)
+    else:
         balances.absorb_rounds(before=round_id)
-        opening = balances.balances(cleaned.select("outlet_id", "year").distinct(), t["new_point_balance"], before=round_id,
-                                    pairs_source=requests)
-    ledger = round_ledger(t, sink, round_id, p) if balances is None else None
+        pairs = redeem.clean_requests(requests).select("outlet_id", "year").distinct()
+        opening = balances.balances(pairs, b["new_point_balance"], before=round_id, pairs_source=requests)
     with sink.round(round_id) as one:
         gate = one.write(GATE_TABLE, redeem.redemption_gate(
-            requests, ledger, t["new_point_balance"], t["redeem_item"], t["user_info"], t["master_peserta"],
-            t["log_validasi_redeem"], p, opening, decided_before(sink, requests, round_id, p)))
+            requests, ledger, b["new_point_balance"], b["redeem_item"], b["user_info"], b["master_peserta"],
+            t["log_validasi_redeem"], p, opening, decided_before(sink, requests, round_id, p),
+            None if b is t else t["redeem_item"]))
         one.write("point_redeem", redeem.redemption_rows(gate, t["redeem_item"], p))
-        one.write("point_redeem_detail", redeem.redemption_detail_rows(gate, t["alamat_pengiriman"], t["user_info"], p))
+        one.write("point_redeem_detail", redeem.redemption_detail_rows(gate, t["alamat_pengiriman"], b["user_info"], p))
         one.write("notifications", redeem.redemption_notifications(gate, t["redeem_item"]))
         logged = gate.filter(F.col("redeemno").isNotNull()
                              & F.coalesce(F.col("reject_reason") != "duplicate_request", F.lit(True)))
         one.write(REQUEST_LOG, logged.select("redeemno", F.to_date("request_ts").alias("request_day")).sortWithinPartitions("request_day"))
     return gate
+
+
+def invoice_lines(t: Tables, p: InvoiceViewParams) -> DataFrame:
+    """The line view of the outlet, invoice and month in ``p``, with all of them at the scan."""
+    rows = t.matching("invoice_detail", outlet_id=p.outlet_id, invoice_no=p.invoice_no)
+    return report.invoice_lines_view(rows, t["master_products"], p)
+
+
+def invoice_headers(t: Tables, p: InvoiceViewParams) -> DataFrame:
+    """The header view of the outlet and month in ``p``, with both at the scan."""
+    return report.invoice_headers_view(t.matching("invoice_master", outlet_id=p.outlet_id), p)

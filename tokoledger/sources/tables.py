@@ -5,7 +5,7 @@ to a DataFrame. Three sources:
 
 * ``from_parquet(spark, root)``  -- one Parquet dataset per table under ``root``
 * ``from_catalog(spark, db)``    -- catalog tables (the reference's two databases
-  become two ``Tables`` objects if needed, T24)
+  are a ``Tables`` with a second one as its ``source``, T24)
 * ``from_testdata(spark, dir)``  -- stand-ins derived from the driver's test data
 
 String keys are right-trimmed once at load (T-SQL ``=`` ignores trailing
@@ -15,6 +15,8 @@ blanks, Spark's does not).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,12 +76,17 @@ def zone_less(df: DataFrame) -> DataFrame:
 
 
 class Tables:
-    """Lazy, memoised name -> DataFrame mapping."""
+    """Lazy, memoised name -> DataFrame mapping.
 
-    def __init__(self, loader: Callable[[str], DataFrame]):
-        self._loader = loader
+    The reference reads some tables from a second database. ``with_source(name, tables)`` names
+    another ``Tables``, and ``source(name)`` gives it -- or this one, where all tables are in one place.
+    """
+
+    def __init__(self, loader: Callable[[str], DataFrame], raw: Callable[[str], DataFrame] | None = None):
+        self._loader, self._raw = loader, raw
         self._frames: dict[str, DataFrame] = {}
         self._given: dict[str, DataFrame] = {}
+        self._sources: dict[str, Tables] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -88,18 +95,48 @@ class Tables:
 
     def with_overrides(self, **frames: DataFrame) -> "Tables":
         """Same source with some tables replaced (e.g. hand-made test rows)."""
-        out = Tables(self._loader)
+        out = Tables(self._loader, self._raw)
         out._frames = {**self._frames, **frames}
         out._given = {**self._given, **frames}
+        out._sources = dict(self._sources)
+        return out
+
+    def with_source(self, name: str, tables: "Tables") -> "Tables":
+        out = self.with_overrides()
+        out._sources[name] = tables
         return out
 
+    def source(self, name: str) -> "Tables":
+        return self._sources.get(name, self)
+
     def reloaded(self) -> "Tables":
         """Same source with every table opened anew, so that rows stored since count."""
-        out = Tables(self._loader)
+        out = Tables(self._loader, self._raw)
         out._given = dict(self._given)
         out._frames = dict(self._given)
+        out._sources = {name: tables.reloaded() for name, tables in self._sources.items()}
         return out
 
+    def matching(self, name: str, **keys: "str | tuple[str, ...] | None") -> DataFrame:
+        """Rows of ``name`` whose key columns equal the given values, blank-padded or not (``None``: any).
+
+        The trimmed column that ``[]`` gives hides the stored one, so an equality on it never reaches the
+        Parquet scan. Here the stored column must begin with the value -- true of every padded spelling, and
+        pushed to the scan, where it skips row groups -- and the trimmed one equals it.
+        """
+        wanted = {c: (v,) if isinstance(v, str) else tuple(v) for c, v in keys.items() if v is not None}
+        if name in self._given or self._raw is None:
+            df, kept = self[name], self[name]
+        else:
+            df = self._raw(name)
+            for column, values in wanted.items():
+                begins = [F.col(column).startswith(v.rstrip(" ")) for v in values]
+                df = df.filter(reduce(or_, begins))
+            kept = trim_keys(name, df)
+        for column, values in wanted.items():
+            kept = kept.filter(F.rtrim(F.col(column)).isin(*[v.rstrip(" ") for v in values]))
+        return kept
+
 
 def from_frames(**frames: DataFrame) -> Tables:
     def missing(name: str) -> DataFrame:
@@ -111,20 +148,30 @@ def from_frames(**frames: DataFrame) -> Tables:
     return out
 
 
-def from_parquet(spark: SparkSession, root: str, trim: bool = True) -> Tables:
-    def load(name: str) -> DataFrame:
-        df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
-        return trim_keys(name, df) if trim else df
+def _opened(open_table: Callable[[str], DataFrame], trim: bool) -> Tables:
+    def raw(name: str) -> DataFrame:
+        return zone_less(open_table(name))
 
-    return Tables(load)
+    return Tables(lambda name: trim_keys(name, raw(name)) if trim else raw(name), raw)
+
+
+def from_parquet(spark: SparkSession, root: str, trim: bool = True) -> Tables:
+    return _opened(lambda name: spark.read.parquet(f"{root.rstrip('/')}/{name}"), trim)
 
 
 def from_catalog(spark: SparkSession, database: str, trim: bool = True) -> Tables:
-    def load(name: str) -> DataFrame:
-        df = spark.table(f"{database}.{name}")
-        return trim_keys(name, df) if trim else df
+    return _opened(lambda name: spark.table(f"{database}.{name}"), trim)
+
+
+def from_spec(spark: SparkSession, spec: str, trim: bool = True) -> Tables:
+    """``catalog:<database>`` or a folder with one Parquet dataset per table."""
+    if spec.startswith("catalog:"):
+        return from_catalog(spark, spec.split(":", 1)[1], trim)
+    return from_parquet(spark, spec, trim)
+
 
-    return Tables(load)
+#: Name of the second database: gifts, users, participants and the point ledger that a redemption reads.
+BALANCE = "balance"
 
 
 def from_testdata(spark: SparkSession, sf_dir: str) -> Tables:
