@@ -8,6 +8,7 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from tokoledger import params as P
 from tokoledger.operators import sales
@@ -65,7 +66,7 @@ def test_hot_outlet_is_split_and_results_stay(spark, skew_conf):
     got_b = sorted(tuple(r) for r in basepack.collect())
     text = plan_text(growth) + plan_text(basepack)
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
-    assert "skew=true" in text or "isSkewJoin=true" in text
+    assert "s_month" in text and "t_month" in text       # the hot outlet's rows are dealt over its months
     for k in SKEW_CONF:                       # same results with the ordinary settings
         spark.conf.unset(k)
     assert sorted(tuple(r) for r in sales.growth_sales_points(targets, invoices, p).collect()) == got_g
@@ -97,3 +98,46 @@ def test_hot_outlet_in_the_activity_lines_join(spark, skew_conf):
     hot = sum(r[5] for r in got if r[2] == "HOT")
     assert hot == sum(1 + i % 3 for i in range(0, 6000, 2)
                       if dt.datetime(2025, 7, 1) + dt.timedelta(minutes=20 * i) <= dt.datetime(2025, 9, 30))
+
+
+def test_an_outlet_of_many_years_meets_only_its_own_months(spark):
+    """Rows that the period join compares: a moment with the periods of its month, not with all of its outlet."""
+    from tokoledger.plans.joins import by_month, month_bucket
+
+    days = [dt.date(2010, 1, 5) + dt.timedelta(days=30 * k) for k in range(180)]
+    invoices = spark.createDataFrame([("HOT", dt.datetime.combine(d, dt.time(9)), D(1)) for d in days],
+                                     "outlet_id string, invoice_date timestamp_ntz, invoice_amount decimal(18,2)")
+    periods = spark.createDataFrame([("A1", "HOT", "1", dt.date(y, q, 1), dt.date(y, q + 2, 28)) for y in range(2010, 2025) for q in (1, 4, 7, 10)]
+                                    + [("A2", "HOT", "1", dt.date(2024, 1, 1), dt.date(9999, 12, 31)), ("A3", "HOT", "1", dt.date(2024, 5, 1), dt.date(2024, 4, 1))],
+                                    "activity_id string, outlet_id string, cluster string, periode_start date, periode_end date")
+    monthly = by_month(periods, "periode_start", "periode_end", "m")
+    compared = invoices.withColumn("k", month_bucket(F.col("invoice_date"))).join(monthly, F.col("k") == F.col("m")).count()
+    assert compared <= 3 * len(days)                                    # 180 x 62 without months
+    got = {r.activity_id: r.total_sales_temp for r in sales.basepack_sales_points(periods, invoices, P.SalesParams(from_date=dt.date(2000, 1, 1))).collect()}
+    inside = sum(any(dt.date(y, q, 1) <= d and dt.datetime.combine(d, dt.time(9)) <= dt.datetime(y, q + 2, 28) for y in range(2010, 2025) for q in (1, 4, 7, 10)) for d in days)
+    assert got == {"A1": D(inside), "A2": D(sum(d >= dt.date(2024, 1, 1) for d in days))}
+
+
+def test_hot_outlet_in_the_basepack_detail_and_distribution_joins(spark, skew_conf):
+    from tokoledger.operators import basepack
+
+    rows = [("HOT" if i % 2 == 0 else f"T{i % 50}", f"I{i}", f"S{i % 4}", D(1), 1 + i % 3, D(10 + i % 7),
+             dt.datetime(2025, 7, 1) + dt.timedelta(minutes=20 * i)) for i in range(6000)]
+    lines = spark.createDataFrame(rows, "outlet_id string, invoice_no string, item_code string, price decimal(18,2), "
+                                        "quantity int, total decimal(18,2), invoice_date timestamp_ntz")
+    products = spark.createDataFrame([(f"S{k}", f"BP{k % 2}") for k in range(4)], "sku_code string, basepack string")
+    detail = spark.createDataFrame([("A1", o, "D1", f"BP{k}", "Y", "1", 5, dt.date(2025, 7, 1), dt.date(2025, 9, 30)) for o in ["HOT", "T1", "T3"] for k in (0, 1)],
+                                   "activity_id string, outlet_id string, dist_code string, basepack_title string, status string, status_id string, target int, periode_start date, periode_end date")
+    master = spark.createDataFrame([], "REGION string, AREA string, KODE_TOKO string, KODE_DIS string")
+    regular = spark.createDataFrame([], "activity_id string, status_id string, status_approval string")
+    p = P.SalesParams(detail_from=dt.date(2025, 1, 1))
+    found = basepack.basepack_detail(detail, sales.basepack_lines(lines, products, p), master, regular, p)
+    last = dt.datetime(2025, 9, 30)
+    quantity = {r["KODE TOKO"] + r.BASEPACK_TITLE: r.QUANTITY for r in found.collect()}
+    for outlet in ("HOT", "T1", "T3"):
+        for k in (0, 1):
+            want = sum(r[4] for r in rows if r[0] == outlet and int(r[2][1]) % 2 == k and r[6] <= last)
+            assert quantity[f"{outlet}BP{k}"] == want
+    spread = basepack.invoice_distribution(lines, detail)
+    assert spread.filter("outlet_id = 'HOT'").count() == sum(r[0] == "HOT" and r[6] <= last for r in rows)
+    assert "au_month" in plan_text(spread) and "t_month" in plan_text(found)

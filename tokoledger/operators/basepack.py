@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import texts
 from ..functions.exprs import NUMERIC, clamp_at_zero, numeric
 from ..params import SalesParams
-from ..plans.joins import bounded_broadcast
+from ..plans.joins import bounded_broadcast, by_month, month_bucket
 from .injection import INJECTION_OUTPUT, injection_columns, invoices_of_kind
 from .sales import date_periods, day_grain, in_date_period, period_window, within_window
 
@@ -73,14 +73,17 @@ def basepack_detail(
     )
     # inner range join with the sales side streamed (AQE can split a hot
     # outlet), totals per target period, then back onto every target row
-    periods = x.select("outlet_id", "basepack_title", "periode_start", "periode_end").distinct()
+    periods = by_month(x.select("outlet_id", "basepack_title", "periode_start", "periode_end").distinct(),
+                       "periode_start", "periode_end", "t_month")
+    sales = sales.withColumn("y_month", month_bucket(F.col("y_day" if dated else "y_invoice_date")))
     if dated:
         in_period = in_date_period(periods.periode_start, periods.periode_end, sales.y_day, sales.y_midnight)
     else:
         in_period = (periods.periode_start <= sales.y_invoice_date) & (periods.periode_end >= sales.y_invoice_date)
     per_period = sales.join(
         periods,
-        (periods.outlet_id == sales.y_outlet_id) & (periods.basepack_title == sales.y_basepack) & in_period,
+        (periods.outlet_id == sales.y_outlet_id) & (periods.basepack_title == sales.y_basepack)
+        & (periods.t_month == sales.y_month) & in_period,
         "inner",
     ).groupBy(
         F.col("outlet_id").alias("p_outlet_id"), F.col("basepack_title").alias("p_basepack"),
@@ -222,10 +225,11 @@ def invoice_distribution(lines: DataFrame, target_detail: DataFrame) -> DataFram
         F.col("activity_id").alias("au_activity_id"), F.col("outlet_id").alias("au_outlet_id"),
         F.col("periode_start").alias("au_start"), F.col("periode_end").alias("au_end"),
     ).distinct()
-    lines = within_window(lines, period_window(target_detail))
+    periods = by_month(periods, "au_start", "au_end", "au_month")
+    lines = within_window(lines, period_window(target_detail)).withColumn("l_month", month_bucket(F.col("invoice_date")))
     j = lines.join(
         periods,
-        (lines.outlet_id == periods.au_outlet_id)
+        (lines.outlet_id == periods.au_outlet_id) & (lines.l_month == periods.au_month)
         & (periods.au_start <= lines.invoice_date) & (periods.au_end >= lines.invoice_date),
         "inner",
     )
@@ -246,9 +250,4 @@ def invoice_distribution(lines: DataFrame, target_detail: DataFrame) -> DataFram
     )
 
 
-SUMMARY_COLUMNS = [
-    "activity_id", "REGION", "AREA", "KODE DISTI", "KODE TOKO", "TOTAL_BASEPACK", "TARGET", "PENCAPAIAN",
-    "SISA_TARGET", "isValue", "Total_Sales", "point_min", "point_max", "Status_Target_Growth", "Aktual_Point",
-    *INJECTION_OUTPUT, "YEAR", "MONTH", "status_id", "status_approval",
-]
 __all__ = ["basepack_detail", "basepack_summary", "invoice_distribution", "NUMERIC"]

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import NUMERIC, numeric, ts_lit
 from ..params import SalesParams, per_point
-from ..plans.joins import bounded_broadcast
+from ..plans.joins import bounded_broadcast, by_month, month_bucket
 
 
 def sales_by_outlet_time(invoices: DataFrame) -> DataFrame:
@@ -22,9 +22,14 @@ def sales_by_outlet_time(invoices: DataFrame) -> DataFrame:
     )
 
 
-def sales_in_period(invoices: DataFrame, p: SalesParams = SalesParams()) -> DataFrame:
-    """H1 over the invoices from ``p.from_date`` on; O7 and O11 can share it."""
-    return sales_by_outlet_time(invoices.filter(F.col("invoice_date") >= ts_lit(p.from_date)))
+def sales_in_period(invoices: DataFrame, p: SalesParams = SalesParams(), *targets: DataFrame) -> DataFrame:
+    """H1 over the invoices from ``p.from_date`` on and inside the periods of ``targets``, both ends at the scan;
+    O7 and O11 can share it."""
+    rows = invoices.filter(F.col("invoice_date") >= ts_lit(p.from_date))
+    if targets:
+        found = [w for w in map(period_window, targets) if w is not None]
+        rows = within_window(rows, (min(lo for lo, _ in found), max(hi for _, hi in found)) if found else None)
+    return sales_by_outlet_time(rows)
 
 
 def _in_period(start: Column, end: Column, when: Column) -> Column:
@@ -97,11 +102,13 @@ def basepack_sales_points(target_master: DataFrame, invoices: DataFrame, p: Sale
     ``period_sales`` is :func:`sales_in_period` when already computed.
     """
     # the WHERE on the sales side is on a grouping column: pushed into the scan
-    sales = sales_in_period(invoices, p) if period_sales is None else period_sales
-    targets = target_master.select("activity_id", "outlet_id", "cluster", "periode_start", "periode_end")
-    joined = targets.join(
-        sales,
-        (targets.outlet_id == sales.s_outlet_id)
+    sales = sales_in_period(invoices, p, target_master) if period_sales is None else period_sales
+    sales = sales.withColumn("s_month", month_bucket(F.col("s_invoice_date")))
+    targets = by_month(target_master.select("activity_id", "outlet_id", "cluster", "periode_start", "periode_end"),
+                       "periode_start", "periode_end", "t_month")
+    joined = sales.join(
+        targets,
+        (targets.outlet_id == sales.s_outlet_id) & (targets.t_month == sales.s_month)
         & _in_period(targets.periode_start, targets.periode_end, sales.s_invoice_date),
         "inner",
     )
@@ -132,16 +139,18 @@ def growth_sales_points(target_growth: DataFrame, invoices: DataFrame, p: SalesP
         "activity_id", "Outlet_id", "Cluster", "periode_start", "periode_end"
     )
     # implied by date(invoice) >= periode_start >= from_date: prunes the scan
-    sales = sales_in_period(invoices, p) if period_sales is None else period_sales
+    sales = sales_in_period(invoices, p, targets) if period_sales is None else period_sales
+    sales = sales.withColumn("s_month", month_bucket(F.col("s_invoice_date")))
+    monthly = by_month(targets, "periode_start", "periode_end", "t_month")
     # inner join with the (large, possibly skewed) sales side streamed, so AQE
     # can split a hot outlet; targets without sales come back through the
     # left join of the per-target totals (same result as the reference's
     # LEFT JOIN + GROUP BY)
     # date(ts) between start and end  <=>  start <= ts < end + 1 day (raw timestamps, same as O7's side)
     matched = sales.join(
-        targets,
-        (targets.Outlet_id == sales.s_outlet_id) & (targets.periode_start <= sales.s_invoice_date)
-        & (F.date_add(targets.periode_end, 1) > sales.s_invoice_date),
+        monthly,
+        (monthly.Outlet_id == sales.s_outlet_id) & (monthly.t_month == sales.s_month)
+        & (monthly.periode_start <= sales.s_invoice_date) & (F.date_add(monthly.periode_end, 1) > sales.s_invoice_date),
         "inner",
     ).groupBy(
         F.col("activity_id").alias("m_activity_id"), F.col("Outlet_id").alias("m_outlet_id"),

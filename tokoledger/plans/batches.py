@@ -50,7 +50,7 @@ def run_growth_basepack(t: Tables, sink: Sink, p: SalesParams = SalesParams()) -
     (a lost executor recomputes its part from the lineage).
     """
     invoices = t["invoice_master"]
-    period_sales = sales.sales_in_period(invoices, p).persist()
+    period_sales = sales.sales_in_period(invoices, p, t["target_growth"], t["outlet_basepack_target_master"]).persist()
     few = t.matching("invoice_master", sales_id=(p.injection_sales_id, p.feedback_sales_id))
     kinds = injection.injection_feedback_rows(few, p.injection_sales_id, p.feedback_sales_id).persist()
     try:

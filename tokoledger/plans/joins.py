@@ -15,9 +15,12 @@ from __future__ import annotations
 
 import weakref
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# months that interval joins tell apart; what lies before or after counts to the first or last one
+BUCKETS_FROM, BUCKETS_TO = (1990, 1), (2060, 12)
+
 MAX_ROWS_KEY = "tokoledger.broadcast.maxRows"
 DEFAULT_MAX_ROWS = 200_000
 
@@ -57,3 +60,22 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None, source: DataFr
     if bound <= 0:
         return df
     return F.broadcast(df) if _within(df if source is None else source, bound) else df
+
+
+def month_bucket(when: Column) -> Column:
+    """The month of a date or timestamp as a number, see :func:`by_month`."""
+    (y0, m0), (y1, m1) = BUCKETS_FROM, BUCKETS_TO
+    number = F.year(when) * 12 + F.month(when)
+    return F.least(F.greatest(number, F.lit(y0 * 12 + m0)), F.lit(y1 * 12 + m1))
+
+
+def by_month(periods: DataFrame, start: str, end: str, name: str) -> DataFrame:
+    """One row per period and month that it touches, with the month in ``name``.
+
+    An interval join on (key, month) with the exact interval as residual gives what the join on the key
+    alone gives: a moment has one month, and a period that holds the moment touches that month. A row then
+    meets the periods of its own month instead of all of its key's, and a key with very many rows is dealt over its months.
+    Open-ended periods stay short, as all months outside a fixed range count as its edges.
+    """
+    months = F.sequence(month_bucket(F.col(start)), month_bucket(F.col(end)))
+    return periods.withColumn(name, F.explode(F.when(F.col(start) <= F.col(end), months).otherwise(F.array().cast("array<int>"))))
