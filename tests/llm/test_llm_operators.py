@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -108,10 +109,38 @@ def test_simhash_on_awkward_rows(awkward, empty):
     assert {i for i, r in by_id.items() if r.fingerprint == "0" * 16} == {1, 2, 8} and by_id[8].component_id == 1
     assert by_id[7].component_id == 4 and {r.component_id for r in rows if r.doc_id is None} == {4, 1}
     kept = [r.doc_id for r in simhash.keep_one_per_group(awkward).collect()]
-    assert sorted(kept, key=str) == [1, 3, 4, 9, None, None]
+    assert sorted(kept, key=str) == [1, 3, 4, 9]
     assert simhash.simhash_near_dedup(empty).count() == 0 and simhash.keep_one_per_group(empty).count() == 0
 
 
+def test_one_row_of_each_group_stays_whatever_the_ids(spark):
+    """Against brute force: repeated ids with different texts, and copies without an id."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices("abcdefghij", k=40)) for _ in range(12)] + ["", None]
+    rows = [(rng.choice([None, 5, 5, 6, 7, 8]), rng.choice(texts), k) for k in range(120)] + [(5, "only once a b c d e f", 200), (5, "another one x y z u v w", 201)]
+    kept = simhash.keep_one_per_group(spark.createDataFrame(rows, "doc_id long, text string, node int")).collect()
+    prints = [plain_fingerprint(t) for _, t, _ in rows]
+    classes = sorted(set(prints))
+    root = {f: f for f in classes}
+
+    def find(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+
+    for a in classes:
+        for b in classes:
+            if (a ^ b).bit_count() <= 2:
+                root[find(a)] = find(b)
+    groups = {}
+    for (i, t, _), f in zip(rows, prints):
+        signed = f - (1 << 64) if f >> 63 else f
+        key = (i is None, i or 0, signed, hashlib.sha256(t.encode()).hexdigest() if t is not None else "")
+        groups.setdefault(find(f), []).append((key, i, t))
+    want = sorted((str(i), str(t)) for _, i, t in (min(g, key=lambda x: x[0]) for g in groups.values()))
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept) == want and len(kept) == len(groups)
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(7, 200 + i) for i in range(50)] + [(9, 9)]
     found = dict(map(tuple, components(spark.createDataFrame(links, "u long, v long")).collect()))
@@ -256,19 +285,48 @@ def test_toxicity_of_rare_words_over_whole_texts(spark):
     assert sum(p == y for p, y in held) >= 0.98 * len(held)
 
 
+def plain_top_k(rows, k=5):
+    most = sys.float_info.max
+    whole = [(i, [math.floor(min(max(256 * x, -most), most)) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for n, (i, q) in enumerate(whole):
+        if i % 50 == 0:
+            clamp = lambda s: max(-2**63, min(2**63 - 1, s))
+            found = sorted((-clamp(sum(a * b for a, b in zip(q, c))), j) for m, (j, c) in enumerate(whole) if m != n and len(c) == len(q))
+            out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(found[:k])]
+    return sorted(out)
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     x = np.round(rng.normal(size=(400, 9)), 2)
     x[200:260] = x[100:160]  # ties
-    extra = [(1001, None), (1002, [1.0, None] + [0.0] * 7), (1003, [float("nan")] * 9), (None, [1.0] * 9), (1050, [0.5, -0.5]), (7, x[7].tolist()), (1100, [])]
-    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + extra, "vec_id long, embedding array<double>")
-    rows = segments.segment_top_k(vectors).collect()
-    whole = np.floor(256 * x).astype(int)
-    for q in range(0, 400, 50):
-        scores = whole @ whole[q]
-        best = [i for i in np.lexsort((np.arange(400), -scores)) if i != q][:5]
-        assert [(r.vec_id, r.score) for r in sorted((r for r in rows if r.query_id == q), key=lambda r: r.rank)] == [(i, scores[i]) for i in best]
-    assert not [r for r in rows if r.query_id == 1050] and segments.segment_top_k(vectors.limit(0)).count() == 0
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(1001, None), (1002, [1.0, None] + [0.0] * 7), (1003, [float("nan")] * 9), (None, [1.0] * 9), (1050, [0.5, -0.5]), (1100, [])]
+    rows += [(7, x[8].tolist()), (7, x[7].tolist()), (50, x[3].tolist()), (50, x[50].tolist())]      # ids used again, queries too
+    rows += [(1004, [1e8, -3.5] + [0.25] * 7), (1005, [40000.0] * 9), (1150, [1e9] + [1e-3] * 8), (1006, [1e300] * 9), (1200, [1e308, -1e300] + [0.0] * 7)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for name in ("key", "dim", "wide", "rank", "part"):
+        vectors = vectors.withColumn(name, vectors.vec_id)
+    found = segments.segment_top_k(vectors)
+    assert found.columns == ["query_id", "rank", "vec_id", "score"]
+    assert sorted(map(tuple, found.collect())) == plain_top_k(rows)
+    assert segments.segment_top_k(vectors.limit(0)).count() == 0
+
+
+def test_top_k_sql_agrees_on_repeated_ids_and_large_components(spark, tmp_path):
+    import duckdb
+
+    from tokoledger.llm import queries
+
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [9.0, 0.0]), (2, [0.1, 0.0]), (3, [1e8, 1.0]), (0, [-2.0, 4.0]), (50, [0.0, 1e8])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = sorted(map(tuple, queries.op6_exact_top_k(spark, str(tmp_path)).collect()))
+    assert found == plain_top_k(rows)
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = db.execute(f"SELECT query_id, rank, vec_id, score FROM ({queries.TOP_K_SQL})").fetchall()
+    assert found == sorted(want)
 
 
 def test_bpe_equals_tiktoken(spark, awkward, empty, docs):
@@ -348,10 +406,12 @@ def test_every_language_is_learned(spark):
     assert seen == set(range(300))
 
 
-def test_packing(docs, awkward, empty):
+def test_packing(spark, docs, awkward, empty):
     plain = Tokenizer.from_file(JSON)
-    plain.encode_special_tokens = True
-    for table in (docs, awkward.where("doc_id is not null").dropDuplicates(["doc_id"])):
+    marked = ["<|endoftext|>", "a<|endoftext|>b c", " <|endoftext|><|endoftext|> x", "no mark", "<|endoftext| >", "x <|endoftext|>\n\n y"]
+    special = spark.createDataFrame([(k, t) for k, t in enumerate(marked)], "doc_id long, text string")
+    assert 50256 in plain.encode(marked[0], add_special_tokens=False).ids
+    for table in (docs, special, awkward.where("doc_id is not null").dropDuplicates(["doc_id"])):
         pieces = packing.pack(table, JSON, public_tokenizers.PATTERN).collect()
         of_doc, of_sequence = {}, {}
         for p in pieces:

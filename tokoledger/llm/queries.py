@@ -83,15 +83,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 TOP_K_SQL = """
 WITH whole AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  SELECT row_number() OVER () AS k, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::HUGEINT) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
-  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
-SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+  SELECT q.k, q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.k <> c.k AND len(q.v) = len(c.v))
+SELECT query_id, (row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score::BIGINT AS score
 FROM scored QUALIFY rank <= 5
 """
 
+
 def oracle_sql() -> dict[str, str]:
     """Only what SQL can express; tests/llm holds the others against plain Python."""
     return {

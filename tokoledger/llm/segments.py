@@ -9,7 +9,10 @@ Queries and candidates meet in blocks of bounded size.
 
 from __future__ import annotations
 
+import heapq
 import math
+import sys
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +24,7 @@ from tokoledger.llm.common import in_arrow, partitions, stored
 CANDIDATES = 4096      # vectors of a candidate block
 QUERIES = 1024         # vectors of a query block
 TOGETHER = 32          # queries whose bounds are held at once
+WIDE = 1 << 23         # vectors with a larger component meet in blocks of their own
 LEVELS = (4, 16)       # segments, coarse to fine
 
 
@@ -34,29 +38,38 @@ def statistics(x: np.ndarray, segments: int) -> np.ndarray:
     return np.stack(out, axis=1)
 
 
-def top_k(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int):
-    """Rows (query, candidate, score) of the k largest exact inner products of every
-    query, its own id left out, ties to the smaller candidate id. All arrays are of integers."""
-    qf, cf = q.astype(np.float64), c.astype(np.float64)
-    exact = float(np.abs(qf).max(initial=0)) * float(np.abs(cf).max(initial=0)) * q.shape[1] < 2 ** 52
-    mine = [(statistics(qf, s), statistics(cf, s)) for s in LEVELS]
-    slack = 1e-9 * (1 + np.sqrt((qf * qf).sum(axis=1))[:, None] * np.sqrt((cf * cf).sum(axis=1))[None].max(initial=0))
+LONG = 2 ** 63 - 1
+
+
+def top_k(qkey: np.ndarray, q: np.ndarray, ckey: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int):
+    """(query, candidate, score) by position: the k largest exact inner products of every query row, itself (the
+    row with its key) left out, ties to the smaller ``cid``. The vectors are integers held as doubles."""
+    most = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * q.shape[1]
+    own = qkey[:, None] == ckey[None]
+    if not most < 2 ** 62:      # beyond 64-bit integers: exact in Python's, for the few vectors with such components
+        out = []
+        qs, cs = [[[int(x) for x in row] for row in m.tolist()] for m in (q, c)]
+        for i, row in enumerate(qs):
+            found = [(max(-LONG - 1, min(LONG, sum(map(mul, row, other)))), int(cid[j]), j) for j, other in enumerate(cs) if not own[i, j]]
+            out += [(i, j, s) for s, _, j in heapq.nsmallest(k, found, key=lambda x: (-x[0], x[1]))]
+        return out
+    exact = most < 2 ** 52
+    whole = (q, c) if exact else (q.astype(np.int64), c.astype(np.int64))
+    mine = [(statistics(q, s), statistics(c, s)) for s in LEVELS]
+    slack = 1e-9 * (1 + np.sqrt((q * q).sum(axis=1))[:, None] * np.sqrt((c * c).sum(axis=1))[None].max(initial=0))
 
     def scores(rows, columns):
-        if exact:
-            return (qf[rows] @ cf[columns].T).astype(np.int64)
-        return q[rows] @ c[columns].T
+        return (whole[0][rows] @ whole[1][columns].T).astype(np.int64)
 
     out = []
     for lo in range(0, len(q), TOGETHER):
         rows = np.arange(lo, min(lo + TOGETHER, len(q)))
-        own = qid[rows][:, None] == cid[None]
         bound = mine[0][0][rows] @ mine[0][1].T + slack[rows]
-        bound[own] = -np.inf
-        open_ = ~own
+        bound[own[rows]] = -np.inf
+        open_ = ~own[rows]
         if len(cid) > k:  # exact scores of the best bounds give a threshold for all the rest
             seeds = np.argpartition(-bound, k - 1, axis=1)[:, :k]
-            floor = np.array([np.sort(np.where(own[i, s], np.iinfo(np.int64).min, scores(rows[i:i + 1], s)[0]))[0] for i, s in enumerate(seeds)])
+            floor = np.array([np.sort(np.where(own[rows[i], s], np.iinfo(np.int64).min, scores(rows[i:i + 1], s)[0]))[0] for i, s in enumerate(seeds)])
             open_ &= bound >= floor[:, None]
             for fine_q, fine_c in mine[1:]:
                 columns = np.nonzero(open_.any(axis=0))[0]
@@ -67,7 +80,7 @@ def top_k(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int
             here = columns[open_[i, columns]]
             s = found[i, open_[i, columns]]
             order = np.lexsort((cid[here], -s))[:k]
-            out += [(int(qid[row]), int(cid[here[o]]), int(s[o])) for o in order]
+            out += [(int(row), int(here[o]), int(s[o])) for o in order]
     return out
 
 
@@ -75,13 +88,15 @@ def _search(k: int):
     def run(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                sides = [batch.column(x)[row].values for x in (0, 1)]
-                ids = [s.field("vec_id").to_numpy() for s in sides]
-                mats = [np.array(s.field("vector").to_pylist(), dtype=np.int64) for s in sides]
-                found = top_k(ids[0], mats[0], ids[1], mats[1], k)
+                queries, candidates = (batch.column(x)[row].values for x in (0, 1))
+                keys = [s.field("key").to_numpy() for s in (queries, candidates)]
+                ids = [s.field("vec_id").to_numpy() for s in (queries, candidates)]
+                mats = [s.field("vector").flatten().to_numpy().reshape(len(s), -1) for s in (queries, candidates)]
+                found = top_k(keys[0], mats[0], keys[1], ids[1], mats[1], k)
                 if found:
+                    q, c, score = (np.array(x, np.int64) for x in zip(*found))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(x, pa.int64()) for x in zip(*found)], ["query_id", "vec_id", "score"]
+                        [pa.array(x, pa.int64()) for x in (keys[0][q], ids[0][q], ids[1][c], score)], ["key", "query_id", "vec_id", "score"]
                     )
 
     return run
@@ -92,19 +107,26 @@ def segment_top_k(vectors: DataFrame, queries: str = "vec_id % 50 = 0", k: int =
     with other rows: query_id, rank, vec_id, score; ties to the smaller vec_id.
 
     A vector that is null, empty or holds a null or non-finite component takes no
-    part, nor does a row without a vec_id or with a scaled component beyond 2^31.
-    Rows that share a vec_id are one vector (the smallest in array order). Only vectors
+    part, nor does a row without a vec_id. Every other row is a candidate of every query row but
+    itself, also where rows share a vec_id: each row is its own query and candidate. Scores are
+    exact for components of any size; one beyond a long counts as the nearest long. Only vectors
     of the query's length are its candidates. A query with fewer candidates than
-    ``k`` gets them all; without queries the result is empty.
+    ``k`` gets them all; without queries the result is empty. Other columns are not read.
     """
     valid = F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & F.forall(
-        "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) * scale < float(1 << 31))
+        "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     )
     whole = (
         vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).where(valid)
-        .select("vec_id", F.transform("embedding", lambda x: F.floor(x * scale).cast("int")).alias("vector"))
+        .select(
+            F.monotonically_increasing_id().alias("key"), "vec_id",
+            # as doubles: from 2**53 on they are whole, and the largest one stands for what is beyond
+            F.transform("embedding", lambda x: F.when(F.abs(x * scale) < float(1 << 53), F.floor(x * scale).cast("double"))
+                        .otherwise(F.least(F.greatest(x * scale, F.lit(-sys.float_info.max)), F.lit(sys.float_info.max)))).alias("vector"),
+        )
     )
-    whole = stored(whole.groupBy("vec_id").agg(F.min("vector").alias("vector")).withColumn("dim", F.size("vector")))
+    wide = F.exists("vector", lambda x: F.abs(x) >= float(WIDE))
+    whole = stored(whole.withColumns({"dim": F.size("vector"), "wide": wide}))      # stored, so a row's key stays
     asked = whole.where(queries)
     sizes = {
         r.dim: (math.ceil(r.n / CANDIDATES), math.ceil((r.q or 0) / QUERIES))
@@ -115,12 +137,12 @@ def segment_top_k(vectors: DataFrame, queries: str = "vec_id % 50 = 0", k: int =
     turns = F.create_map(*[F.lit(x) for d, (_, q) in sizes.items() for x in (d, max(1, q))]) if sizes else F.create_map(F.lit(-1), F.lit(1))
     of = lambda counts: F.coalesce(counts[F.col("dim")], F.lit(1))
     packed = lambda df, counts, name: (
-        df.withColumn("part", F.pmod(F.xxhash64("vec_id"), of(counts)).cast("int"))
-        .groupBy("dim", "part").agg(F.collect_list(F.struct("vec_id", "vector")).alias(name))
+        df.withColumn("part", F.pmod(F.xxhash64("key"), of(counts)).cast("int"))
+        .groupBy("dim", "part", F.col("wide").alias(f"wide_{name}")).agg(F.collect_list(F.struct("key", "vec_id", "vector")).alias(name))
     )
     candidates = packed(whole, blocks, "candidates").withColumnRenamed("part", "block")
     turned = candidates.withColumn("part", F.explode(F.sequence(F.lit(0), of(turns) - 1)))
     met = turned.join(packed(asked, turns, "queries"), ["dim", "part"]).select("queries", "candidates")
-    found = in_arrow(met.repartition(partitions(vectors.sparkSession)), _search(k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = in_arrow(met.repartition(partitions(vectors.sparkSession)), _search(k), "key long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
