@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import re
 import sys
 import zlib
 from array import array
@@ -67,14 +68,15 @@ def _little(ids: array) -> array:
     return ids
 
 
-_of_worker: dict[tuple, CachedEncoder] = {}
+class _Encoder:
+    """Texts -> ids as the tokenizer gives them: the strings of its added tokens are one id each, wherever they
+    stand, and what lies between them is encoded through distinct words."""
 
-
-def _encoder(path: str, pattern: str, remembered: int) -> CachedEncoder:
-    key = path, pattern, remembered
-    if key not in _of_worker:
+    def __init__(self, path: str, pattern: str, remembered: int):
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = {x.content: n for n, x in tokenizer.get_added_tokens_decoder().items()}
+        self.added = {text: n.to_bytes(4, "little") for text, n in added.items()}
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")").split if added else None
 
         def encode_words(words: list[str]) -> list[bytes]:
             out = []
@@ -83,7 +85,23 @@ def _encoder(path: str, pattern: str, remembered: int) -> CachedEncoder:
                     out.append(_little(array("I", x.ids)).tobytes())
             return out
 
-        _of_worker[key] = CachedEncoder(pattern, encode_words, remembered)
+        self.plain = CachedEncoder(pattern, encode_words, remembered)
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        if not any(x in t for x in self.added for t in texts):
+            return self.plain(texts)
+        parts = [self.split(t) for t in texts]
+        ids = iter(self.plain([p for ps in parts for p in ps[::2]]))
+        return [b"".join(self.added[p] if k % 2 else next(ids) for k, p in enumerate(ps)) for ps in parts]
+
+
+_of_worker: dict[tuple, _Encoder] = {}
+
+
+def _encoder(path: str, pattern: str, remembered: int) -> _Encoder:
+    key = path, pattern, remembered
+    if key not in _of_worker:
+        _of_worker[key] = _Encoder(path, pattern, remembered)
     return _of_worker[key]
 
 
