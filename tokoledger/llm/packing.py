@@ -174,7 +174,7 @@ def pack(docs: DataFrame, path: str, pattern: str, capacity: int = 1024, end_id:
 
     Rows without a doc_id and repeated rows are packed like any other (the
     repeated row's pieces come again). An empty table has no pieces. Strings of
-    special tokens in a text are ordinary text. Further columns are not read.
+    added tokens in a text are one id each, as the tokenizer gives them. Further columns are not read.
     ``remembered`` words are kept by each worker to save time, and ``together`` bytes
     of text are encoded at once; neither changes a row.
     """
