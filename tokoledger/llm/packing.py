@@ -18,6 +18,7 @@ import re
 import sys
 import zlib
 from array import array
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -44,8 +45,8 @@ def difference(sizes: list[int], windows: int) -> list[tuple[int, tuple[int, ...
         else:
             wide = a + [(0, ())] * (windows - len(a))
             opposed = [(0, ())] * (windows - len(b)) + b[::-1]
-            merged = [(x[0] + y[0], x[1] + y[1]) for x, y in zip(wide, opposed, strict=True)]
-        merged.sort(key=lambda w: -w[0])
+            merged = [(x + y, i + j) for (x, i), (y, j) in zip(wide, opposed, strict=True)]
+        merged.sort(key=itemgetter(0), reverse=True)      # stable, as without reverse
         imbalance = merged[0][0] - (merged[-1][0] if len(merged) == windows else 0)
         made += 1
         heapq.heappush(heap, (-imbalance, made, merged))
