@@ -55,16 +55,18 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of at least 0.5 go."""
     index = toxic.fit(docs, table(spark, sf_dir, "labels"))
+    of_task = []
 
     def keep(texts):
-        score = toxic.Scorer(index)
-        return [score(t)[0] < 0.5 for t in texts]
+        if not of_task:      # one scorer a task, not one for each run of texts
+            of_task.append(toxic.Scorer(index))
+        return [of_task[0](t)[0] < 0.5 for t in texts]
 
     return _filtered(docs, keep)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, that with the smallest id."""
+    """One row of each near-duplicate group stays, that with the smallest id (null last)."""
     return simhash.keep_one_per_group(docs, shingle=3, max_bits=2)
 
 
