@@ -23,7 +23,7 @@ from tokoledger.sources.standins import BASE_TABLES  # noqa: E402
 
 def duck_connection(sf_dir: str):
     con = duckdb.connect()
-    for t in BASE_TABLES:
+    for t in (*BASE_TABLES, "customer", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con
 

@@ -33,3 +33,18 @@ def test_indonesian_dates(spark):
     rows = df.select(id_long_date(F.col("d")), id_date(F.col("d"))).collect()
     assert tuple(rows[0]) == ("Senin, 02 Agustus, 1999", "02 Agustus, 1999")
     assert tuple(rows[1]) == ("Minggu, 05 Januari, 2025", "05 Januari, 2025")
+
+
+def test_capped_points(spark):
+    from pyspark.sql import functions as F
+
+    from tokoledger.functions.exprs import capped_points
+
+    rows = [(5, 3, 9, False, True, 5), (2, 3, 9, False, True, 0), (3, 3, 9, False, True, 3), (9, 3, 9, False, True, 9), (12, 3, 9, False, True, 9),
+            (12, 3, 9, True, True, 0), (12, 3, 9, None, True, 9), (12, 3, None, False, True, 12), (2, None, 9, False, True, 2),
+            (12, 3, 9, False, None, 12), (2, 3, 9, False, None, 2), (2, 3, 9, False, False, 2), (None, 3, 9, False, True, None)]
+    df = spark.createDataFrame(rows, "points int, least int, most int, failed boolean, applies boolean, want int")
+    got = df.select("want", capped_points(F.col("points"), F.col("least"), F.col("most"), F.col("failed"), F.col("applies")).alias("got")).collect()
+    assert [r.got for r in got] == [r.want for r in got]
+    free = df.filter("applies").select("want", capped_points(F.col("points"), F.col("least"), F.col("most"), F.col("failed")).alias("got")).collect()
+    assert [r.got for r in free] == [r.want for r in free]

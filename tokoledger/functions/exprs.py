@@ -87,3 +87,10 @@ def month_range(c: Column, year: int, month: int) -> Column:
 def now_or(as_of: dt.datetime | None) -> Column:
     """The given moment, or that of the query."""
     return F.current_timestamp().cast("timestamp_ntz") if as_of is None else ts_lit(as_of)
+
+
+def capped_points(points: Column, least: Column, most: Column, failed: Column, applies: Column | None = None) -> Column:
+    """H3: no points if ``failed`` or below ``least``, never more than ``most``. An unknown comparison counts as
+    not met, so a NULL bound does not bind. Bounds only hold where ``applies`` is true, if given."""
+    bound = F.lit(True) if applies is None else applies
+    return F.when(failed, F.lit(0)).when(bound & (points < least), F.lit(0)).when(bound & (points >= most), most).otherwise(points)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import texts
-from ..functions.exprs import NUMERIC, clamp_at_zero, numeric
+from ..functions.exprs import NUMERIC, capped_points, clamp_at_zero, numeric
 from ..params import SalesParams
 from ..plans.joins import bounded_broadcast, by_month, month_bucket
 from .injection import INJECTION_OUTPUT, injection_columns, invoices_of_kind
@@ -187,13 +187,9 @@ def basepack_summary(
     achieved = F.col("achieved")
     target = F.col("target")
     points = F.col("ee_points")
-    actual = (
-        F.when(F.col("grw_status") == "NA", F.lit(0))
-        .when(achieved < target, F.lit(0))
-        .when((achieved >= target) & (points < F.col("point_min")), F.lit(0))
-        .when((achieved >= target) & (points >= F.col("point_max")), F.col("point_max"))
-        .otherwise(points)
-    )
+    # without an achievement (no detail rows) the points stay uncapped
+    actual = capped_points(points, F.col("point_min"), F.col("point_max"),
+                           failed=(F.col("grw_status") == "NA") | (achieved < target), applies=achieved >= target)
     return g.select(
         "activity_id",
         F.col("dd_REGION").alias("REGION"),

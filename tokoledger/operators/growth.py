@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import texts
-from ..functions.exprs import flag, numeric, now_or
+from ..functions.exprs import capped_points, flag, numeric, now_or
 from ..params import SalesParams
 from ..plans.joins import bounded_broadcast
 from .injection import INJECTION_OUTPUT, injection_columns, invoices_of_kind
@@ -66,12 +66,8 @@ def growth_achievement(
         .when(capai_n <= 0, target_n)
         .otherwise(target_n - capai_n)
     )
-    actual = (
-        F.when(F.col("pencapaian") < F.col("Target_toko"), F.lit(0))
-        .when(F.col("point_temp") < F.col("POINT_didapat"), F.lit(0))
-        .when(F.col("point_temp") >= F.col("POINT_max"), F.coalesce(F.col("POINT_max"), F.lit(0)))
-        .otherwise(F.col("point_temp"))
-    )
+    actual = capped_points(F.col("point_temp"), F.col("POINT_didapat"), F.col("POINT_max"),
+                           failed=F.col("pencapaian") < F.col("Target_toko"))
     cluster_name = F.lit(texts.NONE_MARK)
     for code, name in reversed(p.cluster_names):
         cluster_name = F.when(F.col("Cluster") == F.lit(code), F.lit(name)).otherwise(cluster_name)

@@ -296,7 +296,7 @@ FROM {events}
 _table("point_redeem", """
 SELECT 'RD' || CAST(event_id AS STRING) AS redeem_no, ts AS redeem_date,
        CAST(user_id AS STRING) AS user_id,
-       CASE WHEN event_id % 45 >= 40 THEN 'X' ELSE 'G' END || CAST(event_id % 45 AS STRING) AS gift_code,
+       CASE WHEN event_id % 45 >= 40 THEN 'X' ELSE 'G' END || CAST(1 + event_id % (SELECT MAX(p_partkey) FROM {part}) AS STRING) AS gift_code,
        CAST(FLOOR(value) AS DECIMAL(18,4)) AS point_redeem,
        CAST(CAST(FLOOR(value) AS DECIMAL(18,4)) * 4000 AS DECIMAL(22,4)) AS amount,
        CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 3 = 0 THEN 'Failed'
@@ -339,12 +339,12 @@ SELECT 'G' || CAST(p_partkey AS STRING) AS redeem_code,
        CASE p_partkey % 5 WHEN 0 THEN '08' WHEN 1 THEN '04' WHEN 2 THEN '12' WHEN 3 THEN '01' END AS type_code,
        CASE WHEN p_partkey % 2 = 0 THEN 'V03' ELSE 'V01' END AS vendor_code,
        p_name || '  ' AS gift_name,
-       CASE WHEN p_partkey = 39 THEN NULL
+       CASE WHEN p_partkey % 60 = 39 THEN NULL
             WHEN p_partkey % 7 = 6 THEN CAST(100000 AS DECIMAL(18,4))
-            ELSE CAST(50 + p_partkey * 25 AS DECIMAL(18,4)) END AS point
+            ELSE CAST(50 + p_partkey % 60 * 25 AS DECIMAL(18,4)) END AS point
 FROM {part}
 UNION ALL
-SELECT 'G' || CAST(p_partkey AS STRING), '01', 'V01', p_name, CAST(50 + p_partkey * 25 AS DECIMAL(18,4))
+SELECT 'G' || CAST(p_partkey AS STRING), '01', 'V01', p_name, CAST(50 + p_partkey % 60 * 25 AS DECIMAL(18,4))
 FROM {part} WHERE p_partkey % 37 = 13
 """)
 
@@ -353,7 +353,7 @@ SELECT outlet_id, CAST(acctbal AS DECIMAL(18,4)) AS remain_point FROM {so_outlet
 """)
 
 _table("log_validasi_redeem", """
-SELECT CAST(user_id AS STRING) AS user_id, CASE WHEN event_id % 45 >= 40 THEN 'X' ELSE 'G' END || CAST(event_id % 45 AS STRING) AS redeem_code,
+SELECT CAST(user_id AS STRING) AS user_id, CASE WHEN event_id % 45 >= 40 THEN 'X' ELSE 'G' END || CAST(1 + event_id % (SELECT MAX(p_partkey) FROM {part}) AS STRING) AS redeem_code,
        ts AS created_date
 FROM {so_events}
 """)
@@ -361,7 +361,7 @@ FROM {so_events}
 # redemption requests: one per outlet (some unknown outlets), a second one for some
 _table("requests", """
 SELECT CASE WHEN o.sk % 25 = 3 THEN 'X' || o.outlet_id ELSE o.outlet_id END AS outlet_id,
-       'G' || CAST(o.sk % 45 AS STRING) AS giftcode,
+       'G' || CAST(CASE WHEN o.sk % 45 IN (0, 11, 22, 34) THEN -1 ELSE 1 + o.sk * 131 % (SELECT MAX(p_partkey) FROM {part}) END AS STRING) AS giftcode,
        CAST(1 + o.sk % 3 AS INT) AS qty,
        CAST(CASE WHEN o.sk % 9 = 2 THEN 2030 ELSE 1995 + o.sk % 7 END AS INT) AS year,
        'RQ' || CAST(o.sk AS STRING) AS redeemno,
@@ -370,19 +370,19 @@ SELECT CASE WHEN o.sk % 25 = 3 THEN 'X' || o.outlet_id ELSE o.outlet_id END AS o
 FROM {so_outlets} o
 LEFT JOIN (SELECT user_id, MAX(ts) AS last_ts FROM {so_events} GROUP BY user_id) e ON o.sk = e.user_id
 UNION ALL
-SELECT o.outlet_id, 'G' || CAST((o.sk + 7) % 40 AS STRING), CAST(1 AS INT),
+SELECT o.outlet_id, 'G' || CAST(1 + (o.sk * 77 + 7) % (SELECT MAX(p_partkey) FROM {part}) AS STRING), CAST(1 AS INT),
        CAST(1995 + o.sk % 7 AS INT), 'RQ' || CAST(o.sk AS STRING) || '-2',
        TIMESTAMP '2024-02-01 09:05:00'
 FROM {so_outlets} o WHERE o.sk % 10 = 7
 UNION ALL
-SELECT o.outlet_id, 'G' || CAST(1 + (o.sk * 5 + n.n * 3) % 12 AS STRING), CAST(1 + (o.sk + n.n) % 3 AS INT),
+SELECT o.outlet_id, 'G' || CAST(1 + (o.sk * 53 + n.n * 35) % (SELECT MAX(p_partkey) FROM {part}) AS STRING), CAST(1 + (o.sk + n.n) % 3 AS INT),
        CAST(1995 + o.sk % 7 AS INT), 'RM' || CAST(o.sk AS STRING) || '-' || CAST(n.n AS STRING),
        TIMESTAMP '2024-02-01 09:30:00' + CAST(FLOOR(n.n / 2) AS INT) * INTERVAL '25' MINUTE
 FROM {so_outlets} o JOIN (SELECT r_regionkey + 5 * k AS n FROM {region}, (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2) z) n
   ON n.n < 4 + o.sk % 11
 WHERE o.sk % 3 = 1
 UNION ALL
-SELECT o.outlet_id, 'G' || CAST(1 + (o.sk * 5) % 12 AS STRING), CAST(1 + o.sk % 3 AS INT),
+SELECT o.outlet_id, 'G' || CAST(1 + (o.sk * 53) % (SELECT MAX(p_partkey) FROM {part}) AS STRING), CAST(1 + o.sk % 3 AS INT),
        CAST(1995 + o.sk % 7 AS INT), 'RM' || CAST(o.sk AS STRING) || CASE WHEN o.sk % 2 = 0 THEN '-0' ELSE '-1' END,
        TIMESTAMP '2024-02-01 09:30:00'
 FROM {so_outlets} o WHERE o.sk % 12 IN (4, 7)
