@@ -255,6 +255,28 @@ def test_toxicity_neighbours_are_exact_and_found(spark, awkward, empty):
     assert {(r.score, r.predicted) for r in none} == {(0.0, 0)} and toxicity.toxicity(empty, labels).count() == 0
 
 
+def test_toxicity_blocks_and_batches_skip_no_neighbour(monkeypatch):
+    rng = random.Random(11)
+    texts = [" ".join(rng.choices([f"w{int(rng.paretovariate(0.6)) % 400}" for _ in range(60)], k=rng.choice([1, 5, 40]))) for _ in range(300)] + ["w1 w2"] * 40
+    examples = [(list(c), list(c.values())) for c in map(toxicity.terms_of, texts)]
+    for dense_bytes, posts in ((24_000_000, 1_000_000), (0, 50), (8 * 384 * 3, 1)):  # frequent words, none, three
+        monkeypatch.setattr(toxicity, "DENSE_BYTES", dense_bytes)
+        monkeypatch.setattr(toxicity, "POSTS", posts)
+        index, _ = toxicity.build(None, list(range(len(texts))), examples, [i % 2 for i in range(len(texts))], [1.0] * len(texts), block=32)
+        rows = np.zeros((len(texts), len(index.terms)))
+        for t, (at, value) in enumerate(index.posts):
+            rows[at, t] = value
+        vectors = [index.vector({index.terms[w]: c for w, c in toxicity.terms_of(t).items()}) for t in texts]
+        without = [i if i % 3 else -1 for i in range(len(texts))]
+        for (t, w), out, (near, cosine) in zip(vectors, without, index.nearest_of(vectors, 7, without), strict=True):
+            scores = np.round(rows[:, t] @ w, 12)
+            if out >= 0:
+                scores[out] = 0
+            order = [i for i in np.lexsort((np.arange(len(scores)), -scores)) if scores[i] > 0][:7]
+            assert np.allclose(cosine, scores[order])
+            assert near.tolist() == order or np.allclose(scores[near], scores[order])   # sums of another order may part ties
+
+
 def test_toxicity_of_rare_words_over_whole_texts(spark):
     rng = random.Random(8)
     common, rows = [f"w{i}" for i in range(30)], []
