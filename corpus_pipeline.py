@@ -54,15 +54,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of at least 0.5 go."""
-    index = toxic.fit(docs, table(spark, sf_dir, "labels"))
-    of_task = []
-
-    def keep(texts):
-        if not of_task:      # one scorer a task, not one for each run of texts
-            of_task.append(toxic.Scorer(index))
-        return [of_task[0](t)[0] < 0.5 for t in texts]
-
-    return _filtered(docs, keep)
+    scorer = toxic.scorer_of(spark, toxic.fit(docs, table(spark, sf_dir, "labels")))
+    return _filtered(docs, lambda texts: [score < 0.5 for score, _, _ in scorer()(texts)])
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
