@@ -141,3 +141,54 @@ def test_hot_outlet_in_the_basepack_detail_and_distribution_joins(spark, skew_co
     spread = basepack.invoice_distribution(lines, detail)
     assert spread.filter("outlet_id = 'HOT'").count() == sum(r[0] == "HOT" and r[6] <= last for r in rows)
     assert "au_month" in plan_text(spread) and "t_month" in plan_text(found)
+
+
+@pytest.mark.parametrize("limit", [None, "100"])
+def test_hot_document_in_the_growth_and_basepack_summaries(spark, skew_conf, limit):
+    """A third of all injection invoices on one (outlet, activity): its rows are dealt over shares, targets
+    without invoices stay, and the rows equal those of the plain join."""
+    from tokoledger.operators import basepack, growth, injection
+    from tokoledger.plans.joins import HOT_ROWS_KEY, left_join_dealt
+
+    rows = [("HOT" if i % 3 == 0 else f"T{i % 97}", "0" if i % 9 else "1", "A1", f"I{i}", dt.datetime(2025, 7, 1) + dt.timedelta(hours=i),
+             dt.datetime(2025, 8, 1), D(1), D(2 + i % 5), D(3)) for i in range(3000)]
+    invoices = spark.createDataFrame(rows, "outlet_id string, sales_id string, document_ID string, invoice_no string, invoice_date timestamp_ntz, "
+                                           "upload_date timestamp_ntz, invoice_amount decimal(18,2), expected_invoice_addt_reward decimal(18,2), payment_amount decimal(18,2)")
+    outlets = ["HOT", "ALONE"] + [f"T{k}" for k in range(97)]
+    start, end = dt.date(2025, 7, 1), dt.date(2025, 12, 31)
+    targets = spark.createDataFrame(
+        [("A1", "D1", o, o, "1", "t", 5, 1, 9, start, end) for o in outlets],
+        "activity_id string, Dist_Code string, Outlet_id string, outlet_name string, Cluster string, Bar_Title_Target string, Target_toko int, "
+        "POINT_didapat int, POINT_max int, periode_start date, periode_end date")
+    master = spark.createDataFrame(
+        [("A1", o, 2, 1, start, end, "1", 1, 9, "1") for o in outlets],
+        "activity_id string, outlet_id string, total_basepack int, target int, periode_start date, periode_end date, status_id string, "
+        "point_min int, point_max int, cluster string")
+    detail = spark.createDataFrame([("A1", o, "R", "A", "D1", 1) for o in outlets],
+                                   "activity_id string, `KODE TOKO` string, REGION string, AREA string, `KODE DISTI` string, PENCAPAIAN int")
+    regular = spark.createDataFrame([("A1", "1", "OK")], "activity_id string, status_id string, status_approval string")
+    p = P.SalesParams(as_of=dt.datetime(2025, 12, 1))
+
+    def results():
+        made = growth.growth_achievement(targets, sales.growth_sales_points(targets, invoices, p), regular, invoices, p)
+        summed = basepack.basepack_summary(master, detail, sales.basepack_sales_points(master, invoices, p), regular, invoices, made, p)
+        return made, summed
+
+    plain = [df.exceptAll(df.limit(0)).cache() for df in results()]
+    assert [df.count() > 3000 for df in plain] == [True, True] and plain[1].where("`KODE TOKO` = 'ALONE'").count() == 1
+    if limit is None:
+        return
+    spark.conf.set(HOT_ROWS_KEY, limit)
+    try:
+        invoices = invoices.select("*")          # hot keys are remembered for a table
+        hot = injection.hot_documents(invoices, p.injection_sales_id, p.feedback_sales_id)
+        assert [tuple(r) for r in hot.collect()] == [("HOT", "A1", 10)]
+        for before, df in zip(plain, results(), strict=True):
+            assert "share_l" in plan_text(df)
+            assert df.exceptAll(before).count() == 0 and before.exceptAll(df).count() == 0
+        kind = injection.invoices_of_kind(invoices, "0", "inm_", ["invoice_no"], max_invoice_no=False)
+        keys = targets.select("Outlet_id", "activity_id")
+        dealt = left_join_dealt(keys, kind, ["Outlet_id", "activity_id"], ["inm_outlet_id", "inm_document_ID"], hot)
+        assert dealt.where("inm_invoice_no is null").count() == keys.join(kind, F.col("Outlet_id") == F.col("inm_outlet_id"), "left_anti").count()
+    finally:
+        spark.conf.unset(HOT_ROWS_KEY)

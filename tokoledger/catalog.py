@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import params as P
-from .operators import activity, basepack, growth, points, redeem, report, sales
+from .operators import activity, basepack, facts, growth, points, redeem, report, sales
 from .sources import standins as S
 from .sources.tables import Tables, from_testdata
 
@@ -50,8 +50,10 @@ def _o11(t: Tables, p=SALES) -> DataFrame:
     return sales.growth_sales_points(t["target_growth"], t["invoice_master"], p)
 
 
-def _o12(t: Tables, p=SALES) -> DataFrame:
-    return growth.growth_achievement(t["target_growth"], _o11(t, p), t["activities_regular"], t["invoice_master"], p)
+def _o12(t: Tables, p=SALES, found: facts.InvoiceFacts | None = None) -> DataFrame:
+    found = facts.invoice_facts(t, p, basepack=False) if found is None else found
+    made = sales.growth_sales_points(t["target_growth"], t["invoice_master"], p, found.totals)
+    return growth.growth_achievement(t["target_growth"], made, t["activities_regular"], found.documents, p)
 
 
 def _o8(t: Tables, p=SALES) -> DataFrame:
@@ -61,9 +63,11 @@ def _o8(t: Tables, p=SALES) -> DataFrame:
 
 
 def _o9(t: Tables, p=SALES) -> DataFrame:
+    found = facts.invoice_facts(t, p)
+    made = sales.basepack_sales_points(t["outlet_basepack_target_master"], t["invoice_master"], p, found.totals)
     return basepack.basepack_summary(
-        t["outlet_basepack_target_master"], _o8(t, p), _o7(t, p), t["activities_regular"],
-        t["invoice_master"], _o12(t, p), p,
+        t["outlet_basepack_target_master"], _o8(t, p), made, t["activities_regular"], found.documents,
+        _o12(t, p, found), p,
     )
 
 

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from ..functions import texts
 from ..functions.exprs import NUMERIC, capped_points, clamp_at_zero, numeric
 from ..params import SalesParams
-from ..plans.joins import bounded_broadcast, by_month, month_bucket
-from .injection import INJECTION_OUTPUT, injection_columns, invoices_of_kind
+from ..plans.joins import bounded_broadcast, by_month, left_join_dealt, month_bucket
+from .injection import hot_documents, injection_columns, invoices_of_kind
 from .sales import date_periods, day_grain, in_date_period, period_window, within_window
 
 
@@ -179,8 +179,9 @@ def basepack_summary(
     ).agg(F.sum(F.col("dd_sum") * mult).alias("core_sum"))
     # ... then each distinct injection / feedback attribute row multiplies it by
     # its row count: every output row is produced once, no output-sized shuffle
-    g = core.join(inm, (core.outlet_id == inm.inm_outlet_id) & (core.activity_id == inm.inm_document_ID), "left")
-    g = g.join(fb, (g.outlet_id == fb.fb_outlet_id) & (g.activity_id == fb.fb_document_ID), "left")
+    hot = hot_documents(invoices, p.injection_sales_id, p.feedback_sales_id)
+    g = left_join_dealt(core, inm, ["outlet_id", "activity_id"], ["inm_outlet_id", "inm_document_ID"], hot)
+    g = left_join_dealt(g, fb, ["outlet_id", "activity_id"], ["fb_outlet_id", "fb_document_ID"], hot)
     g = g.withColumn("achieved", F.col("core_sum") * F.coalesce(F.col("inm_n"), F.lit(1))
                      * F.coalesce(F.col("fb_n"), F.lit(1)))
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import texts
 from ..functions.exprs import capped_points, flag, numeric, now_or
 from ..params import SalesParams
-from ..plans.joins import bounded_broadcast
-from .injection import INJECTION_OUTPUT, injection_columns, invoices_of_kind
+from ..plans.joins import bounded_broadcast, left_join_dealt
+from .injection import INJECTION_OUTPUT, hot_documents, injection_columns, invoices_of_kind
 
 CORE_KEYS = [
     "activity_id", "Dist_Code", "Outlet_id", "outlet_name", "Bar_Title_Target", "Target_toko", "pencapaian",
@@ -56,8 +56,9 @@ def growth_achievement(
     # output row once: no shuffle over the expanded output.
     core = j.select(*CORE_KEYS, "g_activity_id").distinct()
     # the reference matches the invoices' document on O11's activity (NULL without sales)
-    g = core.join(inm, (core.Outlet_id == inm.inm_outlet_id) & (core.g_activity_id == inm.inm_document_ID), "left")
-    g = g.join(fb, (g.Outlet_id == fb.fb_outlet_id) & (g.g_activity_id == fb.fb_document_ID), "left")
+    hot = hot_documents(invoices, p.injection_sales_id, p.feedback_sales_id)
+    g = left_join_dealt(core, inm, ["Outlet_id", "g_activity_id"], ["inm_outlet_id", "inm_document_ID"], hot)
+    g = left_join_dealt(g, fb, ["Outlet_id", "g_activity_id"], ["fb_outlet_id", "fb_document_ID"], hot)
 
     target_n = numeric(F.col("Target_toko"))
     capai_n = numeric(F.coalesce(F.col("pencapaian"), F.lit(0)))

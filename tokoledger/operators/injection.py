@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import texts
 from ..functions.exprs import NUMERIC, col, numeric
+from ..plans.joins import hot_keys
 
 
 def invoices_of_kind(invoices: DataFrame, sales_id: str, prefix: str, attrs: list[str], max_invoice_no: bool) -> DataFrame:
@@ -40,6 +41,12 @@ def injection_feedback_rows(invoices: DataFrame, injection_sales_id: str, feedba
         "expected_invoice_addt_reward", "payment_amount")
 
 
+def hot_documents(invoices: DataFrame, injection_sales_id: str, feedback_sales_id: str) -> DataFrame | None:
+    """The (outlet, document) pairs with very many injection and feedback invoices, see ``joins.hot_keys``."""
+    kinds = invoices.filter(F.col("sales_id").isin(injection_sales_id, feedback_sales_id))
+    return hot_keys(kinds, "outlet_id", "document_ID", source=invoices)
+
+
 def injection_columns(point_value: int, inj_no: str = "inm_invoice_no", fb_no: str = "fb_invoice_no") -> list:
     """The 13 injection/feedback output columns over prefixed ``inm_`` / ``fb_`` columns."""
     inj = numeric(F.col("inm_expected_invoice_addt_reward"))

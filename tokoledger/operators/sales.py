@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,18 +23,45 @@ def sales_by_outlet_time(invoices: DataFrame) -> DataFrame:
     )
 
 
-def sales_in_period(invoices: DataFrame, p: SalesParams = SalesParams(), *targets: DataFrame) -> DataFrame:
-    """H1 over the invoices from ``p.from_date`` on and inside the periods of ``targets``, both ends at the scan;
-    O7 and O11 can share it."""
+def sales_in_period(invoices: DataFrame, p: SalesParams = SalesParams(), periods: DataFrame | None = None) -> DataFrame:
+    """H1 over the invoices from ``p.from_date`` on and inside the window of ``periods``, both ends at the scan."""
     rows = invoices.filter(F.col("invoice_date") >= ts_lit(p.from_date))
-    if targets:
-        found = [w for w in map(period_window, targets) if w is not None]
-        rows = within_window(rows, (min(lo for lo, _ in found), max(hi for _, hi in found)) if found else None)
+    if periods is not None:
+        rows = within_window(rows, period_window(periods))
     return sales_by_outlet_time(rows)
 
 
-def _in_period(start: Column, end: Column, when: Column) -> Column:
-    return (start <= when) & (end >= when)
+BASEPACK, GROWTH = "basepack", "growth"
+
+
+def target_totals(invoices: DataFrame, p: SalesParams = SalesParams(), target_master: DataFrame | None = None,
+                  target_growth: DataFrame | None = None) -> DataFrame:
+    """Sales of the targets of both kinds (or of the given one) in one pass: one row per
+    (kind, activity_id, outlet_id, cluster) with sales in a period of it, with their ``total``.
+
+    Raw datetimes are compared with a basepack target's dates, dates with a growth target's (T12): written as
+    ``begin <= moment < until``, both kinds share one join. The period is no key (T23). The (large, possibly skewed)
+    sales side is streamed, so AQE can split a hot outlet; an outlet's sales meet the periods of their own month.
+    """
+    both = []
+    if target_master is not None:
+        both.append(target_master.select(
+            F.lit(BASEPACK).alias("kind"), "activity_id", "outlet_id", "cluster", "periode_start", "periode_end",
+            (F.col("periode_end").cast("timestamp_ntz") + F.expr("INTERVAL '0.000001' SECOND")).alias("until")))
+    if target_growth is not None:
+        both.append(target_growth.filter(F.col("periode_start") >= F.lit(p.from_date)).select(
+            F.lit(GROWTH).alias("kind"), "activity_id", F.col("Outlet_id").alias("outlet_id"), F.col("Cluster").alias("cluster"),
+            "periode_start", "periode_end", F.date_add("periode_end", 1).cast("timestamp_ntz").alias("until")))
+    periods = reduce(DataFrame.unionByName, both)
+    sales = sales_in_period(invoices, p, periods).withColumn("s_month", month_bucket(F.col("s_invoice_date")))
+    targets = by_month(periods, "periode_start", "periode_end", "t_month")
+    joined = sales.join(
+        targets,
+        (targets.outlet_id == sales.s_outlet_id) & (targets.t_month == sales.s_month)
+        & (targets.periode_start <= sales.s_invoice_date) & (targets.until > sales.s_invoice_date),
+        "inner",
+    )
+    return joined.groupBy("kind", "activity_id", "outlet_id", "cluster").agg(F.sum(numeric(F.col("s_amount"))).alias("total"))
 
 
 def date_periods(periods: DataFrame, start: str = "periode_start", end: str = "periode_end") -> bool:
@@ -94,33 +122,20 @@ def basepack_lines(invoice_lines: DataFrame, products_basepack: DataFrame, p: Sa
 
 
 def basepack_sales_points(target_master: DataFrame, invoices: DataFrame, p: SalesParams = SalesParams(),
-                          period_sales: DataFrame | None = None) -> DataFrame:
+                          totals: DataFrame | None = None) -> DataFrame:
     """Sales of each basepack target in its period and the raw points.
 
-    Raw datetimes are compared with the period dates (T12); points are
-    ``FLOOR(CAST(total * rate / 4000 AS decimal(18,4)))`` (T13).
-    ``period_sales`` is :func:`sales_in_period` when already computed.
+    Points are ``FLOOR(CAST(total * rate / 4000 AS decimal(18,4)))`` (T13).
+    ``totals`` is :func:`target_totals` when already computed.
     """
-    # the WHERE on the sales side is on a grouping column: pushed into the scan
-    sales = sales_in_period(invoices, p, target_master) if period_sales is None else period_sales
-    sales = sales.withColumn("s_month", month_bucket(F.col("s_invoice_date")))
-    targets = by_month(target_master.select("activity_id", "outlet_id", "cluster", "periode_start", "periode_end"),
-                       "periode_start", "periode_end", "t_month")
-    joined = sales.join(
-        targets,
-        (targets.outlet_id == sales.s_outlet_id) & (targets.t_month == sales.s_month)
-        & _in_period(targets.periode_start, targets.periode_end, sales.s_invoice_date),
-        "inner",
-    )
-    total = F.sum(numeric(F.col("s_amount")))
-    out = joined.groupBy("activity_id", "outlet_id", "cluster").agg(total.alias("total_sales_temp"))
+    totals = target_totals(invoices, p, target_master=target_master) if totals is None else totals
     factor = F.lit(per_point(p.basepack_rate, p.point_value))
-    points = F.floor((F.col("total_sales_temp") * factor).cast("decimal(18,4)"))
-    return out.select(
+    points = F.floor((F.col("total") * factor).cast("decimal(18,4)"))
+    return totals.where(F.col("kind") == BASEPACK).select(
         "activity_id",
         "outlet_id",
         "cluster",
-        F.col("total_sales_temp").cast("decimal(38,0)").alias("total_sales_temp"),
+        F.col("total").cast("decimal(38,0)").alias("total_sales_temp"),
         F.coalesce(
             F.when(F.col("cluster").isin(*p.point_clusters), points).otherwise(F.lit(0)), F.lit(0)
         ).cast(NUMERIC).alias("Aktual_Point_temp"),
@@ -128,35 +143,19 @@ def basepack_sales_points(target_master: DataFrame, invoices: DataFrame, p: Sale
 
 
 def growth_sales_points(target_growth: DataFrame, invoices: DataFrame, p: SalesParams = SalesParams(),
-                        period_sales: DataFrame | None = None) -> DataFrame:
+                        totals: DataFrame | None = None) -> DataFrame:
     """Sales per growth target (LEFT: targets without sales stay) and points.
 
-    Invoice timestamps are cut to dates before the period test (T12); points are
-    rounded, not floored (T13). The period is not a grouping key (T23). A
-    cluster outside the point clusters gets 0 points (the reference raises, T11).
+    Points are rounded, not floored (T13). A cluster outside the point clusters gets 0 points (the reference
+    raises, T11). ``totals`` is :func:`target_totals` when already computed.
     """
-    targets = target_growth.filter(F.col("periode_start") >= F.lit(p.from_date)).select(
-        "activity_id", "Outlet_id", "Cluster", "periode_start", "periode_end"
-    )
-    # implied by date(invoice) >= periode_start >= from_date: prunes the scan
-    sales = sales_in_period(invoices, p, targets) if period_sales is None else period_sales
-    sales = sales.withColumn("s_month", month_bucket(F.col("s_invoice_date")))
-    monthly = by_month(targets, "periode_start", "periode_end", "t_month")
-    # inner join with the (large, possibly skewed) sales side streamed, so AQE
-    # can split a hot outlet; targets without sales come back through the
-    # left join of the per-target totals (same result as the reference's
-    # LEFT JOIN + GROUP BY)
-    # date(ts) between start and end  <=>  start <= ts < end + 1 day (raw timestamps, same as O7's side)
-    matched = sales.join(
-        monthly,
-        (monthly.Outlet_id == sales.s_outlet_id) & (monthly.t_month == sales.s_month)
-        & (monthly.periode_start <= sales.s_invoice_date) & (F.date_add(monthly.periode_end, 1) > sales.s_invoice_date),
-        "inner",
-    ).groupBy(
-        F.col("activity_id").alias("m_activity_id"), F.col("Outlet_id").alias("m_outlet_id"),
-        F.col("Cluster").alias("m_cluster"),
-    ).agg(F.sum(numeric(F.col("s_amount"))).alias("pencapaian"))
-    keys = targets.select("activity_id", "Outlet_id", "Cluster").distinct()
+    totals = target_totals(invoices, p, target_growth=target_growth) if totals is None else totals
+    matched = totals.where(F.col("kind") == GROWTH).select(
+        F.col("activity_id").alias("m_activity_id"), F.col("outlet_id").alias("m_outlet_id"),
+        F.col("cluster").alias("m_cluster"), F.col("total").alias("pencapaian"))
+    # targets without sales come back through the left join of the per-target
+    # totals (same result as the reference's LEFT JOIN + GROUP BY)
+    keys = target_growth.filter(F.col("periode_start") >= F.lit(p.from_date)).select("activity_id", "Outlet_id", "Cluster").distinct()
     out = keys.join(
         matched,
         (keys.activity_id.eqNullSafe(matched.m_activity_id)) & (keys.Outlet_id.eqNullSafe(matched.m_outlet_id))

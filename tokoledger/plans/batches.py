@@ -20,7 +20,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import activity, basepack, growth, injection, points, redeem, report, sales
+from ..operators import activity, basepack, facts, growth, points, redeem, report, sales
 from ..params import ActivityParams, InvoiceViewParams, RedeemParams, ReportParams, SalesParams
 from ..sources.sinks import Sink
 from ..sources.tables import BALANCE, Tables
@@ -44,32 +44,25 @@ REQUEST_LOG = "redeem_request_log"
 def run_growth_basepack(t: Tables, sink: Sink, p: SalesParams = SalesParams()) -> dict[str, DataFrame]:
     """Growth first (its table feeds the basepack summary), then basepack.
 
-    The invoice table is read twice instead of six times: the per-(outlet,
-    timestamp) sales feed both O11 and O7, and the small injection / feedback
-    slice feeds both O12 and O9; both are kept on the executors for the run
-    (a lost executor recomputes its part from the lineage).
+    The invoice table is read twice instead of six times: the targets' totals feed O11 and O7, the
+    injection and feedback invoices O12 and O9 (see ``facts``). Both are stored, so a lost executor costs no scan.
     """
     invoices = t["invoice_master"]
-    period_sales = sales.sales_in_period(invoices, p, t["target_growth"], t["outlet_basepack_target_master"]).persist()
-    few = t.matching("invoice_master", sales_id=(p.injection_sales_id, p.feedback_sales_id))
-    kinds = injection.injection_feedback_rows(few, p.injection_sales_id, p.feedback_sales_id).persist()
-    try:
-        growth_points = sales.growth_sales_points(t["target_growth"], invoices, p, period_sales)
-        grw = sink.overwrite(GROWTH_TABLE, growth.growth_achievement(
-            t["target_growth"], growth_points, t["activities_regular"], kinds, p), ["outlet_code"])
-        lines = sales.basepack_lines(t["invoice_detail_activity"], t["master_products_basepack_new"], p)
-        detail = sink.overwrite(BASEPACK_DETAIL_TABLE, basepack.basepack_detail(
-            t["outlet_basepack_target_detail"], lines, t["temp_master_data_uli"], t["activities_regular"], p),
-            ["KODE TOKO"])
-        pts = sales.basepack_sales_points(t["outlet_basepack_target_master"], invoices, p, period_sales)
-        summary = sink.overwrite(BASEPACK_SUMMARY_TABLE, basepack.basepack_summary(
-            t["outlet_basepack_target_master"], detail, pts, t["activities_regular"], kinds, grw, p),
-            ["KODE TOKO"])
-        dist = sink.overwrite(DISTRIBUTION_TABLE, basepack.invoice_distribution(
-            t["invoice_detail_activity"], t["outlet_basepack_target_detail"]), ["outlet_id", "invoice_no"])
-    finally:
-        period_sales.unpersist()
-        kinds.unpersist()
+    found = facts.invoice_facts(t, p)
+    totals, kinds = found.totals, found.documents
+    growth_points = sales.growth_sales_points(t["target_growth"], invoices, p, totals)
+    grw = sink.overwrite(GROWTH_TABLE, growth.growth_achievement(
+        t["target_growth"], growth_points, t["activities_regular"], kinds, p), ["outlet_code"])
+    lines = sales.basepack_lines(t["invoice_detail_activity"], t["master_products_basepack_new"], p)
+    detail = sink.overwrite(BASEPACK_DETAIL_TABLE, basepack.basepack_detail(
+        t["outlet_basepack_target_detail"], lines, t["temp_master_data_uli"], t["activities_regular"], p),
+        ["KODE TOKO"])
+    pts = sales.basepack_sales_points(t["outlet_basepack_target_master"], invoices, p, totals)
+    summary = sink.overwrite(BASEPACK_SUMMARY_TABLE, basepack.basepack_summary(
+        t["outlet_basepack_target_master"], detail, pts, t["activities_regular"], kinds, grw, p),
+        ["KODE TOKO"])
+    dist = sink.overwrite(DISTRIBUTION_TABLE, basepack.invoice_distribution(
+        t["invoice_detail_activity"], t["outlet_basepack_target_detail"]), ["outlet_id", "invoice_no"])
     return {GROWTH_TABLE: grw, BASEPACK_DETAIL_TABLE: detail, BASEPACK_SUMMARY_TABLE: summary,
             DISTRIBUTION_TABLE: dist}
 
