@@ -7,6 +7,7 @@ import math
 import random
 import re
 import sys
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -215,6 +216,23 @@ def test_licenses_wrapped_at_any_width(spark, tmp_path):
     assert sorted(db.execute(license_digest.oracle()).fetchall()) == sorted((r.doc_id, r.digest, r.license_id) for r in rows)
 
 
+def test_a_long_text_without_blanks_is_counted_in_blocks(monkeypatch):
+    vocabulary = token_count.load_vocabulary(PIECES)
+    rng = random.Random(5)
+    pieces = [p for p, _ in vocabulary if p.isalpha() and token_count.SPACE not in p]
+    text = "".join(rng.choice(pieces) if rng.random() < 0.9 else rng.choice("\u4e2d\U0001f600\u0416x") for _ in range(3000))
+    whole = token_count.Counter(vocabulary).count(text)
+    for block in (1, 7, 64, 1000):
+        monkeypatch.setattr(token_count, "BLOCK", block)
+        assert token_count.Counter(vocabulary).count(text) == whole
+    monkeypatch.undo()
+    counter = token_count.Counter(vocabulary)
+    tracemalloc.start()
+    assert counter.count(text * 40) > 30 * whole      # about 600,000 characters
+    assert tracemalloc.get_traced_memory()[1] < 64 << 20 and not counter
+    tracemalloc.stop()
+
+
 def test_token_counts_equal_the_unigram_tokenizer(awkward, empty, docs):
     vocabulary = token_count.load_vocabulary(PIECES)
     plain = Tokenizer(models.Unigram(vocabulary, unk_id=0, byte_fallback=True))

@@ -22,6 +22,8 @@ from tokoledger.llm.common import in_arrow
 SPACE = "▁"          # stands for a space, at the start of each word
 UNKNOWN_PENALTY = 10.0
 KEPT = 400_000            # words whose count a worker remembers
+KEPT_LENGTH = 64          # characters of such a word at most
+BLOCK = 1 << 16           # characters of a word whose matches are held at once
 
 
 def load_vocabulary(path: str) -> list[tuple[str, float]]:
@@ -42,30 +44,37 @@ class Counter(dict):
                 self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
         self.single = {piece for piece, _ in vocabulary if len(piece) == 1}
+        self.longest = max((len(piece) for piece, _ in vocabulary), default=1)
         self.unknown = min(score for _, score in vocabulary) - UNKNOWN_PENALTY
 
     def viterbi(self, word: str) -> int:
-        best, pieces = [0.0], [0]
-        ending: dict[int, list[tuple[int, float]]] = {}
-        for end, found in self.automaton.iter(word):  # of one end the longest piece comes first
-            ending.setdefault(end, []).append(found)
-        for end, char in enumerate(word):
-            score = count = None
-            for length, value in ending.get(end, ()):
-                start = end + 1 - length
-                candidate = value + best[start]
-                if score is None or candidate > score:
-                    score, count = candidate, pieces[start] + 1
-            if char not in self.single:
-                candidate = self.unknown + best[end]
-                if score is None or candidate > score:
-                    score, count = candidate, pieces[end] + len(char.encode())
-            best.append(score), pieces.append(count)
+        """In blocks: beside the word only one block's matches and the positions that a piece can reach back to are held."""
+        best, pieces, first = [0.0], [0], 0  # of the positions from ``first`` on
+        for low in range(0, len(word), BLOCK):
+            since = max(0, low - self.longest + 1)  # a piece may begin before the block
+            ending: dict[int, list[tuple[int, float]]] = {}
+            for at, found in self.automaton.iter(word[since:low + BLOCK]):  # of one end the longest piece comes first
+                ending.setdefault(since + at, []).append(found)
+            for end, char in enumerate(word[low:low + BLOCK], low):
+                score = count = None
+                for length, value in ending.get(end, ()):
+                    start = end + 1 - length - first
+                    candidate = value + best[start]
+                    if score is None or candidate > score:
+                        score, count = candidate, pieces[start] + 1
+                if char not in self.single:
+                    candidate = self.unknown + best[end - first]
+                    if score is None or candidate > score:
+                        score, count = candidate, pieces[end - first] + len(char.encode())
+                best.append(score), pieces.append(count)
+            gone = max(0, len(best) - self.longest)
+            first += gone
+            del best[:gone], pieces[:gone]
         return pieces[-1]
 
     def __missing__(self, word: str) -> int:
         count = self.viterbi(SPACE + word)
-        if len(self) < KEPT:
+        if len(self) < KEPT and len(word) <= KEPT_LENGTH:
             self[word] = count
         return count
 
@@ -91,7 +100,7 @@ def _count(path: str):
         count = counter(path).count
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([count(t) for t in batch.column(1).to_pylist()], pa.int64())], ["doc_id", "n_tokens"]
+                [batch.column(0), pa.array([count(t.as_py()) for t in batch.column(1)], pa.int64())], ["doc_id", "n_tokens"]
             )
 
     return run
@@ -99,7 +108,7 @@ def _count(path: str):
 
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
     """``(doc_id, n_tokens)`` for every row of ``docs`` (doc_id, text), over whole texts.
-    A null or empty text has no tokens. Rows without a doc_id and repeated rows are
+    A null or empty text has no tokens. A text without blanks is one word, of any length. Rows without a doc_id and repeated rows are
     counted like any other; further columns are not read."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return in_arrow(rows, _count(path), "doc_id long, n_tokens long")
