@@ -47,3 +47,31 @@ def test_an_open_period_end_has_no_upper_bound(spark):
 
     rows = spark.sql("SELECT timestamp_ntz'2024-05-01 10:00:00' AS invoice_date UNION ALL SELECT timestamp_ntz'1990-01-01 00:00:00'")
     assert within_window(rows, (dt.date(2000, 1, 1), dt.date.max)).count() == 1
+
+
+def test_invoice_lines_are_joined_once(spark, tmp_path):
+    """Invoices, line tables and targets read the stored lines instead of joining the base tables again."""
+    from tokoledger.sources.tables import from_testdata
+
+    rows = {
+        "region": "SELECT * FROM VALUES (0, 'ASIA') AS t(r_regionkey, r_name)",
+        "nation": "SELECT * FROM VALUES (0, 'NATION_0', 0) AS t(n_nationkey, n_name, n_regionkey)",
+        "supplier": "SELECT * FROM VALUES (5L, 'five', 0, 1.5D), (6L, 'six', 0, 2.5D), (NULL, 'none', 0, 0D)"
+                    " AS t(s_suppkey, s_name, s_nationkey, s_acctbal)",
+        # a part that is there twice and one line that is there twice, each with its own effect on the sums
+        "part": "SELECT * FROM VALUES (1L, 10D), (2L, 20D), (2L, 20D) AS t(p_partkey, p_retailprice)",
+        "orders": "SELECT * FROM VALUES (100L, timestamp_ntz'1999-08-01 00:00:00'), (7L, timestamp_ntz'1999-08-02 00:00:00')"
+                  " AS t(o_orderkey, o_orderdate)",
+        "lineitem": "SELECT * FROM VALUES (100L, 1L, 5L, 3D, 4D), (100L, 1L, 5L, 3D, 4D), (7L, 2L, 6L, 1D, 8D), (7L, NULL, 6L, 1D, 8D)"
+                    " AS t(l_orderkey, l_partkey, l_suppkey, l_quantity, l_extendedprice)",
+    }
+    for name, sql in rows.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    tables = from_testdata(spark, str(tmp_path))
+    for name in ("invoice_master", "invoice_detail", "invoice_detail_activity", "outlet_basepack_target_detail"):
+        plan = tables[name]._jdf.queryExecution().toString()
+        assert "invoice-lines" in plan and "l_suppkey" not in plan, name
+    lines = sorted((r.invoice_no, r.quantity, int(r.total)) for r in tables["invoice_detail_activity"].collect())
+    assert lines == [("INV100-5", 3, 4000)] * 2 + [("INV7-6", 1, 8000)] * 2
+    invoices = sorted((r.invoice_no, int(r.invoice_amount), r.sales_id) for r in tables["invoice_master"].collect())
+    assert invoices == [("INV100-5", 8000, "0")] * 2 + [("INV7-6", 16000, "S")]

@@ -390,6 +390,8 @@ FROM {so_outlets} o WHERE o.sk % 12 IN (4, 7)
 
 # tables a user of the library supplies (everything but the so_* helpers)
 STANDIN_TABLES = tuple(n for n in _SQL if not n.startswith("so_"))
+# columns of the invoice lines and nothing else
+LINE_TABLES = ("invoice_detail_activity", "invoice_detail")
 
 # ---------------------------------------------------------------------------
 # parameters that fit the stand-in dates (orders span 1995-2001, events 2024-01)

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.joins import bounded_broadcast
+from ..plans.stored import stored
 from . import standins
 
 # key columns compared with ``=`` in the reference; trimmed at load
@@ -175,7 +177,12 @@ BALANCE = "balance"
 
 
 def from_testdata(spark: SparkSession, sf_dir: str) -> Tables:
-    """Stand-in tables over ``{sf_dir}/{table}.parquet`` (see FIXTURES.md)."""
+    """Stand-in tables over ``{sf_dir}/{table}.parquet`` (see FIXTURES.md).
+
+    The invoice lines are joined and stored once: the invoices, both line tables and the basepack targets read
+    the stored rows. ``spark.sql`` drops its views of the frames it is given, which also forgets what was persisted
+    of them, so a persisted frame would be computed again by each of those tables.
+    """
     base: dict[str, DataFrame] = {}
     tables: Tables
 
@@ -185,8 +192,15 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Tables:
                 base[name] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
             return base[name]
         deps = {d: (load(d) if d in standins.BASE_TABLES else tables[d]) for d in standins.dependencies(name)}
+        if name == "so_lines":
+            deps["so_outlets"] = bounded_broadcast(deps["so_outlets"])
+        made = zone_less(spark.sql(standins.sql_text(name), **deps))
+        if name == "so_lines":
+            return stored(made, "invoice-lines")
+        if name in standins.LINE_TABLES:
+            return made             # columns of the stored lines, read with pushed filters
         # kept once per session: every registered query reads the same stand-ins
-        return zone_less(spark.sql(standins.sql_text(name), **deps)).persist()
+        return made.persist()
 
     tables = Tables(load)
     return tables
