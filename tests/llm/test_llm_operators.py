@@ -570,3 +570,26 @@ def test_language_stage_rejects_texts_of_no_language(spark, docs, small_sf):
                 if mean <= usual.limit[k] + 3 * usual.spread[k] / math.sqrt(len(pairs)):
                     want.add(i)
         assert kept == want
+
+
+def test_packing_encodes_new_chunks_together():
+    """Ids are the tokenizer's for any text and any number of remembered chunks, and distinct
+    words reach the tokenizer joined, not one by one."""
+    import pyarrow as pa
+
+    letters, pick = "abcdefghij", random.Random(5)
+    pieces = ["a", "Foo", " ", "  ", "\n", ".", "'s", "<|endoftext|>", "12", "é", "漢", " ", "&&", "\r\n", "Ġ", "\x1c"]
+    texts = [None, "", " ", " a", "a ", "a<|endoftext|> b  c"]
+    texts += ["".join(pick.choices(pieces, k=pick.randrange(30))) for _ in range(500)]
+    texts.append(" ".join(a + b + c + d for a in letters for b in letters for c in letters for d in "xyz"))
+    direct = Tokenizer.from_file(JSON)
+    for remembered in (100_000, 3, 0):
+        encoder = packing._Encoder(JSON, public_tokenizers.PATTERN, remembered, 7)
+        alone, encode_words = [], encoder.plain.encode_words
+        encoder.plain.encode_words = lambda words: (alone.extend(words), encode_words(words))[1]
+        for _ in range(2):          # the second time from what is remembered
+            ids, ends = encoder(pa.array(texts, pa.string()))
+            found = [x.tolist() for x in np.split(ids, ends[:-1])]
+            assert found == [direct.encode(t or "", add_special_tokens=False).ids + [7] for t in texts]
+        assert len(alone) < 2500    # 3000 distinct words
+        assert len(encoder.slots) <= 2 * remembered
