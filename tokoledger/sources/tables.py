@@ -14,6 +14,7 @@ blanks, Spark's does not).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 from operator import or_
@@ -23,7 +24,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.joins import bounded_broadcast
-from ..plans.stored import stored
 from . import standins
 
 # key columns compared with ``=`` in the reference; trimmed at load
@@ -179,9 +179,7 @@ BALANCE = "balance"
 def from_testdata(spark: SparkSession, sf_dir: str) -> Tables:
     """Stand-in tables over ``{sf_dir}/{table}.parquet`` (see FIXTURES.md).
 
-    The invoice lines are joined and stored once: the invoices, both line tables and the basepack targets read
-    the stored rows. ``spark.sql`` drops its views of the frames it is given, which also forgets what was persisted
-    of them, so a persisted frame would be computed again by each of those tables.
+    The invoice lines are joined and kept once: the invoices, both line tables and the basepack targets read the kept rows.
     """
     base: dict[str, DataFrame] = {}
     tables: Tables
@@ -192,13 +190,15 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Tables:
                 base[name] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
             return base[name]
         deps = {d: (load(d) if d in standins.BASE_TABLES else tables[d]) for d in standins.dependencies(name)}
-        if name == "so_lines":
+        if "so_outlets" in deps and (name == "so_lines" or "so_lines" in deps):      # not where outlets lead the join
             deps["so_outlets"] = bounded_broadcast(deps["so_outlets"])
-        made = zone_less(spark.sql(standins.sql_text(name), **deps))
-        if name == "so_lines":
-            return stored(made, "invoice-lines")
+        # views of our own: spark.sql drops its views of the frames it is given, which also forgets what is persisted of them
+        views = {d: f"standin_{d}_{uuid.uuid4().hex}" for d in deps}
+        for d, view in views.items():
+            deps[d].createTempView(view)
+        made = zone_less(spark.sql(standins.sql_text(name).format(**views)))
         if name in standins.LINE_TABLES:
-            return made             # columns of the stored lines, read with pushed filters
+            return made             # columns of the kept lines
         # kept once per session: every registered query reads the same stand-ins
         return made.persist()
 
