@@ -12,6 +12,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -389,6 +390,47 @@ def test_bpe_equals_tiktoken(spark, awkward, empty, docs):
     assert bpe.bpe_round_trip(empty, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_works_on_distinct_words_and_runs(monkeypatch):
+    coder = bpe.Bpe(RANKS, public_tokenizers.PATTERN)
+    asked = {"start": 0, "ids": 0}
+    query = coder._query
+
+    def counted(sql, name, rows):
+        asked[name] += rows.num_rows
+        return query(sql, name, rows)
+
+    monkeypatch.setattr(coder, "_query", counted)
+    text = " ".join(["thsrebleerhe onanorrest, zuentz\u00fcchxyq"] * 200)
+    texts = [text, text + "  two  blanks ", "", text]
+    ids = coder.encode(texts)
+    assert [bytes(x) for x in coder.decode(ids)] == [t.encode() for t in texts]
+    assert asked["start"] < 200 and asked["ids"] < 200          # one of each distinct word, not one of each occurrence
+
+
+def test_bpe_forgets_and_decodes_unknown_ids():
+    coder = bpe.Bpe(RANKS, public_tokenizers.PATTERN)
+    coder.encode.kept = 3
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
+    rng = random.Random(5)
+    for _ in range(5):
+        texts = ["".join(rng.choice("ab c'dst\n .,1\u00e9") for _ in range(50)) for _ in range(20)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == [plain.encode_ordinary(t) for t in texts]
+        assert len(coder.encode.slots) <= 6 and len(coder.encode.pool) == coder.encode.ends[-1]
+    known = plain.encode_ordinary("so it goes")
+    ids = [np.array(x, "<u4").tobytes() for x in ([], known, [10**9], [*known[:1], 2**32 - 1, *known[1:]], [])]
+    assert list(coder.decode(ids)) == [b"", b"so it goes", b"", b"so it goes", b""]
+
+
+def test_gathered_batches_hold_all_rows_in_order():
+    from tokoledger.llm.pretokens import gathered
+
+    rows = [(k, None if k % 7 == 0 else "x" * (k % 5 * 10)) for k in range(100)]
+    batches = [pa.RecordBatch.from_pylist([{"doc_id": a, "text": b} for a, b in rows[at:at + 9]], pa.schema([("doc_id", pa.int64()), ("text", pa.string())])) for at in range(0, 100, 9)]
+    found = list(gathered([batches[0].slice(0, 0), *batches], 1, 200))
+    assert [tuple(r.values()) for b in found for r in b.to_pylist()] == rows
+    assert 5 < len(found) < 30
+
+
 def test_gru_gradients():
     net = langid.new_network(["a", "b", "c"], width=3)
     net = langid.Network(net.languages, *([p.astype(np.float64) for p in x] if isinstance(x, list) else x.astype(np.float64) for x in (net.e, net.u, net.v, net.c)))

@@ -15,33 +15,35 @@ from collections.abc import Iterable
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokoledger.llm.common import in_arrow
-from tokoledger.llm.pretokens import CachedEncoder, runs, slices
+from tokoledger.llm.pretokens import PooledEncoder, gathered, slices
 
 SHORT = 64                # bytes of a word up to which one recursion runs to the fixpoint
 SHORT_BATCH = 400_000     # bytes of short words in one query
 LONG_ROWS = 4_000_000     # rows that a round over long words may materialise
-DECODE_ROWS = 2_000_000   # tokens decoded by one query
+DECODE_ROWS = 4_000_000   # tokens decoded by one query
+TOGETHER = 8_000_000      # bytes of text that are encoded together
 
+# ``key`` is the word's number and the position in one integer, so that one plain sort orders all words' rows.
 _CONTRACT = """
 WITH RECURSIVE state AS (
-  SELECT word, pos, tok, false AS done FROM start
+  SELECT (word::BIGINT << 32) | pos AS key, tok, false AS done FROM start
   UNION ALL (
     WITH pair AS (
-      SELECT word, pos, tok, lead(tok) OVER w AS next_tok, lead(pos) OVER w AS next_pos
-      FROM state WHERE NOT done WINDOW w AS (PARTITION BY word ORDER BY pos)),
+      SELECT key, tok, lead(tok) OVER w AS next_tok, lead(key) OVER w AS next_key
+      FROM state WHERE NOT done WINDOW w AS (ORDER BY key)),
     best AS (
-      SELECT word, min((merged::BIGINT << 32) | pair.pos) AS first,
-             arg_min(next_pos, (merged::BIGINT << 32) | pair.pos) AS gone
-      FROM pair JOIN merges ON left_tok = tok AND right_tok = next_tok GROUP BY word)
-    SELECT pair.word, pair.pos,
-           CASE WHEN (first & 4294967295) = pair.pos THEN (first >> 32)::INT ELSE tok END, first IS NULL
-    FROM pair LEFT JOIN best USING (word) WHERE gone IS NULL OR gone <> pair.pos)
+      SELECT key >> 32 AS word, min((merged::BIGINT << 32) | (key & 4294967295)) AS first,
+             arg_min(next_key, (merged::BIGINT << 32) | (key & 4294967295)) AS gone
+      FROM pair JOIN merges ON left_tok = tok AND right_tok = next_tok WHERE key >> 32 = next_key >> 32 GROUP BY key >> 32)
+    SELECT key, CASE WHEN (first & 4294967295) = (key & 4294967295) THEN (first >> 32)::INT ELSE tok END, first IS NULL
+    FROM pair LEFT JOIN best ON word = key >> 32 WHERE gone IS NULL OR gone <> key)
 )
-SELECT word, tok FROM state WHERE done ORDER BY word, pos
+SELECT (key >> 32)::INT AS word, tok FROM state WHERE done ORDER BY key
 """
 
 # A round of at most `depth` steps over long words. Where no pair that a merge can create ranks below it
@@ -71,8 +73,8 @@ SELECT word, pos, tok, step FROM state QUALIFY step = max(step) OVER (PARTITION
 """
 
 _DECODE = """
-SELECT from_hex(string_agg(hex, '' ORDER BY pos)) AS bytes, text
-FROM ids JOIN vocabulary ON vocabulary.tok = ids.tok GROUP BY text ORDER BY text
+SELECT from_hex(string_agg(hex, '' ORDER BY pos)) AS bytes
+FROM ids JOIN vocabulary ON vocabulary.tok = ids.tok GROUP BY pos >> 14 ORDER BY pos >> 14
 """
 
 
@@ -108,7 +110,11 @@ class Bpe:
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM found")
         self.db.unregister("found")
         self.byte_tok = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
-        self.encode = CachedEncoder(pattern, self.encode_words)
+        # whether a token begins with a space, and its bytes; the last one stands for ids beyond the vocabulary
+        self.spaced, self.length = np.zeros((2, max(self.ranks.values()) + 2), np.int64)
+        for token, rank in self.ranks.items():
+            self.spaced[rank], self.length[rank] = token.startswith(b" "), len(token)
+        self.encode = PooledEncoder(pattern, self.encode_words)
 
     def _query(self, sql: str, name: str, rows: pa.Table) -> pa.Table:
         self.db.register(name, rows)
@@ -154,15 +160,43 @@ class Bpe:
                     out[i] = ids
         return out
 
+    def _decode_runs(self, runs: pa.Array) -> pa.Array:
+        """Bytes of runs of ids; ids that the vocabulary has not give none."""
+        ends = _offsets(runs) // 4
+        tok = np.frombuffer(runs.buffers()[2], "<u4")[ends[0]:ends[-1]]
+        found = []
+        for at in range(0, len(tok), DECODE_ROWS):
+            part = tok[at:at + DECODE_ROWS].astype(np.int32)
+            found += self._query(_DECODE, "ids", pa.table({"pos": np.arange(len(part)), "tok": part}))["bytes"].to_pylist()
+        upto = np.append(0, np.cumsum(self.length[np.minimum(tok, len(self.length) - 1)]))
+        offsets = np.ascontiguousarray(upto[ends - ends[0]])
+        return pa.Array.from_buffers(pa.large_binary(), len(runs), [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(found))])
+
     def decode(self, ids: list[bytes]) -> Iterable[bytes]:
-        """Bytes of whole id sequences, in their order."""
+        """Bytes of whole id sequences, in their order. A sequence is cut before each token that begins with a
+        space, and each distinct run of ids is decoded once."""
         for part in slices(ids, lambda x: len(x) // 4, DECODE_ROWS):
-            n = np.array([len(x) // 4 for x in part])
-            text = np.repeat(np.arange(len(part), dtype=np.int32), n)
-            tok = np.frombuffer(b"".join(part), "<u4").astype(np.int32)
-            out = self._query(_DECODE, "ids", pa.table({"text": text, "pos": np.arange(len(tok)), "tok": tok}))
-            found = dict(zip(out["text"].to_pylist(), out["bytes"].to_pylist(), strict=True))
-            yield from (found.get(i, b"") for i in range(len(part)))
+            raw = b"".join(part)
+            tok = np.frombuffer(raw, "<u4")
+            if not len(tok):
+                yield from part
+                continue
+            upto = np.cumsum([len(x) // 4 for x in part])
+            begins = self.spaced[np.minimum(tok, len(self.spaced) - 1)] > 0
+            first = np.concatenate(([0], upto[:-1]))
+            begins[first[first < upto]] = True
+            begin = np.flatnonzero(begins)
+            offsets = 4 * np.append(begin, len(tok)).astype(np.int64)
+            runs = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+            coded = runs.dictionary_encode()
+            whole = self._decode_runs(coded.dictionary).take(coded.indices)
+            data = whole.buffers()[2]
+            cut = _offsets(whole)[np.searchsorted(begin, np.append(first, len(tok)))].tolist()
+            yield from (data[a:b].to_pybytes() for a, b in zip(cut[:-1], cut[1:]))
+
+
+def _offsets(binary: pa.Array) -> np.ndarray:
+    return np.frombuffer(binary.buffers()[1], np.int64)[binary.offset:][:len(binary) + 1]
 
 
 def _by_key(key: np.ndarray, tok: np.ndarray, n: int) -> list[bytes]:
@@ -187,7 +221,7 @@ def _texts(batch, column: int) -> list[str]:
 def _round_trip(path: str, pattern: str):
     def run(batches):
         coder = bpe(path, pattern)
-        for part in (part for batch in batches for part in runs(batch, 1)):
+        for part in gathered(batches, 1, TOGETHER):
             ids = coder.encode(_texts(part, 1))
             decoded = [hashlib.sha256(x).hexdigest() for x in coder.decode(ids)]
             yield pa.RecordBatch.from_arrays(
@@ -206,7 +240,7 @@ def _round_trip(path: str, pattern: str):
 def _encode(path: str, pattern: str):
     def run(batches):
         coder = bpe(path, pattern)
-        for part in (part for batch in batches for part in runs(batch, 1)):
+        for part in gathered(batches, 1, TOGETHER):
             ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in coder.encode(_texts(part, 1))]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
