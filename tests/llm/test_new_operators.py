@@ -318,6 +318,23 @@ def test_terms_in_pieces():
     assert [t for part in divergence.terms(text, 7) for t in part] == [t.encode() for t in TERM.findall(text.lower())]
 
 
+def test_recount_looks_each_distinct_term_up_once(monkeypatch):
+    made = PerfectHash.build([b"ab", b"cd", "\u00e9f".encode()])
+    count = divergence._Recount([("en", 0, made.dumps())], 1)
+    asked = []
+    look_up = count._look_up
+    monkeypatch.setattr(count, "_look_up", lambda lang, keys: asked.extend(keys) or look_up(lang, keys))
+    texts = [b"  ab cd ab xx ", b"", " \u00e9f ab".encode() * 50, b"ab" * 9, b"ab cd"]
+    lang, source = np.array([0, 0, 0, 1, 0]), np.array([0, 1, 1, 0, 0])
+    for _ in range(2):
+        count.add(texts, lang, ["en", "de"], source, ["a", "b"])
+    assert sorted(asked) == [b"ab", b"cd", b"xx", "\u00e9f".encode()]
+    slots = made.slots([b"ab", b"cd", "\u00e9f".encode()])
+    assert count.dense["en", "a"][slots].tolist() == [6, 4, 0] and count.dense["en", "b"][slots].tolist() == [100, 0, 100]
+    assert ("de", "a") not in count.dense
+    assert {(r["source"], r["slot"]): r["n"] for b in count.out() for r in b.to_pylist()}[("b", slots[2])] == 100
+
+
 def test_divergence_awkward(awkward, empty):
     assert divergence_rows(awkward) == plain_divergence([r[1:] for r in AWKWARD])
     assert divergence_rows(empty) == []

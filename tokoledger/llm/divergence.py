@@ -23,12 +23,13 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokoledger.llm.common import in_arrow, ship, stored
 from tokoledger.llm.perfect_hash import PerfectHash, hashes
-from tokoledger.llm.pretokens import runs
+from tokoledger.llm.pretokens import gathered, runs
 from tokoledger.plans.joins import bounded_broadcast
 
 SHARD = 1 << 14              # terms in a shard, about
@@ -36,7 +37,7 @@ WAVE = 32 << 20              # bytes of perfect hashes that are broadcast togeth
 CELLS = 1 << 24              # dense counters that a task holds
 BLOCK = 1 << 19              # counts (sources x slots) that are compared together
 HELD = 400_000               # document frequencies that a task holds
-TOGETHER = 1_000_000         # occurrences that are looked up together
+TOGETHER = 8_000_000         # bytes of text whose distinct terms are found together
 REMEMBERED = 400_000         # terms whose slots a task remembers
 HELD_BYTES = 64 << 20        # and bytes of the documents' distinct terms behind them
 SCALE = 1_000_000_000
@@ -46,16 +47,49 @@ _UPPER = range(ord("A"), ord("Z") + 1)
 _TERM_BYTES = bytes(c + 32 if c in _UPPER else c if c >= 128 or ord("a") <= c <= ord("z") else 32 for c in range(256))
 
 
-def terms(text: str, size: int = 1 << 20):
-    """The terms of a text, in lists of about ``size`` bytes of text."""
-    data, at = text.encode().translate(_TERM_BYTES), 0
+def _pieces(text: bytes, size: int):
+    """A text's terms with blanks between them, in pieces of about ``size`` bytes."""
+    data, at = text.translate(_TERM_BYTES), 0
     while at < len(data):
         end = data.find(b" ", at + size) if len(data) > at + size else -1
         end = len(data) if end < 0 else end
-        yield data[at:end].split()
+        yield data[at:end]
         at = end
 
 
+def terms(text: str, size: int = 1 << 20):
+    """The terms of a text, in lists of about ``size`` bytes of text."""
+    for piece in _pieces(text.encode(), size):
+        yield piece.split()
+
+
+def _names(column: pa.Array) -> pa.DictionaryArray:
+    return pc.fill_null(column.cast(pa.string()), "").dictionary_encode()
+
+
+def _coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """For each term of pieces of text, the number of its text and of the term; and the distinct terms."""
+    lists = pc.split_pattern(pa.array(texts, pa.large_binary()), b" ")
+    coded = lists.values.dictionary_encode()
+    code, distinct = coded.indices.to_numpy(), coded.dictionary
+    which = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+    real = (pc.binary_length(distinct).to_numpy() > 0)[code]      # what stands between two blanks is empty
+    return which[real], code[real].astype(np.int64), distinct.to_pylist()
+
+
+def _sorted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order and how often each occurs; for many values sorting takes less time than ``np.unique``."""
+    values = np.sort(values)
+    begin = np.flatnonzero(np.diff(values, prepend=values[:1] - 1))
+    return values[begin], np.diff(begin, append=len(values))
+
+
+def _parts(batches):
+    """Arrow batches of about ``TOGETHER`` bytes of text, and their texts in bytes."""
+    for part in gathered(batches, 0, TOGETHER):
+        yield part, pc.fill_null(part.column(0).cast(pa.large_binary()), b"").to_pylist()
+
+
 def _rows(batch, size: int = 2_000_000):
     """(text, lang, source) in runs of about ``size`` bytes of text."""
     for part in runs(batch, 0, size):
@@ -118,20 +152,37 @@ class _Recount:
             place[at] = np.where(slot >= 0, begin + slot, -1)
         return place
 
-    def add(self, found: dict[tuple[str, str], list[bytes]]) -> None:
-        """``found``: term occurrences of groups."""
-        for lang, known in self.known.items():
-            groups = [(source, words) for (other, source), words in found.items() if other == lang]
-            missing = list(set().union(*(words for _, words in groups)).difference(known))
-            known.update(zip(missing, self._look_up(lang, missing).tolist(), strict=True))
-            for source, words in groups:
-                place = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-                if (lang, source) not in self.dense:
-                    self.dense[lang, source] = np.zeros(self.begin[lang][-1], np.int64)
-                np.add.at(self.dense[lang, source], place[place >= 0], 1)
-            if len(known) > REMEMBERED:
-                for word in missing:
-                    del known[word]
+    def _places(self, lang: str, keys: list[bytes]) -> np.ndarray:
+        """As ``_look_up``; places are remembered."""
+        known = self.known[lang]
+        missing = [k for k in keys if k not in known]
+        known.update(zip(missing, self._look_up(lang, missing).tolist(), strict=True))
+        place = np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))
+        if len(known) > REMEMBERED:
+            for word in missing:
+                del known[word]
+        return place
+
+    def add(self, texts: list[bytes], lang: np.ndarray, langs: list[str], source: np.ndarray, sources: list[str]) -> None:
+        """Count the terms of pieces of text; ``lang`` and ``source``: the number of each text's name."""
+        which, code, distinct = _coded(texts)
+        each = max(1, len(distinct))
+        group = lang * len(sources) + source
+        found, n = _sorted(group[which] * each + code)
+        group, code = np.divmod(found, each)
+        for k in np.unique(group // len(sources)).tolist():
+            if langs[k] not in self.shards:
+                continue
+            begin, end = np.searchsorted(group, [k * len(sources), (k + 1) * len(sources)])
+            mine, at = np.unique(code[begin:end], return_inverse=True)
+            place = self._places(langs[k], [distinct[i] for i in mine.tolist()])[at]
+            for g in np.unique(group[begin:end]).tolist():
+                a, b = np.searchsorted(group, [g, g + 1])
+                to, counted = place[a - begin:b - begin], n[a:b]
+                name = langs[k], sources[g % len(sources)]
+                if name not in self.dense:
+                    self.dense[name] = np.zeros(self.begin[langs[k]][-1], np.int64)
+                self.dense[name][to[to >= 0]] += counted[to >= 0]     # a term has one place
 
     def full(self) -> bool:
         return sum(map(len, self.dense.values())) > CELLS
@@ -153,21 +204,14 @@ def _recount(docs: DataFrame, wave: list, parts: int) -> DataFrame:
 
     def run(batches):
         count = None
-        for batch in batches:
+        for part, texts in _parts(batches):
             count = count or _Recount(sent.value, parts)
-            for rows in _rows(batch):
-                found: dict[tuple[str, str], list[bytes]] = {}
-                held = 0
-                for text, lang, source in rows:
-                    for words in terms(text):
-                        found.setdefault((lang, source), []).extend(words)
-                        held += len(words)
-                        if held > TOGETHER:
-                            count.add(found)
-                            found, held = {}, 0
-                count.add(found)
-                if count.full():
-                    yield from count.out()
+            names = [_names(part.column(k)) for k in (1, 2)]
+            (lang, langs), (source, sources) = ((x.indices.to_numpy().astype(np.int64), x.dictionary.to_pylist()) for x in names)
+            for pieces in _pieces(texts[0], TOGETHER) if len(texts) == 1 else [None]:
+                count.add([t.translate(_TERM_BYTES) for t in texts] if pieces is None else [pieces], lang, langs, source, sources)
+            if count.full():
+                yield from count.out()
         if count:
             yield from count.out()
 
