@@ -188,16 +188,41 @@ class _Recount:
         return sum(map(len, self.dense.values())) > CELLS
 
     def out(self):
+        """A row for each (lang, source, shard), with the slots that were counted and their counts in bytes."""
         for (lang, source), counts in self.dense.items():
-            begin, shards = self.begin[lang], np.array(list(self.shards[lang]), np.int64)
-            place = np.flatnonzero(counts)
-            which = np.searchsorted(begin, place, side="right") - 1
-            names = [pa.repeat(pa.scalar(x, pa.string()), len(place)) for x in (lang, source)]
-            numbers = [pa.array(x, pa.int64()) for x in (shards[which], place - begin[which], counts[place])]
-            yield pa.RecordBatch.from_arrays([*names, *numbers], ["lang", "source", "shard", "slot", "n"])
+            rows, begin = [], self.begin[lang].tolist()
+            for shard, a, b in zip(self.shards[lang], begin[:-1], begin[1:]):
+                slot = np.flatnonzero(counts[a:b])
+                if len(slot):
+                    rows.append((lang, source, shard, slot.astype("<i4").tobytes(), counts[a:b][slot].astype("<i8").tobytes()))
+            if rows:
+                columns = [pa.array(x, kind) for x, kind in zip(zip(*rows), (pa.string(), pa.string(), pa.int64(), pa.binary(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "shard", "slots", "counts"])
         self.dense.clear()
 
 
+def _added(batches):
+    """Sums of what ``_Recount.out`` gave, in order of lang, source and shard: a row for each slot."""
+    last, total = None, np.zeros(0, np.int64)
+
+    def out():
+        slot = np.flatnonzero(total)
+        if len(slot):
+            names = [pa.repeat(pa.scalar(x, kind), len(slot)) for x, kind in zip(last, (pa.string(), pa.string(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*names, pa.array(slot, pa.int64()), pa.array(total[slot], pa.int64())], ["lang", "source", "shard", "slot", "n"])
+
+    for batch in batches:
+        for i, key in enumerate(zip(*(batch.column(k).to_pylist() for k in range(3)))):
+            slot, n = (np.frombuffer(batch.column(k)[i].as_buffer(), kind) for k, kind in ((3, "<i4"), (4, "<i8")))
+            if key != last:
+                yield from out()
+                last, total = key, np.zeros(0, np.int64)
+            if slot[-1] >= len(total):
+                total = np.concatenate([total, np.zeros(slot[-1] + 1 - len(total), np.int64)])
+            total[slot] += n
+    yield from out()
+
+
 def _recount(docs: DataFrame, wave: list, parts: int) -> DataFrame:
     """Occurrences of the wave's terms per (lang, source, shard, slot)."""
     sent = docs.sparkSession.sparkContext.broadcast(wave)
@@ -215,8 +240,9 @@ def _recount(docs: DataFrame, wave: list, parts: int) -> DataFrame:
         if count:
             yield from count.out()
 
-    found = in_arrow(docs, run, "lang string, source string, shard long, slot long, n long")
-    return found.groupBy("lang", "source", "shard", "slot").agg(F.sum("n").alias("n"))
+    keys = ["lang", "source", "shard"]
+    found = in_arrow(docs, run, "lang string, source string, shard long, slots binary, counts binary")
+    return in_arrow(found.repartition(*keys).sortWithinPartitions(*keys), _added, "lang string, source string, shard long, slot long, n long")
 
 
 def share(count: np.ndarray, total) -> np.ndarray:
