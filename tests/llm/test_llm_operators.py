@@ -18,7 +18,9 @@ import tiktoken
 import xxhash
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from tokoledger.llm import bpe, langid, license_digest, packing, pivots, segments, simhash, token_count, toxicity, url_reputation
+from tokoledger.llm import bpe, common, langid, license_digest, packing, pivots, segments, simhash, token_count, toxicity, url_reputation
+from tokoledger.llm import components as components_of_links
+from tokoledger.llm.common import stored
 from tokoledger.llm.components import components
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -149,6 +151,52 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert found == {i: 100 for i in range(100, 161)} | {7: 7} | {200 + i: 7 for i in range(50)}
 
 
+def test_links_of_a_task_become_forests_of_the_same_classes(spark, monkeypatch):
+    """... in the Python function that finds them: a second one behind it would double the workers of each core."""
+    rng = random.Random(3)
+    values = [0, *(rng.getrandbits(62) for _ in range(40))]
+    values = sorted({v ^ (1 << a) ^ (1 << b) for v in values for a in range(6) for b in range(6)})
+    classes = spark.createDataFrame([(v,) for v in values], "fp long")
+    monkeypatch.setattr(simhash, "LINKS", 64)
+    links = [tuple(r) for r in simhash.trie_links(classes, 2, subtree=32).collect()]
+    forests = simhash.trie_links(classes, 2, subtree=32, forests=True)
+    few = [tuple(r) for r in forests.collect()]
+    assert len(few) < len(links) == len(set(links))
+    want = dict(map(tuple, components(spark.createDataFrame(links, "u long, v long")).collect()))
+    assert want and dict(map(tuple, components(forests, shrunk=True).collect())) == want
+
+    plans = []
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df)
+
+    monkeypatch.setattr(components_of_links, "stored", watched)
+    docs = spark.createDataFrame([(i, f"a b c d e f g{i % 3}") for i in range(9)], "doc_id long, text string")
+    assert simhash.simhash_near_dedup(docs).count() == 9 and simhash.keep_one_per_group(docs).count()
+    assert len(plans) >= 2 and max(p.count("MapInArrow") for p in plans) == 1
+
+
+def test_workers_forget_what_another_operator_left(spark):
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(20)], "doc_id long, text string").coalesce(1)
+    left = packing._encoder(JSON, public_tokenizers.PATTERN, 1000, 0)
+    assert packing._encoder(JSON, public_tokenizers.PATTERN, 1000, 0) is left
+    common.forget_others(packing.__name__)
+    assert packing._encoder(JSON, public_tokenizers.PATTERN, 1000, 0) is left
+    common.forget_others(langid.__name__)
+    assert not common._of_worker
+
+    def held(batches):
+        from tokoledger.llm import common, packing
+
+        kept = len({**getattr(packing, "_of_worker", {}), **common._of_worker})
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([kept] * batch.num_rows, pa.int64())], ["kept"])
+
+    assert packing.pack(docs, JSON, public_tokenizers.PATTERN).count() >= 20
+    assert {r.kept for r in common.in_arrow(docs.select("doc_id"), held, "kept long").collect()} == {0}
+
+
 def test_url_rules_and_reputation(spark):
     urls = [
         "http://WWW.Example.com/en/1", "https://a.example.com/en/2", "http://b.org/x?y", "x://net/es/", "http://a.net/fr/1#z", "nourl", None, "", "http://u@b.org:80/x",
