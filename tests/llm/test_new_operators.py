@@ -338,6 +338,51 @@ def test_recount_looks_each_distinct_term_up_once(monkeypatch):
     assert summed == {("a", slots[0]): 12, ("a", slots[1]): 8, ("b", slots[0]): 200, ("b", slots[2]): 200}
 
 
+def test_recount_never_holds_more_counters_than_it_may(monkeypatch):
+    words = [b"a" + bytes([97 + k % 26, 97 + k // 26]) for k in range(100)]
+    sources = [f"s{k}" for k in range(30)]
+    monkeypatch.setattr(divergence, "CELLS", 1000)
+    count = divergence._Recount([("en", 0, PerfectHash.build(words).dumps())], 1)
+    texts = [b" ".join(words[: 3 * k + 1]) for k in range(30)]
+    out = []
+    for _ in range(3):
+        count.add(texts, np.zeros(30, np.int64), ["en"], np.arange(30), sources)
+        assert sum(x.nbytes for x in count.dense.values()) <= 4 * 1000
+        out += count.taken()
+    out += count.out()
+    summed = Counter()
+    for x in out:
+        for source, slots, n in zip(*(x.column(k).to_pylist() for k in (1, 3, 4)), strict=True):
+            assert len(slots) == len(n)
+            summed[source] += int(np.frombuffer(n, "<i4").sum())
+    assert summed == {f"s{k}": 3 * (3 * k + 1) for k in range(30)}
+
+
+def test_recount_of_more_than_32_bits(monkeypatch):
+    made = PerfectHash.build([b"ab"])
+    monkeypatch.setattr(divergence, "COUNTED", (1 << 31) - 9)
+    count = divergence._Recount([("en", 0, made.dumps())], 1)
+    out = []
+    for _ in range(3):
+        count.add([b"ab ab"], np.zeros(1, np.int64), ["en"], np.zeros(1, np.int64), ["s"])
+        count.dense["en", "s"][0] = count.counted = (1 << 31) - 10      # as after so many occurrences
+        count.add([b"ab ab"], np.zeros(1, np.int64), ["en"], np.zeros(1, np.int64), ["s"])
+        out += count.taken()
+        assert not count.dense
+    assert [r["n"] for x in divergence._added(out) for r in x.to_pylist()] == [3 * ((1 << 31) - 8)]
+
+
+def test_divergence_stores_and_keeps_only_what_its_result_reads(spark, spoken, monkeypatch):
+    rows, df = spoken
+    stored, made = divergence.stored, []
+    monkeypatch.setattr(divergence, "stored", lambda x: made.append(x.columns) or stored(x))
+    kept = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
+    before = kept()
+    assert divergence_rows(df, wave_bytes=1000) == plain_divergence(rows)
+    assert kept() == before
+    assert made == [["lang", "shard", "slot", "term", "hash"], ["lang", "source", "n", "v"], ["lang", "shard", "source", "other", "slot", "value"]]
+
+
 def test_divergence_awkward(awkward, empty):
     assert divergence_rows(awkward) == plain_divergence([r[1:] for r in AWKWARD])
     assert divergence_rows(empty) == []

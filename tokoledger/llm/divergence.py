@@ -19,6 +19,7 @@ Columns other than text, lang and source are ignored.
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokoledger.llm.common import in_arrow, ship, stored
+from tokoledger.llm.common import held, in_arrow, ship, stored
 from tokoledger.llm.perfect_hash import PerfectHash, hashes
 from tokoledger.llm.pretokens import gathered, runs
 from tokoledger.plans.joins import bounded_broadcast
@@ -35,10 +36,11 @@ from tokoledger.plans.joins import bounded_broadcast
 SHARD = 1 << 14              # terms in a shard, about
 WAVE = 32 << 20              # bytes of perfect hashes that are broadcast together
 CELLS = 1 << 24              # dense counters that a task holds
+COUNTED = 1 << 30            # occurrences in them; with those of one part more a counter of 32 bits is enough
 BLOCK = 1 << 19              # counts (sources x slots) that are compared together
 HELD = 400_000               # document frequencies that a task holds
 TOGETHER = 8_000_000         # bytes of text whose distinct terms are found together
-REMEMBERED = 400_000         # terms whose slots a task remembers
+REMEMBERED = 400_000         # terms whose slots a task remembers, of all languages
 HELD_BYTES = 64 << 20        # and bytes of the documents' distinct terms behind them
 SCALE = 1_000_000_000
 
@@ -72,9 +74,10 @@ def _coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     lists = pc.split_pattern(pa.array(texts, pa.large_binary()), b" ")
     coded = lists.values.dictionary_encode()
     code, distinct = coded.indices.to_numpy(), coded.dictionary
-    which = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+    which = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
+    del lists
     real = (pc.binary_length(distinct).to_numpy() > 0)[code]      # what stands between two blanks is empty
-    return which[real], code[real].astype(np.int64), distinct.to_pylist()
+    return which[real], code[real], distinct.to_pylist()
 
 
 def _sorted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,6 +142,8 @@ class _Recount:
         self.begin = {lang: np.concatenate(([0], np.cumsum([len(made) for made in mine.values()]))) for lang, mine in self.shards.items()}
         self.known: dict[str, dict[bytes, int]] = {lang: {} for lang in self.shards}
         self.dense: dict[tuple[str, str], np.ndarray] = {}
+        self.cells = self.counted = 0
+        self.ready: list[pa.RecordBatch] = []
 
     def _look_up(self, lang: str, keys: list[bytes]) -> np.ndarray:
         """Places of terms in the language's arrays, -1 for terms that are not kept or not in this wave."""
@@ -158,7 +163,7 @@ class _Recount:
         missing = [k for k in keys if k not in known]
         known.update(zip(missing, self._look_up(lang, missing).tolist(), strict=True))
         place = np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))
-        if len(known) > REMEMBERED:
+        if sum(map(len, self.known.values())) > REMEMBERED:
             for word in missing:
                 del known[word]
         return place
@@ -169,6 +174,7 @@ class _Recount:
         each = max(1, len(distinct))
         group = lang * len(sources) + source
         found, n = _sorted(group[which] * each + code)
+        del which, code
         group, code = np.divmod(found, each)
         for k in np.unique(group // len(sources)).tolist():
             if langs[k] not in self.shards:
@@ -179,13 +185,25 @@ class _Recount:
             for g in np.unique(group[begin:end]).tolist():
                 a, b = np.searchsorted(group, [g, g + 1])
                 to, counted = place[a - begin:b - begin], n[a:b]
-                name = langs[k], sources[g % len(sources)]
-                if name not in self.dense:
-                    self.dense[name] = np.zeros(self.begin[langs[k]][-1], np.int64)
-                self.dense[name][to[to >= 0]] += counted[to >= 0]     # a term has one place
-
-    def full(self) -> bool:
-        return sum(map(len, self.dense.values())) > CELLS
+                self._counters(langs[k], sources[g % len(sources)])[to[to >= 0]] += counted[to >= 0]     # a term has one place
+                self.counted += int(counted.sum())
+        if self.counted > COUNTED:
+            self.ready.extend(self.out())
+
+    def _counters(self, lang: str, source: str) -> np.ndarray:
+        """Those of a language and source; where they would be too many with the others, these become ready before."""
+        if (lang, source) not in self.dense:
+            new = int(self.begin[lang][-1])
+            if self.dense and self.cells + new > CELLS:
+                self.ready.extend(self.out())
+            self.dense[lang, source] = np.zeros(new, np.int32)
+            self.cells += new
+        return self.dense[lang, source]
+
+    def taken(self):
+        """What is ready."""
+        yield from self.ready
+        self.ready.clear()
 
     def out(self):
         """A row for each (lang, source, shard), with the slots that were counted and their counts in bytes."""
@@ -194,11 +212,12 @@ class _Recount:
             for shard, a, b in zip(self.shards[lang], begin[:-1], begin[1:]):
                 slot = np.flatnonzero(counts[a:b])
                 if len(slot):
-                    rows.append((lang, source, shard, slot.astype("<i4").tobytes(), counts[a:b][slot].astype("<i8").tobytes()))
+                    rows.append((lang, source, shard, slot.astype("<i4").tobytes(), counts[a:b][slot].astype("<i4").tobytes()))
             if rows:
                 columns = [pa.array(x, kind) for x, kind in zip(zip(*rows), (pa.string(), pa.string(), pa.int64(), pa.binary(), pa.binary()))]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "shard", "slots", "counts"])
         self.dense.clear()
+        self.cells = self.counted = 0
 
 
 def _added(batches):
@@ -213,7 +232,7 @@ def _added(batches):
 
     for batch in batches:
         for i, key in enumerate(zip(*(batch.column(k).to_pylist() for k in range(3)))):
-            slot, n = (np.frombuffer(batch.column(k)[i].as_buffer(), kind) for k, kind in ((3, "<i4"), (4, "<i8")))
+            slot, n = (np.frombuffer(batch.column(k)[i].as_buffer(), kind) for k, kind in ((3, "<i4"), (4, "<i4")))
             if key != last:
                 yield from out()
                 last, total = key, np.zeros(0, np.int64)
@@ -230,13 +249,12 @@ def _recount(docs: DataFrame, wave: list, parts: int) -> DataFrame:
     def run(batches):
         count = None
         for part, texts in _parts(batches):
-            count = count or _Recount(sent.value, parts)
+            count = _Recount(sent.value, parts) if count is None else count
             names = [_names(part.column(k)) for k in (1, 2)]
             (lang, langs), (source, sources) = ((x.indices.to_numpy().astype(np.int64), x.dictionary.to_pylist()) for x in names)
             for pieces in _pieces(texts[0], TOGETHER) if len(texts) == 1 else [None]:
                 count.add([t.translate(_TERM_BYTES) for t in texts] if pieces is None else [pieces], lang, langs, source, sources)
-            if count.full():
-                yield from count.out()
+                yield from count.taken()
         if count:
             yield from count.out()
 
@@ -296,10 +314,12 @@ def kept_terms(docs: DataFrame, least: int) -> tuple[DataFrame, int]:
     """(lang, shard, slot, term) of the terms in at least ``least`` documents, and one row per shard with its
     perfect hash (slot -1), stored; and the number of parts that every language's terms are dealt into."""
     frequent = in_arrow(docs, _document_frequencies, "lang string, term string, n_docs long")
-    frequent = stored(frequent.groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs")).where(F.col("n_docs") >= least).select("lang", "term"))
+    frequent = held(frequent.groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs")).where(F.col("n_docs") >= least).select("lang", "term"))
     parts = max(1, -(-frequent.count() // SHARD))
     dealt = frequent.withColumn("shard", F.pmod(F.xxhash64("term"), F.lit(parts)))
-    return stored(dealt.groupBy("lang", "shard").applyInPandas(_build, "lang string, shard long, slot long, term string, hash binary")), parts
+    built = stored(dealt.groupBy("lang", "shard").applyInPandas(_build, "lang string, shard long, slot long, term string, hash binary"))
+    frequent.unpersist()
+    return built, parts
 
 
 def _waves(built: DataFrame, most: int):
@@ -315,15 +335,9 @@ def _waves(built: DataFrame, most: int):
         yield wave
 
 
-def recount(docs: DataFrame, built: DataFrame, parts: int, wave_bytes: int = WAVE) -> DataFrame:
-    """(lang, source, shard, slot, n) over all waves; each wave is one pass over the documents, stored."""
-    found = None
-    for wave in _waves(built, wave_bytes):
-        part = stored(_recount(docs, wave, parts))
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = docs.sparkSession.createDataFrame([], "lang string, source string, shard long, slot long, n long")
-    return found
+def recount(docs: DataFrame, built: DataFrame, parts: int, wave_bytes: int = WAVE) -> list[DataFrame]:
+    """(lang, source, shard, slot, n) of each wave: one pass over the documents, held."""
+    return [held(_recount(docs, wave, parts)) for wave in _waves(built, wave_bytes)]
 
 
 def source_divergence(documents: DataFrame, least: int = 3, most: int = 200, wave_bytes: int = WAVE) -> DataFrame:
@@ -333,7 +347,9 @@ def source_divergence(documents: DataFrame, least: int = 3, most: int = 200, wav
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")]
     docs = documents.select(*text)
     built, parts = kept_terms(docs, least)
-    counts = recount(docs, built, parts, wave_bytes)
+    counted = recount(docs, built, parts, wave_bytes)
+    none = docs.sparkSession.createDataFrame([], "lang string, source string, shard long, slot long, n long")
+    counts = reduce(DataFrame.unionByName, counted or [none])
     size = built.where("slot >= 0").groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
     total = counts.groupBy("lang", "source").agg(F.sum("n").alias("n"))
     groups = docs.select("lang", "source").distinct().join(total, ["lang", "source"], "left").join(size, "lang", "left")
@@ -348,6 +364,8 @@ def source_divergence(documents: DataFrame, least: int = 3, most: int = 200, wav
     keys = ["lang", "shard", "block"]
     found = stored(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         _compare(most), "lang string, shard long, source string, other string, slot long, value long"))
+    for part in counted:
+        part.unpersist()
 
     sums = found.where("other IS NOT NULL").groupBy("lang", "source", F.col("other").alias("item")).agg(F.sum("value").alias("value"))
     others = groups.select("lang", F.col("source").alias("item"))
